@@ -18,4 +18,22 @@ QUERIES = {
     "check_schema": q.check_schema,
     "quality_report": q.quality_report_query,
     "gate": q.gate_query,
+    "scan_csv": q.scan_csv,
+    "scan_ndjson": q.scan_ndjson,
+    "scan_json_array": q.scan_json_array,
+    "scan_file_subset": q.scan_file_subset,
+    "discover_schema": q.discover_schema,
+    "file_inventory": q.file_inventory_query,
+    "write_partitioned": q.write_partitioned,
+    "stamp_lineage": q.stamp_lineage,
+    "refine_rename_cast": q.refine_rename_cast,
+    "refine_constructors": q.refine_constructors,
+    "refine_flatten": q.refine_flatten,
+    "refine_dates": q.refine_dates,
+    "refine_results": q.refine_results,
+    "fn_snake_case": q.fn_snake_case,
+    "fn_safe_strip": q.fn_safe_strip,
+    "fn_null_marker": q.fn_null_marker,
+    "fn_truncate": q.fn_truncate,
+    "fn_duration": q.fn_duration,
 }

@@ -153,3 +153,96 @@ ORACLE = {
         f"FROM ({_report_sql()}) r"
     ),
 }
+
+
+def _date_text(c: str) -> str:
+    return f"strftime({c}, '%Y-%m-%d')"
+
+
+def _snake(x: str) -> str:
+    return (r"lower(regexp_replace(regexp_replace(" + x + r", '([a-z0-9])([A-Z])', '\1_\2', 'g'), "
+            r"'[\s\-]+', '_', 'g'))")
+
+
+_PADDED = ("CASE WHEN lang = 'es' THEN ' ' || chr(9) || ' ' || chr(10) "
+           "ELSE ' ' || chr(9) || text || chr(10) || '  ' END")
+_STRIPPED = r"NULLIF(regexp_replace(" + _PADDED + r", '^\s+|\s+$', '', 'g'), '')"
+_TRUNC = "CASE WHEN length(text) <= 500 THEN text ELSE left(text, 497) || '...' END"
+
+ORACLE.update({
+    "scan_csv": "SELECT * FROM customer",
+    "scan_ndjson": "SELECT * FROM supplier",
+    "scan_json_array": "SELECT * FROM nation",
+    "scan_file_subset": (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+        "CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority "
+        "FROM orders WHERE year(o_orderdate) IN (1996, 1998)"),
+    "discover_schema": (
+        "SELECT CAST(ordinal_position AS INTEGER) AS ordinal, column_name, "
+        "CASE WHEN data_type IN ('TINYINT', 'SMALLINT', 'INTEGER', 'BIGINT') THEN 'integral' "
+        "WHEN data_type IN ('FLOAT', 'DOUBLE') OR data_type LIKE 'DECIMAL%' THEN 'fractional' "
+        "WHEN data_type = 'VARCHAR' THEN 'string' ELSE lower(data_type) END AS type_family "
+        "FROM information_schema.columns WHERE table_name = 'supplier'"),
+    "file_inventory": (
+        "SELECT page_id, CAST(strlen(html || chr(10)) AS BIGINT) AS file_size, "
+        "md5(html || chr(10)) AS content_hash FROM pages"),
+    "write_partitioned": (
+        "SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, "
+        "CAST(count(*) AS BIGINT) AS n_orders, max(o_totalprice) AS max_price, "
+        "min(o_totalprice) AS min_price FROM orders GROUP BY 1"),
+    "stamp_lineage": (
+        "SELECT s_suppkey, s_name, s_nationkey, s_acctbal, 'supplier.parquet' AS source_name, "
+        "'run-lineage' AS _pipeline_run_id, true AS stamped FROM supplier"),
+    "refine_rename_cast": (
+        "SELECT CAST(c_custkey AS VARCHAR) AS circuit_id, c_name AS circuit_name, "
+        "TRY_CAST(CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN '\\N' "
+        "ELSE CAST(c_acctbal AS VARCHAR) END AS DOUBLE) AS latitude, "
+        "TRY_CAST(CASE WHEN c_mktsegment = 'BUILDING' THEN 'n/a' "
+        "ELSE CAST(c_nationkey AS VARCHAR) END AS DOUBLE) AS longitude, "
+        "c_mktsegment AS locality, 'nation-' || c_nationkey AS country, "
+        "'http://example.org/c/' || c_custkey AS url FROM customer"),
+    "refine_constructors": (
+        "SELECT CAST(s_suppkey AS VARCHAR) AS constructor_id, s_name AS name, "
+        "'nation-' || s_nationkey AS nationality, 'http://example.org/s/' || s_suppkey AS url "
+        "FROM supplier"),
+    "refine_flatten": (
+        "SELECT CAST(o_orderkey AS VARCHAR) AS driver_id, o_orderstatus AS firstname, "
+        "o_orderpriority AS surname, CAST(TRY_CAST(CASE WHEN o_orderstatus = 'P' THEN '\\N' "
+        f"ELSE {_date_text('o_orderdate')} END AS DATE) AS VARCHAR) AS date_of_birth, "
+        "o_orderpriority AS nationality, 'http://example.org/d/' || o_orderkey AS url FROM orders"),
+    "refine_dates": (
+        "SELECT TRY_CAST(CAST(year(o_orderdate) AS VARCHAR) AS INTEGER) AS season, "
+        "TRY_CAST(CASE WHEN o_orderpriority = '5-LOW' THEN 'n/a' "
+        "ELSE CAST(month(o_orderdate) AS VARCHAR) END AS INTEGER) AS round, "
+        "CAST(o_custkey AS VARCHAR) AS circuit_id, o_orderpriority AS race_name, "
+        "CAST(TRY_CAST(CASE WHEN o_orderstatus = 'P' THEN '\\N' "
+        f"ELSE {_date_text('o_orderdate')} END AS DATE) AS VARCHAR) AS race_date, "
+        "'http://example.org/r/' || o_orderkey AS url FROM orders"),
+    "refine_results": (
+        "SELECT CAST(l_suppkey AS VARCHAR) AS driver_id, CAST(l_partkey AS VARCHAR) AS constructor_id, "
+        "CAST(year(l_shipdate) AS BIGINT) AS season, CAST(month(l_shipdate) AS BIGINT) AS round, "
+        "l_linestatus AS race_name, CAST(TRY_CAST(CASE WHEN l_returnflag = 'R' THEN '\\N' "
+        f"ELSE {_date_text('l_shipdate')} END AS DATE) AS VARCHAR) AS race_date, "
+        "CAST(l_linenumber AS BIGINT) AS grid, CAST(trunc(l_quantity) AS BIGINT) AS laps, "
+        "l_orderkey AS number, l_extendedprice AS points, CAST(l_linenumber AS BIGINT) AS position, "
+        "l_returnflag AS position_text, l_linestatus AS status, "
+        "'http://example.org/x/' || l_orderkey AS url FROM lineitem"),
+    "fn_snake_case": (
+        f"SELECT p_partkey, {_snake('p_name')} AS name_snake, "
+        f"{_snake(chr(40) + 'p_name || ' + chr(39) + 'Id' + chr(39) + chr(41))} AS name_id_snake, "
+        f"{_snake(chr(40) + 'p_type || ' + chr(39) + '-' + chr(39) + ' || p_brand' + chr(41))} "
+        "AS type_snake FROM part"),
+    "fn_safe_strip": (
+        f"SELECT doc_id, md5({_STRIPPED}) AS stripped_md5, "
+        f"CAST(length({_STRIPPED}) AS BIGINT) AS stripped_len FROM documents"),
+    "fn_null_marker": (
+        "SELECT event_id, NULLIF(CASE WHEN event_type = 'error' THEN '\\N' ELSE event_type END, "
+        "'\\N') AS event_type_clean FROM events"),
+    "fn_truncate": (
+        f"SELECT doc_id, md5({_TRUNC}) AS truncated_md5, "
+        f"CAST(length({_TRUNC}) AS BIGINT) AS truncated_len FROM documents"),
+    "fn_duration": (
+        "SELECT event_id, CASE WHEN m <> 0 THEN CAST(m AS VARCHAR) || 'm ' || CAST(s AS VARCHAR) || 's' "
+        "ELSE CAST(s AS VARCHAR) || 's' END AS duration FROM (SELECT event_id, t // 60 AS m, "
+        "t % 60 AS s FROM (SELECT event_id, CAST(floor(value * 10) AS BIGINT) AS t FROM events) a) b"),
+})

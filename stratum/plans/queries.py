@@ -131,3 +131,249 @@ def quality_report_query(spark, data_dir):
 
 def gate_query(spark, data_dir):
     return gate(quality_report_query(spark, data_dir))
+
+
+# ------------------------------------------------------------ scans and sinks
+
+from stratum.functions import columns as fn  # noqa: E402
+from stratum.operators import lineage as lin  # noqa: E402
+from stratum.operators.projection import get_transform  # noqa: E402
+from stratum.session import scratch_path  # noqa: E402
+from stratum.sources import readers, sinks  # noqa: E402
+from stratum.sources.inventory import file_inventory  # noqa: E402
+
+CUSTOMER_DDL = ("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string")
+SUPPLIER_DDL = "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"
+NATION_DDL = "n_nationkey int, n_name string, n_regionkey int"
+ORDERS_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string")
+
+
+def scan_csv(spark, data_dir):
+    path = scratch_path(spark, "customer_csv")
+    table(spark, data_dir, "customer").write.option("header", True).csv(path)
+    return readers.read_source(spark, path, "csv", CUSTOMER_DDL)
+
+
+def scan_ndjson(spark, data_dir):
+    path = scratch_path(spark, "supplier_json")
+    table(spark, data_dir, "supplier").write.json(path)
+    return readers.read_source(spark, path, "json", SUPPLIER_DDL)
+
+
+def scan_json_array(spark, data_dir):
+    path = scratch_path(spark, "nation_array")
+    sinks.write_json_arrays(table(spark, data_dir, "nation"), path, rows_per_file=10)
+    return readers.read_source(spark, path, "json", NATION_DDL, multiline=True,
+                               options={"recursiveFileLookup": "true"})
+
+
+def _orders_by_year_json(spark, data_dir) -> str:
+    path = scratch_path(spark, "orders_by_year")
+    orders = lin.add_year_partition(table(spark, data_dir, "orders"), "order_year", "o_orderdate")
+    orders.write.partitionBy("order_year").json(path)
+    return path
+
+
+def scan_file_subset(spark, data_dir):
+    """Only the files of two years are read; the rest are pruned at listing."""
+    path = _orders_by_year_json(spark, data_dir)
+    inv = file_inventory(spark, path, hash_content=False)
+    wanted = inv.filter(F.col("source_file").rlike("order_year=(1996|1998)/"))
+    df = readers.read_source(spark, path, "json", ORDERS_DDL, files_to_include=wanted)
+    return df.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                     F.col("o_orderdate").cast("date").cast("string").alias("o_orderdate"),
+                     "o_orderpriority")
+
+
+def discover_schema(spark, data_dir):
+    path = scratch_path(spark, "supplier_csv")
+    table(spark, data_dir, "supplier").write.option("header", True).csv(path)
+    schema = readers.discover_schema(spark, path, "csv")
+    fields = readers.schema_table(spark, schema)
+    family = (F.when(F.col("data_type").isin("tinyint", "smallint", "int", "bigint"), "integral")
+              .when(F.col("data_type").isin("float", "double") | F.col("data_type").startswith("decimal"),
+                    "fractional")
+              .otherwise(F.col("data_type")))
+    return fields.select("ordinal", "column_name", family.alias("type_family"))
+
+
+def file_inventory_query(spark, data_dir):
+    path = scratch_path(spark, "pages_raw")
+    sinks.write_file_per_key(table(spark, data_dir, "pages"), path, "page_id", "html")
+    inv = file_inventory(spark, path)
+    return inv.select(
+        F.regexp_extract("source_file", r"page_id=([0-9]+)/", 1).cast("bigint").alias("page_id"),
+        "file_size", "content_hash")
+
+
+def write_partitioned(spark, data_dir):
+    """Full load of the older orders, incremental append of the rest, read
+    back through the registered table; partitions by derived order year."""
+    import uuid
+
+    path = scratch_path(spark, "orders_bronze")
+    orders = lin.add_year_partition(table(spark, data_dir, "orders"), "order_year", "o_orderdate")
+    sinks.write_table(orders.filter(F.col("order_year") < 1998), path, "overwrite", "order_year")
+    sinks.write_table(orders.filter(~(F.col("order_year") < 1998)), path, "append", "order_year")
+    name = f"bronze_orders_{uuid.uuid4().hex[:8]}"
+    sinks.register_table(spark, name, path)
+    return (spark.table(name).groupBy("order_year")
+            .agg(F.count(F.lit(1)).alias("n_orders"),
+                 F.max("o_totalprice").alias("max_price"),
+                 F.min("o_totalprice").alias("min_price")))
+
+
+def stamp_lineage(spark, data_dir):
+    df = lin.add_lineage(table(spark, data_dir, "supplier"), "run-lineage")
+    df = lin.add_refined_stamp(df, "run-lineage")
+    return df.select(
+        "s_suppkey", "s_name", "s_nationkey", "s_acctbal",
+        F.regexp_extract("_source_file", r"([^/]+)$", 1).alias("source_name"),
+        "_pipeline_run_id",
+        (F.col("_ingestion_ts").isNotNull() & F.col("_processed_ts").isNotNull()).alias("stamped"),
+    )
+
+
+# ------------------------------------------------------------ projections
+
+NULL_MARKER = "\\N"
+
+
+def _date_text(c):
+    return F.date_format(c, "yyyy-MM-dd")
+
+
+def raw_circuits(spark, data_dir):
+    c = table(spark, data_dir, "customer")
+    return c.select(
+        F.col("c_custkey").cast("string").alias("circuitId"),
+        F.concat(F.lit("http://example.org/c/"), F.col("c_custkey")).alias("url"),
+        F.col("c_name").alias("circuitName"),
+        F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.lit(NULL_MARKER))
+        .otherwise(F.col("c_acctbal").cast("string")).alias("lat"),
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit("n/a"))
+        .otherwise(F.col("c_nationkey").cast("string")).alias("long"),
+        F.col("c_mktsegment").alias("locality"),
+        F.concat(F.lit("nation-"), F.col("c_nationkey")).alias("country"),
+    )
+
+
+def refine_rename_cast(spark, data_dir):
+    return get_transform("transform_circuits")(raw_circuits(spark, data_dir))
+
+
+def raw_drivers(spark, data_dir):
+    o = table(spark, data_dir, "orders")
+    return o.select(
+        F.when(F.col("o_orderstatus") == "P", F.lit(NULL_MARKER))
+        .otherwise(_date_text("o_orderdate")).alias("dateOfBirth"),
+        F.col("o_orderkey").cast("string").alias("driverId"),
+        F.struct(F.col("o_orderpriority").alias("familyName"),
+                 F.col("o_orderstatus").alias("givenName")).alias("name"),
+        F.col("o_orderpriority").alias("nationality"),
+        F.concat(F.lit("http://example.org/d/"), F.col("o_orderkey")).alias("url"),
+    )
+
+
+def refine_flatten(spark, data_dir):
+    out = get_transform("transform_drivers")(raw_drivers(spark, data_dir))
+    return out.withColumn("date_of_birth", F.col("date_of_birth").cast("string"))
+
+
+def raw_races(spark, data_dir):
+    o = table(spark, data_dir, "orders")
+    return o.select(
+        F.year("o_orderdate").cast("string").alias("season"),
+        F.when(F.col("o_orderpriority") == "5-LOW", F.lit("n/a"))
+        .otherwise(F.month("o_orderdate").cast("string")).alias("round"),
+        F.concat(F.lit("http://example.org/r/"), F.col("o_orderkey")).alias("url"),
+        F.col("o_orderpriority").alias("raceName"),
+        F.when(F.col("o_orderstatus") == "P", F.lit(NULL_MARKER))
+        .otherwise(_date_text("o_orderdate")).alias("date"),
+        F.col("o_custkey").cast("string").alias("circuitId"),
+    )
+
+
+def refine_dates(spark, data_dir):
+    out = get_transform("transform_races")(raw_races(spark, data_dir))
+    return out.withColumn("race_date", F.col("race_date").cast("string"))
+
+
+def raw_results(spark, data_dir):
+    li = table(spark, data_dir, "lineitem")
+    return li.select(
+        F.col("l_partkey").cast("string").alias("constructorId"),
+        F.when(F.col("l_returnflag") == "R", F.lit(NULL_MARKER))
+        .otherwise(_date_text("l_shipdate")).alias("date"),
+        F.col("l_suppkey").cast("string").alias("driverId"),
+        F.col("l_linenumber").cast("bigint").alias("grid"),
+        F.col("l_quantity").cast("bigint").alias("laps"),
+        F.col("l_orderkey").alias("number"),
+        F.col("l_extendedprice").alias("points"),
+        F.col("l_linenumber").cast("bigint").alias("position"),
+        F.col("l_returnflag").alias("positionText"),
+        F.col("l_linestatus").alias("raceName"),
+        F.month("l_shipdate").cast("bigint").alias("round"),
+        F.year("l_shipdate").cast("bigint").alias("season"),
+        F.col("l_linestatus").alias("status"),
+        F.concat(F.lit("http://example.org/x/"), F.col("l_orderkey")).alias("url"),
+    )
+
+
+def refine_results(spark, data_dir):
+    out = get_transform("transform_results")(raw_results(spark, data_dir))
+    return out.withColumn("race_date", F.col("race_date").cast("string"))
+
+
+def refine_constructors(spark, data_dir):
+    s = table(spark, data_dir, "supplier")
+    raw = s.select(
+        F.col("s_suppkey").cast("string").alias("constructorId"),
+        F.col("s_name").alias("name"),
+        F.concat(F.lit("nation-"), F.col("s_nationkey")).alias("nationality"),
+        F.concat(F.lit("http://example.org/s/"), F.col("s_suppkey")).alias("url"),
+    )
+    return get_transform("transform_constructors")(raw)
+
+
+# ------------------------------------------------------------ column functions
+
+
+def fn_snake_case(spark, data_dir):
+    p = table(spark, data_dir, "part")
+    return p.select(
+        "p_partkey",
+        fn.snake_case("p_name").alias("name_snake"),
+        fn.snake_case(F.concat(F.col("p_name"), F.lit("Id"))).alias("name_id_snake"),
+        fn.snake_case(F.concat(F.col("p_type"), F.lit("-"), F.col("p_brand"))).alias("type_snake"),
+    )
+
+
+def fn_safe_strip(spark, data_dir):
+    d = table(spark, data_dir, "documents")
+    padded = (F.when(F.col("lang") == "es", F.lit(" \t \n"))
+              .otherwise(F.concat(F.lit(" \t"), F.col("text"), F.lit("\n  "))))
+    s = fn.safe_strip(padded)
+    return d.select("doc_id", F.md5(s).alias("stripped_md5"),
+                    F.length(s).cast("bigint").alias("stripped_len"))
+
+
+def fn_null_marker(spark, data_dir):
+    e = table(spark, data_dir, "events")
+    raw = (F.when(F.col("event_type") == "error", F.lit(NULL_MARKER))
+           .otherwise(F.col("event_type")))
+    return e.select("event_id", fn.replace_null_marker(raw).alias("event_type_clean"))
+
+
+def fn_truncate(spark, data_dir):
+    d = table(spark, data_dir, "documents")
+    t = fn.truncate_text("text", 500)
+    return d.select("doc_id", F.md5(t).alias("truncated_md5"),
+                    F.length(t).cast("bigint").alias("truncated_len"))
+
+
+def fn_duration(spark, data_dir):
+    e = table(spark, data_dir, "events")
+    return e.select("event_id", fn.format_duration(F.col("value") * 10).alias("duration"))
