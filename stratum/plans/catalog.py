@@ -36,4 +36,9 @@ QUERIES = {
     "fn_null_marker": q.fn_null_marker,
     "fn_truncate": q.fn_truncate,
     "fn_duration": q.fn_duration,
+    "changed_files": q.changed_files_query,
+    "upsert_state": q.upsert_state,
+    "run_latest": q.run_latest,
+    "high_water": q.high_water_query,
+    "current_rows": q.current_rows_query,
 }

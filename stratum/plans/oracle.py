@@ -246,3 +246,61 @@ ORACLE.update({
         "ELSE CAST(s AS VARCHAR) || 's' END AS duration FROM (SELECT event_id, t // 60 AS m, "
         "t % 60 AS s FROM (SELECT event_id, CAST(floor(value * 10) AS BIGINT) AS t FROM events) a) b"),
 })
+
+
+_DOC_PATH = "'file:/landing/doc-' || doc_id || '.txt'"
+_ORDERS_PLAIN = (
+    "(SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+    "CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders)")
+_TS = "'%Y-%m-%d %H:%M:%S.%f'"
+
+ORACLE.update({
+    "changed_files": (
+        f"WITH st AS (SELECT {_DOC_PATH} AS source_file, doc_id AS mt, n_chars AS file_size, "
+        "md5(text) AS h FROM documents WHERE lang <> 'fr'), "
+        f"inv AS (SELECT {_DOC_PATH} AS source_file, "
+        "CASE WHEN source = 'src5' THEN doc_id + 1 ELSE doc_id END AS mt, "
+        "CASE WHEN lang = 'de' THEN n_chars + 1 ELSE n_chars END AS file_size, "
+        "md5(CASE WHEN source = 'src3' THEN text || 'x' ELSE text END) AS h FROM documents) "
+        "SELECT inv.source_file, inv.file_size, "
+        "CASE WHEN st.source_file IS NULL THEN 'NEW' ELSE 'MODIFIED' END AS change_kind "
+        "FROM inv LEFT JOIN st ON inv.source_file = st.source_file "
+        "WHERE st.source_file IS NULL OR inv.mt IS DISTINCT FROM st.mt "
+        "OR inv.file_size IS DISTINCT FROM st.file_size OR inv.h IS DISTINCT FROM st.h"),
+    "upsert_state": (
+        f"WITH o AS {_ORDERS_PLAIN}, ch AS ("
+        "SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, o_totalprice + 1 AS o_totalprice, "
+        "o_orderdate, o_orderpriority, 1 AS version, false AS deleted FROM o WHERE o_orderstatus = 'P' "
+        "UNION ALL SELECT o_orderkey, o_custkey, 'F', o_totalprice + 2, o_orderdate, o_orderpriority, "
+        "2, false FROM o WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT' "
+        "UNION ALL SELECT -o_orderkey - 1, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
+        "o_orderpriority, 1, false FROM o WHERE o_orderpriority = '2-HIGH' "
+        "UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, "
+        "o_orderpriority, 3, true FROM o WHERE o_orderstatus = 'O' AND o_orderpriority = '5-LOW'), "
+        "latest AS (SELECT * FROM ch QUALIFY row_number() OVER "
+        "(PARTITION BY o_orderkey ORDER BY version DESC) = 1) "
+        "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority "
+        "FROM latest WHERE NOT deleted "
+        "UNION ALL SELECT * FROM o WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ch)"),
+    "run_latest": (
+        "WITH e AS (SELECT 'run-' || user_id AS run_id, event_id, ts, "
+        "CASE event_type WHEN 'purchase' THEN 'SUCCESS' WHEN 'error' THEN 'FAILED' "
+        "ELSE 'RUNNING' END AS status, CAST(floor(value) AS BIGINT) AS records_processed "
+        "FROM events), "
+        "l AS (SELECT * FROM e QUALIFY row_number() OVER "
+        "(PARTITION BY run_id ORDER BY ts DESC, event_id DESC) = 1), "
+        "a AS (SELECT run_id, min(ts) AS t0, max(ts) AS t1, CAST(count(*) AS BIGINT) AS n_events "
+        "FROM e GROUP BY run_id) "
+        f"SELECT a.run_id, l.status, strftime(t0, {_TS}) AS start_time, "
+        f"CASE WHEN l.status <> 'RUNNING' THEN strftime(t1, {_TS}) END AS end_time, "
+        "CASE WHEN l.status <> 'RUNNING' THEN CAST((epoch_us(t1) - epoch_us(t0)) // 1000 AS BIGINT) "
+        "END AS duration_ms, l.records_processed, a.n_events FROM a JOIN l ON a.run_id = l.run_id"),
+    "high_water": (
+        f"SELECT event_type AS entity_name, strftime(max(ts), {_TS}) AS watermark_value "
+        "FROM events GROUP BY event_type"),
+    "current_rows": (
+        "SELECT l_orderkey, l_linenumber, "
+        "CASE WHEN l_returnflag = 'R' THEN l_quantity + 100 ELSE l_quantity END AS l_quantity, "
+        "l_returnflag, l_linestatus, "
+        "CASE WHEN l_returnflag = 'R' THEN 'r2' ELSE 'r1' END AS _pipeline_run_id FROM lineitem"),
+})

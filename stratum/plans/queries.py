@@ -377,3 +377,121 @@ def fn_truncate(spark, data_dir):
 def fn_duration(spark, data_dir):
     e = table(spark, data_dir, "events")
     return e.select("event_id", fn.format_duration(F.col("value") * 10).alias("duration"))
+
+
+# ------------------------------------------------------------ change detection and state
+
+from stratum.operators import changes as chg  # noqa: E402
+from stratum.plans import runlog  # noqa: E402
+
+_EPOCH_2024 = 1704067200
+
+
+def changed_files_query(spark, data_dir):
+    d = table(spark, data_dir, "documents")
+    path = F.concat(F.lit("file:/landing/doc-"), F.col("doc_id"), F.lit(".txt"))
+    mtime = F.timestamp_seconds(F.lit(_EPOCH_2024) + F.col("doc_id"))
+    state = d.filter(F.col("lang") != "fr").select(
+        path.alias("source_file"), mtime.alias("last_modified_time"),
+        F.col("n_chars").alias("file_size"), F.md5("text").alias("content_hash"))
+    inventory = d.select(
+        path.alias("source_file"),
+        F.when(F.col("source") == "src5", mtime + F.expr("INTERVAL 1 SECOND"))
+        .otherwise(mtime).alias("last_modified_time"),
+        F.when(F.col("lang") == "de", F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+        .alias("file_size"),
+        F.md5(F.when(F.col("source") == "src3", F.concat("text", F.lit("x"))).otherwise(F.col("text")))
+        .alias("content_hash"))
+    return chg.changed_files(inventory, state).select("source_file", "file_size", "change_kind")
+
+
+def _orders_plain(spark, data_dir):
+    o = table(spark, data_dir, "orders")
+    return o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                    F.col("o_orderdate").cast("date").cast("string").alias("o_orderdate"),
+                    "o_orderpriority")
+
+
+def upsert_state(spark, data_dir):
+    """Versioned change batch (updates, second versions, inserts, deletes)
+    merged into orders on the order key."""
+    o = _orders_plain(spark, data_dir)
+    p = F.col("o_orderstatus") == "P"
+    v1 = (o.filter(p).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+          .withColumn("o_orderstatus", F.lit("F")).withColumn("version", F.lit(1))
+          .withColumn("deleted", F.lit(False)))
+    v2 = (o.filter(p & (F.col("o_orderpriority") == "1-URGENT"))
+          .withColumn("o_totalprice", F.col("o_totalprice") + 2)
+          .withColumn("o_orderstatus", F.lit("F")).withColumn("version", F.lit(2))
+          .withColumn("deleted", F.lit(False)))
+    ins = (o.filter(F.col("o_orderpriority") == "2-HIGH")
+           .withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+           .withColumn("version", F.lit(1)).withColumn("deleted", F.lit(False)))
+    dels = (o.filter((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "5-LOW"))
+            .withColumn("version", F.lit(3)).withColumn("deleted", F.lit(True)))
+    changes = v1.unionByName(v2).unionByName(ins).unionByName(dels)
+    return chg.upsert(o, changes, "o_orderkey", order_by="version", delete_flag="deleted")
+
+
+_TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
+def run_latest(spark, data_dir):
+    """Run records as the latest-per-run view over status events."""
+    e = table(spark, data_dir, "events")
+    status = (F.when(F.col("event_type") == "purchase", "SUCCESS")
+              .when(F.col("event_type") == "error", "FAILED").otherwise("RUNNING"))
+    events = e.select(
+        F.concat(F.lit("run-"), F.col("user_id")).alias("run_id"),
+        F.lit("bronze_ingestion").alias("pipeline_name"),
+        F.col("event_type").alias("entity_name"),
+        status.alias("status"),
+        F.col("ts").alias("event_time"),
+        F.floor("value").cast("bigint").alias("records_processed"),
+        F.lit(None).cast("bigint").alias("files_processed"),
+        F.lit(None).cast("string").alias("error_message"),
+        "event_id",
+    )
+    v = runlog.runs_view(events, tiebreak="event_id")
+    return v.select(
+        "run_id", "status",
+        F.date_format("start_time", _TS_FMT).alias("start_time"),
+        F.date_format("end_time", _TS_FMT).alias("end_time"),
+        "duration_ms", "records_processed", "n_events")
+
+
+def high_water_query(spark, data_dir):
+    """High-water log appended in two batches; the view keeps the maximum."""
+    e = table(spark, data_dir, "events").select(
+        F.col("event_type").alias("entity_name"), F.col("ts").alias("watermark_value"))
+    early = e.filter(F.col("watermark_value") < F.lit("2024-01-04").cast("timestamp_ntz"))
+    late = e.filter(~(F.col("watermark_value") < F.lit("2024-01-04").cast("timestamp_ntz")))
+    log = late.unionByName(early)  # arrival order must not matter
+    hw = chg.high_water(log, "entity_name", "watermark_value")
+    return hw.select("entity_name", F.date_format("watermark_value", _TS_FMT).alias("watermark_value"))
+
+
+def current_rows_query(spark, data_dir):
+    """Bronze holding three runs: r1 loads every file, r2 reloads the modified
+    files, r3 wrote rows but crashed before committing state."""
+    li = table(spark, data_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus",
+        F.concat(F.lit("file:/landing/lineitem-"), F.col("l_returnflag"), F.col("l_linestatus"),
+                 F.lit(".json")).alias("_source_file"))
+    r1 = li.withColumn("_pipeline_run_id", F.lit("r1"))
+    r2 = (li.filter(F.col("l_returnflag") == "R")
+          .withColumn("l_quantity", F.col("l_quantity") + 100)
+          .withColumn("_pipeline_run_id", F.lit("r2")))
+    r3 = li.filter(F.col("l_linestatus") == "O").withColumn("_pipeline_run_id", F.lit("r3"))
+    bronze = r1.unionByName(r2).unionByName(r3)
+
+    def state_rows(df, run, ts):
+        return (df.select("_source_file").distinct().select(
+            F.lit("lineitem").alias("entity_name"), F.col("_source_file").alias("source_file"),
+            F.lit(run).alias("run_id"), F.lit("LOADED").alias("event"),
+            F.lit(ts).cast("timestamp").alias("processed_at")))
+
+    log = state_rows(r1, "r1", "2024-01-01 00:00:00").unionByName(
+        state_rows(r2, "r2", "2024-01-02 00:00:00"))
+    cur = chg.current_rows(bronze, chg.current_state(log, "lineitem"))
+    return cur.drop("_source_file")
