@@ -41,4 +41,7 @@ QUERIES = {
     "run_latest": q.run_latest,
     "high_water": q.high_water_query,
     "current_rows": q.current_rows_query,
+    "standings_supplier": q.standings_supplier,
+    "standings_customer": q.standings_customer,
+    "standings_nation": q.standings_nation,
 }

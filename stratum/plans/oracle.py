@@ -304,3 +304,30 @@ ORACLE.update({
         "l_returnflag, l_linestatus, "
         "CASE WHEN l_returnflag = 'R' THEN 'r2' ELSE 'r1' END AS _pipeline_run_id FROM lineitem"),
 })
+
+
+_NET = ("CAST(round(l_extendedprice * 100) AS BIGINT) * (100 - CAST(round(l_discount * 100) AS BIGINT))")
+
+ORACLE.update({
+    "standings_supplier": (
+        "SELECT season, supplier_key, points, wins, "
+        "CAST(rank() OVER (PARTITION BY season ORDER BY points DESC) AS BIGINT) AS position FROM ("
+        "SELECT CAST(year(l_shipdate) AS INTEGER) AS season, l_suppkey AS supplier_key, "
+        f"CAST(sum({_NET}) AS DOUBLE) / 10000.0 AS points, "
+        "CAST(count(*) FILTER (WHERE l_linenumber = 1) AS BIGINT) AS wins "
+        "FROM lineitem GROUP BY 1, 2) t"),
+    "standings_customer": (
+        "SELECT season, customer_key, points, wins, "
+        "CAST(rank() OVER (PARTITION BY season ORDER BY points DESC) AS BIGINT) AS position FROM ("
+        "SELECT CAST(year(o_orderdate) AS INTEGER) AS season, o_custkey AS customer_key, "
+        "CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS points, "
+        "CAST(count(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS BIGINT) AS wins "
+        "FROM orders GROUP BY 1, 2) t"),
+    "standings_nation": (
+        "SELECT season, nation_key, points, wins, "
+        "CAST(rank() OVER (PARTITION BY season ORDER BY points DESC) AS BIGINT) AS position FROM ("
+        "SELECT CAST(year(l_shipdate) AS INTEGER) AS season, s_nationkey AS nation_key, "
+        f"CAST(sum({_NET}) AS DOUBLE) / 10000.0 AS points, "
+        "CAST(count(*) FILTER (WHERE l_linenumber = 1) AS BIGINT) AS wins "
+        "FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2) t"),
+})

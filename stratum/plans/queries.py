@@ -495,3 +495,48 @@ def current_rows_query(spark, data_dir):
         state_rows(r2, "r2", "2024-01-02 00:00:00"))
     cur = chg.current_rows(bronze, chg.current_state(log, "lineitem"))
     return cur.drop("_source_file")
+
+
+# ------------------------------------------------------------ standings
+
+from stratum.operators.standings import standings  # noqa: E402
+
+
+def _cents(c):
+    return F.round(F.col(c) * 100).cast("bigint")
+
+
+def standings_supplier(spark, data_dir):
+    """Driver-style standings: suppliers per ship year by net revenue; a
+    'win' is a first line of an order."""
+    li = table(spark, data_dir, "lineitem")
+    net = _cents("l_extendedprice") * (F.lit(100) - _cents("l_discount"))
+    s = standings(li, F.year("l_shipdate"), "l_suppkey",
+                  (F.sum(net) / 10000.0), F.col("l_linenumber") == 1)
+    return s.select("season", F.col("member").alias("supplier_key"), "points", "wins", "position")
+
+
+def standings_customer(spark, data_dir):
+    """Customers per order year by order value; a 'win' is an urgent order."""
+    o = table(spark, data_dir, "orders")
+    s = standings(o, F.year("o_orderdate"), "o_custkey",
+                  F.sum(_cents("o_totalprice")) / 100.0, F.col("o_orderpriority") == "1-URGENT")
+    return s.select("season", F.col("member").alias("customer_key"), "points", "wins", "position")
+
+
+def standings_nation(spark, data_dir):
+    """Team-style standings: supplier nations per ship year.  Line items are
+    pre-aggregated per (year, supplier) before the join, so only that reduced
+    table meets the supplier dimension."""
+    li = table(spark, data_dir, "lineitem")
+    net = _cents("l_extendedprice") * (F.lit(100) - _cents("l_discount"))
+    per_supp = (li.groupBy(F.year("l_shipdate").alias("season"), "l_suppkey")
+                .agg(F.sum(net).alias("net"), F.count_if(F.col("l_linenumber") == 1).alias("w")))
+    supp = table(spark, data_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    joined = per_supp.join(supp, "l_suppkey")
+    s = (joined.groupBy("season", F.col("s_nationkey").alias("member"))
+         .agg((F.sum("net") / 10000.0).alias("points"), F.sum("w").alias("wins")))
+    from stratum.operators.ranking import rank_desc
+
+    s = rank_desc(s, "season", "points", rank_col="position")
+    return s.select("season", F.col("member").alias("nation_key"), "points", "wins", "position")
