@@ -276,15 +276,22 @@ def _keys_not_null(keys: Sequence[str]) -> Column:
     return cond
 
 
-def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = False) -> DataFrame:
     """Evaluate all ``rules`` on ``df`` in one pass; one result row per rule.
 
     Unknown rule types raise :class:`ConfigurationError` (at compile time, no
     Spark job is started).  An empty rule set gives an empty result.
+    ``count_rows`` adds an informational ``ROW_COUNT`` row whose
+    ``failed_records`` holds the number of rows, taken in the same pass.
     """
-    spark = df.sparkSession
     columns = list(df.columns)
     comp = _Compiled()
+    if count_rows:
+        comp.row_results.append(lambda g: F.struct(
+            F.lit("Row Count").alias("rule_name"), F.lit("ROW_COUNT").alias("rule_type"),
+            F.lit("INFO").alias("severity"), F.lit(True).alias("passed"),
+            F.coalesce(g("__n"), F.lit(0)).cast("long").alias("failed_records"),
+            F.lit("").alias("details")))
     dup_keys: list[Rule] = []
     dup_rows: list[Rule] = []
     for rule in rules:
@@ -307,6 +314,8 @@ def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         else:
             raise ConfigurationError(f"Unknown rule type: {rule.rule_type}")
 
+    if not (comp.row_results or comp.const_results or dup_keys or dup_rows):
+        return empty_report(df.sparkSession)
     counters = [F.count(F.lit(1)).alias("__n")] + [e.alias(a) for a, e in comp.counters]
 
     if dup_rows:

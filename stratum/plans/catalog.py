@@ -44,4 +44,7 @@ QUERIES = {
     "standings_supplier": q.standings_supplier,
     "standings_customer": q.standings_customer,
     "standings_nation": q.standings_nation,
+    "ingest_pipeline": q.ingest_pipeline,
+    "refine_pipeline": q.refine_pipeline,
+    "stream_ingest": q.stream_ingest_query,
 }

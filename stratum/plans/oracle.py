@@ -331,3 +331,19 @@ ORACLE.update({
         "CAST(count(*) FILTER (WHERE l_linenumber = 1) AS BIGINT) AS wins "
         "FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2) t"),
 })
+
+
+_ORDERS_BRONZE = (
+    "SELECT o_orderkey, o_custkey, o_orderstatus, {price} AS o_totalprice, "
+    "strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_orderpriority, "
+    "CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders")
+
+ORACLE.update({
+    "ingest_pipeline": _ORDERS_BRONZE.format(
+        price="CASE WHEN year(o_orderdate) = 1997 THEN o_totalprice + 1 ELSE o_totalprice END"),
+    "stream_ingest": _ORDERS_BRONZE.format(price="o_totalprice"),
+    "refine_pipeline": (
+        "SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status, "
+        "o_totalprice AS total_price, strftime(o_orderdate, '%Y-%m-%d') AS order_date, "
+        "o_orderpriority AS priority FROM orders"),
+})

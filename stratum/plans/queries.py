@@ -540,3 +540,144 @@ def standings_nation(spark, data_dir):
 
     s = rank_desc(s, "season", "points", rank_col="position")
     return s.select("season", F.col("member").alias("nation_key"), "points", "wins", "position")
+
+
+# ------------------------------------------------------------ pipelines
+
+from stratum.operators.projection import Field, register_transform  # noqa: E402
+from stratum.plans import control as ctl  # noqa: E402
+from stratum.plans.ingest import bronze_current, ingest  # noqa: E402
+from stratum.plans.refine import refine, register_output_checks  # noqa: E402
+from stratum.sources.schemas import register_schema  # noqa: E402
+from stratum.streaming.ingest import stream_ingest  # noqa: E402
+
+ORDERS_RAW_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+                  "o_totalprice double, o_orderdate string, o_orderpriority string")
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+              "o_orderpriority"]
+register_schema("orders_raw_schema", ORDERS_RAW_DDL)
+register_transform("transform_orders", [
+    Field("o_orderkey", "order_id"),
+    Field("o_custkey", "customer_id"),
+    Field("o_orderstatus", "status"),
+    Field("o_totalprice", "total_price"),
+    Field("o_orderdate", "order_date", "date"),
+    Field("o_orderpriority", "priority"),
+])
+register_output_checks("orders", ["order_id", "customer_id", "status", "total_price",
+                                  "order_date", "priority"],
+                       not_null=["order_id"], non_negative=["total_price"])
+
+
+def _raw_orders(spark, data_dir):
+    o = table(spark, data_dir, "orders")
+    return o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
+                    "o_orderpriority", F.year("o_orderdate").alias("landing_year"))
+
+
+def land_orders(spark, data_dir, landing, years=None):
+    """Raw orders as NDJSON, one file per order year under ``landing``."""
+    raw = _raw_orders(spark, data_dir)
+    if years is not None:
+        raw = raw.filter(years)
+    raw.repartition("landing_year").write.mode("append").partitionBy("landing_year").json(landing)
+
+
+def replace_file(spark, file_uri: str, new_content: DataFrame) -> None:
+    """Rewrite one landing file in place (same name, new content): Spark
+    writes the new content as a single file, which is renamed over the old one
+    (file-system metadata operations only)."""
+    tmp = scratch_path(spark, "rewrite")
+    new_content.coalesce(1).write.json(tmp)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dst = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file_uri))
+    fs = dst.getFileSystem(conf)
+    parts = [s.getPath() for s in fs.listStatus(jvm.org.apache.hadoop.fs.Path(tmp))
+             if s.getPath().getName().startswith("part-")]
+    fs.delete(dst, False)
+    if not fs.rename(parts[0], dst):
+        raise RuntimeError(f"could not replace {file_uri}")
+
+
+def _orders_entity(spark, landing):
+    return ctl.entity_config(spark, [(
+        "orders", "json", landing, "bronze", "orders", "incremental", "order_year",
+        "orders_raw_schema", True, False, "file_tracking", "o_orderdate")])
+
+
+def _orders_rules(spark):
+    v = ctl.rules_table(spark, [
+        ("orders", "Order key present", "NOT_NULL", "o_orderkey", None, None, "ERROR", True),
+        ("orders", "Raw schema", "SCHEMA", None, None, None, "ERROR", True),
+        ("orders", "Known status", "ALLOWED_VALUES", "o_orderstatus", "F,O,P", None, "ERROR", True),
+    ])
+    dq = ctl.rules_table(spark, [
+        ("orders", "Order key unique", "DUPLICATE_KEY", "o_orderkey", None, 0.0, "ERROR", True),
+        ("orders", "Exact copies", "DUPLICATE_ROW", None, None, 0.0, "WARNING", True),
+        ("orders", "Order date range", "DATE_RANGE", "o_orderdate", "1990-01-01,2030-12-31", None,
+         "ERROR", True),
+    ])
+    return v, dq
+
+
+def _expect(result, status):
+    if result.status != status:
+        raise RuntimeError(f"expected {status}, got {result.status} ({result})")
+    return result
+
+
+def ingest_pipeline(spark, data_dir):
+    """Load, rewrite one landing file, load again (only that file), load a
+    third time (nothing changed); the committed rows are the table with the
+    rewrite applied."""
+    lake = ctl.Lakehouse(scratch_path(spark, "lake"))
+    landing = scratch_path(spark, "landing_orders")
+    land_orders(spark, data_dir, landing)
+    cfg_df = _orders_entity(spark, landing)
+    v, dq = _orders_rules(spark)
+    _expect(ingest(spark, lake, "orders", cfg_df, v, dq), "SUCCESS")
+    inv = file_inventory(spark, landing, hash_content=False)
+    target = inv.filter(F.col("source_file").rlike("landing_year=1997/")).first()["source_file"]
+    old = readers.read_source(spark, landing, "json", ORDERS_RAW_DDL, files_to_include=[target],
+                              options={"recursiveFileLookup": "true"})
+    replace_file(spark, target, old.withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    r2 = _expect(ingest(spark, lake, "orders", cfg_df, v, dq), "SUCCESS")
+    if r2.files != 1:
+        raise RuntimeError(f"expected one changed file, got {r2.files}")
+    _expect(ingest(spark, lake, "orders", cfg_df, v, dq), "SKIPPED")
+    cur = bronze_current(spark, lake, ctl.config_for(cfg_df, "orders"))
+    return cur.select(*ORDER_COLS, "order_year")
+
+
+def refine_pipeline(spark, data_dir):
+    """Ingest, then refine the committed bronze rows with a registered
+    projection spec and the output checks."""
+    lake = ctl.Lakehouse(scratch_path(spark, "lake"))
+    landing = scratch_path(spark, "landing_orders")
+    land_orders(spark, data_dir, landing)
+    cfg_df = _orders_entity(spark, landing)
+    v, dq = _orders_rules(spark)
+    _expect(ingest(spark, lake, "orders", cfg_df, v, dq), "SUCCESS")
+    refine_cfg = ctl.refine_config(spark, [
+        ("orders", "bronze", "orders", "silver", "orders", "transform_orders", "overwrite", True)])
+    out = refine(spark, lake, "orders", refine_cfg, cfg_df)
+    return out.drop("_processed_ts", "_pipeline_run_id").withColumn(
+        "order_date", F.col("order_date").cast("string"))
+
+
+def stream_ingest_query(spark, data_dir):
+    """Two arrival waves through the streaming ingest; the second run reads
+    only the files that arrived after the first."""
+    lake = ctl.Lakehouse(scratch_path(spark, "lake"))
+    landing = scratch_path(spark, "landing_orders")
+    early = F.col("landing_year") < 1998
+    land_orders(spark, data_dir, landing, early)
+    cfg = ctl.config_for(_orders_entity(spark, landing), "orders")
+    v, _ = _orders_rules(spark)
+    stream_ingest(spark, lake, cfg, v, stream_name="orders")
+    land_orders(spark, data_dir, landing, ~early)
+    stream_ingest(spark, lake, cfg, v, stream_name="orders")
+    cur = bronze_current(spark, lake, cfg)
+    return cur.select(*ORDER_COLS, "order_year")

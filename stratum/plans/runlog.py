@@ -27,7 +27,7 @@ TERMINAL = ("SUCCESS", "SKIPPED", "FAILED")
 
 
 def new_run_id() -> str:
-    return uuid.uuid4().hex
+    return "run-" + uuid.uuid4().hex
 
 
 def run_event(spark: SparkSession, run_id: str, pipeline_name: str, entity_name: str,
