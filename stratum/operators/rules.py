@@ -477,3 +477,22 @@ def stamp_results(report: DataFrame, run_id: str, entity_name: str) -> DataFrame
         F.lit(run_id).alias("run_id"), F.lit(entity_name).alias("entity_name"),
         *RESULT_COLUMNS, F.current_timestamp().alias("execution_time"),
     )
+
+
+def referential_report(df: DataFrame, column: str, ref_df: DataFrame, ref_column: str,
+                       severity: str = "ERROR") -> DataFrame:
+    """Rows whose non-NULL ``column`` value has no match in ``ref_df.ref_column``.
+
+    The fact side is first reduced to (key, row count) — a partial aggregate,
+    so a hot key costs one row per task — and only those distinct keys meet
+    the reference keys in the anti join.
+    """
+    keys = (df.filter(F.col(column).isNotNull())
+            .groupBy(F.col(column).alias("__k")).agg(F.count(F.lit(1)).alias("__n")))
+    ref = ref_df.select(F.col(ref_column).alias("__k"))
+    missing = keys.join(ref, "__k", "left_anti").agg(F.sum("__n").alias("__m"))
+    rule = Rule("REFERENTIAL", column, severity=severity)
+    res = _result(rule, f"{column} Referential Integrity Validation", F.col("__m"),
+                  _msg(F.coalesce(F.col("__m"), F.lit(0)),
+                       f" record(s) reference keys missing from '{ref_column}'."))
+    return missing.select(F.inline(F.array(res)))

@@ -16,6 +16,8 @@ QUERIES = {
     "check_duplicate_key_null": q.check_duplicate_key_null,
     "check_duplicate_row": q.check_duplicate_row,
     "check_schema": q.check_schema,
+    "check_required_columns": q.check_required_columns,
+    "check_referential": q.check_referential,
     "quality_report": q.quality_report_query,
     "gate": q.gate_query,
     "scan_csv": q.scan_csv,

@@ -178,3 +178,13 @@ def seed_dq_rules(spark: SparkSession) -> DataFrame:
 
 def seed_refine_config(spark: SparkSession) -> DataFrame:
     return refine_config(spark, SEED_REFINE)
+
+
+def set_rule_enabled(rules_df: DataFrame, entity_name: str, rule_name: str,
+                     enabled: bool) -> DataFrame:
+    """Turn one rule on or off: an upsert of that row keyed on (entity, rule name)."""
+    from stratum.operators.changes import upsert
+
+    key = (F.col("entity_name") == F.lit(entity_name)) & (F.col("rule_name") == F.lit(rule_name))
+    changed = rules_df.filter(key).withColumn("enabled", F.lit(enabled))
+    return upsert(rules_df, changed, ["entity_name", "rule_name"])

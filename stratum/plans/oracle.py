@@ -347,3 +347,30 @@ ORACLE.update({
         "o_totalprice AS total_price, strftime(o_orderdate, '%Y-%m-%d') AS order_date, "
         "o_orderpriority AS priority FROM orders"),
 })
+
+
+def _ref_row(col, src, ref_col, ref_src, severity="ERROR"):
+    return result_row(
+        f"{col} Referential Integrity Validation", "REFERENTIAL", severity,
+        "count(*)", f" record(s) reference keys missing from '{ref_col}'.",
+        f"(SELECT 1 FROM {src} WHERE {col} IS NOT NULL AND {col} NOT IN "
+        f"(SELECT {ref_col} FROM {ref_src} WHERE {ref_col} IS NOT NULL)) m")
+
+
+ORACLE.update({
+    "check_required_columns": (
+        "SELECT 'Required Columns Validation' AS rule_name, 'REQUIRED_COLUMN' AS rule_type, "
+        "'ERROR' AS severity, true AS passed, CAST(0 AS BIGINT) AS failed_records, '' AS details "
+        "FROM (SELECT 1) t UNION ALL "
+        "SELECT 'Required Columns Validation', 'REQUIRED_COLUMN', 'ERROR', false, CAST(1 AS BIGINT), "
+        "'Missing columns: [''l_tax'']' UNION ALL "
+        + result_row("l_quantity Non-Negative Validation", "NON_NEGATIVE", "ERROR",
+                     "count(*) FILTER (WHERE l_quantity < 0)",
+                     " record(s) have a negative value in 'l_quantity'.", "lineitem")),
+    "check_referential": " UNION ALL ".join([
+        _ref_row("o_custkey", "orders", "c_custkey", "customer"),
+        _ref_row("l_orderkey", "lineitem", "o_orderkey", "orders"),
+        _ref_row("doc_id", "labels", "doc_id", "(SELECT * FROM documents WHERE lang = 'en')",
+                 "WARNING"),
+    ]),
+})

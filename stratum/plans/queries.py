@@ -681,3 +681,25 @@ def stream_ingest_query(spark, data_dir):
     stream_ingest(spark, lake, cfg, v, stream_name="orders")
     cur = bronze_current(spark, lake, cfg)
     return cur.select(*ORDER_COLS, "order_year")
+
+
+def check_required_columns(spark, data_dir):
+    li = table(spark, data_dir, "lineitem").drop("l_tax")
+    return quality_report(li, [
+        Rule("REQUIRED_COLUMN", expected=("l_orderkey", "l_linenumber", "l_quantity")),
+        Rule("REQUIRED_COLUMN", expected=("l_orderkey", "l_tax", "l_discount")),
+        Rule("NON_NEGATIVE", "l_quantity"),
+    ])
+
+
+def check_referential(spark, data_dir):
+    from stratum.operators.rules import referential_report
+
+    orders = table(spark, data_dir, "orders")
+    customer = table(spark, data_dir, "customer")
+    li = table(spark, data_dir, "lineitem")
+    labels = table(spark, data_dir, "labels")
+    docs = table(spark, data_dir, "documents").filter(F.col("lang") == "en")
+    return (referential_report(orders, "o_custkey", customer, "c_custkey")
+            .unionByName(referential_report(li, "l_orderkey", orders, "o_orderkey"))
+            .unionByName(referential_report(labels, "doc_id", docs, "doc_id", severity="WARNING")))
