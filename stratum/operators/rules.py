@@ -135,6 +135,7 @@ def _result(rule: Rule, generated: str, failed: Column, details: Column,
         ok.alias("passed"),
         failed.alias("failed_records"),
         F.when(ok, F.lit("")).otherwise(details).alias("details"),
+        F.lit(rule.label).cast("string").alias("rule_label"),
     )
 
 
@@ -146,6 +147,7 @@ def _const_result(rule: Rule, generated: str, passed: bool, failed: int, details
         F.lit(passed).alias("passed"),
         F.lit(failed).cast("long").alias("failed_records"),
         F.lit("" if passed else details).alias("details"),
+        F.lit(rule.label).cast("string").alias("rule_label"),
     )
 
 
@@ -276,13 +278,15 @@ def _keys_not_null(keys: Sequence[str]) -> Column:
     return cond
 
 
-def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = False) -> DataFrame:
+def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = False,
+                   with_label: bool = False) -> DataFrame:
     """Evaluate all ``rules`` on ``df`` in one pass; one result row per rule.
 
     Unknown rule types raise :class:`ConfigurationError` (at compile time, no
     Spark job is started).  An empty rule set gives an empty result.
     ``count_rows`` adds an informational ``ROW_COUNT`` row whose
     ``failed_records`` holds the number of rows, taken in the same pass.
+    ``with_label`` adds ``rule_label`` (the rule's metadata name).
     """
     columns = list(df.columns)
     comp = _Compiled()
@@ -291,7 +295,7 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
             F.lit("Row Count").alias("rule_name"), F.lit("ROW_COUNT").alias("rule_type"),
             F.lit("INFO").alias("severity"), F.lit(True).alias("passed"),
             F.coalesce(g("__n"), F.lit(0)).cast("long").alias("failed_records"),
-            F.lit("").alias("details")))
+            F.lit("").alias("details"), F.lit(None).cast("string").alias("rule_label")))
     dup_keys: list[Rule] = []
     dup_rows: list[Rule] = []
     for rule in rules:
@@ -315,7 +319,8 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
             raise ConfigurationError(f"Unknown rule type: {rule.rule_type}")
 
     if not (comp.row_results or comp.const_results or dup_keys or dup_rows):
-        return empty_report(df.sparkSession)
+        out = empty_report(df.sparkSession)
+        return out.withColumn("rule_label", F.lit(None).cast("string")) if with_label else out
     counters = [F.count(F.lit(1)).alias("__n")] + [e.alias(a) for a, e in comp.counters]
 
     if dup_rows:
@@ -393,7 +398,7 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
     out = branches[0]
     for b in branches[1:]:
         out = out.unionByName(b)
-    return out
+    return out.select(*RESULT_COLUMNS, *(["rule_label"] if with_label else []))
 
 
 def empty_report(spark: SparkSession) -> DataFrame:
@@ -495,4 +500,4 @@ def referential_report(df: DataFrame, column: str, ref_df: DataFrame, ref_column
     res = _result(rule, f"{column} Referential Integrity Validation", F.col("__m"),
                   _msg(F.coalesce(F.col("__m"), F.lit(0)),
                        f" record(s) reference keys missing from '{ref_column}'."))
-    return missing.select(F.inline(F.array(res)))
+    return missing.select(F.inline(F.array(res))).select(*RESULT_COLUMNS)

@@ -3,7 +3,7 @@ of one lakehouse root (a folder in the shared file system).
 
 Layout under ``root``::
 
-    control/<log>/            append-only parquet logs (state, runs, audit, ...)
+    control/<log>/            append-only parquet logs (state, runs, rule results)
     <layer>/<table>/_pipeline_run_id=<run>/[<partition>=<v>/]part-*.parquet
 
 No table is ever updated in place: every change is an appended event and the
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from stratum.errors import ConfigurationError
 from stratum.operators.rules import RESULT_DDL, RULES_DDL
-from stratum.plans.runlog import AUDIT_DDL, RUN_EVENT_DDL, WATERMARK_DDL
+from stratum.plans.runlog import RUN_EVENT_DDL, audit_view, runs_view
 from stratum.sources.sinks import append_log, path_exists
 
 ENTITY_CONFIG_DDL = (
@@ -37,16 +37,17 @@ STATE_DDL = (
     "processing_duration_ms bigint, event string"
 )
 PERSISTED_RESULT_DDL = (
-    "run_id string, entity_name string, " + RESULT_DDL + ", execution_time timestamp"
+    "run_id string, entity_name string, stage string, " + RESULT_DDL + ", rule_label string, "
+    "execution_time timestamp"
 )
 
+# Three physical logs.  Audit rows and high-water marks are views over them
+# (see ``Lakehouse.audit`` / ``Lakehouse.watermarks``), so a run writes fewer
+# small files and the views can never disagree with the logs they summarise.
 LOG_SCHEMAS = {
     "ingestion_state": STATE_DDL,
     "pipeline_runs": RUN_EVENT_DDL,
-    "audit_log": AUDIT_DDL,
-    "watermarks": WATERMARK_DDL,
-    "validation_results": PERSISTED_RESULT_DDL,
-    "dq_results": PERSISTED_RESULT_DDL,
+    "rule_results": PERSISTED_RESULT_DDL,
 }
 
 
@@ -69,6 +70,25 @@ class Lakehouse:
             return spark.read.schema(ddl).parquet(path)
         return spark.createDataFrame([], ddl)
 
+    def results(self, spark: SparkSession, stage: str | None = None) -> DataFrame:
+        """Persisted rule results; ``stage`` = 'validation' or 'dq'."""
+        log = self.read_log(spark, "rule_results")
+        return log if stage is None else log.filter(F.col("stage") == F.lit(stage))
+
+    def runs(self, spark: SparkSession) -> DataFrame:
+        return runs_view(self.read_log(spark, "pipeline_runs"))
+
+    def audit(self, spark: SparkSession) -> DataFrame:
+        """Audit rows: one per finished successful run, with its record count."""
+        return audit_view(self.read_log(spark, "pipeline_runs"))
+
+    def watermarks(self, spark: SparkSession) -> DataFrame:
+        """High-water mark per entity: greatest mtime over committed files."""
+        from stratum.operators.changes import high_water
+
+        loaded = self.read_log(spark, "ingestion_state").filter(F.col("event") == "LOADED")
+        return high_water(loaded, "entity_name", "last_modified_time")
+
     def append(self, df: DataFrame, name: str, one_file: bool = False) -> None:
         append_log(df.select(*[f.name for f in spark_schema(df.sparkSession, name).fields]),
                    self.log_path(name), one_file=one_file)

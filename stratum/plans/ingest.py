@@ -8,17 +8,20 @@ Steps (each a Spark job unless noted):
    executors) LEFT JOIN current state -> changed files, staged as a small
    parquet table in the shared folder (no file list is built on the driver
    from data); none changed -> SKIPPED;
-4. scan of only the changed files, lineage column taken at the scan;
-5. validation: all rules **and** the row count in one aggregate pass; results
-   appended; a failing ERROR rule -> FAILED, nothing written;
-6. zero rows -> SKIPPED, nothing written, state untouched;
-7. write to ``<target>/_pipeline_run_id=<run>/`` (overwrite: a retried write
-   inside one run replaces itself), partitioned as configured; ``observe``
-   cross-checks the row count of the write;
-8. data-quality rules on the rows just written (partition-pruned read); a
-   failing ERROR rule -> FAILED, no commit;
-9. commit: state rows of the loaded files (one file, written last — the single
-   commit point), audit row, high-water event, run event SUCCESS.
+4. one parse of only the changed files (lineage column taken at the scan),
+   written to ``<target>/_pipeline_run_id=<run>/`` (overwrite: a retried write
+   inside one run replaces itself), partitioned as configured; the row count
+   comes from ``observe`` on the write, not from another pass;
+5. zero rows -> SKIPPED, the run folder is removed, state untouched;
+6. validation **and** data-quality rules in one aggregate pass over the
+   written, column-pruned parquet; results appended to their logs; a failing
+   ERROR rule -> FAILED, the run folder is removed, nothing is committed;
+7. commit: state rows of the loaded files (one file, written last — the single
+   commit point), then the run event SUCCESS.  Audit rows and the high-water
+   mark are views over these two logs (``Lakehouse.audit`` / ``.watermarks``).
+
+Until step 7 the run's rows are invisible to :func:`bronze_current`, so a crash
+anywhere before it leaves the table as it was.
 
 Readers use :func:`bronze_current`, which only shows rows of committed loads.
 """
@@ -26,21 +29,22 @@ Readers use :func:`bronze_current`, which only shows rows of committed loads.
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
 from stratum.errors import ConfigurationError, StratumError, ValidationError
 from stratum.operators.changes import changed_files, current_rows, current_state, latest_run_rows
 from stratum.operators.lineage import add_year_partition, drop_lineage, with_source_file
 from stratum.operators.rules import RESULT_COLUMNS, load_rules, quality_report
 from stratum.plans.control import Lakehouse, config_for
-from stratum.plans.runlog import audit_row, new_run_id, run_event
+from stratum.plans.runlog import new_run_id, run_event
 from stratum.sources.inventory import file_inventory
 from stratum.sources.readers import read_source
 from stratum.sources.schemas import get_schema
-from stratum.sources.sinks import path_exists, write_table
+from stratum.sources.sinks import literal_rows, path_exists, remove_path, write_table
 
 LOAD_TYPES = ("full", "incremental")
 
@@ -54,16 +58,24 @@ class IngestResult:
     target: str | None = None
 
 
-def _persist_results(spark: SparkSession, lake: Lakehouse, log: str, rows, run_id: str,
-                     entity: str) -> None:
-    rows = [tuple(r[c] for c in RESULT_COLUMNS) for r in rows if r["rule_type"] != "ROW_COUNT"]
+_STAGES = {"V": "validation", "D": "dq"}
+
+
+def _persist_results(spark: SparkSession, lake: Lakehouse, rows, run_id: str, entity: str) -> None:
+    """Append collected result rows (one per rule: small) to the results log;
+    the label prefix tells the stage (V| validation, D| data quality)."""
+    rows = [(_STAGES.get((r["rule_label"] or "?")[0], "validation"),)
+            + tuple(r[c] for c in RESULT_COLUMNS) + ((r["rule_label"] or "")[2:] or None,)
+            for r in rows if r["rule_type"] != "ROW_COUNT"]
     if not rows:
         return
-    df = spark.createDataFrame(
-        rows, "rule_name string, rule_type string, severity string, passed boolean, "
-              "failed_records bigint, details string")
+    df = literal_rows(
+        spark, rows, "stage string, rule_name string, rule_type string, severity string, "
+                     "passed boolean, failed_records bigint, details string, rule_label string")
     lake.append(df.select(F.lit(run_id).alias("run_id"), F.lit(entity).alias("entity_name"),
-                          *RESULT_COLUMNS, F.current_timestamp().alias("execution_time")), log)
+                          "stage", *RESULT_COLUMNS, "rule_label",
+                          F.current_timestamp().alias("execution_time")), "rule_results",
+                one_file=True)
 
 
 def _failed_errors(rows) -> list[str]:
@@ -73,7 +85,7 @@ def _failed_errors(rows) -> list[str]:
 
 def reset_state(spark: SparkSession, lake: Lakehouse, entity: str) -> None:
     """Forget every tracked file of ``entity`` (a RESET event)."""
-    ev = spark.createDataFrame([(entity,)], "entity_name string").select(
+    ev = literal_rows(spark, [(entity,)], "entity_name string").select(
         "entity_name", F.lit(None).cast("string").alias("source_file"),
         F.lit(None).cast("bigint").alias("file_size"),
         F.lit(None).cast("timestamp").alias("last_modified_time"),
@@ -83,6 +95,18 @@ def reset_state(spark: SparkSession, lake: Lakehouse, entity: str) -> None:
     lake.append(ev, "ingestion_state", one_file=True)
 
 
+def bronze_schema(cfg: dict) -> StructType:
+    """Raw schema + ``_source_file`` [+ partition column] + ``_ingestion_ts`` +
+    ``_pipeline_run_id`` (the run folder), as written by :func:`ingest`."""
+    fields = list(get_schema(cfg["schema_file"]).fields)
+    fields.append(StructField("_source_file", StringType()))
+    if cfg.get("partition_column"):
+        fields.append(StructField(cfg["partition_column"], IntegerType()))
+    fields.append(StructField("_ingestion_ts", TimestampType()))
+    fields.append(StructField("_pipeline_run_id", StringType()))
+    return StructType(fields)
+
+
 def bronze_current(spark: SparkSession, lake: Lakehouse, cfg: dict) -> DataFrame:
     """Committed bronze rows of an entity.
 
@@ -92,7 +116,11 @@ def bronze_current(spark: SparkSession, lake: Lakehouse, cfg: dict) -> DataFrame
     visible).
     """
     target = lake.table_path(cfg["target_schema"], cfg["target_table"])
-    bronze = spark.read.parquet(target)
+    schema = bronze_schema(cfg)
+    if path_exists(spark, target):
+        bronze = spark.read.schema(schema).parquet(target)
+    else:
+        bronze = spark.createDataFrame([], schema)
     state = current_state(lake.read_log(spark, "ingestion_state"), cfg["entity_name"])
     if cfg.get("incremental_strategy") == "file_tracking":
         return current_rows(bronze, state)
@@ -139,42 +167,41 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
                          files_to_include=changed, multiline=bool(cfg.get("multiline")),
                          options={"recursiveFileLookup": "true"})
         df = with_source_file(df)
-
-        rules = (load_rules(validation_rules, entity_name, expected_columns=schema.fieldNames())
-                 if validation_rules is not None else [])
-        report = quality_report(df.drop("_source_file"), rules, count_rows=True).collect()
-        records = next(r["failed_records"] for r in report if r["rule_type"] == "ROW_COUNT")
-        _persist_results(spark, lake, "validation_results", report, run_id, entity_name)
-        failed = _failed_errors(report)
-        if failed:
-            raise ValidationError(f"Validation failed for entity '{entity_name}': {'; '.join(failed)}")
-        if records == 0:
-            return finish("SKIPPED")
-
         part = cfg.get("partition_column")
         if part:
             df = add_year_partition(df, part, cfg.get("partition_source") or "date")
         df = df.withColumn("_ingestion_ts", F.current_timestamp())
+
+        # The raw files are parsed once: straight into this run's own folder,
+        # which stays invisible until the state commit below.
         obs = Observation("bronze_write")
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
         run_dir = f"{target}/_pipeline_run_id={run_id}"
-        write_table(df, run_dir, "overwrite", part)
-        written_rows = obs.get["rows"]
-        if written_rows != records:
-            raise StratumError(
-                f"Source changed during the run: checked {records} rows, wrote {written_rows}")
+        write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), run_dir, "overwrite", part)
+        records = int(obs.get["rows"])
+        if records == 0:
+            remove_path(spark, run_dir)
+            return finish("SKIPPED")
 
+        # Validation and data-quality rules in ONE pass over the written,
+        # column-pruned parquet of this run.
         written = spark.read.parquet(run_dir)
-        if dq_rules is not None:
-            dq = load_rules(dq_rules, entity_name, expected_columns=schema.fieldNames())
-            if dq:
-                cols = [c for c in drop_lineage(written).columns if c != part]
-                dq_report = quality_report(written.select(*cols), dq).collect()
-                _persist_results(spark, lake, "dq_results", dq_report, run_id, entity_name)
-                failed = _failed_errors(dq_report)
-                if failed:
-                    raise ValidationError(
-                        f"Data quality failed for entity '{entity_name}': {'; '.join(failed)}")
+        checked = written.select(*[c for c in drop_lineage(written).columns if c != part])
+        vrules = [replace(r, label=f"V|{r.label or ''}") for r in
+                  (load_rules(validation_rules, entity_name, expected_columns=schema.fieldNames())
+                   if validation_rules is not None else [])]
+        drules = [replace(r, label=f"D|{r.label or ''}") for r in
+                  (load_rules(dq_rules, entity_name, expected_columns=schema.fieldNames())
+                   if dq_rules is not None else [])]
+        report = (quality_report(checked, vrules + drules, with_label=True).collect()
+                  if vrules or drules else [])
+        v_rows = [r for r in report if (r["rule_label"] or "").startswith("V|")]
+        d_rows = [r for r in report if (r["rule_label"] or "").startswith("D|")]
+        _persist_results(spark, lake, report, run_id, entity_name)
+        for rows, what in ((v_rows, "Validation"), (d_rows, "Data quality")):
+            failed = _failed_errors(rows)
+            if failed:
+                remove_path(spark, run_dir)
+                raise ValidationError(f"{what} failed for entity '{entity_name}': {'; '.join(failed)}")
 
         elapsed_ms = int((time.monotonic() - t0) * 1000)
         if tracking:
@@ -194,13 +221,6 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
             F.lit("LOADED").alias("event"))
         lake.append(state_rows, "ingestion_state", one_file=True)  # commit point
         files = loaded.count() if tracking else 0
-        lake.append(audit_row(spark, run_id, entity_name, records, "SUCCESS"), "audit_log",
-                    one_file=True)
-        if tracking:
-            hw = changed.agg(F.max("last_modified_time").alias("watermark_value")).select(
-                F.lit(entity_name).alias("entity_name"), "watermark_value",
-                F.current_timestamp().alias("updated_ts"))
-            lake.append(hw, "watermarks", one_file=True)
         return finish("SUCCESS", records, files, target)
     except Exception as exc:
         lake.append(run_event(spark, run_id, pipeline_name, entity_name, "FAILED",

@@ -1,4 +1,4 @@
-"""Run, audit and high-water logs: append-only event tables plus views.
+"""Run log: append-only run events plus the run-record and audit views.
 
 Nothing is updated in place.  A run appends a RUNNING event at start and a
 SUCCESS / SKIPPED / FAILED event at the end; the run record is the view
@@ -20,8 +20,6 @@ RUN_EVENT_DDL = (
     "event_time timestamp, records_processed bigint, files_processed bigint, "
     "error_message string, created_by string"
 )
-AUDIT_DDL = "run_id string, entity_name string, record_count bigint, status string, created_ts timestamp"
-WATERMARK_DDL = "entity_name string, watermark_value timestamp, updated_ts timestamp"
 
 TERMINAL = ("SUCCESS", "SKIPPED", "FAILED")
 
@@ -34,8 +32,10 @@ def run_event(spark: SparkSession, run_id: str, pipeline_name: str, entity_name:
               status: str, records: int | None = None, files: int | None = None,
               error: str | None = None, created_by: str = "stratum") -> DataFrame:
     """One run event row (timestamp taken by Spark at write time)."""
-    row = spark.createDataFrame(
-        [(run_id, pipeline_name, entity_name, status, records, files, error, created_by)],
+    from stratum.sources.sinks import literal_rows
+
+    row = literal_rows(
+        spark, [(run_id, pipeline_name, entity_name, status, records, files, error, created_by)],
         "run_id string, pipeline_name string, entity_name string, status string, "
         "records_processed bigint, files_processed bigint, error_message string, created_by string",
     )
@@ -77,17 +77,9 @@ def runs_view(events: DataFrame, time_col: str = "event_time", tiebreak: str | N
     )
 
 
-def audit_row(spark: SparkSession, run_id: str, entity_name: str, record_count: int,
-              status: str) -> DataFrame:
-    return spark.createDataFrame(
-        [(run_id, entity_name, record_count, status)],
-        "run_id string, entity_name string, record_count bigint, status string",
-    ).withColumn("created_ts", F.current_timestamp())
-
-
-def watermarks_view(log: DataFrame) -> DataFrame:
-    """Per entity the greatest high-water value recorded (never moves back)."""
-    return log.groupBy("entity_name").agg(
-        F.max("watermark_value").alias("watermark_value"),
-        F.max("updated_ts").alias("updated_ts"),
-    )
+def audit_view(events: DataFrame) -> DataFrame:
+    """Audit rows (run, entity, record count, status, time) of successful runs,
+    derived from the run events."""
+    return events.filter(F.col("status") == "SUCCESS").select(
+        "run_id", "entity_name", F.col("records_processed").alias("record_count"), "status",
+        F.col("event_time").alias("created_ts"))

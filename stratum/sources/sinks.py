@@ -72,6 +72,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(conf).exists(p)
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Recursively delete ``path`` (e.g. the folder of a run that failed)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(conf).delete(p, True)
+
+
 def table_exists(spark: SparkSession, name_or_path: str) -> bool:
     """Catalog table or path-based table existence."""
     if "/" in name_or_path or ":" in name_or_path:
@@ -108,3 +116,19 @@ def write_file_per_key(df: DataFrame, path: str, key: str, value: str) -> str:
     """
     df.select(key, value).repartition(key).write.mode("overwrite").partitionBy(key).text(path)
     return path
+
+
+def literal_rows(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A small DataFrame of literal rows built on the JVM side (no Python data
+    serialisation): ``range(1)`` + ``inline(array(struct(lit ...)))``."""
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL(ddl)
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
