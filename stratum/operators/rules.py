@@ -454,15 +454,24 @@ def rules_for(rules_df: DataFrame, entity_name: str) -> DataFrame:
 
 
 def load_rules(rules_df: DataFrame, entity_name: str,
-               expected_columns: Sequence[str] | None = None) -> list[Rule]:
+               expected_columns: Sequence[str] | None = None,
+               skip_unknown: bool = True) -> list[Rule]:
     """Collect an entity's enabled rules (rule metadata is small) into ``Rule``s.
 
     SCHEMA rules compare with ``expected_columns`` (the registered schema) —
-    never with the frame's own columns.
+    never with the frame's own columns.  Rows with an unknown ``rule_type`` are
+    skipped (with a warning) unless ``skip_unknown`` is false; each result
+    carries its own severity, so a skipped row cannot shift another's.
     """
+    import logging
+
     out = []
     for r in rules_for(rules_df, entity_name).collect():
         kind = (r["rule_type"] or "").upper()
+        if kind not in DEFAULT_SEVERITY and skip_unknown:
+            logging.getLogger("stratum").warning(
+                "skipping rule %r of %r: unknown type %r", r["rule_name"], entity_name, kind)
+            continue
         expected = None
         if kind == "SCHEMA":
             expected = tuple(expected_columns or ())

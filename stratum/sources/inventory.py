@@ -15,6 +15,25 @@ INVENTORY_DDL = (
 )
 
 
+def expand_paths(spark: SparkSession, source_path: str) -> list[str]:
+    """The visible children of ``source_path`` (one listing call), so that a
+    tree with many sub-folders is listed by a parallel Spark job instead of
+    sequentially on the driver (Spark lists in parallel above
+    ``spark.sql.sources.parallelPartitionDiscovery.threshold`` root paths).
+    Hidden entries (``_*``, ``.*``) are skipped, as Spark's own listing does.
+    Falls back to ``[source_path]`` for a plain file or a small folder."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(source_path)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root) or not fs.getFileStatus(root).isDirectory():
+        return [source_path]
+    children = [st.getPath().toString() for st in fs.listStatus(root)
+                if not st.getPath().getName().startswith(("_", "."))]
+    threshold = int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.threshold", "32"))
+    return children if len(children) > threshold else [source_path]
+
+
 def file_inventory(spark: SparkSession, source_path: str, hash_content: bool = True,
                    glob: str | None = None) -> DataFrame:
     """``source_file, last_modified_time, file_size, content_hash`` per file.
@@ -28,7 +47,8 @@ def file_inventory(spark: SparkSession, source_path: str, hash_content: bool = T
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    df = r.load(source_path)
+    paths = expand_paths(spark, source_path)
+    df = r.load(paths if len(paths) > 1 else source_path)
     content_hash = F.md5(F.col("content")) if hash_content else F.lit(None).cast("string")
     return df.select(
         F.col("_metadata.file_path").alias("source_file"),

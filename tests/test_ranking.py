@@ -27,6 +27,32 @@ def test_range_rank_matches_window(spark, seed):
     assert a == b
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_range_rank_hot_tie_is_split(spark, seed):
+    """A third of all rows tied on (group, value): the run is spread over
+    several partitions and still ranked exactly."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(4000):
+        if i % 3 == 0:
+            rows.append((i, 1, 0.0))
+        else:
+            rows.append((i, rnd.choice([1, 2]), float(rnd.randint(-5, 30))))
+    df = spark.createDataFrame(rows, "id long, g int, v double")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "53")
+    try:
+        got = rank_desc(df, "g", "v", num_partitions=16)
+        per_part = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        exp = rank_desc(df, "g", "v", method="window")
+        a = sorted((r["id"], r["rank"]) for r in got.select("id", "rank").collect())
+        b = sorted((r["id"], r["rank"]) for r in exp.select("id", "rank").collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert a == b
+    assert max(r["count"] for r in per_part) < 1333  # the hot tie did not stay in one task
+
+
 def test_range_rank_two_group_columns(spark):
     rows = [(i, i % 3, i % 2, float(i % 7)) for i in range(500)]
     df = spark.createDataFrame(rows, "id long, a int, b int, v double")

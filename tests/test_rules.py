@@ -223,11 +223,15 @@ def test_rules_from_table(spark):
     rows = [("e", "A", "NOT_NULL", "c", None, None, "ERROR", True),
             ("e", "B", "NOT_NULL", "d", None, None, None, False),
             ("f", "C", "SCHEMA", None, None, None, None, True),
-            ("e", "D", "SCHEMA", None, None, None, None, True)]
+            ("e", "D", "SCHEMA", None, None, None, None, True),
+            ("e", "E", "NOT_A_RULE", "c", None, None, "ERROR", True)]
     rules_df = spark.createDataFrame(rows, RULES_DDL)
-    assert rules_for(rules_df, "e").count() == 2
+    assert rules_for(rules_df, "e").count() == 3
     rules = load_rules(rules_df, "e", expected_columns=["c"])
     kinds = sorted(r.kind for r in rules)
     assert kinds == ["NOT_NULL", "SCHEMA"]
     schema_rule = next(r for r in rules if r.kind == "SCHEMA")
     assert schema_rule.expected == ("c",)
+    with pytest.raises(ConfigurationError):
+        quality_report(spark.createDataFrame([(1,)], "c int"),
+                       load_rules(rules_df, "e", skip_unknown=False))
