@@ -5,7 +5,7 @@ class StratumError(Exception):
     """Base class."""
 
 
-class ConfigurationError(StratumError):
+class ConfigurationError(StratumError, ValueError):
     """Bad metadata: unknown load type, malformed rule parameter, missing entity."""
 
 

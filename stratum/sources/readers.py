@@ -25,7 +25,7 @@ SUPPORTED_FORMATS = ("csv", "json")
 
 
 def reader(spark: SparkSession, source_format: str, schema: StructType | str | None,
-           multiline: bool = False, options: dict | None = None):
+           multiline: bool = False, options: dict | None = None, strict_header: bool = False):
     fmt = (source_format or "").lower()
     if fmt not in SUPPORTED_FORMATS:
         raise ReadError(f"Unsupported source format: {source_format}")
@@ -34,6 +34,9 @@ def reader(spark: SparkSession, source_format: str, schema: StructType | str | N
         r = r.schema(schema)
     if fmt == "csv":
         r = r.option("header", True)
+        if strict_header:
+            # the header must name the schema's columns in order
+            r = r.option("enforceSchema", False)
     else:
         r = r.option("multiLine", bool(multiline))
     for k, v in (options or {}).items():
@@ -49,6 +52,7 @@ def read_source(
     files_to_include: Iterable[str] | DataFrame | None = None,
     multiline: bool = False,
     options: dict | None = None,
+    strict_header: bool = False,
 ) -> DataFrame:
     """Scan ``source_path`` with a fixed schema, optionally only some files.
 
@@ -57,8 +61,10 @@ def read_source(
     as a one-column DataFrame ``source_file``.  The file list is metadata the
     driver already holds for the scan's own listing, so it is collected and
     turned into an ``IN`` predicate, which prunes files before they are read.
+    CSV columns bind by position; ``strict_header`` makes a header that does
+    not match the schema an error instead.
     """
-    df = reader(spark, source_format, schema, multiline, options).load(source_path)
+    df = reader(spark, source_format, schema, multiline, options, strict_header).load(source_path)
     if files_to_include is None:
         return df
     if isinstance(files_to_include, DataFrame):

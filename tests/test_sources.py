@@ -21,6 +21,8 @@ def test_csv_binds_by_position(spark, tmp_path):
     (d / "f.csv").write_text("b,a\n1,2\n")
     row = read_source(spark, str(d), "csv", "a string, b string").first()
     assert (row.a, row.b) == ("1", "2")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_source(spark, str(d), "csv", "a string, b string", strict_header=True).collect()
 
 
 def test_ndjson_permissive(spark, tmp_path):
