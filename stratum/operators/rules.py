@@ -323,14 +323,27 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
         return out.withColumn("rule_label", F.lit(None).cast("string")) if with_label else out
     counters = [F.count(F.lit(1)).alias("__n")] + [e.alias(a) for a, e in comp.counters]
 
+    grouping = []
+    for r in dup_keys:
+        for k in r.key_columns:
+            if k not in grouping:
+                grouping.append(k)
     if dup_rows:
-        grouping = columns
-    else:
-        grouping = []
-        for r in dup_keys:
-            for k in r.key_columns:
-                if k not in grouping:
-                    grouping.append(k)
+        if all((r.value or "").lower() == "fingerprint" for r in dup_rows):
+            # Rows are grouped by a SHA-256 of their canonical JSON form: the
+            # shuffle carries 32 bytes per distinct row instead of the row
+            # (wide text), at a 2^-256 collision risk.  The key columns stay
+            # in the grouping so key rules are still resolved from the base.
+            canon = []
+            for f in df.schema.fields:
+                c = F.col(f.name)
+                if f.dataType.typeName() in ("double", "float"):
+                    c = F.when(c == 0, F.lit(0.0)).otherwise(c)  # -0.0 groups with 0.0
+                canon.append(c.alias(f.name))
+            df = df.withColumn("__fp", F.sha2(F.to_json(F.struct(*canon)), 256))
+            grouping = grouping + ["__fp"]
+        else:
+            grouping = columns
 
     branches: list[DataFrame] = []
     if not grouping:

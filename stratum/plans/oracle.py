@@ -374,3 +374,9 @@ ORACLE.update({
                  "WARNING"),
     ]),
 })
+
+ORACLE["check_duplicate_row_fingerprint"] = " UNION ALL ".join([
+    dup_row_row(["doc_id", "text", "lang", "source", "n_chars"], "documents"),
+    dup_key_row(["text"], "documents", "WARNING"),
+    dup_key_row(["source", "lang"], "documents", "WARNING"),
+])

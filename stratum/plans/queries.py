@@ -703,3 +703,15 @@ def check_referential(spark, data_dir):
     return (referential_report(orders, "o_custkey", customer, "c_custkey")
             .unionByName(referential_report(li, "l_orderkey", orders, "o_orderkey"))
             .unionByName(referential_report(labels, "doc_id", docs, "doc_id", severity="WARNING")))
+
+
+def check_duplicate_row_fingerprint(spark, data_dir):
+    """Whole documents table: copies of a text (key rule on the text itself)
+    and exact duplicate rows grouped by a 32-byte row fingerprint instead of
+    shuffling up to 20,000-word texts."""
+    docs = table(spark, data_dir, "documents")
+    return quality_report(docs, [
+        Rule("DUPLICATE_ROW", value="fingerprint"),
+        Rule("DUPLICATE_KEY", "text", severity="WARNING"),
+        Rule("DUPLICATE_KEY", "source, lang", severity="WARNING"),
+    ])

@@ -84,3 +84,13 @@ def test_fused_report_matches_brute_force(spark, rows):
     df = spark.createDataFrame(rows, DDL)
     got = {r.rule_name: r.failed_records for r in quality_report(df, RULES).collect()}
     assert got == brute(rows)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=rows_st)
+def test_fingerprint_mode_matches_exact(spark, rows):
+    df = spark.createDataFrame(rows, DDL)
+    fp_rules = [r if r.kind != "DUPLICATE_ROW" else Rule("DUPLICATE_ROW", value="fingerprint")
+                for r in RULES]
+    got = {r.rule_name: r.failed_records for r in quality_report(df, fp_rules).collect()}
+    assert got == brute(rows)
