@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from stratum.errors import ConfigurationError
 from stratum.operators.rules import RESULT_DDL, RULES_DDL
 from stratum.plans.runlog import RUN_EVENT_DDL, audit_view, runs_view
-from stratum.sources.sinks import append_log, path_exists
+from stratum.sources.sinks import append_log, compact_log, read_log
 
 ENTITY_CONFIG_DDL = (
     "entity_name string, source_format string, source_path string, target_schema string, "
@@ -64,11 +64,11 @@ class Lakehouse:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
     def read_log(self, spark: SparkSession, name: str) -> DataFrame:
-        ddl = LOG_SCHEMAS[name]
-        path = self.log_path(name)
-        if path_exists(spark, path):
-            return spark.read.schema(ddl).parquet(path)
-        return spark.createDataFrame([], ddl)
+        return read_log(spark, self.log_path(name), LOG_SCHEMAS[name])
+
+    def compact(self, spark: SparkSession, name: str) -> int:
+        """Merge the small batches of one log (a maintenance job)."""
+        return compact_log(spark, self.log_path(name), LOG_SCHEMAS[name])
 
     def results(self, spark: SparkSession, stage: str | None = None) -> DataFrame:
         """Persisted rule results; ``stage`` = 'validation' or 'dq'."""

@@ -55,13 +55,52 @@ def write_managed(df: DataFrame, name: str, mode: str = "overwrite") -> str:
     return name
 
 
-def append_log(df: DataFrame, path: str, one_file: bool = False) -> None:
-    """Append rows to an append-only log folder.
+def append_log(df: DataFrame, path: str, one_file: bool = False) -> str:
+    """Append rows to an append-only log folder; returns the batch folder.
+
+    Every call writes its own sub-folder ``<epoch-ms>-<uuid>``: concurrent
+    writers (parallel entity runs, a stream and a batch job) never share a
+    commit directory, and a batch becomes visible all at once when its job
+    commits.  Read the log with ``recursiveFileLookup`` (see :func:`read_log`).
+    ``one_file`` writes the rows from one task (small batches only).
+    """
+    import time
+    import uuid
+
+    batch = f"{path.rstrip('/')}/{int(time.time() * 1000):013d}-{uuid.uuid4().hex}"
+    (df.coalesce(1) if one_file else df).write.mode("errorifexists").parquet(batch)
+    return batch
+
+
+def read_log(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """All batches of an append-only log (empty frame when nothing was written)."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).option("recursiveFileLookup", True).parquet(path)
 
-    ``one_file`` writes the rows of this call from one task so they become
-    visible together (use only for a small batch such as a run's state rows).
+
+def compact_log(spark: SparkSession, path: str, ddl: str, files: int = 1) -> int:
+    """Rewrite the batches present now into one batch, then drop them.
+
+    Readers during the swap may see a row twice; the latest-per-key and
+    maximum views over the logs are unaffected by duplicates.  Returns the
+    number of batches compacted.
     """
-    (df.coalesce(1) if one_file else df).write.mode("append").parquet(path)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return 0
+    batches = [st.getPath().toString() for st in fs.listStatus(root)
+               if st.isDirectory() and not st.getPath().getName().startswith(("_", "."))]
+    if len(batches) < 2:
+        return 0
+    data = spark.read.schema(ddl).option("recursiveFileLookup", True).parquet(*batches)
+    append_log(data.coalesce(files), path)
+    for b in batches:
+        remove_path(spark, b)
+    return len(batches)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -165,3 +165,39 @@ def test_full_load_and_refine(spark, tmp_path):
     assert (row.circuit_id, row.latitude, row.longitude) == ("monza", 45.6, 9.28)
     assert out.columns[:7] == ["circuit_id", "circuit_name", "latitude", "longitude", "locality",
                                "country", "url"]
+
+
+def test_layer_runner(spark, tmp_path):
+    from stratum.plans.jobs import run_bronze_layer, run_refine_layer
+
+    root = tmp_path / "landing"
+    (root / "circuits").mkdir(parents=True)
+    (root / "circuits" / "c.csv").write_text(
+        "circuitId,url,circuitName,lat,long,locality,country\nmonza,http://m,Monza,45.6,9.28,Monza,Italy\n")
+    (root / "constructors").mkdir()
+    (root / "constructors" / "c.json").write_text(
+        '{"constructorId": "ferrari", "name": "Ferrari", "nationality": "Italian", "url": "u"}\n')
+    (root / "results").mkdir()
+    write_array(root / "results" / "r.json", result_rows(2024, 1, 3))
+    lake = ctl.Lakehouse(str(tmp_path / "lake"))
+    cfg = ctl.seed_entity_config(spark, str(root))
+    summary = {r.entity_name: r for r in run_bronze_layer(
+        spark, lake, cfg, ctl.seed_validation_rules(spark), ctl.seed_dq_rules(spark),
+        entities=["circuits", "constructors", "results", "drivers"], parallelism=2).collect()}
+    assert summary["circuits"].status == "SUCCESS" and summary["results"].records == 3
+    assert summary["drivers"].status == "FAILED"  # no landing folder for drivers
+    ref = {r.entity_name: r.status for r in run_refine_layer(
+        spark, lake, ctl.seed_refine_config(spark), cfg,
+        entities=["circuits", "constructors", "results"]).collect()}
+    assert ref == {"circuits": "SUCCESS", "constructors": "SUCCESS", "results": "SUCCESS"}
+
+
+def test_log_compaction(spark, setup):
+    lake, cfg, landing = setup
+    assert ingest(spark, lake, "results", cfg).status == "SUCCESS"
+    assert ingest(spark, lake, "results", cfg).status == "SKIPPED"
+    before = {r.run_id: r.status for r in lake.runs(spark).collect()}
+    n = lake.compact(spark, "pipeline_runs")
+    assert n >= 4
+    assert {r.run_id: r.status for r in lake.runs(spark).collect()} == before
+    assert lake.read_log(spark, "pipeline_runs").count() == 4
