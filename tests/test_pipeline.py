@@ -201,3 +201,22 @@ def test_log_compaction(spark, setup):
     assert n >= 4
     assert {r.run_id: r.status for r in lake.runs(spark).collect()} == before
     assert lake.read_log(spark, "pipeline_runs").count() == 4
+
+
+def test_engine_facade(spark, tmp_path):
+    from stratum.plans.engine import Engine
+
+    landing = tmp_path / "landing"
+    (landing / "races").mkdir(parents=True)
+    (landing / "races" / "r.csv").write_text(
+        "season,round,url,raceName,date,circuitId\n2024,1,u,Bahrain GP,2024-03-02,bahrain\n"
+        "2024,2,u,Saudi GP,\\N,jeddah\n")
+    eng = Engine.seeded(spark, str(tmp_path / "lake"), str(landing))
+    assert eng.ingest("races").status == "SUCCESS"
+    out = eng.refine("races")
+    got = sorted((r.season, r.round, r.race_date) for r in out.collect())
+    import datetime as dt
+    assert got == [(2024, 1, dt.date(2024, 3, 2)), (2024, 2, None)]
+    assert eng.bronze("races").count() == 2
+    assert {r.status for r in eng.runs().collect()} == {"SUCCESS"}
+    assert eng.results("dq").filter(F.col("rule_type") == "DUPLICATE_KEY").first().passed
