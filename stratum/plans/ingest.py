@@ -176,7 +176,8 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
         # which stays invisible until the state commit below.
         obs = Observation("bronze_write")
         run_dir = f"{target}/_pipeline_run_id={run_id}"
-        write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), run_dir, "overwrite", part)
+        write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), run_dir, "overwrite", part,
+                    rebalance=bool(part))
         records = int(obs.get["rows"])
         if records == 0:
             remove_path(spark, run_dir)

@@ -13,14 +13,24 @@ WRITE_MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: str | Sequence[str] | None = None,
-                fmt: str = "parquet") -> str:
+                fmt: str = "parquet", rebalance: bool = False) -> str:
     """Write ``df`` to ``path`` (full load = overwrite, incremental = append),
-    Hive-style partitioned by ``partition_by``.  Returns the path."""
+    Hive-style partitioned by ``partition_by``.  Returns the path.
+
+    ``rebalance`` shuffles rows by the partition columns first (the
+    ``REBALANCE`` hint): AQE sizes the output files to the advisory partition
+    size and splits a hot partition value over several tasks, instead of every
+    input task writing a small file into every partition folder.
+    """
     if mode not in WRITE_MODES:
         raise ConfigurationError(f"Unsupported write mode: {mode}")
-    w = df.write.mode(mode).format(fmt)
+    cols = []
     if partition_by:
         cols = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+        if rebalance:
+            df = df.hint("rebalance", *cols)
+    w = df.write.mode(mode).format(fmt)
+    if cols:
         w = w.partitionBy(*cols)
     w.save(path)
     return path
