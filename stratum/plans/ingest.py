@@ -83,6 +83,24 @@ def _failed_errors(rows) -> list[str]:
             if r["rule_type"] != "ROW_COUNT" and not r["passed"] and r["severity"] == "ERROR"]
 
 
+def _written_rows(spark: SparkSession, obs: Observation, run_dir: str) -> int:
+    """Rows written by this run: the observed metric of the write, or — when
+    AQE pruned an empty plan together with the observation — the row count of
+    the written parquet (answered from file footers)."""
+    try:
+        rows = obs.get.get("rows")
+        if rows is not None:
+            return int(rows)
+    except Exception:  # noqa: BLE001 - metrics absent, fall back to the files
+        pass
+    if not path_exists(spark, run_dir):
+        return 0
+    try:
+        return spark.read.parquet(run_dir).count()
+    except Exception:  # noqa: BLE001 - a folder without data files holds no rows
+        return 0
+
+
 def reset_state(spark: SparkSession, lake: Lakehouse, entity: str) -> None:
     """Forget every tracked file of ``entity`` (a RESET event)."""
     ev = literal_rows(spark, [(entity,)], "entity_name string").select(
@@ -178,7 +196,7 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
         run_dir = f"{target}/_pipeline_run_id={run_id}"
         write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), run_dir, "overwrite", part,
                     rebalance=bool(part))
-        records = int(obs.get["rows"])
+        records = _written_rows(spark, obs, run_dir)
         if records == 0:
             remove_path(spark, run_dir)
             return finish("SKIPPED")
