@@ -194,12 +194,14 @@ def rank_desc(df: DataFrame, group_cols: str | Sequence[str], value_col: str,
         raise ValueError(f"unknown ranking method {method!r}")
     spark = df.sparkSession
     shared_root(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     tie = "__tiebreak"
     order = [F.col(g).asc() for g in groups] + [F.col(value_col).desc(), F.col(tie).asc()]
-    staged = (df.withColumn(tie, F.xxhash64(*[F.col(c) for c in df.columns]))
-              .repartitionByRange(n, *order).sortWithinPartitions(*order)
-              .checkpoint(eager=True))
+    keyed = df.withColumn(tie, F.xxhash64(*[F.col(c) for c in df.columns]))
+    # Without an explicit count AQE may coalesce adjacent ranges, which keeps
+    # partition order = key order (all this algorithm relies on).
+    ranged = (keyed.repartitionByRange(num_partitions, *order) if num_partitions
+              else keyed.repartitionByRange(*order))
+    staged = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
     types = {f.name: f.dataType for f in staged.schema.fields}
     summary_schema = T.StructType(
         [T.StructField("pid", T.IntegerType()), T.StructField("n_rows", T.LongType()),
