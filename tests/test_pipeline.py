@@ -220,3 +220,45 @@ def test_engine_facade(spark, tmp_path):
     assert eng.bronze("races").count() == 2
     assert {r.status for r in eng.runs().collect()} == {"SUCCESS"}
     assert eng.results("dq").filter(F.col("rule_type") == "DUPLICATE_KEY").first().passed
+
+
+def test_touched_file_replaces_rows_and_space_in_path(spark, tmp_path):
+    landing = tmp_path / "raw zone" / "results"
+    landing.mkdir(parents=True)
+    write_array(landing / "a file.json", result_rows(2023, 1, 4))
+    write_array(landing / "b.json", result_rows(2024, 1, 2))
+    lake = ctl.Lakehouse(str(tmp_path / "lake"))
+    cfg = ctl.seed_entity_config(spark, str(tmp_path / "raw zone"))
+    assert ingest(spark, lake, "results", cfg).files == 2
+    # touch: new mtime, same bytes -> reloaded, its old rows replaced
+    st = os.stat(landing / "a file.json")
+    os.utime(landing / "a file.json", (st.st_atime, st.st_mtime + 60))
+    r = ingest(spark, lake, "results", cfg)
+    assert (r.status, r.files, r.records) == ("SUCCESS", 1, 4)
+    cur = bronze_current(spark, lake, ctl.config_for(cfg, "results"))
+    assert cur.count() == 6
+    files = {row._source_file for row in cur.select("_source_file").distinct().collect()}
+    assert any("raw%20zone" in f and "a%20file.json" in f for f in files)
+    assert ingest(spark, lake, "results", cfg).status == "SKIPPED"
+
+
+def test_stream_ingest_waves_and_failed_check(spark, tmp_path):
+    from stratum.streaming.ingest import stream_ingest
+
+    landing = tmp_path / "landing" / "results"
+    landing.mkdir(parents=True)
+    write_array(landing / "w1.json", result_rows(2023, 1, 3))
+    lake = ctl.Lakehouse(str(tmp_path / "lake"))
+    cfg = ctl.config_for(ctl.seed_entity_config(spark, str(tmp_path / "landing")), "results")
+    v = ctl.seed_validation_rules(spark)
+    stream_ingest(spark, lake, cfg, v)
+    stream_ingest(spark, lake, cfg, v)  # nothing new: no new run
+    assert lake.runs(spark).count() == 1
+    write_array(landing / "w2.json", result_rows(2024, 1, 2))
+    stream_ingest(spark, lake, cfg, v)
+    assert bronze_current(spark, lake, cfg).count() == 5
+    write_array(landing / "bad.json", [{**result_rows(2024, 2, 1)[0], "points": None}])
+    with pytest.raises(Exception, match="Validation failed"):
+        stream_ingest(spark, lake, cfg, v)
+    assert bronze_current(spark, lake, cfg).count() == 5
+    assert "FAILED" in {r.status for r in lake.runs(spark).collect()}
