@@ -71,6 +71,13 @@ class Engine:
     def watermarks(self) -> DataFrame:
         return self.lake.watermarks(self.spark)
 
+    def vacuum(self, entity: str, retain_hours: float = 168.0) -> list[str]:
+        """Drop bronze run folders no longer referenced by the current state."""
+        from stratum.plans.ingest import vacuum_bronze
+
+        return vacuum_bronze(self.spark, self.lake, ctl.config_for(self.entities, entity),
+                             retain_hours)
+
     def reset(self, entity: str) -> None:
         from stratum.plans.ingest import reset_state
 

@@ -245,3 +245,41 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
         lake.append(run_event(spark, run_id, pipeline_name, entity_name, "FAILED",
                               error=str(exc)), "pipeline_runs", one_file=True)
         raise
+
+
+def vacuum_bronze(spark: SparkSession, lake: Lakehouse, cfg: dict,
+                  retain_hours: float = 168.0) -> list[str]:
+    """Delete bronze run folders that no current state row points to and that
+    are older than ``retain_hours`` (the window protects runs still in
+    flight).  Returns the removed run ids.
+
+    Referenced runs come from the current state (one row per file, a small
+    distinct set); the folder listing is one metadata call.
+    """
+    import time as _time
+
+    target = lake.table_path(cfg["target_schema"], cfg["target_table"])
+    if not path_exists(spark, target):
+        return []
+    state = current_state(lake.read_log(spark, "ingestion_state"), cfg["entity_name"])
+    if cfg.get("incremental_strategy") == "file_tracking":
+        keep = {r[0] for r in state.select("run_id").distinct().collect()}
+    else:
+        last = state.agg(F.max_by("run_id", F.struct("processed_at", "run_id"))).first()[0]
+        keep = {last} if last else set()
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(target)
+    fs = root.getFileSystem(conf)
+    cutoff_ms = (_time.time() - retain_hours * 3600) * 1000
+    removed = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if not name.startswith("_pipeline_run_id="):
+            continue
+        run = name.split("=", 1)[1]
+        if run in keep or st.getModificationTime() > cutoff_ms:
+            continue
+        fs.delete(st.getPath(), True)
+        removed.append(run)
+    return removed

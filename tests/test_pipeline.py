@@ -262,3 +262,24 @@ def test_stream_ingest_waves_and_failed_check(spark, tmp_path):
         stream_ingest(spark, lake, cfg, v)
     assert bronze_current(spark, lake, cfg).count() == 5
     assert "FAILED" in {r.status for r in lake.runs(spark).collect()}
+
+
+def test_vacuum_keeps_committed_runs(spark, setup):
+    from stratum.plans.ingest import vacuum_bronze
+
+    lake, cfg, landing = setup
+    r1 = ingest(spark, lake, "results", cfg)
+    time.sleep(1.1)
+    write_array(landing / "r2024_1.json", result_rows(2024, 1, 4, points=3.0))
+    r2 = ingest(spark, lake, "results", cfg)
+    c = ctl.config_for(cfg, "results")
+    target = lake.table_path("bronze", "results")
+    ghost = f"{target}/_pipeline_run_id=run-ghost"
+    spark.read.parquet(target).drop("_pipeline_run_id").limit(2).write.partitionBy(
+        "race_year").parquet(ghost)
+    before = bronze_current(spark, lake, c).count()
+    assert vacuum_bronze(spark, lake, c, retain_hours=1.0) == []  # all too young
+    removed = vacuum_bronze(spark, lake, c, retain_hours=0.0)
+    assert removed == ["run-ghost"]  # r1 still holds the 2023 file's rows
+    assert {r1.run_id, r2.run_id} <= {d.split("=", 1)[1] for d in os.listdir(target)}
+    assert bronze_current(spark, lake, c).count() == before
