@@ -170,6 +170,7 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
         tracking = cfg.get("incremental_strategy") == "file_tracking"
 
         changed = None
+        changed_paths: list[str] = []
         if tracking:
             if not path_exists(spark, target):
                 reset_state(spark, lake, entity_name)
@@ -178,11 +179,15 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
             staging = lake.log_path(f"_staging/{run_id}/changed_files")
             changed_files(inv, state).write.parquet(staging)
             changed = spark.read.parquet(staging)
-            if changed.isEmpty():
+            # one row per changed file: the paths double as emptiness test,
+            # file count and the scan's file-pruning predicate
+            changed_paths = [r[0] for r in changed.select("source_file").collect()]
+            if not changed_paths:
                 return finish("SKIPPED")
 
         df = read_source(spark, cfg["source_path"], cfg["source_format"], schema,
-                         files_to_include=changed, multiline=bool(cfg.get("multiline")),
+                         files_to_include=changed_paths if tracking else None,
+                         multiline=bool(cfg.get("multiline")),
                          options={"recursiveFileLookup": "true"})
         df = with_source_file(df)
         part = cfg.get("partition_column")
@@ -239,7 +244,7 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
             F.lit(elapsed_ms).cast("bigint").alias("processing_duration_ms"),
             F.lit("LOADED").alias("event"))
         lake.append(state_rows, "ingestion_state", one_file=True)  # commit point
-        files = loaded.count() if tracking else 0
+        files = len(changed_paths) if tracking else 0
         return finish("SUCCESS", records, files, target)
     except Exception as exc:
         lake.append(run_event(spark, run_id, pipeline_name, entity_name, "FAILED",
