@@ -10,12 +10,12 @@ Steps (each a Spark job unless noted):
    from data); none changed -> SKIPPED;
 4. one parse of only the changed files (lineage column taken at the scan),
    written to ``<target>/_pipeline_run_id=<run>/`` (overwrite: a retried write
-   inside one run replaces itself), partitioned as configured; the row count
-   comes from ``observe`` on the write, not from another pass;
-5. zero rows -> SKIPPED, the run folder is removed, state untouched;
-6. validation **and** data-quality rules in one aggregate pass over the
-   written, column-pruned parquet; results appended to their logs; a failing
-   ERROR rule -> FAILED, the run folder is removed, nothing is committed;
+   inside one run replaces itself), partitioned as configured;
+5. validation **and** data-quality rules **and** the row count in one
+   aggregate pass over the written, column-pruned parquet; results appended to
+   their log; a failing ERROR rule -> FAILED, the run folder is removed,
+   nothing is committed;
+6. zero rows -> SKIPPED, the run folder is removed, state untouched;
 7. commit: state rows of the loaded files (one file, written last — the single
    commit point), then the run event SUCCESS.  Audit rows and the high-water
    mark are views over these two logs (``Lakehouse.audit`` / ``.watermarks``).
@@ -31,7 +31,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
@@ -83,24 +83,6 @@ def _failed_errors(rows) -> list[str]:
             if r["rule_type"] != "ROW_COUNT" and not r["passed"] and r["severity"] == "ERROR"]
 
 
-def _written_rows(spark: SparkSession, obs: Observation, run_dir: str) -> int:
-    """Rows written by this run: the observed metric of the write, or — when
-    AQE pruned an empty plan together with the observation — the row count of
-    the written parquet (answered from file footers)."""
-    try:
-        rows = obs.get.get("rows")
-        if rows is not None:
-            return int(rows)
-    except Exception:  # noqa: BLE001 - metrics absent, fall back to the files
-        pass
-    if not path_exists(spark, run_dir):
-        return 0
-    try:
-        return spark.read.parquet(run_dir).count()
-    except Exception:  # noqa: BLE001 - a folder without data files holds no rows
-        return 0
-
-
 def reset_state(spark: SparkSession, lake: Lakehouse, entity: str) -> None:
     """Forget every tracked file of ``entity`` (a RESET event)."""
     ev = literal_rows(spark, [(entity,)], "entity_name string").select(
@@ -197,18 +179,14 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
 
         # The raw files are parsed once: straight into this run's own folder,
         # which stays invisible until the state commit below.
-        obs = Observation("bronze_write")
         run_dir = f"{target}/_pipeline_run_id={run_id}"
-        write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), run_dir, "overwrite", part,
-                    rebalance=bool(part))
-        records = _written_rows(spark, obs, run_dir)
-        if records == 0:
-            remove_path(spark, run_dir)
-            return finish("SKIPPED")
+        write_schema = df.schema
+        write_table(df, run_dir, "overwrite", part, rebalance=bool(part))
 
-        # Validation and data-quality rules in ONE pass over the written,
-        # column-pruned parquet of this run.
-        written = spark.read.parquet(run_dir)
+        # Validation and data-quality rules, and the row count, in ONE pass
+        # over the written, column-pruned parquet of this run.  The count is
+        # an aggregate result, so task retries cannot inflate it.
+        written = spark.read.schema(write_schema).parquet(run_dir)
         checked = written.select(*[c for c in drop_lineage(written).columns if c != part])
         vrules = [replace(r, label=f"V|{r.label or ''}") for r in
                   (load_rules(validation_rules, entity_name, expected_columns=schema.fieldNames())
@@ -216,8 +194,8 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
         drules = [replace(r, label=f"D|{r.label or ''}") for r in
                   (load_rules(dq_rules, entity_name, expected_columns=schema.fieldNames())
                    if dq_rules is not None else [])]
-        report = (quality_report(checked, vrules + drules, with_label=True).collect()
-                  if vrules or drules else [])
+        report = quality_report(checked, vrules + drules, count_rows=True, with_label=True).collect()
+        records = next(r["failed_records"] for r in report if r["rule_type"] == "ROW_COUNT")
         v_rows = [r for r in report if (r["rule_label"] or "").startswith("V|")]
         d_rows = [r for r in report if (r["rule_label"] or "").startswith("D|")]
         _persist_results(spark, lake, report, run_id, entity_name)
@@ -226,6 +204,9 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
             if failed:
                 remove_path(spark, run_dir)
                 raise ValidationError(f"{what} failed for entity '{entity_name}': {'; '.join(failed)}")
+        if records == 0:
+            remove_path(spark, run_dir)
+            return finish("SKIPPED")
 
         elapsed_ms = int((time.monotonic() - t0) * 1000)
         if tracking:
