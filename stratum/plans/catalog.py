@@ -50,4 +50,5 @@ QUERIES = {
     "ingest_pipeline": q.ingest_pipeline,
     "refine_pipeline": q.refine_pipeline,
     "stream_ingest": q.stream_ingest_query,
+    "f1_layers": q.f1_layers,
 }

@@ -380,3 +380,11 @@ ORACLE["check_duplicate_row_fingerprint"] = " UNION ALL ".join([
     dup_key_row(["text"], "documents", "WARNING"),
     dup_key_row(["source", "lang"], "documents", "WARNING"),
 ])
+
+ORACLE["f1_layers"] = " UNION ALL ".join(
+    f"SELECT '{e}' AS entity_name, 'SUCCESS' AS bronze_status, CAST(count(*) AS BIGINT) AS "
+    f"bronze_records, CAST(count(*) AS BIGINT) AS refined_rows FROM {src}"
+    for e, src in [
+        ("circuits", "customer"), ("constructors", "supplier"), ("drivers", "part"),
+        ("races", "(SELECT DISTINCT year(o_orderdate), month(o_orderdate) FROM orders) r"),
+        ("results", "orders"), ("sprints", "lineitem")])

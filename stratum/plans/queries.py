@@ -715,3 +715,85 @@ def check_duplicate_row_fingerprint(spark, data_dir):
         Rule("DUPLICATE_KEY", "text", severity="WARNING"),
         Rule("DUPLICATE_KEY", "source, lang", severity="WARNING"),
     ])
+
+
+# ------------------------------------------------------------ the seeded layers end to end
+
+
+def land_f1_entities(spark, data_dir, landing: str) -> None:
+    """The six raw entities, in their configured formats, derived from the
+    test tables (keys unique where the seeded key rules demand it)."""
+    cust = table(spark, data_dir, "customer")
+    supp = table(spark, data_dir, "supplier")
+    part = table(spark, data_dir, "part")
+    orders = table(spark, data_dir, "orders")
+    li = table(spark, data_dir, "lineitem")
+    url = lambda kind, c: F.concat(F.lit(f"http://example.org/{kind}/"), F.col(c))
+
+    cust.select(
+        F.col("c_custkey").cast("string").alias("circuitId"), url("c", "c_custkey").alias("url"),
+        F.col("c_name").alias("circuitName"), F.col("c_acctbal").cast("string").alias("lat"),
+        F.col("c_nationkey").cast("string").alias("long"), F.col("c_mktsegment").alias("locality"),
+        F.concat(F.lit("nation-"), F.col("c_nationkey")).alias("country"),
+    ).write.option("header", True).csv(f"{landing}/circuits")
+    supp.select(
+        F.col("s_suppkey").cast("string").alias("constructorId"), F.col("s_name").alias("name"),
+        F.concat(F.lit("nation-"), F.col("s_nationkey")).alias("nationality"),
+        url("s", "s_suppkey").alias("url"),
+    ).write.json(f"{landing}/constructors")
+    part.select(
+        F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.col("p_size") * 200),
+                      "yyyy-MM-dd").alias("dateOfBirth"),
+        F.col("p_partkey").cast("string").alias("driverId"),
+        F.struct(F.col("p_brand").alias("familyName"), F.col("p_name").alias("givenName")).alias("name"),
+        F.col("p_type").alias("nationality"), url("p", "p_partkey").alias("url"),
+    ).write.json(f"{landing}/drivers")
+    (orders.groupBy(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"))
+     .agg(F.min("o_orderdate").alias("d"), F.min("o_custkey").alias("c"))
+     .select(F.col("y").cast("string").alias("season"), F.col("m").cast("string").alias("round"),
+             F.concat(F.lit("http://example.org/r/"), F.col("y"), F.lit("-"), F.col("m")).alias("url"),
+             F.concat(F.lit("Race "), F.col("y"), F.lit("-"), F.col("m")).alias("raceName"),
+             F.date_format("d", "yyyy-MM-dd").alias("date"), F.col("c").cast("string").alias("circuitId"))
+     .write.option("header", True).csv(f"{landing}/races"))
+    results = orders.select(
+        F.col("o_custkey").cast("string").alias("constructorId"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+        F.col("o_orderkey").cast("string").alias("driverId"),
+        (F.col("o_orderkey") % 20).alias("grid"), F.lit(50).cast("bigint").alias("laps"),
+        F.col("o_orderkey").alias("number"), (F.col("o_totalprice") / 1000).alias("points"),
+        ((F.col("o_orderkey") % 20) + 1).alias("position"),
+        F.col("o_orderstatus").alias("positionText"), F.col("o_orderpriority").alias("raceName"),
+        F.month("o_orderdate").cast("bigint").alias("round"),
+        F.year("o_orderdate").cast("bigint").alias("season"),
+        F.col("o_orderstatus").alias("status"), url("o", "o_orderkey").alias("url"))
+    sinks.write_json_arrays(results, f"{landing}/results", rows_per_file=5000)
+    sprints = li.select(
+        F.col("l_partkey").cast("string").alias("constructorId"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
+        F.col("l_suppkey").cast("string").alias("driverId"),
+        F.col("l_linenumber").cast("bigint").alias("grid"),
+        F.col("l_quantity").cast("bigint").alias("laps"), F.col("l_orderkey").alias("number"),
+        F.col("l_extendedprice").alias("points"), F.col("l_linenumber").cast("bigint").alias("position"),
+        F.col("l_returnflag").alias("positionText"), F.col("l_linestatus").alias("raceName"),
+        F.month("l_shipdate").cast("bigint").alias("round"),
+        F.year("l_shipdate").cast("bigint").alias("season"),
+        F.col("l_linestatus").alias("status"), url("l", "l_orderkey").alias("url"))
+    sinks.write_json_arrays(sprints, f"{landing}/sprints", rows_per_file=20000)
+
+
+def f1_layers(spark, data_dir):
+    """All six seeded entities through ingest (parallel) and refine with the
+    seeded configuration, rules and transforms; one summary row per entity."""
+    from stratum.plans.engine import Engine
+
+    landing = scratch_path(spark, "landing_f1")
+    land_f1_entities(spark, data_dir, landing)
+    eng = Engine.seeded(spark, scratch_path(spark, "lake_f1"), landing)
+    bronze = {r.entity_name: r for r in eng.ingest_all(parallelism=3).collect()}
+    rows = []
+    for entity in sorted(bronze):
+        refined = eng.refine(entity)
+        rows.append((entity, bronze[entity].status, bronze[entity].records,
+                     refined.count() if refined is not None else 0))
+    return sinks.literal_rows(spark, rows, "entity_name string, bronze_status string, "
+                                           "bronze_records bigint, refined_rows bigint")
