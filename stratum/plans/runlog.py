@@ -57,6 +57,8 @@ def runs_view(events: DataFrame, time_col: str = "event_time", tiebreak: str | N
     g = events.groupBy("run_id").agg(
         F.first("pipeline_name", ignorenulls=True).alias("pipeline_name"),
         F.first("entity_name", ignorenulls=True).alias("entity_name"),
+        F.first("created_by", ignorenulls=True).alias("created_by") if "created_by" in events.columns
+        else F.lit(None).cast("string").alias("created_by"),
         F.min(time_col).alias("start_time"),
         F.max(time_col).alias("last_event_time"),
         latest.alias("__l"),
@@ -73,6 +75,7 @@ def runs_view(events: DataFrame, time_col: str = "event_time", tiebreak: str | N
         F.col("__l.records_processed").alias("records_processed"),
         F.col("__l.files_processed").alias("files_processed"),
         F.col("__l.error_message").alias("error_message"),
+        "created_by",
         "n_events",
     )
 
