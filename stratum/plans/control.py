@@ -86,9 +86,28 @@ class Lakehouse:
         """High-water mark per entity: greatest mtime over committed files."""
         from stratum.operators.changes import high_water
 
-        loaded = self.read_log(spark, "ingestion_state").filter(F.col("event") == "LOADED")
+        loaded = self.read_log(spark, "ingestion_state").filter(
+            (F.col("event") == "LOADED") & F.col("last_modified_time").isNotNull())
         return high_water(loaded, "entity_name", "last_modified_time")
 
+    def register_views(self, spark: SparkSession, prefix: str = "") -> list[str]:
+        """Temp views under the control-table names SQL users know:
+        ``pipeline_runs`` (run records), ``ingestion_state`` (current state),
+        ``validation_results``, ``dq_results``, ``audit_log``, ``watermarks``."""
+        from stratum.operators.changes import current_state
+
+        views = {
+            "pipeline_runs": self.runs(spark),
+            "ingestion_state": current_state(self.read_log(spark, "ingestion_state")),
+            "validation_results": self.results(spark, "validation"),
+            "dq_results": self.results(spark, "dq"),
+            "audit_log": self.audit(spark),
+            "watermarks": self.watermarks(spark),
+        }
+        for name, df in views.items():
+            df.createOrReplaceTempView(prefix + name)
+        return [prefix + n for n in views]
+
     def append(self, df: DataFrame, name: str, one_file: bool = False) -> None:
         append_log(df.select(*[f.name for f in spark_schema(df.sparkSession, name).fields]),
                    self.log_path(name), one_file=one_file)

@@ -78,6 +78,24 @@ class Engine:
         return vacuum_bronze(self.spark, self.lake, ctl.config_for(self.entities, entity),
                              retain_hours)
 
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Temp views for SQL: control logs, configuration and rule tables,
+        and ``bronze_<entity>`` (committed rows) for every configured entity."""
+        names = self.lake.register_views(self.spark, prefix)
+        tables = {"entity_config": self.entities, "silver_entity_config": self.refine_entities,
+                  "validation_rules": self.validation_rules, "dq_rules": self.dq_rules}
+        for name, df in tables.items():
+            if df is not None:
+                df.createOrReplaceTempView(prefix + name)
+                names.append(prefix + name)
+        from stratum.sources.sinks import path_exists
+
+        for row in self.entities.select("entity_name", "target_schema", "target_table").collect():
+            if path_exists(self.spark, self.lake.table_path(row[1], row[2])):
+                self.bronze(row[0]).createOrReplaceTempView(f"{prefix}bronze_{row[0]}")
+                names.append(f"{prefix}bronze_{row[0]}")
+        return names
+
     def reset(self, entity: str) -> None:
         from stratum.plans.ingest import reset_state
 

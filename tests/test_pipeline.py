@@ -220,6 +220,12 @@ def test_engine_facade(spark, tmp_path):
     assert eng.bronze("races").count() == 2
     assert {r.status for r in eng.runs().collect()} == {"SUCCESS"}
     assert eng.results("dq").filter(F.col("rule_type") == "DUPLICATE_KEY").first().passed
+    views = eng.register_views(prefix="t_")
+    assert "t_bronze_races" in views and "t_pipeline_runs" in views
+    assert spark.sql("SELECT count(*) FROM t_bronze_races").first()[0] == 2
+    assert spark.sql("SELECT status FROM t_pipeline_runs").first()[0] == "SUCCESS"
+    assert spark.sql("SELECT count(*) FROM t_validation_rules WHERE entity_name = 'races'").first()[0] == 5
+    assert spark.sql("SELECT entity_name FROM t_watermarks").count() == 0  # races is a full load
 
 
 def test_touched_file_replaces_rows_and_space_in_path(spark, tmp_path):
