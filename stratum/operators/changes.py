@@ -1,15 +1,17 @@
 """Incremental dataflow as joins and aggregates.
 
 * :func:`latest_per_key` — the current row of an append-only event log:
-  ``max_by(struct(row), struct(order))`` per key.  A hash aggregate with
-  map-side partial aggregation: a hot key is collapsed per task before the
-  shuffle, and no key group is ever materialised as a list.
+  ``max_by(struct(row), struct(order))`` per key.  An aggregate with a
+  map-side partial step (sort-based, as the buffer is a struct): a hot key is
+  collapsed per task before the shuffle, and no key group is ever
+  materialised as a list.
 * :func:`upsert` — MERGE semantics (matched -> replace, else insert) as
   ``changes ∪ (current ▷ changes)``; the anti join shuffles on the keys or is
   broadcast by AQE when the materialised change set is under the adaptive
   broadcast threshold (a checked, runtime size).
 * :func:`changed_files` — file-level change detection: inventory LEFT JOIN
-  current state, null-safe comparison of mtime, size and content hash.
+  current state, null-safe comparison of mtime, size and (optionally)
+  content hash.
 * :func:`current_rows` — rows of the latest committed load of each file:
   bronze LEFT SEMI JOIN the current state on (file, run).
 """
@@ -56,11 +58,12 @@ def upsert(current: DataFrame, changes: DataFrame, keys: str | Sequence[str],
     return incoming.select(*current.columns).unionByName(kept)
 
 
-def changed_files(inventory: DataFrame, state: DataFrame) -> DataFrame:
+def changed_files(inventory: DataFrame, state: DataFrame, compare_hash: bool = True) -> DataFrame:
     """Inventory rows of new or changed files, with ``change_kind``.
 
     A file is NEW when the state has no row for it, MODIFIED when its mtime,
     size or content hash differs (NULL-safe: two NULL hashes are equal).
+    ``compare_hash=False`` compares mtime and size only (a metadata listing).
     ``state`` must hold one current row per ``source_file``.
     """
     prev = state.select(
@@ -74,8 +77,9 @@ def changed_files(inventory: DataFrame, state: DataFrame) -> DataFrame:
     same = (
         F.col("last_modified_time").eqNullSafe(F.col("__prev_mtime"))
         & F.col("file_size").eqNullSafe(F.col("__prev_size"))
-        & F.col("content_hash").eqNullSafe(F.col("__prev_hash"))
     )
+    if compare_hash:
+        same = same & F.col("content_hash").eqNullSafe(F.col("__prev_hash"))
     kind = F.when(F.col("__known").isNull(), F.lit("NEW")).when(~same, F.lit("MODIFIED"))
     return (j.withColumn("change_kind", kind).filter(F.col("change_kind").isNotNull())
             .select(*inventory.columns, "change_kind"))

@@ -35,27 +35,44 @@ def expand_paths(spark: SparkSession, source_path: str) -> list[str]:
 
 
 def file_inventory(spark: SparkSession, source_path: str, hash_content: bool = True,
-                   glob: str | None = None) -> DataFrame:
+                   glob: str | None = None, max_hash_bytes: int | None = None,
+                   only_files: list[str] | None = None) -> DataFrame:
     """``source_file, last_modified_time, file_size, content_hash`` per file.
 
     With ``hash_content`` every byte is read (in parallel, one task per file
     split group) and hashed with md5 on the executors; without it the
     ``content`` column is pruned, so only the listing is done and
-    ``content_hash`` is NULL.  A file must fit the binary-file size limit
-    (2 GB) when hashed.
+    ``content_hash`` is NULL.  A hashed file is held in memory by its task and
+    must fit the binary-file size limit (2 GB); ``max_hash_bytes`` leaves
+    larger files unhashed (their changes show through mtime and size).
+    ``only_files`` restricts the inventory to the given ``source_file`` values.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
     paths = expand_paths(spark, source_path)
     df = r.load(paths if len(paths) > 1 else source_path)
-    content_hash = F.md5(F.col("content")) if hash_content else F.lit(None).cast("string")
-    return df.select(
-        F.col("_metadata.file_path").alias("source_file"),
-        F.col("modificationTime").alias("last_modified_time"),
-        F.col("length").alias("file_size"),
-        content_hash.alias("content_hash"),
-    )
+    if only_files is not None:
+        # restrict to known files; applied at listing, others are never read
+        df = df.filter(F.col("_metadata.file_path").isin(list(only_files)))
+
+    def project(frame, hashed: bool):
+        return frame.select(
+            F.col("_metadata.file_path").alias("source_file"),
+            F.col("modificationTime").alias("last_modified_time"),
+            F.col("length").alias("file_size"),
+            (F.md5(F.col("content")) if hashed else F.lit(None).cast("string")).alias("content_hash"),
+        )
+
+    if not hash_content:
+        return project(df, False)
+    if max_hash_bytes is None:
+        return project(df, True)
+    # binaryFile pushes the length filter down to the listing, so the content
+    # of files above the limit is never loaded
+    small = project(df.filter(F.col("length") <= max_hash_bytes), True)
+    large = project(df.filter(F.col("length") > max_hash_bytes), False)
+    return small.unionByName(large)
 
 
 def list_files(spark: SparkSession, source_path: str) -> DataFrame:

@@ -289,3 +289,28 @@ def test_vacuum_keeps_committed_runs(spark, setup):
     assert removed == ["run-ghost"]  # r1 still holds the 2023 file's rows
     assert {r1.run_id, r2.run_id} <= {d.split("=", 1)[1] for d in os.listdir(target)}
     assert bronze_current(spark, lake, c).count() == before
+
+
+def test_quick_check_and_hash_limit(spark, setup):
+    import hashlib
+
+    from stratum.sources.inventory import file_inventory
+
+    lake, cfg, landing = setup
+    sizes = sorted(os.path.getsize(landing / f) for f in os.listdir(landing))
+    assert sizes[0] < sizes[1]
+    inv = {r.source_file.rsplit("/", 1)[1]: r
+           for r in file_inventory(spark, str(landing), max_hash_bytes=sizes[0]).collect()}
+    small, big = sorted(inv.values(), key=lambda r: r.file_size)
+    assert small.content_hash is not None and big.content_hash is None
+    assert all(r.content_hash is None or r.content_hash == hashlib.md5(
+        (landing / n).read_bytes()).hexdigest() for n, r in inv.items())
+    # quick check: only new / touched files are hashed and loaded
+    assert ingest(spark, lake, "results", cfg, trust_metadata=True).files == 2
+    assert ingest(spark, lake, "results", cfg, trust_metadata=True).status == "SKIPPED"
+    time.sleep(1.1)
+    write_array(landing / "r2024_1.json", result_rows(2024, 1, 4, points=5.0))
+    r = ingest(spark, lake, "results", cfg, trust_metadata=True)
+    assert (r.status, r.files) == ("SUCCESS", 1)
+    state = lake.read_log(spark, "ingestion_state").filter(F.col("event") == "LOADED")
+    assert state.filter(F.col("content_hash").isNull()).count() == 0
