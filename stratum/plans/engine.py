@@ -39,9 +39,10 @@ class Engine:
                    ctl.seed_refine_config(spark), ctl.seed_validation_rules(spark),
                    ctl.seed_dq_rules(spark))
 
-    def ingest(self, entity: str) -> IngestResult:
+    def ingest(self, entity: str, **options) -> IngestResult:
+        """``options``: ``trust_metadata``, ``max_hash_bytes``, ``hash_content``."""
         return ingest(self.spark, self.lake, entity, self.entities, self.validation_rules,
-                      self.dq_rules)
+                      self.dq_rules, **options)
 
     def refine(self, entity: str) -> DataFrame | None:
         if self.refine_entities is None:
