@@ -329,7 +329,10 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
             if k not in grouping:
                 grouping.append(k)
     if dup_rows:
-        if all((r.value or "").lower() == "fingerprint" for r in dup_rows):
+        has_map = any(f.dataType.typeName() == "map" for f in df.schema.fields)
+        if has_map or all((r.value or "").lower() == "fingerprint" for r in dup_rows):
+            # (map columns cannot be grouped on, so such frames always take
+            # the fingerprint path)
             # Rows are grouped by a SHA-256 of their canonical JSON form: the
             # shuffle carries 32 bytes per distinct row instead of the row
             # (wide text), at a 2^-256 collision risk.  The key columns stay

@@ -235,3 +235,11 @@ def test_rules_from_table(spark):
     with pytest.raises(ConfigurationError):
         quality_report(spark.createDataFrame([(1,)], "c int"),
                        load_rules(rules_df, "e", skip_unknown=False))
+
+
+def test_duplicate_rows_with_map_column(spark):
+    df = spark.createDataFrame([(1, {"a": 1}), (1, {"a": 1}), (2, {"b": 2})],
+                               "id int, m map<string,int>")
+    rep = {x.rule_type: x.failed_records for x in
+           quality_report(df, [Rule("DUPLICATE_ROW"), Rule("DUPLICATE_KEY", "id")]).collect()}
+    assert rep == {"DUPLICATE_ROW": 1, "DUPLICATE_KEY": 2}
