@@ -333,17 +333,19 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
         if has_map or all((r.value or "").lower() == "fingerprint" for r in dup_rows):
             # (map columns cannot be grouped on, so such frames always take
             # the fingerprint path)
-            # Rows are grouped by a SHA-256 of their canonical JSON form: the
-            # shuffle carries 32 bytes per distinct row instead of the row
-            # (wide text), at a 2^-256 collision risk.  The key columns stay
-            # in the grouping so key rules are still resolved from the base.
+            # Rows are grouped by a 128-bit digest (16-byte binary) of their
+            # canonical JSON form: the shuffle carries 16 bytes per distinct
+            # row instead of the row (wide text).  JSON keeps field names, so
+            # NULLs in different columns never look alike (plain column hashes
+            # skip NULLs and would).  The key columns stay in the grouping so
+            # key rules are still resolved from the base.
             canon = []
             for f in df.schema.fields:
                 c = F.col(f.name)
                 if f.dataType.typeName() in ("double", "float"):
                     c = F.when(c == 0, F.lit(0.0)).otherwise(c)  # -0.0 groups with 0.0
                 canon.append(c.alias(f.name))
-            df = df.withColumn("__fp", F.sha2(F.to_json(F.struct(*canon)), 256))
+            df = df.withColumn("__fp", F.unhex(F.md5(F.to_json(F.struct(*canon)))))
             grouping = grouping + ["__fp"]
         else:
             grouping = columns

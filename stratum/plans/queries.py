@@ -707,7 +707,7 @@ def check_referential(spark, data_dir):
 
 def check_duplicate_row_fingerprint(spark, data_dir):
     """Whole documents table: copies of a text (key rule on the text itself)
-    and exact duplicate rows grouped by a 32-byte row fingerprint instead of
+    and exact duplicate rows grouped by a 16-byte row fingerprint instead of
     shuffling up to 20,000-word texts."""
     docs = table(spark, data_dir, "documents")
     return quality_report(docs, [
