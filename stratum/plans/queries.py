@@ -8,8 +8,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.operators.rules import RULES_DDL, Rule, gate, load_rules, quality_report
+from stratum.functions import columns as fn
+from stratum.operators import changes as chg
+from stratum.operators import lineage as lin
+from stratum.operators.projection import Field, get_transform, register_transform
+from stratum.operators.ranking import rank_desc
+from stratum.operators.rules import (
+    RULES_DDL,
+    Rule,
+    gate,
+    load_rules,
+    quality_report,
+    referential_report,
+)
+from stratum.operators.standings import standings
+from stratum.plans import control as ctl
+from stratum.plans import runlog
+from stratum.plans.engine import Engine
+from stratum.plans.ingest import bronze_current, ingest
+from stratum.plans.refine import refine, register_output_checks
+from stratum.session import scratch_path
+from stratum.sources import readers, sinks
+from stratum.sources.inventory import file_inventory
+from stratum.sources.schemas import register_schema
 from stratum.sources.tables import table
+from stratum.streaming.ingest import stream_ingest
 
 # ----------------------------------------------------------------- inputs
 
@@ -135,12 +158,6 @@ def gate_query(spark, data_dir):
 
 # ------------------------------------------------------------ scans and sinks
 
-from stratum.functions import columns as fn  # noqa: E402
-from stratum.operators import lineage as lin  # noqa: E402
-from stratum.operators.projection import get_transform  # noqa: E402
-from stratum.session import scratch_path  # noqa: E402
-from stratum.sources import readers, sinks  # noqa: E402
-from stratum.sources.inventory import file_inventory  # noqa: E402
 
 CUSTOMER_DDL = ("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
                 "c_mktsegment string")
@@ -381,8 +398,6 @@ def fn_duration(spark, data_dir):
 
 # ------------------------------------------------------------ change detection and state
 
-from stratum.operators import changes as chg  # noqa: E402
-from stratum.plans import runlog  # noqa: E402
 
 _EPOCH_2024 = 1704067200
 
@@ -499,8 +514,6 @@ def current_rows_query(spark, data_dir):
 
 # ------------------------------------------------------------ standings
 
-from stratum.operators.standings import standings  # noqa: E402
-
 
 def _cents(c):
     return F.round(F.col(c) * 100).cast("bigint")
@@ -536,20 +549,12 @@ def standings_nation(spark, data_dir):
     joined = per_supp.join(supp, "l_suppkey")
     s = (joined.groupBy("season", F.col("s_nationkey").alias("member"))
          .agg((F.sum("net") / 10000.0).alias("points"), F.sum("w").alias("wins")))
-    from stratum.operators.ranking import rank_desc
-
     s = rank_desc(s, "season", "points", rank_col="position")
     return s.select("season", F.col("member").alias("nation_key"), "points", "wins", "position")
 
 
 # ------------------------------------------------------------ pipelines
 
-from stratum.operators.projection import Field, register_transform  # noqa: E402
-from stratum.plans import control as ctl  # noqa: E402
-from stratum.plans.ingest import bronze_current, ingest  # noqa: E402
-from stratum.plans.refine import refine, register_output_checks  # noqa: E402
-from stratum.sources.schemas import register_schema  # noqa: E402
-from stratum.streaming.ingest import stream_ingest  # noqa: E402
 
 ORDERS_RAW_DDL = ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
                   "o_totalprice double, o_orderdate string, o_orderpriority string")
@@ -693,8 +698,6 @@ def check_required_columns(spark, data_dir):
 
 
 def check_referential(spark, data_dir):
-    from stratum.operators.rules import referential_report
-
     orders = table(spark, data_dir, "orders")
     customer = table(spark, data_dir, "customer")
     li = table(spark, data_dir, "lineitem")
@@ -728,7 +731,9 @@ def land_f1_entities(spark, data_dir, landing: str) -> None:
     part = table(spark, data_dir, "part")
     orders = table(spark, data_dir, "orders")
     li = table(spark, data_dir, "lineitem")
-    url = lambda kind, c: F.concat(F.lit(f"http://example.org/{kind}/"), F.col(c))
+
+    def url(kind, c):
+        return F.concat(F.lit(f"http://example.org/{kind}/"), F.col(c))
 
     cust.select(
         F.col("c_custkey").cast("string").alias("circuitId"), url("c", "c_custkey").alias("url"),
@@ -784,8 +789,6 @@ def land_f1_entities(spark, data_dir, landing: str) -> None:
 def f1_layers(spark, data_dir):
     """All six seeded entities through ingest (parallel) and refine with the
     seeded configuration, rules and transforms; one summary row per entity."""
-    from stratum.plans.engine import Engine
-
     landing = scratch_path(spark, "landing_f1")
     land_f1_entities(spark, data_dir, landing)
     eng = Engine.seeded(spark, scratch_path(spark, "lake_f1"), landing)
