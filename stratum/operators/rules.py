@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,6 +77,7 @@ class Rule:
     label: str | None = None
     expected: tuple[str, ...] | None = None
     name: str | None = None  # overrides the generated rule_name
+    display: str | None = None  # key text shown in names/details (internal)
 
     @property
     def kind(self) -> str:
@@ -188,10 +189,24 @@ class _Compiled:
         return alias
 
 
-def _compile_row_rule(rule: Rule, comp: _Compiled, columns: list[str]) -> None:
+def _resolves(df: DataFrame, column: str | None) -> bool:
+    """True when ``column`` (a name or a nested ``a.b`` path) resolves on
+    ``df`` — an analysis check, no job is run."""
+    if column is None:
+        return False
+    if column in df.columns:
+        return True
+    try:
+        df.select(F.col(column)).schema  # noqa: B018 - forces analysis only
+        return True
+    except Exception:  # noqa: BLE001 - unresolvable column
+        return False
+
+
+def _compile_row_rule(rule: Rule, comp: _Compiled, df: DataFrame) -> None:
     c = rule.column
     kind = rule.kind
-    if c is None or c not in columns:
+    if not _resolves(df, c):
         comp.const_results.append(
             _const_result(rule, f"{c} {_TITLES[kind]}", False, 0, f"Column '{c}' not found.")
         )
@@ -260,7 +275,7 @@ _TITLES = {
 
 
 def _dup_key_result(rule: Rule, failed: Column) -> Column:
-    label = ", ".join(rule.key_columns)
+    label = rule.display or ", ".join(rule.key_columns)
     return _result(
         rule, f"{label} {_TITLES['DUPLICATE_KEY']}", failed,
         _msg(failed, f" record(s) belong to duplicate business keys in '{label}'."))
@@ -303,9 +318,9 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
         if kind in META_RULES:
             comp.const_results.append(_meta_result(rule, columns))
         elif kind in ROW_RULES:
-            _compile_row_rule(rule, comp, columns)
+            _compile_row_rule(rule, comp, df)
         elif kind == "DUPLICATE_KEY":
-            missing = [k for k in rule.key_columns if k not in columns]
+            missing = [k for k in rule.key_columns if not _resolves(df, k)]
             if missing or not rule.key_columns:
                 label = ", ".join(rule.key_columns)
                 comp.const_results.append(_const_result(
@@ -323,13 +338,24 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
         return out.withColumn("rule_label", F.lit(None).cast("string")) if with_label else out
     counters = [F.count(F.lit(1)).alias("__n")] + [e.alias(a) for a, e in comp.counters]
 
+    # nested key paths (a.b) become flat internal columns before grouping
+    alias: dict[str, str] = {}
+    for r in dup_keys:
+        for k in r.key_columns:
+            if k not in columns and k not in alias:
+                alias[k] = f"__key{len(alias)}"
+    if alias:
+        df = df.withColumns({a: F.col(k) for k, a in alias.items()})
+        dup_keys = [replace(r, column=", ".join(alias.get(k, k) for k in r.key_columns),
+                            display=", ".join(r.key_columns)) for r in dup_keys]
+
     grouping = []
     for r in dup_keys:
         for k in r.key_columns:
             if k not in grouping:
                 grouping.append(k)
     if dup_rows:
-        has_map = any(f.dataType.typeName() == "map" for f in df.schema.fields)
+        has_map = any(f.dataType.typeName() == "map" for f in df.select(*columns).schema.fields)
         if has_map or all((r.value or "").lower() == "fingerprint" for r in dup_rows):
             # (map columns cannot be grouped on, so such frames always take
             # the fingerprint path)
@@ -340,7 +366,7 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
             # skip NULLs and would).  The key columns stay in the grouping so
             # key rules are still resolved from the base.
             canon = []
-            for f in df.schema.fields:
+            for f in df.select(*columns).schema.fields:
                 c = F.col(f.name)
                 if f.dataType.typeName() in ("double", "float"):
                     c = F.when(c == 0, F.lit(0.0)).otherwise(c)  # -0.0 groups with 0.0
@@ -348,7 +374,7 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
             df = df.withColumn("__fp", F.unhex(F.md5(F.to_json(F.struct(*canon)))))
             grouping = grouping + ["__fp"]
         else:
-            grouping = columns
+            grouping = columns + [a for a in alias.values()]
 
     branches: list[DataFrame] = []
     if not grouping:

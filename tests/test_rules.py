@@ -243,3 +243,20 @@ def test_duplicate_rows_with_map_column(spark):
     rep = {x.rule_type: x.failed_records for x in
            quality_report(df, [Rule("DUPLICATE_ROW"), Rule("DUPLICATE_KEY", "id")]).collect()}
     assert rep == {"DUPLICATE_ROW": 1, "DUPLICATE_KEY": 2}
+
+
+def test_nested_column_paths(spark):
+    df = spark.createDataFrame(
+        [("1", ("Hamilton", "Lewis")), ("2", ("Hamilton", "Lewis")), ("3", ("Verstappen", None))],
+        "driverId string, name struct<familyName:string, givenName:string>")
+    rep = {r.rule_name: (r.failed_records, r.details) for r in quality_report(df, [
+        Rule("NOT_NULL", "name.givenName"),
+        Rule("DUPLICATE_KEY", "name.familyName, name.givenName"),
+        Rule("DUPLICATE_KEY", "name.familyName"),
+        Rule("DUPLICATE_ROW"),
+    ]).collect()}
+    assert rep["name.givenName Not Null Validation"][0] == 1
+    assert rep["name.familyName, name.givenName Duplicate Key Validation"] == (
+        2, "2 record(s) belong to duplicate business keys in 'name.familyName, name.givenName'.")
+    assert rep["name.familyName Duplicate Key Validation"][0] == 2
+    assert rep["Duplicate Row Validation"][0] == 0
