@@ -47,8 +47,8 @@ QUERIES = {
     "standings_supplier": q.standings_supplier,
     "standings_customer": q.standings_customer,
     "standings_nation": q.standings_nation,
-    "ingest_pipeline": q.ingest_pipeline,
-    "refine_pipeline": q.refine_pipeline,
+    "ingest_incremental": q.ingest_incremental,
+    "refine_orders": q.refine_orders,
     "stream_ingest": q.stream_ingest_query,
     "f1_layers": q.f1_layers,
 }

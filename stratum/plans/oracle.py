@@ -339,10 +339,10 @@ _ORDERS_BRONZE = (
     "CAST(year(o_orderdate) AS INTEGER) AS order_year FROM orders")
 
 ORACLE.update({
-    "ingest_pipeline": _ORDERS_BRONZE.format(
+    "ingest_incremental": _ORDERS_BRONZE.format(
         price="CASE WHEN year(o_orderdate) = 1997 THEN o_totalprice + 1 ELSE o_totalprice END"),
     "stream_ingest": _ORDERS_BRONZE.format(price="o_totalprice"),
-    "refine_pipeline": (
+    "refine_orders": (
         "SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderstatus AS status, "
         "o_totalprice AS total_price, strftime(o_orderdate, '%Y-%m-%d') AS order_date, "
         "o_orderpriority AS priority FROM orders"),

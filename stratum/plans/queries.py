@@ -633,7 +633,7 @@ def _expect(result, status):
     return result
 
 
-def ingest_pipeline(spark, data_dir):
+def ingest_incremental(spark, data_dir):
     """Load, rewrite one landing file, load again (only that file), load a
     third time (nothing changed); the committed rows are the table with the
     rewrite applied."""
@@ -656,7 +656,7 @@ def ingest_pipeline(spark, data_dir):
     return cur.select(*ORDER_COLS, "order_year")
 
 
-def refine_pipeline(spark, data_dir):
+def refine_orders(spark, data_dir):
     """Ingest, then refine the committed bronze rows with a registered
     projection spec and the output checks."""
     lake = ctl.Lakehouse(scratch_path(spark, "lake"))
