@@ -50,5 +50,5 @@ QUERIES = {
     "ingest_incremental": q.ingest_incremental,
     "refine_orders": q.refine_orders,
     "stream_ingest": q.stream_ingest_query,
-    "f1_layers": q.f1_layers,
+    "seeded_layers": q.seeded_layers,
 }

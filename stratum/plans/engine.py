@@ -1,7 +1,7 @@
 """One object bundling a lakehouse root with its configuration and rule
 tables, so a pipeline step is a one-line call::
 
-    eng = Engine.seeded(spark, root="s3://lake/f1", landing="s3://raw/f1")
+    eng = Engine.seeded(spark, root="s3://lake/main", landing="s3://raw/landing")
     eng.ingest("results")          # raw -> bronze, checks, state commit
     eng.refine("results")          # bronze -> refined, output checks
     eng.runs().show()              # run records

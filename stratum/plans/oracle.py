@@ -381,7 +381,7 @@ ORACLE["check_duplicate_row_fingerprint"] = " UNION ALL ".join([
     dup_key_row(["source", "lang"], "documents", "WARNING"),
 ])
 
-ORACLE["f1_layers"] = " UNION ALL ".join(
+ORACLE["seeded_layers"] = " UNION ALL ".join(
     f"SELECT '{e}' AS entity_name, 'SUCCESS' AS bronze_status, CAST(count(*) AS BIGINT) AS "
     f"bronze_records, CAST(count(*) AS BIGINT) AS refined_rows FROM {src}"
     for e, src in [

@@ -723,7 +723,7 @@ def check_duplicate_row_fingerprint(spark, data_dir):
 # ------------------------------------------------------------ the seeded layers end to end
 
 
-def land_f1_entities(spark, data_dir, landing: str) -> None:
+def land_seeded_entities(spark, data_dir, landing: str) -> None:
     """The six raw entities, in their configured formats, derived from the
     test tables (keys unique where the seeded key rules demand it)."""
     cust = table(spark, data_dir, "customer")
@@ -786,12 +786,12 @@ def land_f1_entities(spark, data_dir, landing: str) -> None:
     sinks.write_json_arrays(sprints, f"{landing}/sprints", rows_per_file=20000)
 
 
-def f1_layers(spark, data_dir):
+def seeded_layers(spark, data_dir):
     """All six seeded entities through ingest (parallel) and refine with the
     seeded configuration, rules and transforms; one summary row per entity."""
-    landing = scratch_path(spark, "landing_f1")
-    land_f1_entities(spark, data_dir, landing)
-    eng = Engine.seeded(spark, scratch_path(spark, "lake_f1"), landing)
+    landing = scratch_path(spark, "landing_seeded")
+    land_seeded_entities(spark, data_dir, landing)
+    eng = Engine.seeded(spark, scratch_path(spark, "lake_seeded"), landing)
     bronze = {r.entity_name: r for r in eng.ingest_all(parallelism=3).collect()}
     refined = {r.entity_name: r.status for r in eng.refine_all(parallelism=3).collect()}
     rows = []
