@@ -56,6 +56,37 @@ DEFAULT_SEVERITY = {
     "NULL_PERCENTAGE": "WARNING",
 }
 
+# Result texts.  ``{c}`` is the column (or key list), ``{n}``
+# the failing count, other fields are rule parameters; rule names of the
+# column rules are "<column> " + the title.
+TITLES = {
+    "SCHEMA": "Schema Validation",
+    "SILVER_SCHEMA": "Silver Schema Validation",
+    "REQUIRED_COLUMN": "Required Columns Validation",
+    "NOT_NULL": "Not Null Validation",
+    "NON_NEGATIVE": "Non-Negative Validation",
+    "DUPLICATE_KEY": "Duplicate Key Validation",
+    "DUPLICATE_ROW": "Duplicate Row Validation",
+    "ALLOWED_VALUES": "Allowed Values Validation",
+    "REGEX": "Regex Validation",
+    "NUMERIC_RANGE": "Numeric Range Validation",
+    "DATE_RANGE": "Date Range Validation",
+    "NULL_PERCENTAGE": "Null Percentage Validation",
+}
+DETAILS = {
+    "MISSING_COLUMNS": "Missing columns: {missing}",
+    "UNEXPECTED_COLUMNS": "Unexpected columns: {unexpected}",
+    "NOT_NULL": "{n} NULL values found in '{c}'.",
+    "NON_NEGATIVE": "{n} record(s) have a negative value in '{c}'.",
+    "DUPLICATE_KEY": "{n} record(s) belong to duplicate business keys in '{c}'.",
+    "DUPLICATE_ROW": "Found {n} duplicate row(s).",
+    "ALLOWED_VALUES": "{n} record(s) contain invalid values for '{c}'.",
+    "REGEX": "{n} record(s) failed regex validation.",
+    "NUMERIC_RANGE": "{n} record(s) are outside [{lo}, {hi}].",
+    "DATE_RANGE": "{n} record(s) are outside {lo} - {hi}.",
+    "NULL_PERCENTAGE": "NULL percentage {pct:.2f}% exceeds threshold {threshold:.2f}%.",
+}
+
 ROW_RULES = {
     "NOT_NULL", "NON_NEGATIVE", "ALLOWED_VALUES", "REGEX",
     "NUMERIC_RANGE", "DATE_RANGE", "NULL_PERCENTAGE",
@@ -152,8 +183,11 @@ def _const_result(rule: Rule, generated: str, passed: bool, failed: int, details
     )
 
 
-def _msg(n: Column, text: str) -> Column:
-    return F.concat(n.cast("string"), F.lit(text))
+def _detail(kind: str, n: Column, **params) -> Column:
+    """``DETAILS[kind]`` with ``{n}`` taken from the data and every other field
+    filled on the driver (they are rule parameters)."""
+    before, after = DETAILS[kind].split("{n}")
+    return F.concat(F.lit(before.format(**params)), n.cast("string"), F.lit(after.format(**params)))
 
 
 def _meta_result(rule: Rule, columns: list[str]) -> Column:
@@ -165,14 +199,14 @@ def _meta_result(rule: Rule, columns: list[str]) -> Column:
         unexpected = [c for c in columns if c not in expected]
         parts = []
         if missing:
-            parts.append(f"Missing columns: {missing}")
+            parts.append(DETAILS["MISSING_COLUMNS"].format(missing=missing))
         if unexpected:
-            parts.append(f"Unexpected columns: {unexpected}")
+            parts.append(DETAILS["UNEXPECTED_COLUMNS"].format(unexpected=unexpected))
         ok = not missing and not unexpected
-        return _const_result(rule, "Schema Validation", ok, 0 if ok else 1, "; ".join(parts))
+        return _const_result(rule, TITLES["SCHEMA"], ok, 0 if ok else 1, "; ".join(parts))
     ok = not missing
-    return _const_result(rule, "Required Columns Validation", ok, 0 if ok else 1,
-                         f"Missing columns: {missing}")
+    return _const_result(rule, TITLES["REQUIRED_COLUMN"], ok, 0 if ok else 1,
+                         DETAILS["MISSING_COLUMNS"].format(missing=missing))
 
 
 class _Compiled:
@@ -208,42 +242,42 @@ def _compile_row_rule(rule: Rule, comp: _Compiled, df: DataFrame) -> None:
     kind = rule.kind
     if not _resolves(df, c):
         comp.const_results.append(
-            _const_result(rule, f"{c} {_TITLES[kind]}", False, 0, f"Column '{c}' not found.")
+            _const_result(rule, f"{c} {TITLES[kind]}", False, 0, f"Column '{c}' not found.")
         )
         return
     col = F.col(c)
-    title = f"{c} {_TITLES[kind]}"
+    title = f"{c} {TITLES[kind]}"
     if kind == "NOT_NULL":
         a = comp.counter(F.count_if(col.isNull()))
         comp.row_results.append(lambda g, a=a: _result(
-            rule, title, g(a), _msg(g(a), f" NULL values found in '{c}'.")))
+            rule, title, g(a), _detail("NOT_NULL", g(a), c=c)))
     elif kind == "NON_NEGATIVE":
         a = comp.counter(F.count_if(col.try_cast("double") < 0))
         comp.row_results.append(lambda g, a=a: _result(
-            rule, title, g(a), _msg(g(a), f" record(s) have a negative value in '{c}'.")))
+            rule, title, g(a), _detail("NON_NEGATIVE", g(a), c=c)))
     elif kind == "ALLOWED_VALUES":
         allowed = parse_allowed_values(rule.value)
         a = comp.counter(F.count_if(~col.cast("string").isin(allowed)))
         comp.row_results.append(lambda g, a=a: _result(
-            rule, title, g(a), _msg(g(a), f" record(s) contain invalid values for '{c}'.")))
+            rule, title, g(a), _detail("ALLOWED_VALUES", g(a), c=c)))
     elif kind == "REGEX":
         if not rule.value:
             raise ConfigurationError("REGEX needs a pattern in rule_value")
         a = comp.counter(F.count_if(~col.cast("string").rlike(rule.value)))
         comp.row_results.append(lambda g, a=a: _result(
-            rule, title, g(a), _msg(g(a), " record(s) failed regex validation.")))
+            rule, title, g(a), _detail("REGEX", g(a))))
     elif kind == "NUMERIC_RANGE":
         lo, hi = parse_numeric_range(rule.value)
         num = col.try_cast("double")
         a = comp.counter(F.count_if((num < F.lit(lo)) | (num > F.lit(hi))))
         comp.row_results.append(lambda g, a=a: _result(
-            rule, title, g(a), _msg(g(a), f" record(s) are outside [{lo}, {hi}].")))
+            rule, title, g(a), _detail("NUMERIC_RANGE", g(a), lo=lo, hi=hi)))
     elif kind == "DATE_RANGE":
         lo_txt, hi_txt, lo, hi = parse_date_range(rule.value)
         d = col.try_cast("date")
         a = comp.counter(F.count_if((d < F.lit(lo)) | (d > F.lit(hi))))
         comp.row_results.append(lambda g, a=a: _result(
-            rule, title, g(a), _msg(g(a), f" record(s) are outside {lo_txt} - {hi_txt}.")))
+            rule, title, g(a), _detail("DATE_RANGE", g(a), lo=lo_txt, hi=hi_txt)))
     elif kind == "NULL_PERCENTAGE":
         threshold = float(rule.threshold if rule.threshold is not None else (rule.value or 0.0))
         a = comp.counter(F.count_if(col.isNull()))
@@ -252,8 +286,9 @@ def _compile_row_rule(rule: Rule, comp: _Compiled, df: DataFrame) -> None:
             nulls = F.coalesce(g(a), F.lit(0))
             total = F.coalesce(g("__n"), F.lit(0))
             pct = F.when(total == 0, F.lit(0.0)).otherwise(nulls / total * 100)
-            details = F.format_string(
-                f"NULL percentage %.2f%% exceeds threshold {threshold:.2f}%%.", pct)
+            # the percentage is data: its {pct:.2f} becomes a %.2f of format_string
+            template = DETAILS["NULL_PERCENTAGE"].replace("%", "%%").replace("{pct:.2f}", "%.2f")
+            details = F.format_string(template.format(threshold=threshold), pct)
             return _result(rule, title, nulls, details, passed=pct <= F.lit(threshold))
 
         comp.row_results.append(build)
@@ -261,29 +296,15 @@ def _compile_row_rule(rule: Rule, comp: _Compiled, df: DataFrame) -> None:
         raise ConfigurationError(f"not a row rule: {kind}")
 
 
-# Rule-name suffixes per rule type.
-_TITLES = {
-    "NOT_NULL": "Not Null Validation",
-    "NON_NEGATIVE": "Non-Negative Validation",
-    "ALLOWED_VALUES": "Allowed Values Validation",
-    "REGEX": "Regex Validation",
-    "NUMERIC_RANGE": "Numeric Range Validation",
-    "DATE_RANGE": "Date Range Validation",
-    "NULL_PERCENTAGE": "Null Percentage Validation",
-    "DUPLICATE_KEY": "Duplicate Key Validation",
-}
-
 
 def _dup_key_result(rule: Rule, failed: Column) -> Column:
     label = rule.display or ", ".join(rule.key_columns)
-    return _result(
-        rule, f"{label} {_TITLES['DUPLICATE_KEY']}", failed,
-        _msg(failed, f" record(s) belong to duplicate business keys in '{label}'."))
+    return _result(rule, f"{label} {TITLES['DUPLICATE_KEY']}", failed,
+                   _detail("DUPLICATE_KEY", failed, c=label))
 
 
 def _dup_row_result(rule: Rule, failed: Column) -> Column:
-    return _result(rule, "Duplicate Row Validation", failed,
-                   F.concat(F.lit("Found "), failed.cast("string"), F.lit(" duplicate row(s).")))
+    return _result(rule, TITLES["DUPLICATE_ROW"], failed, _detail("DUPLICATE_ROW", failed))
 
 
 def _keys_not_null(keys: Sequence[str]) -> Column:
@@ -324,7 +345,7 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
             if missing or not rule.key_columns:
                 label = ", ".join(rule.key_columns)
                 comp.const_results.append(_const_result(
-                    rule, f"{label} {_TITLES['DUPLICATE_KEY']}", False, 0,
+                    rule, f"{label} {TITLES['DUPLICATE_KEY']}", False, 0,
                     f"Column(s) not found: {missing}."))
             else:
                 dup_keys.append(rule)
@@ -550,7 +571,8 @@ def referential_report(df: DataFrame, column: str, ref_df: DataFrame, ref_column
     ref = ref_df.select(F.col(ref_column).alias("__k"))
     missing = keys.join(ref, "__k", "left_anti").agg(F.sum("__n").alias("__m"))
     rule = Rule("REFERENTIAL", column, severity=severity)
+    n = F.coalesce(F.col("__m"), F.lit(0))
     res = _result(rule, f"{column} Referential Integrity Validation", F.col("__m"),
-                  _msg(F.coalesce(F.col("__m"), F.lit(0)),
-                       f" record(s) reference keys missing from '{ref_column}'."))
+                  F.concat(n.cast("string"),
+                           F.lit(f" record(s) reference keys missing from '{ref_column}'.")))
     return missing.select(F.inline(F.array(res))).select(*RESULT_COLUMNS)

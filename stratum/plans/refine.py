@@ -15,7 +15,7 @@ from stratum.operators.projection import (
     get_transform,
     output_columns,
 )
-from stratum.operators.rules import Rule, quality_report, raise_on_failure
+from stratum.operators.rules import TITLES, Rule, quality_report, raise_on_failure
 from stratum.plans.control import Lakehouse, config_for
 from stratum.plans.ingest import bronze_current
 from stratum.plans.runlog import new_run_id, run_event
@@ -40,7 +40,7 @@ def output_rules(entity: str) -> list[Rule]:
         non_neg = SILVER_NON_NEGATIVE.get(entity, [])
     else:
         return []
-    rules = [Rule("SCHEMA", expected=expected, name="Silver Schema Validation")]
+    rules = [Rule("SCHEMA", expected=expected, name=TITLES["SILVER_SCHEMA"])]
     rules += [Rule("NOT_NULL", c) for c in not_null]
     rules += [Rule("NON_NEGATIVE", c) for c in non_neg]
     return rules
