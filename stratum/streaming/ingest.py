@@ -73,8 +73,13 @@ def _process_batch(spark: SparkSession, lake: Lakehouse, cfg: dict, rules, strea
 
 def stream_ingest(spark: SparkSession, lake: Lakehouse, cfg: dict,
                   validation_rules: DataFrame | None = None, stream_name: str | None = None,
-                  max_files_per_trigger: int | None = None) -> None:
-    """Process every pending file of ``cfg['source_path']`` and stop."""
+                  max_files_per_trigger: int | None = 1000) -> None:
+    """Process every pending file of ``cfg['source_path']`` and stop.
+
+    A backlog is drained in micro-batches of at most ``max_files_per_trigger``
+    files, so the persisted batch (checks, write and state read it) stays
+    bounded however much has arrived.
+    """
     entity = cfg["entity_name"]
     name = stream_name or entity
     schema = get_schema(cfg["schema_file"])

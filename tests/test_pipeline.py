@@ -314,3 +314,18 @@ def test_quick_check_and_hash_limit(spark, setup):
     assert (r.status, r.files) == ("SUCCESS", 1)
     state = lake.read_log(spark, "ingestion_state").filter(F.col("event") == "LOADED")
     assert state.filter(F.col("content_hash").isNull()).count() == 0
+
+
+def test_stream_backlog_in_bounded_batches(spark, tmp_path):
+    from stratum.streaming.ingest import stream_ingest
+
+    landing = tmp_path / "landing" / "results"
+    landing.mkdir(parents=True)
+    for i in range(5):
+        write_array(landing / f"b{i}.json", result_rows(2020 + i, 1, 2))
+    lake = ctl.Lakehouse(str(tmp_path / "lake"))
+    cfg = ctl.config_for(ctl.seed_entity_config(spark, str(tmp_path / "landing")), "results")
+    stream_ingest(spark, lake, cfg, max_files_per_trigger=2)
+    runs = lake.runs(spark).collect()
+    assert len(runs) == 3 and all(r.status == "SUCCESS" for r in runs)
+    assert bronze_current(spark, lake, cfg).count() == 10
