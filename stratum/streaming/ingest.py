@@ -51,7 +51,8 @@ def _process_batch(spark: SparkSession, lake: Lakehouse, cfg: dict, rules, strea
             if part:
                 out = add_year_partition(out, part, cfg.get("partition_source") or "date")
             out = out.withColumn("_ingestion_ts", F.current_timestamp())
-            write_table(out, f"{target}/_pipeline_run_id={run_id}", "overwrite", part)
+            write_table(out, f"{target}/_pipeline_run_id={run_id}", "overwrite", part,
+                        rebalance=bool(part))
             files = batch.groupBy(F.col("_source_file").alias("source_file")).agg(
                 F.max("_file_size").alias("file_size"),
                 F.max("_file_mtime").alias("last_modified_time"))
