@@ -85,23 +85,32 @@ def changed_files(inventory: DataFrame, state: DataFrame, compare_hash: bool = T
             .select(*inventory.columns, "change_kind"))
 
 
-def current_state(state_log: DataFrame, entity_name: str | None = None) -> DataFrame:
-    """Current per-file state from the append-only state log.
-
-    LOADED events after the entity's last RESET count; of those the latest per
-    (entity, file) wins.
-    """
+def loaded_events(state_log: DataFrame, entity_name: str | None = None) -> DataFrame:
+    """LOADED events after the entity's last RESET."""
     log = state_log
     if entity_name is not None:
         log = log.filter(F.col("entity_name") == F.lit(entity_name))
     resets = (log.filter(F.col("event") == "RESET").groupBy("entity_name")
               .agg(F.max("processed_at").alias("__reset_at")))
-    loaded = (log.filter(F.col("event") == "LOADED").join(resets, "entity_name", "left")
-              .filter(F.col("__reset_at").isNull() | (F.col("processed_at") > F.col("__reset_at")))
-              .drop("__reset_at"))
+    return (log.filter(F.col("event") == "LOADED").join(resets, "entity_name", "left")
+            .filter(F.col("__reset_at").isNull() | (F.col("processed_at") > F.col("__reset_at")))
+            .drop("__reset_at"))
+
+
+def current_state(state_log: DataFrame, entity_name: str | None = None) -> DataFrame:
+    """Current per-file state from the append-only state log: of the LOADED
+    events after the entity's last RESET, the latest per (entity, file)."""
+    loaded = loaded_events(state_log, entity_name)
     return latest_per_key(loaded, ["entity_name", "source_file"], ["processed_at", "run_id"])
 
 
+def committed_run_rows(bronze: DataFrame, state_log: DataFrame, entity_name: str,
+                       run_col: str = "_pipeline_run_id") -> DataFrame:
+    """Append view: rows of every committed run (after the last RESET)."""
+    runs = loaded_events(state_log, entity_name).select(F.col("run_id").alias(run_col)).distinct()
+    return bronze.join(runs, [run_col], "left_semi")
+
+
 def current_rows(bronze: DataFrame, state: DataFrame, file_col: str = "_source_file",
                  run_col: str = "_pipeline_run_id") -> DataFrame:
     """Bronze rows that belong to the latest committed load of their file.

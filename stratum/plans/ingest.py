@@ -36,7 +36,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
 
 from stratum.errors import ConfigurationError, ValidationError
-from stratum.operators.changes import changed_files, current_rows, current_state, latest_run_rows
+from stratum.operators.changes import (
+    changed_files,
+    committed_run_rows,
+    current_rows,
+    current_state,
+    latest_run_rows,
+    loaded_events,
+)
 from stratum.operators.lineage import add_year_partition, drop_lineage, with_source_file
 from stratum.operators.rules import RESULT_COLUMNS, load_rules, quality_report
 from stratum.plans.control import Lakehouse, config_for
@@ -111,9 +118,9 @@ def bronze_current(spark: SparkSession, lake: Lakehouse, cfg: dict) -> DataFrame
     """Committed bronze rows of an entity.
 
     File-tracked entities: per file, the rows of its latest committed load.
-    Other entities: the rows of the latest committed run (a full load replaces
-    everything, and a failed or empty full load leaves the previous one
-    visible).
+    Incremental entities without file tracking: the rows of every committed run
+    (append).  Full loads: the rows of the latest committed run (a full load
+    replaces everything; a failed or empty one leaves the previous visible).
     """
     target = lake.table_path(cfg["target_schema"], cfg["target_table"])
     schema = bronze_schema(cfg)
@@ -121,9 +128,12 @@ def bronze_current(spark: SparkSession, lake: Lakehouse, cfg: dict) -> DataFrame
         bronze = spark.read.schema(schema).parquet(target)
     else:
         bronze = spark.createDataFrame([], schema)
-    state = current_state(lake.read_log(spark, "ingestion_state"), cfg["entity_name"])
+    log = lake.read_log(spark, "ingestion_state")
+    state = current_state(log, cfg["entity_name"])
     if cfg.get("incremental_strategy") == "file_tracking":
         return current_rows(bronze, state)
+    if (cfg.get("load_type") or "").lower() == "incremental":
+        return committed_run_rows(bronze, log, cfg["entity_name"])
     return latest_run_rows(bronze, state)
 
 
@@ -265,9 +275,13 @@ def vacuum_bronze(spark: SparkSession, lake: Lakehouse, cfg: dict,
     target = lake.table_path(cfg["target_schema"], cfg["target_table"])
     if not path_exists(spark, target):
         return []
-    state = current_state(lake.read_log(spark, "ingestion_state"), cfg["entity_name"])
+    log = lake.read_log(spark, "ingestion_state")
+    state = current_state(log, cfg["entity_name"])
     if cfg.get("incremental_strategy") == "file_tracking":
         keep = {r[0] for r in state.select("run_id").distinct().collect()}
+    elif (cfg.get("load_type") or "").lower() == "incremental":
+        keep = {r[0] for r in loaded_events(log, cfg["entity_name"])
+                .select("run_id").distinct().collect()}
     else:
         last = state.agg(F.max_by("run_id", F.struct("processed_at", "run_id"))).first()[0]
         keep = {last} if last else set()

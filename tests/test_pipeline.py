@@ -329,3 +329,16 @@ def test_stream_backlog_in_bounded_batches(spark, tmp_path):
     runs = lake.runs(spark).collect()
     assert len(runs) == 3 and all(r.status == "SUCCESS" for r in runs)
     assert bronze_current(spark, lake, cfg).count() == 10
+
+
+def test_incremental_without_tracking_appends(spark, setup):
+    lake, cfg, landing = setup
+    plain = cfg.withColumn("incremental_strategy", F.lit(None).cast("string"))
+    assert ingest(spark, lake, "results", plain).files == 0
+    assert ingest(spark, lake, "results", plain).status == "SUCCESS"
+    # every run appends all files again (no change detection configured)
+    assert bronze_current(spark, lake, ctl.config_for(plain, "results")).count() == 18
+    from stratum.plans.ingest import vacuum_bronze
+
+    assert vacuum_bronze(spark, lake, ctl.config_for(plain, "results"), retain_hours=0) == []
+    assert bronze_current(spark, lake, ctl.config_for(plain, "results")).count() == 18
