@@ -296,7 +296,6 @@ def _compile_row_rule(rule: Rule, comp: _Compiled, df: DataFrame) -> None:
         raise ConfigurationError(f"not a row rule: {kind}")
 
 
-
 def _dup_key_result(rule: Rule, failed: Column) -> Column:
     label = rule.display or ", ".join(rule.key_columns)
     return _result(rule, f"{label} {TITLES['DUPLICATE_KEY']}", failed,
