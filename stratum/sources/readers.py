@@ -64,7 +64,17 @@ def read_source(
     CSV columns bind by position; ``strict_header`` makes a header that does
     not match the schema an error instead.
     """
-    df = reader(spark, source_format, schema, multiline, options, strict_header).load(source_path)
+    r = reader(spark, source_format, schema, multiline, options, strict_header)
+    recursive = str((options or {}).get("recursiveFileLookup", "false")).lower() == "true"
+    if recursive:
+        # many sub-folders: list them with a parallel job (no partition
+        # inference is involved, so splitting the root is safe)
+        from stratum.sources.inventory import expand_paths
+
+        paths = expand_paths(spark, source_path)
+        df = r.load(paths) if len(paths) > 1 else r.load(source_path)
+    else:
+        df = r.load(source_path)
     if files_to_include is None:
         return df
     if isinstance(files_to_include, DataFrame):
