@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.errors import StateError
+
 INVENTORY_DDL = (
     "source_file string, last_modified_time timestamp, file_size bigint, content_hash string"
 )
@@ -51,7 +53,10 @@ def file_inventory(spark: SparkSession, source_path: str, hash_content: bool = T
     if glob:
         r = r.option("pathGlobFilter", glob)
     paths = expand_paths(spark, source_path)
-    df = r.load(paths if len(paths) > 1 else source_path)
+    try:
+        df = r.load(paths if len(paths) > 1 else source_path)
+    except Exception as exc:  # noqa: BLE001 - missing or unreadable source folder
+        raise StateError(f"Failed to read source file metadata from '{source_path}': {exc}") from exc
     if only_files is not None:
         # restrict to known files; applied at listing, others are never read
         df = df.filter(F.col("_metadata.file_path").isin(list(only_files)))

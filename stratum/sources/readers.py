@@ -66,15 +66,18 @@ def read_source(
     """
     r = reader(spark, source_format, schema, multiline, options, strict_header)
     recursive = str((options or {}).get("recursiveFileLookup", "false")).lower() == "true"
-    if recursive:
-        # many sub-folders: list them with a parallel job (no partition
-        # inference is involved, so splitting the root is safe)
-        from stratum.sources.inventory import expand_paths
-
-        paths = expand_paths(spark, source_path)
-        df = r.load(paths) if len(paths) > 1 else r.load(source_path)
-    else:
-        df = r.load(source_path)
+    try:
+        if recursive:
+            # many sub-folders: list them with a parallel job (no partition
+            # inference is involved, so splitting the root is safe)
+            from stratum.sources.inventory import expand_paths
+
+            paths = expand_paths(spark, source_path)
+            df = r.load(paths) if len(paths) > 1 else r.load(source_path)
+        else:
+            df = r.load(source_path)
+    except Exception as exc:  # noqa: BLE001 - missing path, unreadable folder, ...
+        raise ReadError(f"Failed to read source '{source_path}': {exc}") from exc
     if files_to_include is None:
         return df
     if isinstance(files_to_include, DataFrame):

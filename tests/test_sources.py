@@ -44,6 +44,16 @@ def test_json_array_multiline(spark, tmp_path):
 def test_unsupported_format(spark, tmp_path):
     with pytest.raises(ReadError):
         read_source(spark, str(tmp_path), "xml", "a string")
+    with pytest.raises(ReadError, match="Failed to read source"):
+        read_source(spark, str(tmp_path / "missing"), "csv", "a string")
+
+
+def test_inventory_of_missing_folder(spark, tmp_path):
+    from stratum.errors import StateError
+    from stratum.sources.inventory import file_inventory
+
+    with pytest.raises(StateError):
+        file_inventory(spark, str(tmp_path / "missing"))
 
 
 def test_discover_and_preview(spark, tmp_path):
