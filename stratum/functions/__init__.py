@@ -11,3 +11,4 @@ from stratum.functions.columns import (  # noqa: F401
     snake_case_name,
     truncate_text,
 )
+from stratum.functions.sql import SQL_FUNCTIONS, register_sql_functions  # noqa: F401

@@ -81,7 +81,11 @@ class Engine:
 
     def register_views(self, prefix: str = "") -> list[str]:
         """Temp views for SQL: control logs, configuration and rule tables,
-        and ``bronze_<entity>`` (committed rows) for every configured entity."""
+        and ``bronze_<entity>`` (committed rows) for every configured entity;
+        also registers the SQL column functions (``snake_case``, ...)."""
+        from stratum.functions.sql import register_sql_functions
+
+        register_sql_functions(self.spark)
         names = self.lake.register_views(self.spark, prefix)
         tables = {"entity_config": self.entities, "silver_entity_config": self.refine_entities,
                   "validation_rules": self.validation_rules, "dq_rules": self.dq_rules}

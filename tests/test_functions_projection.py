@@ -86,3 +86,24 @@ def test_output_checks(spark):
     msg = str(e.value)
     assert msg.startswith("Silver validation failed for entity 'results': ")
     assert "NULL values found in 'driver_id'" in msg and "negative value in 'grid'" in msg
+
+
+def test_sql_functions_agree_with_column_functions(spark):
+    from stratum.functions.sql import register_sql_functions
+
+    register_sql_functions(spark)
+    nbsp = "\u00a0"
+    marker = "\\N"  # the two characters backslash, N
+    texts = ["CircuitId", "driverId", "Race Name", "HTTPResponse", "  pad " + nbsp, "   ", None,
+             marker, "a" * 600, "1999-12-31", "bad-date"]
+    df = spark.createDataFrame([(t, float(i) * 37.3) for i, t in enumerate(texts)], "x string, s double")
+    df.createOrReplaceTempView("fn_input")
+    got = spark.sql(
+        "SELECT snake_case(x) a, safe_strip(x) b, replace_null_marker(x, m) c, "
+        "truncate_text(x, 500) d, format_duration(s) e, safe_year(x) f "
+        "FROM fn_input CROSS JOIN (SELECT '\\\\N' AS m)").collect()
+    exp = df.select(fn.snake_case("x").alias("a"), fn.safe_strip("x").alias("b"),
+                    fn.replace_null_marker("x").alias("c"), fn.truncate_text("x", 500).alias("d"),
+                    fn.format_duration("s").alias("e"), fn.safe_year("x").alias("f")).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in exp]
+    assert exp[7]["c"] is None and exp[4]["b"] == "pad"
