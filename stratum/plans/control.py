@@ -63,12 +63,15 @@ class Lakehouse:
     def table_path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
-    def read_log(self, spark: SparkSession, name: str) -> DataFrame:
-        return read_log(spark, self.log_path(name), LOG_SCHEMAS[name])
+    def read_log(self, spark: SparkSession, name: str, sub: str | None = None) -> DataFrame:
+        """A log, or only its ``sub`` folder (e.g. one entity's state)."""
+        path = self.log_path(name) if sub is None else f"{self.log_path(name)}/{_safe(sub)}"
+        return read_log(spark, path, LOG_SCHEMAS[name])
 
-    def compact(self, spark: SparkSession, name: str) -> int:
-        """Merge the small batches of one log (a maintenance job)."""
-        return compact_log(spark, self.log_path(name), LOG_SCHEMAS[name])
+    def compact(self, spark: SparkSession, name: str, sub: str | None = None) -> int:
+        """Merge the small batches of one log (or of one sub folder)."""
+        path = self.log_path(name) if sub is None else f"{self.log_path(name)}/{_safe(sub)}"
+        return compact_log(spark, path, LOG_SCHEMAS[name])
 
     def results(self, spark: SparkSession, stage: str | None = None) -> DataFrame:
         """Persisted rule results; ``stage`` = 'validation' or 'dq'."""
@@ -108,9 +111,22 @@ class Lakehouse:
             df.createOrReplaceTempView(prefix + name)
         return [prefix + n for n in views]
 
-    def append(self, df: DataFrame, name: str, one_file: bool = False) -> None:
+    def append(self, df: DataFrame, name: str, one_file: bool = False,
+               sub: str | None = None) -> None:
+        """Append a batch to a log; ``sub`` files it under a sub folder (the
+        state log keeps one per entity, so a run reads only its entity's
+        history, while readers of the whole log still see every batch)."""
+        path = self.log_path(name) if sub is None else f"{self.log_path(name)}/{_safe(sub)}"
         append_log(df.select(*[f.name for f in spark_schema(df.sparkSession, name).fields]),
-                   self.log_path(name), one_file=one_file)
+                   path, one_file=one_file)
+
+
+def _safe(name: str) -> str:
+    """A folder name for an entity (no separators, no hidden prefix)."""
+    import re
+
+    cleaned = re.sub(r"[^A-Za-z0-9_.-]", "_", name)
+    return "e-" + cleaned if cleaned.startswith(("_", ".")) else cleaned
 
 
 def spark_schema(spark: SparkSession, name: str):

@@ -99,7 +99,7 @@ def reset_state(spark: SparkSession, lake: Lakehouse, entity: str) -> None:
         F.lit(None).cast("string").alias("content_hash"), F.lit("RESET").alias("status"),
         F.lit(None).cast("string").alias("run_id"), F.current_timestamp().alias("processed_at"),
         F.lit(None).cast("bigint").alias("processing_duration_ms"), F.lit("RESET").alias("event"))
-    lake.append(ev, "ingestion_state", one_file=True)
+    lake.append(ev, "ingestion_state", one_file=True, sub=entity)
 
 
 def bronze_schema(cfg: dict) -> StructType:
@@ -128,7 +128,7 @@ def bronze_current(spark: SparkSession, lake: Lakehouse, cfg: dict) -> DataFrame
         bronze = spark.read.schema(schema).parquet(target)
     else:
         bronze = spark.createDataFrame([], schema)
-    log = lake.read_log(spark, "ingestion_state")
+    log = lake.read_log(spark, "ingestion_state", sub=cfg["entity_name"])
     state = current_state(log, cfg["entity_name"])
     if cfg.get("incremental_strategy") == "file_tracking":
         return current_rows(bronze, state)
@@ -175,7 +175,8 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
         if tracking:
             if not path_exists(spark, target):
                 reset_state(spark, lake, entity_name)
-            state = current_state(lake.read_log(spark, "ingestion_state"), entity_name)
+            state = current_state(lake.read_log(spark, "ingestion_state", sub=entity_name),
+                                  entity_name)
             staging = lake.log_path(f"_staging/{run_id}/changed_files")
             if trust_metadata and hash_content:
                 listing = file_inventory(spark, cfg["source_path"], hash_content=False)
@@ -252,7 +253,7 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
             F.current_timestamp().alias("processed_at"),
             F.lit(elapsed_ms).cast("bigint").alias("processing_duration_ms"),
             F.lit("LOADED").alias("event"))
-        lake.append(state_rows, "ingestion_state", one_file=True)  # commit point
+        lake.append(state_rows, "ingestion_state", one_file=True, sub=entity_name)  # commit point
         files = len(changed_paths) if tracking else 0
         return finish("SUCCESS", records, files, target)
     except Exception as exc:
@@ -275,7 +276,7 @@ def vacuum_bronze(spark: SparkSession, lake: Lakehouse, cfg: dict,
     target = lake.table_path(cfg["target_schema"], cfg["target_table"])
     if not path_exists(spark, target):
         return []
-    log = lake.read_log(spark, "ingestion_state")
+    log = lake.read_log(spark, "ingestion_state", sub=cfg["entity_name"])
     state = current_state(log, cfg["entity_name"])
     if cfg.get("incremental_strategy") == "file_tracking":
         keep = {r[0] for r in state.select("run_id").distinct().collect()}

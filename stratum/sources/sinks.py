@@ -102,8 +102,11 @@ def compact_log(spark: SparkSession, path: str, ddl: str, files: int = 1) -> int
     fs = root.getFileSystem(conf)
     if not fs.exists(root):
         return 0
+    import re
+
+    batch_name = re.compile(r"^\d{13}-[0-9a-f]{32}$")  # folders written by append_log
     batches = [st.getPath().toString() for st in fs.listStatus(root)
-               if st.isDirectory() and not st.getPath().getName().startswith(("_", "."))]
+               if st.isDirectory() and batch_name.match(st.getPath().getName())]
     if len(batches) < 2:
         return 0
     data = spark.read.schema(ddl).option("recursiveFileLookup", True).parquet(*batches)

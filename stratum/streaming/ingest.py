@@ -63,7 +63,7 @@ def _process_batch(spark: SparkSession, lake: Lakehouse, cfg: dict, rules, strea
                 F.current_timestamp().alias("processed_at"),
                 F.lit(None).cast("bigint").alias("processing_duration_ms"),
                 F.lit("LOADED").alias("event"))
-            lake.append(state, "ingestion_state", one_file=True)  # commit point
+            lake.append(state, "ingestion_state", one_file=True, sub=entity)  # commit point
             lake.append(run_event(spark, run_id, "bronze_stream", entity, "SUCCESS", records),
                         "pipeline_runs", one_file=True)
         finally:

@@ -201,6 +201,11 @@ def test_log_compaction(spark, setup):
     assert n >= 4
     assert {r.run_id: r.status for r in lake.runs(spark).collect()} == before
     assert lake.read_log(spark, "pipeline_runs").count() == 4
+    # the state log keeps one folder per entity: only batches inside are merged
+    state_before = lake.read_log(spark, "ingestion_state").count()
+    assert lake.compact(spark, "ingestion_state") == 0
+    lake.compact(spark, "ingestion_state", sub="results")
+    assert lake.read_log(spark, "ingestion_state", sub="results").count() == state_before
 
 
 def test_engine_facade(spark, tmp_path):
