@@ -68,7 +68,7 @@ class IngestResult:
 _STAGES = {"V": "validation", "D": "dq"}
 
 
-def _persist_results(spark: SparkSession, lake: Lakehouse, rows, run_id: str, entity: str) -> None:
+def persist_results(spark: SparkSession, lake: Lakehouse, rows, run_id: str, entity: str) -> None:
     """Append collected result rows (one per rule: small) to the results log;
     the label prefix tells the stage (V| validation, D| data quality)."""
     rows = [(_STAGES.get((r["rule_label"] or "?")[0], "validation"),)
@@ -227,7 +227,7 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
         records = next(r["failed_records"] for r in report if r["rule_type"] == "ROW_COUNT")
         v_rows = [r for r in report if (r["rule_label"] or "").startswith("V|")]
         d_rows = [r for r in report if (r["rule_label"] or "").startswith("D|")]
-        _persist_results(spark, lake, report, run_id, entity_name)
+        persist_results(spark, lake, report, run_id, entity_name)
         for rows, what in ((v_rows, "Validation"), (d_rows, "Data quality")):
             failed = _failed_errors(rows)
             if failed:

@@ -15,6 +15,8 @@ whose change detection compares mtime, size and content hash.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from stratum.errors import ValidationError
 from stratum.operators.lineage import add_year_partition
 from stratum.operators.rules import load_rules, quality_report
 from stratum.plans.control import Lakehouse
+from stratum.plans.ingest import persist_results
 from stratum.plans.runlog import run_event
 from stratum.sources.schemas import get_schema
 from stratum.sources.sinks import write_table
@@ -37,8 +40,9 @@ def _process_batch(spark: SparkSession, lake: Lakehouse, cfg: dict, rules, strea
         batch = batch.persist()
         try:
             report = quality_report(batch.drop("_source_file", "_file_mtime", "_file_size"),
-                                    rules, count_rows=True).collect()
+                                    rules, count_rows=True, with_label=True).collect()
             records = next(r["failed_records"] for r in report if r["rule_type"] == "ROW_COUNT")
+            persist_results(spark, lake, report, run_id, entity)
             failed = [r["details"] for r in report
                       if r["rule_type"] != "ROW_COUNT" and not r["passed"] and r["severity"] == "ERROR"]
             if failed:
@@ -74,7 +78,8 @@ def _process_batch(spark: SparkSession, lake: Lakehouse, cfg: dict, rules, strea
 
 def stream_ingest(spark: SparkSession, lake: Lakehouse, cfg: dict,
                   validation_rules: DataFrame | None = None, stream_name: str | None = None,
-                  max_files_per_trigger: int | None = 1000) -> None:
+                  max_files_per_trigger: int | None = 1000,
+                  dq_rules: DataFrame | None = None) -> None:
     """Process every pending file of ``cfg['source_path']`` and stop.
 
     A backlog is drained in micro-batches of at most ``max_files_per_trigger``
@@ -96,8 +101,12 @@ def stream_ingest(spark: SparkSession, lake: Lakehouse, cfg: dict,
         "*", F.col("_metadata.file_path").alias("_source_file"),
         F.col("_metadata.file_modification_time").alias("_file_mtime"),
         F.col("_metadata.file_size").alias("_file_size"))
-    rules = (load_rules(validation_rules, entity, expected_columns=schema.fieldNames())
-             if validation_rules is not None else [])
+    # validation and data-quality rules share one pass over each micro-batch
+    rules = []
+    for table, stage in ((validation_rules, "V"), (dq_rules, "D")):
+        if table is not None:
+            rules += [replace(r, label=f"{stage}|{r.label or ''}")
+                      for r in load_rules(table, entity, expected_columns=schema.fieldNames())]
     query = (stream.writeStream
              .foreachBatch(_process_batch(spark, lake, cfg, rules, name))
              .option("checkpointLocation", lake.log_path(f"_streams/{name}"))

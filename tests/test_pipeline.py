@@ -270,9 +270,11 @@ def test_stream_ingest_waves_and_failed_check(spark, tmp_path):
     assert bronze_current(spark, lake, cfg).count() == 5
     write_array(landing / "bad.json", [{**result_rows(2024, 2, 1)[0], "points": None}])
     with pytest.raises(Exception, match="Validation failed"):
-        stream_ingest(spark, lake, cfg, v)
+        stream_ingest(spark, lake, cfg, v, dq_rules=ctl.seed_dq_rules(spark))
     assert bronze_current(spark, lake, cfg).count() == 5
     assert "FAILED" in {r.status for r in lake.runs(spark).collect()}
+    stages = {r.stage for r in lake.results(spark).select("stage").distinct().collect()}
+    assert stages == {"validation", "dq"}
 
 
 def test_vacuum_keeps_committed_runs(spark, setup):
