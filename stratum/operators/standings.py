@@ -21,3 +21,18 @@ def standings(df: DataFrame, season: Column | str, member: Column | str, points:
     table = (df.groupBy(season_c.alias("season"), member_c.alias("member"))
              .agg(points.alias("points"), F.count_if(win).alias("wins")))
     return rank_desc(table, "season", "points", rank_col="position", method=method)
+
+
+def driver_standings(results: DataFrame, method: str = "range") -> DataFrame:
+    """Per season and driver of refined results: points, wins (position 1),
+    championship position.  Columns: season, driver_id, points, wins, position."""
+    s = standings(results, "season", "driver_id", F.sum("points"), F.col("position") == 1, method)
+    return s.select("season", F.col("member").alias("driver_id"), "points", "wins", "position")
+
+
+def constructor_standings(results: DataFrame, method: str = "range") -> DataFrame:
+    """Per season and constructor of refined results (all their drivers'
+    points).  Columns: season, constructor_id, points, wins, position."""
+    s = standings(results, "season", "constructor_id", F.sum("points"), F.col("position") == 1,
+                  method)
+    return s.select("season", F.col("member").alias("constructor_id"), "points", "wins", "position")

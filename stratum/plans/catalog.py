@@ -47,6 +47,8 @@ QUERIES = {
     "standings_supplier": q.standings_supplier,
     "standings_customer": q.standings_customer,
     "standings_nation": q.standings_nation,
+    "gold_driver_standings": q.gold_driver_standings,
+    "gold_constructor_standings": q.gold_constructor_standings,
     "ingest_incremental": q.ingest_incremental,
     "refine_orders": q.refine_orders,
     "stream_ingest": q.stream_ingest_query,

@@ -388,3 +388,17 @@ ORACLE["seeded_layers"] = " UNION ALL ".join(
         ("circuits", "customer"), ("constructors", "supplier"), ("drivers", "part"),
         ("races", "(SELECT DISTINCT year(o_orderdate), month(o_orderdate) FROM orders) r"),
         ("results", "orders"), ("sprints", "lineitem")])
+
+
+def _gold(member_sql: str, member: str) -> str:
+    return (
+        f"SELECT season, {member}, points, wins, "
+        "CAST(rank() OVER (PARTITION BY season ORDER BY points DESC) AS BIGINT) AS position FROM ("
+        f"SELECT CAST(year(l_shipdate) AS BIGINT) AS season, {member_sql} AS {member}, "
+        "sum(CAST(CAST(trunc(l_quantity) AS BIGINT) AS DOUBLE)) AS points, "
+        "CAST(count(*) FILTER (WHERE l_linenumber = 1) AS BIGINT) AS wins "
+        "FROM lineitem GROUP BY 1, 2) t")
+
+
+ORACLE["gold_driver_standings"] = _gold("CAST(l_suppkey AS VARCHAR)", "driver_id")
+ORACLE["gold_constructor_standings"] = _gold("CAST(l_partkey AS VARCHAR)", "constructor_id")

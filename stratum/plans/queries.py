@@ -21,7 +21,7 @@ from stratum.operators.rules import (
     quality_report,
     referential_report,
 )
-from stratum.operators.standings import standings
+from stratum.operators.standings import constructor_standings, driver_standings, standings
 from stratum.plans import control as ctl
 from stratum.plans import runlog
 from stratum.plans.engine import Engine
@@ -801,3 +801,21 @@ def seeded_layers(spark, data_dir):
         rows.append((entity, bronze[entity].status, bronze[entity].records, n))
     return sinks.literal_rows(spark, rows, "entity_name string, bronze_status string, "
                                            "bronze_records bigint, refined_rows bigint")
+
+
+
+def gold_driver_standings(spark, data_dir):
+    """Driver standings over refined results (points = whole laps, so sums
+    are exact); a win is a first position."""
+    raw = raw_results(spark, data_dir)
+    refined = get_transform("transform_results")(
+        raw.withColumn("points", F.col("laps").cast("double")))
+    return driver_standings(refined)
+
+
+def gold_constructor_standings(spark, data_dir):
+    """Constructor standings over the same refined results."""
+    raw = raw_results(spark, data_dir)
+    refined = get_transform("transform_results")(
+        raw.withColumn("points", F.col("laps").cast("double")))
+    return constructor_standings(refined)
