@@ -11,14 +11,33 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from stratum.functions.columns import (
+    DURATION_MINUTES,
+    DURATION_SECONDS,
+    SNAKE_BOUNDARY,
+    SNAKE_SEPARATORS,
+    STRIP_EDGES,
+    TRUNCATE_SUFFIX,
+)
+
+
+def _lit(value: str) -> str:
+    """A Spark SQL string literal (backslash and quote escaped)."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_MINUTES = "floor(floor(s) / 60)"
+_SECONDS = f"floor(s) - {_MINUTES} * 60"
+
 SQL_FUNCTIONS = {
     "snake_case": (
         "x STRING", "STRING",
-        r"lower(regexp_replace(regexp_replace(x, '([a-z0-9])([A-Z])', '$1_$2'), '[\\s\\-]+', '_'))",
+        f"lower(regexp_replace(regexp_replace(x, {_lit(SNAKE_BOUNDARY)}, '$1_$2'), "
+        f"{_lit(SNAKE_SEPARATORS)}, '_'))",
     ),
     "safe_strip": (
         "x STRING", "STRING",
-        r"nullif(regexp_replace(x, '(?U)^\\s+|\\s+$', ''), '')",
+        f"nullif(regexp_replace(x, {_lit(STRIP_EDGES)}, ''), '')",
     ),
     "replace_null_marker": (
         "x STRING, marker STRING", "STRING",
@@ -26,13 +45,13 @@ SQL_FUNCTIONS = {
     ),
     "truncate_text": (
         "x STRING, n INT", "STRING",
-        "CASE WHEN length(x) <= n THEN x ELSE concat(substring(x, 1, n - 3), '...') END",
+        f"CASE WHEN length(x) <= n THEN x ELSE concat(substring(x, 1, n - {len(TRUNCATE_SUFFIX)}), "
+        f"{_lit(TRUNCATE_SUFFIX)}) END",
     ),
     "format_duration": (
         "s DOUBLE", "STRING",
-        "CASE WHEN floor(floor(s) / 60) != 0 "
-        "THEN format_string('%dm %ds', floor(floor(s) / 60), floor(s) - floor(floor(s) / 60) * 60) "
-        "ELSE format_string('%ds', floor(s) - floor(floor(s) / 60) * 60) END",
+        f"CASE WHEN {_MINUTES} != 0 THEN format_string({_lit(DURATION_MINUTES)}, {_MINUTES}, {_SECONDS}) "
+        f"ELSE format_string({_lit(DURATION_SECONDS)}, {_SECONDS}) END",
     ),
     "safe_year": (
         "x STRING", "INT",
