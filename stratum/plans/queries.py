@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.functions import columns as fn
+from stratum.functions.columns import NULL_MARKER
 from stratum.operators import changes as chg
 from stratum.operators import lineage as lin
 from stratum.operators.projection import Field, get_transform, register_transform
@@ -255,7 +256,6 @@ def stamp_lineage(spark, data_dir):
 
 # ------------------------------------------------------------ projections
 
-NULL_MARKER = "\\N"
 
 
 def _date_text(c):
