@@ -47,6 +47,7 @@ from stratum.operators.changes import (
 from stratum.operators.lineage import add_year_partition, drop_lineage, with_source_file
 from stratum.operators.rules import RESULT_COLUMNS, load_rules, quality_report
 from stratum.plans.control import Lakehouse, config_for
+from stratum.plans.locks import entity_lock
 from stratum.plans.runlog import new_run_id, run_event
 from stratum.sources.inventory import file_inventory
 from stratum.sources.readers import read_source
@@ -140,14 +141,17 @@ def bronze_current(spark: SparkSession, lake: Lakehouse, cfg: dict) -> DataFrame
 def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: DataFrame,
            validation_rules: DataFrame | None = None, dq_rules: DataFrame | None = None,
            pipeline_name: str = "bronze_ingestion", hash_content: bool = True,
-           trust_metadata: bool = False, max_hash_bytes: int | None = None) -> IngestResult:
+           trust_metadata: bool = False, max_hash_bytes: int | None = None,
+           lock: bool = True) -> IngestResult:
     """Ingest one entity (see the module docstring for the steps).
 
     Change detection is exact by default: every file is hashed each run, so a
     rewrite that keeps size and mtime is still found.  ``trust_metadata``
     hashes only files whose mtime or size changed (or that are new) — hashing
     cost proportional to the changed bytes, at the price of missing such
-    rewrites.  ``max_hash_bytes`` leaves larger files unhashed.
+    rewrites.  ``max_hash_bytes`` leaves larger files unhashed.  With
+    ``lock`` a second run of the same entity fails fast instead of
+    overlapping (see :mod:`stratum.plans.locks`).
     """
     run_id = new_run_id()
     t0 = time.monotonic()
@@ -160,108 +164,120 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
         return IngestResult(status, run_id, records, files, target)
 
     try:
-        cfg = config_for(config_df, entity_name)
-        if cfg.get("active") is False:
-            return finish("SKIPPED")
-        schema = get_schema(cfg["schema_file"])
-        load_type = (cfg.get("load_type") or "").lower()
-        if load_type not in LOAD_TYPES:
-            raise ConfigurationError(f"Unsupported load type: {cfg.get('load_type')}")
-        target = lake.table_path(cfg["target_schema"], cfg["target_table"])
-        tracking = cfg.get("incremental_strategy") == "file_tracking"
-
-        changed = None
-        changed_paths: list[str] = []
-        if tracking:
-            if not path_exists(spark, target):
-                reset_state(spark, lake, entity_name)
-            state = current_state(lake.read_log(spark, "ingestion_state", sub=entity_name),
-                                  entity_name)
-            staging = lake.log_path(f"_staging/{run_id}/changed_files")
-            if trust_metadata and hash_content:
-                listing = file_inventory(spark, cfg["source_path"], hash_content=False)
-                candidates = [r[0] for r in changed_files(listing, state, compare_hash=False)
-                              .select("source_file").collect()]  # changed files only
-                inv = file_inventory(spark, cfg["source_path"], max_hash_bytes=max_hash_bytes,
-                                     only_files=candidates)
-                changed_files(inv, state, compare_hash=False).write.parquet(staging)
-            else:
-                inv = file_inventory(spark, cfg["source_path"], hash_content=hash_content,
-                                     max_hash_bytes=max_hash_bytes)
-                changed_files(inv, state).write.parquet(staging)
-            changed = spark.read.parquet(staging)
-            # one row per changed file: the paths double as emptiness test,
-            # file count and the scan's file-pruning predicate
-            changed_paths = [r[0] for r in changed.select("source_file").collect()]
-            if not changed_paths:
-                return finish("SKIPPED")
-
-        df = read_source(spark, cfg["source_path"], cfg["source_format"], schema,
-                         files_to_include=changed_paths if tracking else None,
-                         multiline=bool(cfg.get("multiline")),
-                         options={"recursiveFileLookup": "true"})
-        df = with_source_file(df)
-        part = cfg.get("partition_column")
-        if part:
-            df = add_year_partition(df, part, cfg.get("partition_source") or "date")
-        df = df.withColumn("_ingestion_ts", F.current_timestamp())
-
-        # The raw files are parsed once: straight into this run's own folder,
-        # which stays invisible until the state commit below.
-        run_dir = f"{target}/_pipeline_run_id={run_id}"
-        write_schema = df.schema
-        write_table(df, run_dir, "overwrite", part, rebalance=bool(part))
-
-        # Validation and data-quality rules, and the row count, in ONE pass
-        # over the written, column-pruned parquet of this run.  The count is
-        # an aggregate result, so task retries cannot inflate it.
-        written = spark.read.schema(write_schema).parquet(run_dir)
-        checked = written.select(*[c for c in drop_lineage(written).columns if c != part])
-        vrules = [replace(r, label=f"V|{r.label or ''}") for r in
-                  (load_rules(validation_rules, entity_name, expected_columns=schema.fieldNames())
-                   if validation_rules is not None else [])]
-        drules = [replace(r, label=f"D|{r.label or ''}") for r in
-                  (load_rules(dq_rules, entity_name, expected_columns=schema.fieldNames())
-                   if dq_rules is not None else [])]
-        report = quality_report(checked, vrules + drules, count_rows=True, with_label=True).collect()
-        records = next(r["failed_records"] for r in report if r["rule_type"] == "ROW_COUNT")
-        v_rows = [r for r in report if (r["rule_label"] or "").startswith("V|")]
-        d_rows = [r for r in report if (r["rule_label"] or "").startswith("D|")]
-        persist_results(spark, lake, report, run_id, entity_name)
-        for rows, what in ((v_rows, "Validation"), (d_rows, "Data quality")):
-            failed = _failed_errors(rows)
-            if failed:
-                remove_path(spark, run_dir)
-                raise ValidationError(f"{what} failed for entity '{entity_name}': {'; '.join(failed)}")
-        if records == 0:
-            remove_path(spark, run_dir)
-            return finish("SKIPPED")
-
-        elapsed_ms = int((time.monotonic() - t0) * 1000)
-        if tracking:
-            loaded = changed.select(
-                F.lit(entity_name).alias("entity_name"), "source_file", "file_size",
-                "last_modified_time", "content_hash")
-        else:
-            loaded = written.select("_source_file").distinct().select(
-                F.lit(entity_name).alias("entity_name"), F.col("_source_file").alias("source_file"),
-                F.lit(None).cast("bigint").alias("file_size"),
-                F.lit(None).cast("timestamp").alias("last_modified_time"),
-                F.lit(None).cast("string").alias("content_hash"))
-        state_rows = loaded.select(
-            "*", F.lit("SUCCESS").alias("status"), F.lit(run_id).alias("run_id"),
-            F.current_timestamp().alias("processed_at"),
-            F.lit(elapsed_ms).cast("bigint").alias("processing_duration_ms"),
-            F.lit("LOADED").alias("event"))
-        lake.append(state_rows, "ingestion_state", one_file=True, sub=entity_name)  # commit point
-        files = len(changed_paths) if tracking else 0
-        return finish("SUCCESS", records, files, target)
+        if lock:
+            with entity_lock(spark, lake.log_path(f"_locks/{entity_name}"), run_id):
+                return _ingest_steps(spark, lake, entity_name, config_df, validation_rules,
+                                     dq_rules, run_id, t0, finish, hash_content,
+                                     trust_metadata, max_hash_bytes)
+        return _ingest_steps(spark, lake, entity_name, config_df, validation_rules, dq_rules,
+                             run_id, t0, finish, hash_content, trust_metadata, max_hash_bytes)
     except Exception as exc:
         lake.append(run_event(spark, run_id, pipeline_name, entity_name, "FAILED",
                               error=str(exc)), "pipeline_runs", one_file=True)
         raise
 
 
+def _ingest_steps(spark, lake, entity_name, config_df, validation_rules, dq_rules, run_id, t0,
+                  finish, hash_content, trust_metadata, max_hash_bytes) -> IngestResult:
+    """The steps of :func:`ingest` (see the module docstring)."""
+    cfg = config_for(config_df, entity_name)
+    if cfg.get("active") is False:
+        return finish("SKIPPED")
+    schema = get_schema(cfg["schema_file"])
+    load_type = (cfg.get("load_type") or "").lower()
+    if load_type not in LOAD_TYPES:
+        raise ConfigurationError(f"Unsupported load type: {cfg.get('load_type')}")
+    target = lake.table_path(cfg["target_schema"], cfg["target_table"])
+    tracking = cfg.get("incremental_strategy") == "file_tracking"
+
+    changed = None
+    changed_paths: list[str] = []
+    if tracking:
+        if not path_exists(spark, target):
+            reset_state(spark, lake, entity_name)
+        state = current_state(lake.read_log(spark, "ingestion_state", sub=entity_name),
+                              entity_name)
+        staging = lake.log_path(f"_staging/{run_id}/changed_files")
+        if trust_metadata and hash_content:
+            listing = file_inventory(spark, cfg["source_path"], hash_content=False)
+            candidates = [r[0] for r in changed_files(listing, state, compare_hash=False)
+                          .select("source_file").collect()]  # changed files only
+            inv = file_inventory(spark, cfg["source_path"], max_hash_bytes=max_hash_bytes,
+                                 only_files=candidates)
+            changed_files(inv, state, compare_hash=False).write.parquet(staging)
+        else:
+            inv = file_inventory(spark, cfg["source_path"], hash_content=hash_content,
+                                 max_hash_bytes=max_hash_bytes)
+            changed_files(inv, state).write.parquet(staging)
+        changed = spark.read.parquet(staging)
+        # one row per changed file: the paths double as emptiness test,
+        # file count and the scan's file-pruning predicate
+        changed_paths = [r[0] for r in changed.select("source_file").collect()]
+        if not changed_paths:
+            return finish("SKIPPED")
+
+    df = read_source(spark, cfg["source_path"], cfg["source_format"], schema,
+                     files_to_include=changed_paths if tracking else None,
+                     multiline=bool(cfg.get("multiline")),
+                     options={"recursiveFileLookup": "true"})
+    df = with_source_file(df)
+    part = cfg.get("partition_column")
+    if part:
+        df = add_year_partition(df, part, cfg.get("partition_source") or "date")
+    df = df.withColumn("_ingestion_ts", F.current_timestamp())
+
+    # The raw files are parsed once: straight into this run's own folder,
+    # which stays invisible until the state commit below.
+    run_dir = f"{target}/_pipeline_run_id={run_id}"
+    write_schema = df.schema
+    write_table(df, run_dir, "overwrite", part, rebalance=bool(part))
+
+    # Validation and data-quality rules, and the row count, in ONE pass
+    # over the written, column-pruned parquet of this run.  The count is
+    # an aggregate result, so task retries cannot inflate it.
+    written = spark.read.schema(write_schema).parquet(run_dir)
+    checked = written.select(*[c for c in drop_lineage(written).columns if c != part])
+    vrules = [replace(r, label=f"V|{r.label or ''}") for r in
+              (load_rules(validation_rules, entity_name, expected_columns=schema.fieldNames())
+               if validation_rules is not None else [])]
+    drules = [replace(r, label=f"D|{r.label or ''}") for r in
+              (load_rules(dq_rules, entity_name, expected_columns=schema.fieldNames())
+               if dq_rules is not None else [])]
+    report = quality_report(checked, vrules + drules, count_rows=True, with_label=True).collect()
+    records = next(r["failed_records"] for r in report if r["rule_type"] == "ROW_COUNT")
+    v_rows = [r for r in report if (r["rule_label"] or "").startswith("V|")]
+    d_rows = [r for r in report if (r["rule_label"] or "").startswith("D|")]
+    persist_results(spark, lake, report, run_id, entity_name)
+    for rows, what in ((v_rows, "Validation"), (d_rows, "Data quality")):
+        failed = _failed_errors(rows)
+        if failed:
+            remove_path(spark, run_dir)
+            raise ValidationError(f"{what} failed for entity '{entity_name}': {'; '.join(failed)}")
+    if records == 0:
+        remove_path(spark, run_dir)
+        return finish("SKIPPED")
+
+    elapsed_ms = int((time.monotonic() - t0) * 1000)
+    if tracking:
+        loaded = changed.select(
+            F.lit(entity_name).alias("entity_name"), "source_file", "file_size",
+            "last_modified_time", "content_hash")
+    else:
+        loaded = written.select("_source_file").distinct().select(
+            F.lit(entity_name).alias("entity_name"), F.col("_source_file").alias("source_file"),
+            F.lit(None).cast("bigint").alias("file_size"),
+            F.lit(None).cast("timestamp").alias("last_modified_time"),
+            F.lit(None).cast("string").alias("content_hash"))
+    state_rows = loaded.select(
+        "*", F.lit("SUCCESS").alias("status"), F.lit(run_id).alias("run_id"),
+        F.current_timestamp().alias("processed_at"),
+        F.lit(elapsed_ms).cast("bigint").alias("processing_duration_ms"),
+        F.lit("LOADED").alias("event"))
+    lake.append(state_rows, "ingestion_state", one_file=True, sub=entity_name)  # commit point
+    files = len(changed_paths) if tracking else 0
+    return finish("SUCCESS", records, files, target)
+
+
 def vacuum_bronze(spark: SparkSession, lake: Lakehouse, cfg: dict,
                   retain_hours: float = 168.0) -> list[str]:
     """Delete bronze run folders that no current state row points to and that

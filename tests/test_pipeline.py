@@ -349,3 +349,20 @@ def test_incremental_without_tracking_appends(spark, setup):
 
     assert vacuum_bronze(spark, lake, ctl.config_for(plain, "results"), retain_hours=0) == []
     assert bronze_current(spark, lake, ctl.config_for(plain, "results")).count() == 18
+
+
+def test_entity_lock(spark, setup):
+    from stratum.plans.locks import EntityLockedError
+
+    lake, cfg, landing = setup
+    lock = lake.log_path("_locks/results")
+    os.makedirs(os.path.dirname(lock), exist_ok=True)
+    with open(lock, "w") as f:
+        f.write("run-elsewhere")
+    with pytest.raises(EntityLockedError):
+        ingest(spark, lake, "results", cfg)
+    assert "FAILED" in {r.status for r in lake.runs(spark).collect()}
+    old = time.time() - 7 * 3600  # a lock left behind by a dead driver expires
+    os.utime(lock, (old, old))
+    assert ingest(spark, lake, "results", cfg).status == "SUCCESS"
+    assert not os.path.exists(lock)  # released after the run
