@@ -18,6 +18,7 @@ from stratum.operators.projection import (
 from stratum.operators.rules import TITLES, Rule, quality_report, raise_on_failure
 from stratum.plans.control import Lakehouse, config_for
 from stratum.plans.ingest import bronze_current
+from stratum.plans.locks import entity_lock
 from stratum.plans.runlog import new_run_id, run_event
 from stratum.sources.sinks import write_table
 
@@ -69,11 +70,13 @@ def refine(spark: SparkSession, lake: Lakehouse, entity_name: str, refine_config
                         "pipeline_runs", one_file=True)
             return None
         bronze_cfg = config_for(bronze_config_df, cfg["source_table"])
-        source = bronze_current(spark, lake, bronze_cfg)
-        out = get_transform(cfg["transformation_name"])(source)
-        check_output(entity_name, out)
-        target = lake.table_path(cfg["target_schema"], cfg["target_table"])
-        write_table(add_refined_stamp(out, run_id), target, cfg.get("write_mode") or "overwrite")
+        with entity_lock(spark, lake.log_path(f"_locks/refine-{entity_name}"), run_id):
+            source = bronze_current(spark, lake, bronze_cfg)
+            out = get_transform(cfg["transformation_name"])(source)
+            check_output(entity_name, out)
+            target = lake.table_path(cfg["target_schema"], cfg["target_table"])
+            write_table(add_refined_stamp(out, run_id), target,
+                        cfg.get("write_mode") or "overwrite")
         lake.append(run_event(spark, run_id, pipeline_name, entity_name, "SUCCESS"),
                     "pipeline_runs", one_file=True)
         return spark.read.parquet(target)

@@ -25,6 +25,7 @@ from stratum.operators.lineage import add_year_partition
 from stratum.operators.rules import load_rules, quality_report
 from stratum.plans.control import Lakehouse
 from stratum.plans.ingest import persist_results
+from stratum.plans.locks import entity_lock
 from stratum.plans.runlog import run_event
 from stratum.sources.schemas import get_schema
 from stratum.sources.sinks import write_table
@@ -107,11 +108,14 @@ def stream_ingest(spark: SparkSession, lake: Lakehouse, cfg: dict,
         if table is not None:
             rules += [replace(r, label=f"{stage}|{r.label or ''}")
                       for r in load_rules(table, entity, expected_columns=schema.fieldNames())]
-    query = (stream.writeStream
-             .foreachBatch(_process_batch(spark, lake, cfg, rules, name))
-             .option("checkpointLocation", lake.log_path(f"_streams/{name}"))
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
+    # the same lock as batch ingest: a stream and a batch run of one entity
+    # never write its state at the same time
+    with entity_lock(spark, lake.log_path(f"_locks/{entity}"), f"stream-{name}"):
+        query = (stream.writeStream
+                 .foreachBatch(_process_batch(spark, lake, cfg, rules, name))
+                 .option("checkpointLocation", lake.log_path(f"_streams/{name}"))
+                 .trigger(availableNow=True)
+                 .start())
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
