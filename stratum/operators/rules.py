@@ -517,6 +517,40 @@ def rules_for(rules_df: DataFrame, entity_name: str) -> DataFrame:
     )
 
 
+def _to_rule(r, entity_name: str, expected_columns, skip_unknown: bool) -> Rule | None:
+    import logging
+
+    kind = (r["rule_type"] or "").upper()
+    if kind not in DEFAULT_SEVERITY and skip_unknown:
+        logging.getLogger("stratum").warning(
+            "skipping rule %r of %r: unknown type %r", r["rule_name"], entity_name, kind)
+        return None
+    expected = None
+    if kind == "SCHEMA":
+        expected = tuple(expected_columns or ())
+    elif kind == "REQUIRED_COLUMN" and r["column_name"]:
+        expected = tuple(c.strip() for c in r["column_name"].split(","))
+    return Rule(rule_type=kind, column=r["column_name"], value=r["rule_value"],
+                threshold=r["threshold"], severity=r["severity"], label=r["rule_name"],
+                expected=expected)
+
+
+def load_rules_by_entity(rules_df: DataFrame, entity_names: Sequence[str],
+                         expected_columns: dict | None = None,
+                         skip_unknown: bool = True) -> dict[str, list[Rule]]:
+    """Enabled rules of several entities with ONE collect (rule rows are small)."""
+    rows = (rules_df.filter(F.col("entity_name").isin(list(entity_names)) & F.col("enabled"))
+            .select("entity_name", "rule_name", "rule_type", "column_name", "rule_value",
+                    "threshold", "severity").collect())
+    out: dict[str, list[Rule]] = {e: [] for e in entity_names}
+    for r in rows:
+        rule = _to_rule(r, r["entity_name"], (expected_columns or {}).get(r["entity_name"]),
+                        skip_unknown)
+        if rule is not None:
+            out[r["entity_name"]].append(rule)
+    return out
+
+
 def load_rules(rules_df: DataFrame, entity_name: str,
                expected_columns: Sequence[str] | None = None,
                skip_unknown: bool = True) -> list[Rule]:
@@ -527,26 +561,8 @@ def load_rules(rules_df: DataFrame, entity_name: str,
     skipped (with a warning) unless ``skip_unknown`` is false; each result
     carries its own severity, so a skipped row cannot shift another's.
     """
-    import logging
-
-    out = []
-    for r in rules_for(rules_df, entity_name).collect():
-        kind = (r["rule_type"] or "").upper()
-        if kind not in DEFAULT_SEVERITY and skip_unknown:
-            logging.getLogger("stratum").warning(
-                "skipping rule %r of %r: unknown type %r", r["rule_name"], entity_name, kind)
-            continue
-        expected = None
-        if kind == "SCHEMA":
-            expected = tuple(expected_columns or ())
-        elif kind == "REQUIRED_COLUMN" and r["column_name"]:
-            expected = tuple(c.strip() for c in r["column_name"].split(","))
-        out.append(Rule(
-            rule_type=kind, column=r["column_name"], value=r["rule_value"],
-            threshold=r["threshold"], severity=r["severity"], label=r["rule_name"],
-            expected=expected,
-        ))
-    return out
+    return load_rules_by_entity(rules_df, [entity_name], {entity_name: expected_columns},
+                                skip_unknown)[entity_name]
 
 
 def stamp_results(report: DataFrame, run_id: str, entity_name: str) -> DataFrame:

@@ -18,7 +18,7 @@ from stratum.operators.rules import (
     RULES_DDL,
     Rule,
     gate,
-    load_rules,
+    load_rules_by_entity,
     quality_report,
     referential_report,
 )
@@ -141,12 +141,12 @@ def report_rules(spark: SparkSession) -> DataFrame:
 
 def quality_report_query(spark, data_dir):
     """Ten enabled rules on orders and customer, one scan per table."""
-    rules_df = report_rules(spark)
+    entities = ("orders", "customer")
+    rules = load_rules_by_entity(report_rules(spark), entities)  # one collect
     parts = []
-    for entity in ("orders", "customer"):
+    for entity in entities:
         df = table(spark, data_dir, entity)
-        rules = load_rules(rules_df, entity)
-        parts.append(quality_report(df, rules).withColumn("entity_name", F.lit(entity)))
+        parts.append(quality_report(df, rules[entity]).withColumn("entity_name", F.lit(entity)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
