@@ -88,11 +88,12 @@ def read_source(
 
 
 def discover_schema(spark: SparkSession, path: str, source_format: str = "csv",
-                    multiline: bool = False) -> StructType:
-    """Inferred schema of a path (exploration only: inference scans the data)."""
+                    multiline: bool = False, header: bool = True) -> StructType:
+    """Inferred schema of a path (exploration only: inference scans the data).
+    A headerless CSV gets Spark's positional names ``_c0, _c1, ...``."""
     r = spark.read.format(source_format)
     if source_format == "csv":
-        r = r.option("header", True).option("inferSchema", True)
+        r = r.option("header", header).option("inferSchema", True)
     else:
         r = r.option("multiLine", multiline)
     return r.load(path).schema

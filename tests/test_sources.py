@@ -64,6 +64,12 @@ def test_discover_and_preview(spark, tmp_path):
     assert [(f.name, f.dataType.simpleString()) for f in s.fields] == [
         ("id", "int"), ("name", "string"), ("score", "double")]
     assert preview(spark.read.option("header", True).csv(str(d)), 1).count() == 1
+    raw = tmp_path / "noheader"
+    raw.mkdir()
+    (raw / "f.csv").write_text("1,a,2.5\n2,b,3.0\n")
+    s2 = discover_schema(spark, str(raw), "csv", header=False)
+    assert [(f.name, f.dataType.simpleString()) for f in s2.fields] == [
+        ("_c0", "int"), ("_c1", "string"), ("_c2", "double")]
 
 
 def test_file_inventory_hash(spark, tmp_path):
