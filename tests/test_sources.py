@@ -97,3 +97,30 @@ def test_write_and_register(spark, tmp_path):
     assert table_exists(spark, name) and table_exists(spark, path)
     assert spark.table(name).count() == 3
     assert sorted(r.yr for r in spark.table(name).select("yr").distinct().collect()) == [2020, 2021]
+
+
+def test_subset_read_prunes_files_at_listing(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from stratum.sources.inventory import file_inventory
+
+    path = str(tmp_path / "many")
+    spark.range(500).withColumn("g", F.col("id") % 5).repartition(5, "g").write.partitionBy("g").json(path)
+    files = [r[0] for r in file_inventory(spark, path, hash_content=False).collect()]
+    assert len(files) == 5
+    df = read_source(spark, path, "json", "id long", files_to_include=files[:1],
+                     options={"recursiveFileLookup": "true"})
+    assert df.count() == 100
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+
+    def scans(node):
+        if "Scan" in node.nodeName():
+            yield node
+        it = node.children().iterator()
+        while it.hasNext():
+            yield from scans(it.next())
+
+    read = [n.metrics().apply("numFiles").value() for n in scans(plan)
+            if n.metrics().contains("numFiles")]
+    assert read == [1]  # only the selected file is listed for reading
