@@ -366,3 +366,12 @@ def test_entity_lock(spark, setup):
     os.utime(lock, (old, old))
     assert ingest(spark, lake, "results", cfg).status == "SUCCESS"
     assert not os.path.exists(lock)  # released after the run
+
+
+def test_current_view_prunes_run_folders(spark, setup):
+    lake, cfg, landing = setup
+    assert ingest(spark, lake, "results", cfg).status == "SUCCESS"
+    cur = bronze_current(spark, lake, ctl.config_for(cfg, "results"))
+    cur.collect()
+    plan = cur._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan.lower()  # run folders not referenced are skipped
