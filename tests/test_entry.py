@@ -41,3 +41,26 @@ def test_seed_tables(spark, tmp_path):
         "incremental", "race_year", True, "file_tracking")
     assert ctl.seed_dq_rules(spark).filter(F.col("rule_type") == "DUPLICATE_KEY").count() == 5
     assert ctl.seed_refine_config(spark).count() == 6
+
+
+def _final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_flagship_scans_each_table_once(spark):
+    plan = _final_plan(entry.entry(spark))
+    assert plan.count("FileScan parquet") == 2  # orders once, customer once
+
+
+def test_no_python_in_tasks_outside_the_rank(spark):
+    """Every registered query stays JVM-side except the distributed rank
+    (one Arrow-batched mapInPandas step)."""
+    python_nodes = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas")
+    for name in ("check_not_null", "check_duplicate_key", "check_duplicate_row_fingerprint",
+                 "quality_report", "refine_results", "fn_snake_case", "fn_safe_strip",
+                 "changed_files", "upsert_state", "run_latest", "current_rows",
+                 "check_referential"):
+        plan = _final_plan(entry.queries()[name](spark, entry.SMOKE_DIR))
+        assert not any(n in plan for n in python_nodes), name
+        assert "MapInPandas" not in plan, name
