@@ -124,3 +124,24 @@ def test_subset_read_prunes_files_at_listing(spark, tmp_path):
     read = [n.metrics().apply("numFiles").value() for n in scans(plan)
             if n.metrics().contains("numFiles")]
     assert read == [1]  # only the selected file is listed for reading
+
+
+def test_managed_write_listing_and_lineage_cut(spark, tmp_path):
+    from stratum.session import cut_lineage
+    from stratum.sources.inventory import list_files
+    from stratum.sources.sinks import write_managed
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    name = write_managed(df, "silver_test_managed.t", mode="overwrite")
+    write_managed(df.limit(1), name, mode="append")
+    assert spark.table(name).count() == 3
+    d = tmp_path / "ls"
+    d.mkdir()
+    (d / "x.txt").write_text("abc")
+    (d / "_hidden.txt").write_text("skip")
+    rows = list_files(spark, str(d)).collect()
+    assert [r.source_file.rsplit("/", 1)[1] for r in rows] == ["x.txt"]
+    assert rows[0].file_size == 3 and "content_hash" not in rows[0].asDict()
+    cut = cut_lineage(df.withColumn("w", df.id * 2))
+    assert sorted(r.w for r in cut.collect()) == [2, 4]
+    assert "ExistingRDD" in cut._jdf.queryExecution().executedPlan().toString()
