@@ -10,10 +10,13 @@ SF_DIR = os.environ.get("STRATUM_TEST_SF_DIR", "/root/testdata/sf0.01")
 
 @pytest.fixture(scope="session")
 def spark():
+    import tempfile
+
     from pyspark.sql import SparkSession
 
     spark = (
         SparkSession.builder.master("local[*]")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="stratum-wh-"))
         .appName("stratum-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")

@@ -132,7 +132,9 @@ def test_managed_write_listing_and_lineage_cut(spark, tmp_path):
     from stratum.sources.sinks import write_managed
 
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
-    name = write_managed(df, "silver_test_managed.t", mode="overwrite")
+    import uuid
+
+    name = write_managed(df, f"silver_test_managed.t_{uuid.uuid4().hex[:8]}", mode="overwrite")
     write_managed(df.limit(1), name, mode="append")
     assert spark.table(name).count() == 3
     d = tmp_path / "ls"
