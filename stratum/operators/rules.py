@@ -54,6 +54,7 @@ DEFAULT_SEVERITY = {
     "NUMERIC_RANGE": "ERROR",
     "DATE_RANGE": "ERROR",
     "NULL_PERCENTAGE": "WARNING",
+    "REFERENTIAL": "ERROR",
 }
 
 # Result texts.  ``{c}`` is the column (or key list), ``{n}``
@@ -314,7 +315,8 @@ def _keys_not_null(keys: Sequence[str]) -> Column:
 
 
 def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = False,
-                   with_label: bool = False) -> DataFrame:
+                   with_label: bool = False,
+                   references: dict[str, DataFrame] | None = None) -> DataFrame:
     """Evaluate all ``rules`` on ``df`` in one pass; one result row per rule.
 
     Unknown rule types raise :class:`ConfigurationError` (at compile time, no
@@ -322,6 +324,8 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
     ``count_rows`` adds an informational ``ROW_COUNT`` row whose
     ``failed_records`` holds the number of rows, taken in the same pass.
     ``with_label`` adds ``rule_label`` (the rule's metadata name).
+    REFERENTIAL rules (``value="<table>.<column>"``) take the reference table
+    from ``references`` or the catalog and are added as anti-join branches.
     """
     columns = list(df.columns)
     comp = _Compiled()
@@ -333,6 +337,7 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
             F.lit("").alias("details"), F.lit(None).cast("string").alias("rule_label")))
     dup_keys: list[Rule] = []
     dup_rows: list[Rule] = []
+    ref_rules: list[Rule] = []
     for rule in rules:
         kind = rule.kind
         if kind in META_RULES:
@@ -350,12 +355,17 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
                 dup_keys.append(rule)
         elif kind == "DUPLICATE_ROW":
             dup_rows.append(rule)
+        elif kind == "REFERENTIAL":
+            ref_rules.append(rule)
         else:
             raise ConfigurationError(f"Unknown rule type: {rule.rule_type}")
 
+    ref_branches = [_referential_branch(df, r, references) for r in ref_rules]
     if not (comp.row_results or comp.const_results or dup_keys or dup_rows):
-        out = empty_report(df.sparkSession)
-        return out.withColumn("rule_label", F.lit(None).cast("string")) if with_label else out
+        out = empty_report(df.sparkSession).withColumn("rule_label", F.lit(None).cast("string"))
+        for b in ref_branches:
+            out = out.unionByName(b)
+        return out if with_label else out.drop("rule_label")
     counters = [F.count(F.lit(1)).alias("__n")] + [e.alias(a) for a, e in comp.counters]
 
     # nested key paths (a.b) become flat internal columns before grouping
@@ -460,7 +470,7 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
             branches.append(final.select(F.inline(F.array(*structs))))
 
     out = branches[0]
-    for b in branches[1:]:
+    for b in branches[1:] + ref_branches:
         out = out.unionByName(b)
     return out.select(*RESULT_COLUMNS, *(["rule_label"] if with_label else []))
 
@@ -573,6 +583,35 @@ def stamp_results(report: DataFrame, run_id: str, entity_name: str) -> DataFrame
     )
 
 
+def _referential_branch(df: DataFrame, rule: Rule, references: dict | None) -> DataFrame:
+    """One REFERENTIAL rule as a result branch (all six columns + label)."""
+    target = (rule.value or "").strip()
+    if "." not in target:
+        raise ConfigurationError(f"REFERENTIAL needs '<table>.<column>', got {rule.value!r}")
+    table_name, ref_column = target.rsplit(".", 1)
+    ref_df = (references or {}).get(table_name)
+    if ref_df is None:
+        ref_df = df.sparkSession.table(table_name)
+    if not _resolves(df, rule.column):
+        return df.sparkSession.range(1).select(F.inline(F.array(_const_result(
+            rule, f"{rule.column} Referential Integrity Validation", False, 0,
+            f"Column '{rule.column}' not found."))))
+    return _referential(df, rule, ref_df, ref_column)
+
+
+def _referential(df: DataFrame, rule: Rule, ref_df: DataFrame, ref_column: str) -> DataFrame:
+    column = rule.column
+    keys = (df.filter(F.col(column).isNotNull())
+            .groupBy(F.col(column).alias("__k")).agg(F.count(F.lit(1)).alias("__n")))
+    ref = ref_df.select(F.col(ref_column).alias("__k"))
+    missing = keys.join(ref, "__k", "left_anti").agg(F.sum("__n").alias("__m"))
+    n = F.coalesce(F.col("__m"), F.lit(0))
+    res = _result(rule, f"{column} Referential Integrity Validation", F.col("__m"),
+                  F.concat(n.cast("string"),
+                           F.lit(f" record(s) reference keys missing from '{ref_column}'.")))
+    return missing.select(F.inline(F.array(res)))
+
+
 def referential_report(df: DataFrame, column: str, ref_df: DataFrame, ref_column: str,
                        severity: str = "ERROR") -> DataFrame:
     """Rows whose non-NULL ``column`` value has no match in ``ref_df.ref_column``.
@@ -581,13 +620,6 @@ def referential_report(df: DataFrame, column: str, ref_df: DataFrame, ref_column
     so a hot key costs one row per task — and only those distinct keys meet
     the reference keys in the anti join.
     """
-    keys = (df.filter(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("__k")).agg(F.count(F.lit(1)).alias("__n")))
-    ref = ref_df.select(F.col(ref_column).alias("__k"))
-    missing = keys.join(ref, "__k", "left_anti").agg(F.sum("__n").alias("__m"))
     rule = Rule("REFERENTIAL", column, severity=severity)
-    n = F.coalesce(F.col("__m"), F.lit(0))
-    res = _result(rule, f"{column} Referential Integrity Validation", F.col("__m"),
-                  F.concat(n.cast("string"),
-                           F.lit(f" record(s) reference keys missing from '{ref_column}'.")))
-    return missing.select(F.inline(F.array(res))).select(*RESULT_COLUMNS)
+    return _referential(df, rule, ref_df, ref_column).select(*RESULT_COLUMNS)
+

@@ -260,3 +260,21 @@ def test_nested_column_paths(spark):
         2, "2 record(s) belong to duplicate business keys in 'name.familyName, name.givenName'.")
     assert rep["name.familyName Duplicate Key Validation"][0] == 2
     assert rep["Duplicate Row Validation"][0] == 0
+
+
+def test_referential_rule_from_metadata(spark):
+    facts = spark.createDataFrame([(1, 10), (2, 11), (3, None), (4, 99), (5, 99)],
+                                  "id int, cust int")
+    dims = spark.createDataFrame([(10,), (11,)], "c_id int")
+    dims.createOrReplaceTempView("dims_for_ref_test")
+    rules = [Rule("REFERENTIAL", "cust", value="dims.c_id", label="Known customer"),
+             Rule("NOT_NULL", "cust")]
+    rep = {r.rule_type: r for r in
+           quality_report(facts, rules, references={"dims": dims}, with_label=True).collect()}
+    assert (rep["REFERENTIAL"].failed_records, rep["REFERENTIAL"].passed) == (2, False)
+    assert rep["REFERENTIAL"].rule_label == "Known customer"
+    assert rep["NOT_NULL"].failed_records == 1
+    via_catalog = quality_report(facts, [Rule("REFERENTIAL", "cust", value="dims_for_ref_test.c_id")])
+    assert via_catalog.first().failed_records == 2
+    with pytest.raises(ConfigurationError):
+        quality_report(facts, [Rule("REFERENTIAL", "cust", value="no_column_given")])
