@@ -70,7 +70,7 @@ def runs_view(events: DataFrame, time_col: str = "event_time", tiebreak: str | N
         F.col("__l.status").alias("status"),
         "start_time",
         F.when(done, F.col("last_event_time")).alias("end_time"),
-        F.when(done, F.expr(f"timestampdiff(MICROSECOND, start_time, last_event_time)") / 1000)
+        F.when(done, F.expr("timestampdiff(MICROSECOND, start_time, last_event_time)") / 1000)
         .cast("bigint").alias("duration_ms"),
         F.col("__l.records_processed").alias("records_processed"),
         F.col("__l.files_processed").alias("files_processed"),
