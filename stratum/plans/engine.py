@@ -40,7 +40,8 @@ class Engine:
                    ctl.seed_dq_rules(spark))
 
     def ingest(self, entity: str, **options) -> IngestResult:
-        """``options``: ``trust_metadata``, ``max_hash_bytes``, ``hash_content``."""
+        """``options``: ``trust_metadata``, ``max_hash_bytes``, ``hash_content``,
+        ``references`` (tables of REFERENTIAL rules)."""
         return ingest(self.spark, self.lake, entity, self.entities, self.validation_rules,
                       self.dq_rules, **options)
 

@@ -142,7 +142,7 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
            validation_rules: DataFrame | None = None, dq_rules: DataFrame | None = None,
            pipeline_name: str = "bronze_ingestion", hash_content: bool = True,
            trust_metadata: bool = False, max_hash_bytes: int | None = None,
-           lock: bool = True) -> IngestResult:
+           lock: bool = True, references: dict | None = None) -> IngestResult:
     """Ingest one entity (see the module docstring for the steps).
 
     Change detection is exact by default: every file is hashed each run, so a
@@ -151,7 +151,8 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
     cost proportional to the changed bytes, at the price of missing such
     rewrites.  ``max_hash_bytes`` leaves larger files unhashed.  With
     ``lock`` a second run of the same entity fails fast instead of
-    overlapping (see :mod:`stratum.plans.locks`).
+    overlapping (see :mod:`stratum.plans.locks`).  ``references`` maps table
+    names of REFERENTIAL rules to DataFrames (else the catalog is used).
     """
     run_id = new_run_id()
     t0 = time.monotonic()
@@ -168,9 +169,10 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
             with entity_lock(spark, lake.log_path(f"_locks/{entity_name}"), run_id):
                 return _ingest_steps(spark, lake, entity_name, config_df, validation_rules,
                                      dq_rules, run_id, t0, finish, hash_content,
-                                     trust_metadata, max_hash_bytes)
+                                     trust_metadata, max_hash_bytes, references)
         return _ingest_steps(spark, lake, entity_name, config_df, validation_rules, dq_rules,
-                             run_id, t0, finish, hash_content, trust_metadata, max_hash_bytes)
+                             run_id, t0, finish, hash_content, trust_metadata, max_hash_bytes,
+                             references)
     except Exception as exc:
         lake.append(run_event(spark, run_id, pipeline_name, entity_name, "FAILED",
                               error=str(exc)), "pipeline_runs", one_file=True)
@@ -178,7 +180,8 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
 
 
 def _ingest_steps(spark, lake, entity_name, config_df, validation_rules, dq_rules, run_id, t0,
-                  finish, hash_content, trust_metadata, max_hash_bytes) -> IngestResult:
+                  finish, hash_content, trust_metadata, max_hash_bytes,
+                  references=None) -> IngestResult:
     """The steps of :func:`ingest` (see the module docstring)."""
     cfg = config_for(config_df, entity_name)
     if cfg.get("active") is False:
@@ -243,7 +246,8 @@ def _ingest_steps(spark, lake, entity_name, config_df, validation_rules, dq_rule
     drules = [replace(r, label=f"D|{r.label or ''}") for r in
               (load_rules(dq_rules, entity_name, expected_columns=schema.fieldNames())
                if dq_rules is not None else [])]
-    report = quality_report(checked, vrules + drules, count_rows=True, with_label=True).collect()
+    report = quality_report(checked, vrules + drules, count_rows=True, with_label=True,
+                            references=references).collect()
     records = next(r["failed_records"] for r in report if r["rule_type"] == "ROW_COUNT")
     v_rows = [r for r in report if (r["rule_label"] or "").startswith("V|")]
     d_rows = [r for r in report if (r["rule_label"] or "").startswith("D|")]

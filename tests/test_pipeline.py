@@ -375,3 +375,15 @@ def test_current_view_prunes_run_folders(spark, setup):
     cur.collect()
     plan = cur._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()  # run folders not referenced are skipped
+
+
+def test_referential_rule_in_ingest(spark, setup):
+    lake, cfg, landing = setup
+    known = spark.createDataFrame([("c0",), ("c1",)], "constructor_id string")
+    dq = ctl.rules_table(spark, [("results", "Known constructor", "REFERENTIAL", "constructorId",
+                                  "constructors.constructor_id", None, "WARNING", True)])
+    r = ingest(spark, lake, "results", cfg, None, dq, references={"constructors": known})
+    assert r.status == "SUCCESS"  # a WARNING does not block
+    row = lake.results(spark, "dq").first()
+    assert (row.rule_type, row.rule_label, row.passed) == ("REFERENTIAL", "Known constructor", False)
+    assert row.failed_records == 2  # the one c2 row of each file
