@@ -149,14 +149,27 @@ def rules_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, RULES_DDL)
 
 
-def config_for(config_df: DataFrame, entity_name: str) -> dict:
-    """The config row of one entity as a dict (a keyed lookup, first match)."""
+def config_for(config_df: DataFrame | dict, entity_name: str) -> dict:
+    """The config row of one entity as a dict (a keyed lookup, first match).
+    ``config_df`` may also be an already collected ``{entity: config}`` dict."""
+    if isinstance(config_df, dict):
+        if entity_name not in config_df:
+            raise ConfigurationError(f"No configuration found for entity '{entity_name}'")
+        return dict(config_df[entity_name])
     row = config_df.filter(F.col("entity_name") == F.lit(entity_name)).limit(1).collect()
     if not row:
         raise ConfigurationError(f"No configuration found for entity '{entity_name}'")
     return row[0].asDict()
 
 
+def configs_by_entity(config_df: DataFrame) -> dict[str, dict]:
+    """All config rows as ``{entity: config}`` (one collect; config is small)."""
+    out: dict[str, dict] = {}
+    for row in config_df.collect():
+        out.setdefault(row["entity_name"], row.asDict())
+    return out
+
+
 # The seeded configuration of the six raw entities.  Source
 # paths are relative to a landing root given at seeding time.
 SEED_ENTITIES = [

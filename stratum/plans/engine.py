@@ -39,10 +39,15 @@ class Engine:
                    ctl.seed_refine_config(spark), ctl.seed_validation_rules(spark),
                    ctl.seed_dq_rules(spark))
 
+    def _configs(self) -> dict:
+        if getattr(self, "_config_cache", None) is None:
+            self._config_cache = ctl.configs_by_entity(self.entities)  # one collect
+        return self._config_cache
+
     def ingest(self, entity: str, **options) -> IngestResult:
         """``options``: ``trust_metadata``, ``max_hash_bytes``, ``hash_content``,
         ``references`` (tables of REFERENTIAL rules)."""
-        return ingest(self.spark, self.lake, entity, self.entities, self.validation_rules,
+        return ingest(self.spark, self.lake, entity, self._configs(), self.validation_rules,
                       self.dq_rules, **options)
 
     def refine(self, entity: str) -> DataFrame | None:
@@ -59,7 +64,7 @@ class Engine:
                                 parallelism=parallelism)
 
     def bronze(self, entity: str) -> DataFrame:
-        return bronze_current(self.spark, self.lake, ctl.config_for(self.entities, entity))
+        return bronze_current(self.spark, self.lake, ctl.config_for(self._configs(), entity))
 
     def runs(self) -> DataFrame:
         return self.lake.runs(self.spark)

@@ -138,7 +138,7 @@ def bronze_current(spark: SparkSession, lake: Lakehouse, cfg: dict) -> DataFrame
     return latest_run_rows(bronze, state)
 
 
-def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: DataFrame,
+def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: DataFrame | dict,
            validation_rules: DataFrame | None = None, dq_rules: DataFrame | None = None,
            pipeline_name: str = "bronze_ingestion", hash_content: bool = True,
            trust_metadata: bool = False, max_hash_bytes: int | None = None,
