@@ -82,7 +82,7 @@ class Engine:
         """Drop bronze run folders no longer referenced by the current state."""
         from stratum.plans.ingest import vacuum_bronze
 
-        return vacuum_bronze(self.spark, self.lake, ctl.config_for(self.entities, entity),
+        return vacuum_bronze(self.spark, self.lake, ctl.config_for(self._configs(), entity),
                              retain_hours)
 
     def register_views(self, prefix: str = "") -> list[str]:
@@ -101,10 +101,10 @@ class Engine:
                 names.append(prefix + name)
         from stratum.sources.sinks import path_exists
 
-        for row in self.entities.select("entity_name", "target_schema", "target_table").collect():
-            if path_exists(self.spark, self.lake.table_path(row[1], row[2])):
-                self.bronze(row[0]).createOrReplaceTempView(f"{prefix}bronze_{row[0]}")
-                names.append(f"{prefix}bronze_{row[0]}")
+        for entity, cfg in self._configs().items():
+            if path_exists(self.spark, self.lake.table_path(cfg["target_schema"], cfg["target_table"])):
+                self.bronze(entity).createOrReplaceTempView(f"{prefix}bronze_{entity}")
+                names.append(f"{prefix}bronze_{entity}")
         return names
 
     def reset(self, entity: str) -> None:
