@@ -42,3 +42,34 @@ def test_latest_per_key_matches_model(spark, rows):
         if k not in best or t > best[k][0]:
             best[k] = (t, p)
     assert got == sorted((k, t, p) for k, (t, p) in best.items())
+
+
+files = st.sampled_from([f"f{i}" for i in range(8)])
+meta = st.tuples(st.integers(0, 2), st.integers(0, 2), st.one_of(st.none(), st.sampled_from("ab")))
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(state=st.dictionaries(files, meta, max_size=8), inv=st.dictionaries(files, meta, max_size=8),
+       compare_hash=st.booleans())
+def test_changed_files_matches_model(spark, state, inv, compare_hash):
+    import datetime as dt
+
+    from stratum.operators.changes import changed_files
+
+    def rows(d):
+        return [(k, dt.datetime(2024, 1, 1 + m), s, h) for k, (m, s, h) in sorted(d.items())]
+
+    ddl = "source_file string, last_modified_time timestamp, file_size bigint, content_hash string"
+    got = {r.source_file: r.change_kind for r in changed_files(
+        spark.createDataFrame(rows(inv), ddl), spark.createDataFrame(rows(state), ddl),
+        compare_hash=compare_hash).collect()}
+    expected = {}
+    for k, (m, s, h) in inv.items():
+        if k not in state:
+            expected[k] = "NEW"
+        else:
+            pm, ps, ph = state[k]
+            same = m == pm and s == ps and (not compare_hash or h == ph)
+            if not same:
+                expected[k] = "MODIFIED"
+    assert got == expected
