@@ -192,6 +192,8 @@ def _detail(kind: str, n: Column, **params) -> Column:
 
 
 def _meta_result(rule: Rule, columns: list[str]) -> Column:
+    if rule.kind == "SCHEMA" and rule.expected is None:
+        raise ConfigurationError("SCHEMA rule needs the registered column list (expected)")
     expected = list(rule.expected or ())
     if rule.kind == "REQUIRED_COLUMN" and not expected and rule.column:
         expected = list(rule.key_columns)
@@ -536,8 +538,8 @@ def _to_rule(r, entity_name: str, expected_columns, skip_unknown: bool) -> Rule
             "skipping rule %r of %r: unknown type %r", r["rule_name"], entity_name, kind)
         return None
     expected = None
-    if kind == "SCHEMA":
-        expected = tuple(expected_columns or ())
+    if kind == "SCHEMA" and expected_columns is not None:
+        expected = tuple(expected_columns)
     elif kind == "REQUIRED_COLUMN" and r["column_name"]:
         expected = tuple(c.strip() for c in r["column_name"].split(","))
     return Rule(rule_type=kind, column=r["column_name"], value=r["rule_value"],

@@ -278,3 +278,9 @@ def test_referential_rule_from_metadata(spark):
     assert via_catalog.first().failed_records == 2
     with pytest.raises(ConfigurationError):
         quality_report(facts, [Rule("REFERENTIAL", "cust", value="no_column_given")])
+
+
+def test_schema_rule_needs_registered_columns(spark):
+    df = spark.createDataFrame([(1,)], "id int")
+    with pytest.raises(ConfigurationError):
+        quality_report(df, [Rule("SCHEMA")])
