@@ -14,7 +14,13 @@ A rule set for one table becomes a single aggregate over that table:
   of ``G`` is re-grouped from the already reduced base, whose exchange Spark
   reuses (``ReusedExchange``) across the branches;
 * SCHEMA / REQUIRED_COLUMN only look at ``df.columns`` (metadata) and become
-  constant rows.
+  constant rows;
+* REFERENTIAL rules (keys that must exist in another table) are extra
+  branches: the fact side reduced to distinct keys with counts, anti-joined
+  to the reference keys.
+
+DUPLICATE_ROW groups by all columns (exact) or, with ``value="fingerprint"``,
+by a 16-byte digest of the row's canonical JSON (wide text rows).
 
 The result is a DataFrame with one row per rule:
 ``rule_name, rule_type, severity, passed, failed_records, details``.
