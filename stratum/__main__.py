@@ -36,13 +36,9 @@ def main(argv: list[str] | None = None) -> int:
     spark = SparkSession.builder.getOrCreate()
     eng = Engine.seeded(spark, args.root, args.landing)
     if args.command == "ingest":
-        if args.trust_metadata:
-            for e in args.entity or []:
-                print(eng.ingest(e, trust_metadata=True))
-            if args.entity:
-                return 0
         out = run_bronze_layer(spark, eng.lake, eng.entities, eng.validation_rules, eng.dq_rules,
-                               entities=args.entity, parallelism=args.parallelism)
+                               entities=args.entity, parallelism=args.parallelism,
+                               trust_metadata=args.trust_metadata)
     elif args.command == "refine":
         out = run_refine_layer(spark, eng.lake, eng.refine_entities, eng.entities,
                                entities=args.entity, parallelism=args.parallelism)

@@ -55,9 +55,9 @@ class Engine:
             raise ValueError("no refine configuration")
         return refine(self.spark, self.lake, entity, self.refine_entities, self.entities)
 
-    def ingest_all(self, parallelism: int = 1) -> DataFrame:
+    def ingest_all(self, parallelism: int = 1, **options) -> DataFrame:
         return run_bronze_layer(self.spark, self.lake, self.entities, self.validation_rules,
-                                self.dq_rules, parallelism=parallelism)
+                                self.dq_rules, parallelism=parallelism, **options)
 
     def refine_all(self, parallelism: int = 1) -> DataFrame:
         return run_refine_layer(self.spark, self.lake, self.refine_entities, self.entities,

@@ -47,11 +47,14 @@ def _run_all(spark: SparkSession, names: list[str], fn, parallelism: int) -> Dat
 def run_bronze_layer(spark: SparkSession, lake: Lakehouse, config_df: DataFrame,
                      validation_rules: DataFrame | None = None,
                      dq_rules: DataFrame | None = None,
-                     entities: list[str] | None = None, parallelism: int = 1) -> DataFrame:
+                     entities: list[str] | None = None, parallelism: int = 1,
+                     **ingest_options) -> DataFrame:
+    """Ingest each entity; ``ingest_options`` go to :func:`ingest`
+    (``trust_metadata``, ``max_hash_bytes``, ``references``, ...)."""
     names = entities or active_entities(config_df)
 
     def fn(name):
-        r = ingest(spark, lake, name, config_df, validation_rules, dq_rules)
+        r = ingest(spark, lake, name, config_df, validation_rules, dq_rules, **ingest_options)
         return (name, r.status, r.run_id, r.records, r.files, None)
 
     return _run_all(spark, names, fn, parallelism)
