@@ -3,9 +3,11 @@ lineage, joins with a checked broadcast, and distributed connected components.""
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,6 +99,13 @@ def map_rows(
     return df.select(*[F.col(f"`{c}`") for c in cols]).mapInArrow(run, out)
 
 
+def share(spark: SparkSession, value) -> Callable:
+    """Broadcast an object of bounded size; the returned function gives it back in
+    a task.  Its classes travel with it, as this package's functions do."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (columns a, b, any orderable
     type): the component is its smallest node.  Alternates large-star and
