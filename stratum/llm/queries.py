@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
+from stratum.llm.chat import op9_chat_windows
+from stratum.llm.decontaminate import op5_decontaminate
+from stratum.llm.pii import op6_pii_spans
 from stratum.llm.quality import op10_quality_rules
+from stratum.llm.sharding import op1_shard_balance
+from stratum.llm.tokens import op4_token_counts
+from stratum.llm.toxicity import op3_toxicity
 
 QUERIES = {
+    "op1_shard_balance": op1_shard_balance,
+    "op3_toxicity": op3_toxicity,
+    "op4_token_counts": op4_token_counts,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_pii_spans": op6_pii_spans,
+    "op9_chat_windows": op9_chat_windows,
     "op10_quality_rules": op10_quality_rules,
 }
 
