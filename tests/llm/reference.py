@@ -121,3 +121,34 @@ def near_duplicates(rows, size=2, percent=80):
 
 def crc(text):
     return zlib.crc32((text or "").encode())
+
+
+def fuzzy_lines(rows, size=9, percent=80):
+    """(doc_id, line number) of the lines to drop, rows of (doc_id, text)."""
+    places = {}
+    for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        for at, line in enumerate((text or "").split("\n")) if text is not None else ():
+            if len(line) >= size and plain_words(line):
+                places.setdefault(line, []).append((doc, at))
+    every = list(places)
+    sets = [{x[i : i + size] for i in range(len(x) - size + 1)} for x in every]
+    head = list(range(len(every)))
+
+    def find(x):
+        while head[x] != x:
+            x = head[x]
+        return x
+
+    postings = {}
+    for k, s in enumerate(sets):
+        for x in s:
+            postings.setdefault(x, []).append(k)
+    for k, s in enumerate(sets):
+        for j, n in Counter(j for x in s for j in postings[x] if j > k).items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                a, b = find(k), find(j)
+                head[max(a, b)] = min(a, b)
+    groups = {}
+    for k, line in enumerate(every):
+        groups.setdefault(find(k), []).extend(places[line])
+    return {p for g in groups.values() for p in sorted(g)[1:]}
