@@ -1,6 +1,7 @@
 """Plain single-process versions of the operators' contracts, for comparison."""
 
 import hashlib
+import random
 import re
 import zlib
 from collections import Counter
@@ -152,3 +153,13 @@ def fuzzy_lines(rows, size=9, percent=80):
     for k, line in enumerate(every):
         groups.setdefault(find(k), []).extend(places[line])
     return {p for g in groups.values() for p in sorted(g)[1:]}
+
+
+def prose(words, seed):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9))) for _ in range(words))
+
+
+def same_rows(df, rows, columns=15):
+    key = lambda r: [(x is None, str(x)) for x in r]
+    assert sorted((tuple(r)[:columns] for r in df.collect()), key=key) == sorted(rows, key=key)
