@@ -7,77 +7,73 @@ column of loaded rows always agree — also for paths with spaces.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.errors import StateError
 
+#: At most so many paths become a predicate of a scan.
+LISTED_FILES = 4096
+
 INVENTORY_DDL = (
     "source_file string, last_modified_time timestamp, file_size bigint, content_hash string"
 )
 
 
-def expand_paths(spark: SparkSession, source_path: str) -> list[str]:
-    """The visible children of ``source_path`` (one listing call), so that a
-    tree with many sub-folders is listed by a parallel Spark job instead of
-    sequentially on the driver (Spark lists in parallel above
-    ``spark.sql.sources.parallelPartitionDiscovery.threshold`` root paths).
-    Hidden entries (``_*``, ``.*``) are skipped, as Spark's own listing does.
-    Falls back to ``[source_path]`` for a plain file or a small folder."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(source_path)
-    fs = root.getFileSystem(conf)
-    if not fs.exists(root) or not fs.getFileStatus(root).isDirectory():
-        return [source_path]
-    children = [st.getPath().toString() for st in fs.listStatus(root)
-                if not st.getPath().getName().startswith(("_", "."))]
-    threshold = int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.threshold", "32"))
-    return children if len(children) > threshold else [source_path]
+def only_files(df: DataFrame, files: DataFrame | Iterable[str], file_col: str) -> DataFrame:
+    """Rows of ``df``, a file scan whose ``file_col`` is ``_metadata.file_path``,
+    that come from the given files.
+
+    ``files`` is a DataFrame with a ``source_file`` column, or an iterable.  A
+    list of at most ``LISTED_FILES`` becomes an ``IN`` predicate, which Spark
+    applies at listing, so that other files are never opened.  A longer one
+    stays distributed and is semi-joined: no more than that many paths reach the
+    driver or the plan, and the rows are the same either way.
+    """
+    if not isinstance(files, DataFrame):
+        files = list(dict.fromkeys(files))
+        if len(files) <= LISTED_FILES:
+            return df.filter(F.col(file_col).isin(files))
+        files = df.sparkSession.createDataFrame([(f,) for f in files], "source_file string")
+    wanted = files.select(F.col("source_file").alias(file_col)).distinct()
+    few = [r[0] for r in wanted.limit(LISTED_FILES + 1).collect()]
+    if len(few) <= LISTED_FILES:
+        return df.filter(F.col(file_col).isin(few))
+    return df.join(wanted, file_col, "left_semi").select(*df.columns)
 
 
 def file_inventory(spark: SparkSession, source_path: str, hash_content: bool = True,
-                   glob: str | None = None, max_hash_bytes: int | None = None,
-                   only_files: list[str] | None = None) -> DataFrame:
+                   glob: str | None = None,
+                   files: DataFrame | Iterable[str] | None = None) -> DataFrame:
     """``source_file, last_modified_time, file_size, content_hash`` per file.
 
     With ``hash_content`` every byte is read (in parallel, one task per file
     split group) and hashed with md5 on the executors; without it the
     ``content`` column is pruned, so only the listing is done and
     ``content_hash`` is NULL.  A hashed file is held in memory by its task and
-    must fit the binary-file size limit (2 GB); ``max_hash_bytes`` leaves
-    larger files unhashed (their changes show through mtime and size).
-    ``only_files`` restricts the inventory to the given ``source_file`` values.
+    must fit Spark's binary-file limit (2 GB); a larger one raises.
+    ``files`` restricts the inventory to the given ``source_file`` values.
+    Names of files and folders below ``source_path`` are taken as they are, so
+    glob characters in them are harmless.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         r = r.option("pathGlobFilter", glob)
-    paths = expand_paths(spark, source_path)
     try:
-        df = r.load(paths if len(paths) > 1 else source_path)
+        df = r.load(source_path)
     except Exception as exc:  # noqa: BLE001 - missing or unreadable source folder
         raise StateError(f"Failed to read source file metadata from '{source_path}': {exc}") from exc
-    if only_files is not None:
-        # restrict to known files; applied at listing, others are never read
-        df = df.filter(F.col("_metadata.file_path").isin(list(only_files)))
-
-    def project(frame, hashed: bool):
-        return frame.select(
-            F.col("_metadata.file_path").alias("source_file"),
-            F.col("modificationTime").alias("last_modified_time"),
-            F.col("length").alias("file_size"),
-            (F.md5(F.col("content")) if hashed else F.lit(None).cast("string")).alias("content_hash"),
-        )
-
-    if not hash_content:
-        return project(df, False)
-    if max_hash_bytes is None:
-        return project(df, True)
-    # binaryFile pushes the length filter down to the listing, so the content
-    # of files above the limit is never loaded
-    small = project(df.filter(F.col("length") <= max_hash_bytes), True)
-    large = project(df.filter(F.col("length") > max_hash_bytes), False)
-    return small.unionByName(large)
+    df = df.select("*", F.col("_metadata.file_path").alias("source_file"))
+    if files is not None:
+        df = only_files(df, files, "source_file")
+    return df.select(
+        "source_file",
+        F.col("modificationTime").alias("last_modified_time"),
+        F.col("length").alias("file_size"),
+        (F.md5(F.col("content")) if hash_content else F.lit(None).cast("string")).alias("content_hash"),
+    )
 
 
 def list_files(spark: SparkSession, source_path: str) -> DataFrame:

@@ -7,8 +7,8 @@
   is not splittable, so one file is one task.
 
 A subset of the files under a path (the changed files of an incremental load)
-is selected with a predicate on ``_metadata.file_path``: Spark applies it to
-the file listing, so unselected files are never opened.
+is selected on ``_metadata.file_path``: a short list prunes the file listing, a
+long one is semi-joined.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stratum.errors import ReadError
+from stratum.sources.inventory import only_files
 
 SUPPORTED_FORMATS = ("csv", "json")
 
@@ -53,38 +54,30 @@ def read_source(
     multiline: bool = False,
     options: dict | None = None,
     strict_header: bool = False,
+    source_file_column: str | None = None,
 ) -> DataFrame:
     """Scan ``source_path`` with a fixed schema, optionally only some files.
 
     ``files_to_include`` holds ``_metadata.file_path`` values (as produced by
     :func:`stratum.sources.inventory.file_inventory`), either as an iterable or
-    as a one-column DataFrame ``source_file``.  The file list is metadata the
-    driver already holds for the scan's own listing, so it is collected and
-    turned into an ``IN`` predicate, which prunes files before they are read.
+    as a DataFrame with a ``source_file`` column; see
+    :func:`stratum.sources.inventory.only_files`.  ``source_file_column`` names
+    a column to add that holds each row's file path.
     CSV columns bind by position; ``strict_header`` makes a header that does
     not match the schema an error instead.
     """
     r = reader(spark, source_format, schema, multiline, options, strict_header)
-    recursive = str((options or {}).get("recursiveFileLookup", "false")).lower() == "true"
     try:
-        if recursive:
-            # many sub-folders: list them with a parallel job (no partition
-            # inference is involved, so splitting the root is safe)
-            from stratum.sources.inventory import expand_paths
-
-            paths = expand_paths(spark, source_path)
-            df = r.load(paths) if len(paths) > 1 else r.load(source_path)
-        else:
-            df = r.load(source_path)
+        df = r.load(source_path)
     except Exception as exc:  # noqa: BLE001 - missing path, unreadable folder, ...
         raise ReadError(f"Failed to read source '{source_path}': {exc}") from exc
-    if files_to_include is None:
+    if files_to_include is None and source_file_column is None:
         return df
-    if isinstance(files_to_include, DataFrame):
-        files = [r[0] for r in files_to_include.select("source_file").distinct().collect()]
-    else:
-        files = list(dict.fromkeys(files_to_include))
-    return df.filter(F.col("_metadata.file_path").isin(files))
+    file_col = source_file_column or "__file"
+    tagged = df.withColumn(file_col, F.col("_metadata.file_path"))
+    if files_to_include is not None:
+        tagged = only_files(tagged, files_to_include, file_col)
+    return tagged if source_file_column else tagged.drop(file_col)
 
 
 def discover_schema(spark: SparkSession, path: str, source_format: str = "csv",
