@@ -3,182 +3,34 @@
 A window partitioned by ``g`` sends each whole group to one task.  That is
 fine for many small groups and fatal for a few huge ones (standings: a handful
 of seasons, members growing with the data).  ``method="range"`` splits groups
-— and large runs of tied values — across tasks:
-
-1. range-partition on ``(g, v desc, h)`` where ``h`` is a hash of the row, and
-   sort within partitions.  The hash only spreads big runs of equal
-   ``(g, v)`` over several partitions (a third of all rows tied at 0 points
-   does not land in one task);
-2. checkpoint into the shared folder — this fixes the sampled range bounds so
-   both following passes see identical partitions, and cuts lineage;
-3. pass A (``mapInPandas``) emits one summary row per partition: first and
-   last ``(g, v)``, row count, rows of the last group, length of the trailing
-   run of equal ``(g, v)``.  These ``≤ partitions`` rows are walked in order on
-   the driver to get, for every partition, the state carried in from all
-   earlier partitions (current group, rows of it so far, start position of the
-   current tie run);
-4. pass B (``mapInPandas``) ranks rows inside each sorted partition (Arrow
-   batches, vectorised) starting from that carried state, so a group or a tie
-   run that straddles partitions gets exactly the ranks a single sorted pass
-   would give.
-
+and large runs of tied values across tasks, with DataFrame operations only:
+
+1. range-partition on ``(g, v desc, h)`` where ``h`` is a hash of the row; the
+   hash only spreads big runs of equal ``(g, v)`` over several partitions (a
+   third of all rows tied at 0 points does not land in one task).  The result is
+   written to the shared folder with its partition number, which fixes the
+   sampled bounds for what follows and cuts lineage;
+2. a *chunk* is what one partition holds of one group.  Rows are ranked inside
+   their chunk by a window over ``(partition, g)``;
+3. one small row per chunk has its size, its first and last value, and the rank of
+   its last value.  Sums over a group's earlier chunks give each chunk's offset;
+4. a row's rank is the offset of its chunk plus its rank there, except in a run of
+   ties that began in an earlier chunk: all earlier chunks of the group that
+   end with the same value took part in that run, and the smallest
+   ``offset + rank of the last value`` among them is where it began.
+
+Values are only compared, never converted, so every type keeps its precision.
 ``method="window"`` is the plain window (best when groups are small).
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from stratum.session import shared_root
-
-
-def _same(a: pd.Series, b: pd.Series) -> np.ndarray:
-    """Element-wise equality where NaN/None equals NaN/None."""
-    eq = (a.values == b.values)
-    na = pd.isna(a).values & pd.isna(b).values
-    return np.asarray(eq, dtype=bool) | na
-
-
-def _missing(x) -> bool:
-    return x is None or (isinstance(x, float) and math.isnan(x))
-
-
-def _eq(x, y) -> bool:
-    if _missing(x) or _missing(y):
-        return _missing(x) and _missing(y)
-    return bool(x == y)
-
-
-def _key_eq(a, b) -> bool:
-    return a is not None and b is not None and all(_eq(x, y) for x, y in zip(a, b))
-
-
-def _scalar(v):
-    if v is None:
-        return None
-    v = v.item() if hasattr(v, "item") else v
-    return None if (not isinstance(v, float) and pd.isna(v)) else v
-
-
-def _row_key(keys: pd.DataFrame, i: int) -> tuple:
-    return tuple(_scalar(x) for x in keys.iloc[i])
-
-
-def _batch_flags(keys: pd.DataFrame, vals: pd.Series, group_cols: list[str]):
-    """same_group[i] / same_val[i]: row i continues row i-1's group / value."""
-    prev_keys = keys.shift(1)
-    same_group = np.ones(len(vals), dtype=bool)
-    for c in group_cols:
-        same_group &= _same(keys[c], prev_keys[c])
-    same_val = _same(vals, vals.shift(1))
-    return same_group, same_val
-
-
-def _summary_fn(group_cols: list[str], value_col: str):
-    """Pass A: one summary row per partition."""
-    k = len(group_cols)
-
-    def run(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        first_key = first_val = last_key = last_val = None
-        n_rows = n_last_group = n_trailing = 0
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            n = len(pdf)
-            keys = pdf[group_cols].astype(object)
-            vals = pdf[value_col]
-            same_group, same_val = _batch_flags(keys, vals, group_cols)
-            k0, v0 = _row_key(keys, 0), _scalar(vals.iloc[0])
-            cont_group = n_rows > 0 and _key_eq(k0, last_key)
-            same_group[0] = cont_group
-            same_val[0] = cont_group and _eq(v0, last_val)
-            if n_rows == 0:
-                first_key, first_val = k0, v0
-            group_starts = np.flatnonzero(~same_group)
-            n_last_group = n_last_group + n if len(group_starts) == 0 else n - group_starts[-1]
-            run_starts = np.flatnonzero(~(same_group & same_val))
-            n_trailing = n_trailing + n if len(run_starts) == 0 else n - run_starts[-1]
-            last_key, last_val = _row_key(keys, n - 1), _scalar(vals.iloc[n - 1])
-            n_rows += n
-        row = {"pid": [pid], "n_rows": [n_rows], "n_last_group": [int(n_last_group)],
-               "n_trailing": [int(n_trailing)], "first_v": [first_val], "last_v": [last_val]}
-        for i in range(k):
-            row[f"first_g{i}"] = [first_key[i] if first_key else None]
-            row[f"last_g{i}"] = [last_key[i] if last_key else None]
-        yield pd.DataFrame(row)
-
-    return run
-
-
-def _carry_in(summaries: list, k: int) -> dict:
-    """Walk partition summaries in order: the state each partition starts with,
-    as (group key, value, rows of that group before it, start of the tie run)."""
-    carry = None
-    out = {}
-    for s in sorted(summaries, key=lambda r: r["pid"]):
-        out[s["pid"]] = carry
-        if s["n_rows"] == 0:
-            continue
-        fk = tuple(s[f"first_g{i}"] for i in range(k))
-        lk = tuple(s[f"last_g{i}"] for i in range(k))
-        fv, lv = s["first_v"], s["last_v"]
-        continues = carry is not None and _key_eq(fk, carry[0])
-        single_group = _key_eq(fk, lk)
-        if single_group:
-            grp_end = (carry[2] if continues else 0) + s["n_rows"]
-        else:
-            grp_end = s["n_last_group"]
-        whole_run = single_group and s["n_trailing"] == s["n_rows"]
-        if whole_run and continues and _eq(fv, carry[1]):
-            run_start = carry[3]
-        else:
-            run_start = grp_end - s["n_trailing"]
-        carry = (lk, lv, grp_end, run_start)
-    return out
-
-
-def _rank_fn(group_cols: list[str], value_col: str, rank_col: str, drop: list[str], carries: dict):
-    """Pass B: rank rows of each sorted partition, starting from its carry."""
-
-    def run(batches):
-        from pyspark import TaskContext
-
-        seed = carries.get(TaskContext.get().partitionId())
-        carry_key, carry_val, carry_pos, carry_first = seed if seed else (None, None, 0, 0)
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.drop(columns=drop).assign(**{rank_col: pd.Series([], dtype="int64")})
-                continue
-            n = len(pdf)
-            keys = pdf[group_cols].astype(object)
-            vals = pdf[value_col]
-            same_group, same_val = _batch_flags(keys, vals, group_cols)
-            first_continues = carry_key is not None and _key_eq(_row_key(keys, 0), carry_key)
-            same_group[0] = first_continues
-            same_val[0] = first_continues and _eq(_scalar(vals.iloc[0]), carry_val)
-            idx = np.arange(n)
-            starts = ~same_group
-            pos = idx - np.maximum.accumulate(np.where(starts, idx, 0))
-            if first_continues:
-                pos = np.where(np.cumsum(starts) == 0, pos + carry_pos, pos)
-            new_run = ~(same_group & same_val)
-            run_start = np.maximum.accumulate(np.where(new_run, idx, -1))
-            first_pos = np.where(run_start >= 0, pos[np.maximum(run_start, 0)], carry_first)
-            carry_key, carry_val = _row_key(keys, n - 1), _scalar(vals.iloc[n - 1])
-            carry_pos, carry_first = int(pos[-1]) + 1, int(first_pos[-1])
-            yield pdf.drop(columns=drop).assign(**{rank_col: first_pos.astype("int64") + 1})
 
-    return run
+from stratum.session import scratch_table
 
 
 def rank_desc(df: DataFrame, group_cols: str | Sequence[str], value_col: str,
@@ -187,31 +39,40 @@ def rank_desc(df: DataFrame, group_cols: str | Sequence[str], value_col: str,
     """``rank()`` of ``value_col`` descending within ``group_cols`` (ties share
     a rank, gaps follow).  NULL values rank last, NaN first (Spark ordering)."""
     groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
+    best_first = F.col(value_col).desc()
     if method == "window":
-        w = Window.partitionBy(*groups).orderBy(F.col(value_col).desc())
+        w = Window.partitionBy(*groups).orderBy(best_first)
         return df.withColumn(rank_col, F.rank().over(w).cast("long"))
     if method != "range":
         raise ValueError(f"unknown ranking method {method!r}")
-    spark = df.sparkSession
-    shared_root(spark)
-    tie = "__tiebreak"
-    order = [F.col(g).asc() for g in groups] + [F.col(value_col).desc(), F.col(tie).asc()]
-    keyed = df.withColumn(tie, F.xxhash64(*[F.col(c) for c in df.columns]))
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    order = [*[F.col(g).asc() for g in groups], best_first, tie.asc()]
     # Without an explicit count AQE may coalesce adjacent ranges, which keeps
     # partition order = key order (all this algorithm relies on).
-    ranged = (keyed.repartitionByRange(num_partitions, *order) if num_partitions
-              else keyed.repartitionByRange(*order))
-    staged = ranged.sortWithinPartitions(*order).checkpoint(eager=True)
-    types = {f.name: f.dataType for f in staged.schema.fields}
-    summary_schema = T.StructType(
-        [T.StructField("pid", T.IntegerType()), T.StructField("n_rows", T.LongType()),
-         T.StructField("n_last_group", T.LongType()), T.StructField("n_trailing", T.LongType()),
-         T.StructField("first_v", types[value_col]), T.StructField("last_v", types[value_col])]
-        + [T.StructField(f"{p}_g{i}", types[g]) for i, g in enumerate(groups)
-           for p in ("first", "last")])
-    summaries = [r.asDict() for r in
-                 staged.mapInPandas(_summary_fn(groups, value_col), summary_schema).collect()]
-    carries = _carry_in(summaries, len(groups))  # one small entry per partition
-    fields = [f for f in staged.schema.fields if f.name != tie]
-    schema = T.StructType(fields + [T.StructField(rank_col, T.LongType(), False)])
-    return staged.mapInPandas(_rank_fn(groups, value_col, rank_col, [tie], carries), schema)
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    staged = scratch_table(ranged.withColumn("__part", F.spark_partition_id()))
+    chunk = ["__part", *groups]
+    local = staged.withColumn("__local", F.rank().over(Window.partitionBy(*chunk).orderBy(best_first)).cast("long"))
+    # the least rank has the first value, the greatest the last one
+    value = F.struct(F.col(value_col).alias("v"))
+    chunks = local.groupBy(*chunk).agg(
+        F.count(F.lit(1)).alias("__rows"), F.max("__local").alias("__tail"),
+        F.min_by(value, "__local").alias("__first"), F.max_by(value, "__local").alias("__last"))
+    before = Window.partitionBy(*groups).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = scratch_table(chunks.withColumn("__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0))))
+    # where the run of ties that a chunk ends with began: one row per (group, value)
+    starts = chunks.groupBy(
+        *[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)], F.col("__last.v").alias("__v")
+    ).agg(F.min(F.col("__offset") + F.col("__tail")).alias("__start"))
+    same_run = F.col("__first.v").eqNullSafe(F.col("__v"))
+    for i, g in enumerate(groups):
+        same_run = same_run & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    runs = chunks.join(starts, same_run, "left").select(
+        *[F.col(c).alias(f"__c{i}") for i, c in enumerate(chunk)], "__offset", "__start")
+    same_chunk = F.col("__part") == F.col("__c0")
+    for i, g in enumerate(groups):
+        same_chunk = same_chunk & F.col(g).eqNullSafe(F.col(f"__c{i + 1}"))
+    rank = F.when((F.col("__local") == 1) & F.col("__start").isNotNull(), F.col("__start")).otherwise(
+        F.col("__offset") + F.col("__local"))
+    return local.join(runs, same_chunk).select(*df.columns, rank.alias(rank_col))

@@ -10,6 +10,7 @@ the setting is missing *and* the master is local, i.e. in tests.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -41,7 +42,7 @@ def build_session(
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("STRATUM_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("STRATUM_DRIVER_MEMORY", "8g"))
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
@@ -67,7 +68,7 @@ def shared_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
         raise RuntimeError(
             f"{_CKPT_KEY} is not set; point it at a folder shared by all executors"
         )
@@ -83,7 +84,12 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([base, "stratum-scratch", uuid.uuid4().hex, *parts])
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def scratch_table(df):
+    """``df`` written to the shared folder and read back: lineage ends there (it
+    survives executor loss), and the folder goes when the driver's JVM ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark)
+    df.write.parquet(path)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)

@@ -15,15 +15,10 @@ def test_range_rank_matches_window(spark, seed):
         v = rnd.choice([None, float("nan"), 1.0, 2.0, 2.0, 3.5]) if rnd.random() < 0.2 else float(rnd.randint(0, 40))
         rows.append((i, g, v))
     df = spark.createDataFrame(rows, "id long, g int, v double")
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
-    try:
-        got = rank_desc(df, "g", "v", method="range", num_partitions=13)
-        exp = rank_desc(df, "g", "v", method="window")
-        a = sorted((r["id"], r["rank"]) for r in got.select("id", "rank").collect())
-        b = sorted((r["id"], r["rank"]) for r in exp.select("id", "rank").collect())
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    got = rank_desc(df, "g", "v", method="range", num_partitions=13)
+    exp = rank_desc(df, "g", "v", method="window")
+    a = sorted((r["id"], r["rank"]) for r in got.select("id", "rank").collect())
+    b = sorted((r["id"], r["rank"]) for r in exp.select("id", "rank").collect())
     assert a == b
 
 
@@ -39,16 +34,18 @@ def test_range_rank_hot_tie_is_split(spark, seed):
         else:
             rows.append((i, rnd.choice([1, 2]), float(rnd.randint(-5, 30))))
     df = spark.createDataFrame(rows, "id long, g int, v double")
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "53")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         got = rank_desc(df, "g", "v", num_partitions=16)
-        per_part = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        per_part = (got.select("rank", F.spark_partition_id().alias("p")).groupBy("p")
+                    .agg(F.count("*").alias("count"), F.max("rank")).collect())
         exp = rank_desc(df, "g", "v", method="window")
         a = sorted((r["id"], r["rank"]) for r in got.select("id", "rank").collect())
         b = sorted((r["id"], r["rank"]) for r in exp.select("id", "rank").collect())
     finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert a == b
     assert max(r["count"] for r in per_part) < 1333  # the hot tie did not stay in one task
 
@@ -64,3 +61,20 @@ def test_range_rank_two_group_columns(spark):
 def test_range_rank_empty(spark):
     df = spark.createDataFrame([], "g int, v double")
     assert rank_desc(df, "g", "v").count() == 0
+
+
+def test_values_are_compared_not_converted(spark):
+    """NaN and NULL in one group, bigints beyond doubles, far timestamps, NULL payloads."""
+    import datetime as dt
+
+    big = 2**53
+    rows = [(1, float("nan"), big + 1, None), (1, float("nan"), big, big + 1), (1, None, None, 7),
+            (1, 2.5, big + 2, None), (2, -0.0, -big, big + 3), (2, 0.0, -big - 1, None)]
+    rows = [(*r, dt.datetime(2500, 1, 1, 0, 0, k)) for k, r in enumerate(rows)]
+    df = spark.createDataFrame(rows, "g int, x double, n bigint, payload bigint, at timestamp")
+    for value in ("x", "n", "at"):
+        for parts in (1, 3, 6):
+            got = rank_desc(df, "g", value, num_partitions=parts)
+            exp = rank_desc(df, "g", value, method="window")
+            key = lambda r: str(tuple(r))
+            assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, exp.collect()))), (value, parts, key)
