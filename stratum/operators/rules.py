@@ -1,18 +1,16 @@
 """Declarative validation and data-quality rules compiled into one Spark plan.
 
-A rule set for one table becomes a single aggregate over that table:
+A rule set for one table becomes a few aggregates over that table:
 
 * row-level rules (NOT_NULL, NON_NEGATIVE, ALLOWED_VALUES, REGEX,
-  NUMERIC_RANGE, DATE_RANGE, NULL_PERCENTAGE) are ``count_if`` columns of the
-  same aggregate: partial aggregation on the map side, only one small row per
+  NUMERIC_RANGE, DATE_RANGE, NULL_PERCENTAGE) are ``count_if`` columns of one
+  aggregate: partial aggregation on the map side, only one small row per
   task crosses the network;
-* DUPLICATE_KEY / DUPLICATE_ROW need a grouping.  All of them share one
-  *base grouping* ``G`` (all columns when a DUPLICATE_ROW rule is present,
-  otherwise the union of the key columns).  The row-level counters are carried
-  through that grouping, so the table is scanned once and shuffled at most
-  once (pre-aggregated per key on the map side).  A key that is a strict subset
-  of ``G`` is re-grouped from the already reduced base, whose exchange Spark
-  reuses (``ReusedExchange``) across the branches;
+* each key of the DUPLICATE_KEY rules is a grouping of its own over a scan of
+  the key columns alone; nothing else is in that shuffle;
+* DUPLICATE_ROW groups by all columns; where it is asked for, the row-level
+  rules are evaluated on the distinct rows of that grouping, weighted by their
+  counts, so the table is scanned and shuffled once for both;
 * SCHEMA / REQUIRED_COLUMN only look at ``df.columns`` (metadata) and become
   constant rows;
 * REFERENTIAL rules (keys that must exist in another table) are extra
@@ -20,7 +18,9 @@ A rule set for one table becomes a single aggregate over that table:
   to the reference keys.
 
 DUPLICATE_ROW groups by all columns (exact) or, with ``value="fingerprint"``,
-by a 16-byte digest of the row's canonical JSON (wide text rows).
+by a 16-byte digest of a lossless JSON form of the row (wide text rows): the
+shuffle carries 16 bytes per distinct row, and the chance that two of 2^40
+different rows get the same digest is about 2^-48.
 
 The result is a DataFrame with one row per rule:
 ``rule_name, rule_type, severity, passed, failed_records, details``.
@@ -219,18 +219,58 @@ def _meta_result(rule: Rule, columns: list[str]) -> Column:
 
 
 class _Compiled:
-    """Counters for stage A plus, per rule, a builder of the result struct."""
+    """Predicates of the row rules plus, per rule, a builder of the result struct."""
 
     def __init__(self) -> None:
-        self.counters: list[tuple[str, Column]] = []
+        self.predicates: list[tuple[str, Column]] = []
         self.row_results: list = []      # callables: cols -> struct Column
         self.const_results: list[Column] = []
 
-    def counter(self, expr: Column) -> str:
-        alias = f"__c{len(self.counters)}"
-        self.counters.append((alias, expr))
+    def counter(self, predicate: Column) -> str:
+        alias = f"__c{len(self.predicates)}"
+        self.predicates.append((alias, predicate))
         return alias
 
+    def per_row(self) -> list[Column]:
+        """Counters over rows."""
+        return [F.count(F.lit(1)).alias("__n")] + [F.count_if(p).alias(a) for a, p in self.predicates]
+
+    def per_group(self) -> list[Column]:
+        """The same counters over groups of equal rows of size ``__n``."""
+        return [F.sum("__n").alias("__n")] + [
+            F.sum(F.when(p, F.col("__n"))).alias(a) for a, p in self.predicates]
+
+
+def _lossless(c: Column, dtype) -> Column:
+    """``c`` in a form whose JSON text differs wherever Spark's grouping tells two
+    values apart, and only there."""
+    kind = dtype.typeName()
+    if kind in ("double", "float"):
+        return F.when(c == 0, F.lit("0.0")).otherwise(c.cast("string"))  # -0.0 groups with 0.0
+    if kind == "timestamp":
+        return F.unix_micros(c)
+    if kind == "binary":
+        return F.hex(c)
+    if kind == "array":
+        return F.transform(c, lambda x: _lossless(x, dtype.elementType))
+    if kind == "map":
+        entries = F.transform(F.map_entries(c), lambda e: F.struct(
+            _lossless(e["key"], dtype.keyType).alias("k"), _lossless(e["value"], dtype.valueType).alias("v")))
+        by_key = F.transform(entries, lambda e: F.struct(F.to_json(F.struct(e["k"])).alias("k"), F.to_json(F.struct(e["v"])).alias("v")))
+        return F.array_sort(by_key)  # entries count, their order does not
+    if kind == "struct":
+        fields = [_lossless(c[f.name], f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(c.isNotNull(), F.struct(*fields)) if fields else c
+    return c.cast("string")
+
+
+def row_fingerprint(df: DataFrame, columns: Sequence[str]) -> Column:
+    """128-bit digest of a row (16-byte binary).  JSON keeps field names, so NULLs
+    in different columns never look alike (plain column hashes skip NULLs)."""
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    row = F.struct(*[_lossless(F.col(f"`{c}`"), fields[c]).alias(c) for c in columns])
+    return F.unhex(F.md5(F.to_json(row)))
+
 
 def _resolves(df: DataFrame, column: str | None) -> bool:
     """True when ``column`` (a name or a nested ``a.b`` path) resolves on
@@ -257,39 +297,39 @@ def _compile_row_rule(rule: Rule, comp: _Compiled, df: DataFrame) -> None:
     col = F.col(c)
     title = f"{c} {TITLES[kind]}"
     if kind == "NOT_NULL":
-        a = comp.counter(F.count_if(col.isNull()))
+        a = comp.counter(col.isNull())
         comp.row_results.append(lambda g, a=a: _result(
             rule, title, g(a), _detail("NOT_NULL", g(a), c=c)))
     elif kind == "NON_NEGATIVE":
-        a = comp.counter(F.count_if(col.try_cast("double") < 0))
+        a = comp.counter(col.try_cast("double") < 0)
         comp.row_results.append(lambda g, a=a: _result(
             rule, title, g(a), _detail("NON_NEGATIVE", g(a), c=c)))
     elif kind == "ALLOWED_VALUES":
         allowed = parse_allowed_values(rule.value)
-        a = comp.counter(F.count_if(~col.cast("string").isin(allowed)))
+        a = comp.counter(~col.cast("string").isin(allowed))
         comp.row_results.append(lambda g, a=a: _result(
             rule, title, g(a), _detail("ALLOWED_VALUES", g(a), c=c)))
     elif kind == "REGEX":
         if not rule.value:
             raise ConfigurationError("REGEX needs a pattern in rule_value")
-        a = comp.counter(F.count_if(~col.cast("string").rlike(rule.value)))
+        a = comp.counter(~col.cast("string").rlike(rule.value))
         comp.row_results.append(lambda g, a=a: _result(
             rule, title, g(a), _detail("REGEX", g(a))))
     elif kind == "NUMERIC_RANGE":
         lo, hi = parse_numeric_range(rule.value)
         num = col.try_cast("double")
-        a = comp.counter(F.count_if((num < F.lit(lo)) | (num > F.lit(hi))))
+        a = comp.counter((num < F.lit(lo)) | (num > F.lit(hi)))
         comp.row_results.append(lambda g, a=a: _result(
             rule, title, g(a), _detail("NUMERIC_RANGE", g(a), lo=lo, hi=hi)))
     elif kind == "DATE_RANGE":
         lo_txt, hi_txt, lo, hi = parse_date_range(rule.value)
         d = col.try_cast("date")
-        a = comp.counter(F.count_if((d < F.lit(lo)) | (d > F.lit(hi))))
+        a = comp.counter((d < F.lit(lo)) | (d > F.lit(hi)))
         comp.row_results.append(lambda g, a=a: _result(
             rule, title, g(a), _detail("DATE_RANGE", g(a), lo=lo_txt, hi=hi_txt)))
     elif kind == "NULL_PERCENTAGE":
         threshold = float(rule.threshold if rule.threshold is not None else (rule.value or 0.0))
-        a = comp.counter(F.count_if(col.isNull()))
+        a = comp.counter(col.isNull())
 
         def build(g, a=a, threshold=threshold):
             nulls = F.coalesce(g(a), F.lit(0))
@@ -374,7 +414,6 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
         for b in ref_branches:
             out = out.unionByName(b)
         return out if with_label else out.drop("rule_label")
-    counters = [F.count(F.lit(1)).alias("__n")] + [e.alias(a) for a, e in comp.counters]
 
     # nested key paths (a.b) become flat internal columns before grouping
     alias: dict[str, str] = {}
@@ -387,95 +426,37 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
         dup_keys = [replace(r, column=", ".join(alias.get(k, k) for k in r.key_columns),
                             display=", ".join(r.key_columns)) for r in dup_keys]
 
-    grouping = []
-    for r in dup_keys:
-        for k in r.key_columns:
-            if k not in grouping:
-                grouping.append(k)
-    if dup_rows:
-        has_map = any(f.dataType.typeName() == "map" for f in df.select(*columns).schema.fields)
-        if has_map or all((r.value or "").lower() == "fingerprint" for r in dup_rows):
-            # (map columns cannot be grouped on, so such frames always take
-            # the fingerprint path)
-            # Rows are grouped by a 128-bit digest (16-byte binary) of their
-            # canonical JSON form: the shuffle carries 16 bytes per distinct
-            # row instead of the row (wide text).  JSON keeps field names, so
-            # NULLs in different columns never look alike (plain column hashes
-            # skip NULLs and would).  The key columns stay in the grouping so
-            # key rules are still resolved from the base.
-            canon = []
-            for f in df.select(*columns).schema.fields:
-                c = F.col(f.name)
-                if f.dataType.typeName() in ("double", "float"):
-                    c = F.when(c == 0, F.lit(0.0)).otherwise(c)  # -0.0 groups with 0.0
-                canon.append(c.alias(f.name))
-            df = df.withColumn("__fp", F.unhex(F.md5(F.to_json(F.struct(*canon)))))
-            grouping = grouping + ["__fp"]
-        else:
-            grouping = columns + [a for a in alias.values()]
+    def inlined(frame: DataFrame, structs: list[Column]) -> DataFrame:
+        return frame.select(F.inline(F.array(*structs)))
 
     branches: list[DataFrame] = []
-    if not grouping:
-        final = df.agg(*counters)
-        structs = [b(F.col) for b in comp.row_results] + comp.const_results
-        branches.append(final.select(F.inline(F.array(*structs))))
-    else:
-        base = df.groupBy(*grouping).agg(*counters)
-        per_base: dict[str, Column] = {}
-        structs_after: list = []
-        for i, r in enumerate(dup_rows):
-            per_base[f"__dr{i}"] = F.col("__n") - 1
-            structs_after.append(lambda g, i=i, r=r: _dup_row_result(r, g(f"__dr{i}")))
-        subset_sets: list[tuple[str, ...]] = []
-        for j, r in enumerate(dup_keys):
-            if set(r.key_columns) == set(grouping):
-                per_base[f"__dk{j}"] = F.when(
-                    _keys_not_null(r.key_columns) & (F.col("__n") > 1), F.col("__n"))
-                structs_after.append(lambda g, j=j, r=r: _dup_key_result(r, g(f"__dk{j}")))
-            else:
-                keyset = tuple(r.key_columns)
-                if keyset not in subset_sets:
-                    subset_sets.append(keyset)
-        if per_base:
-            base = base.withColumns(per_base)
-        summed = ["__n"] + [a for a, _ in comp.counters] + list(per_base)
-        if not subset_sets:
-            final = base.agg(*[F.sum(a).alias(a) for a in summed])
-            structs = ([b(F.col) for b in comp.row_results] + comp.const_results
-                       + [b(F.col) for b in structs_after])
-            branches.append(final.select(F.inline(F.array(*structs))))
-        else:
-            # Keys that are a strict subset of G: one GROUPING SETS pass over
-            # the reduced base.  The empty set carries the table totals, each
-            # key set its per-key row counts; the base is computed once.
-            key_cols: list[str] = []
-            for ks in subset_sets:
-                for k in ks:
-                    if k not in key_cols:
-                        key_cols.append(k)
-            width = len(key_cols)
-
-            def gid_of(ks) -> int:
-                return sum(1 << (width - 1 - i) for i, k in enumerate(key_cols) if k not in ks)
-
-            sets = [[]] + [list(ks) for ks in subset_sets]
-            grouped = base.groupingSets(sets, *key_cols).agg(
-                *[F.sum(a).alias(a) for a in summed], F.grouping_id().alias("__gid"))
-            total_gid = gid_of(())
-            finals = [F.sum(F.when(F.col("__gid") == total_gid, F.col(a))).alias(a)
-                      for a in summed]
-            for s_idx, ks in enumerate(subset_sets):
-                finals.append(F.sum(F.when(
-                    (F.col("__gid") == gid_of(ks)) & _keys_not_null(ks) & (F.col("__n") > 1),
-                    F.col("__n"))).alias(f"__dks{s_idx}"))
-            final = grouped.agg(*finals)
-            structs = ([b(F.col) for b in comp.row_results] + comp.const_results
-                       + [b(F.col) for b in structs_after])
-            for r in dup_keys:
-                ks = tuple(r.key_columns)
-                if set(ks) != set(grouping):
-                    structs.append(_dup_key_result(r, F.col(f"__dks{subset_sets.index(ks)}")))
-            branches.append(final.select(F.inline(F.array(*structs))))
+    exact = [r for r in dup_rows if (r.value or "").lower() != "fingerprint"]
+    counted = bool(comp.row_results)
+    if exact:
+        # all columns are grouping keys: the row rules are evaluated once per
+        # distinct row, after the grouping, and weighted by its count
+        rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+        final = rows.agg(*comp.per_group(), F.sum(F.col("__n") - 1).alias("__dup"))
+        structs = [b(F.col) for b in comp.row_results] + [_dup_row_result(r, F.col("__dup")) for r in exact]
+        branches.append(inlined(final, structs + comp.const_results))
+    elif counted or comp.const_results:
+        # one row per task crosses the network
+        final = df.agg(*comp.per_row())
+        branches.append(inlined(final, [b(F.col) for b in comp.row_results] + comp.const_results))
+    prints = [r for r in dup_rows if r not in exact]
+    if prints:
+        rows = df.select(row_fingerprint(df, columns).alias("__fp")).groupBy("__fp").agg(F.count(F.lit(1)).alias("__n"))
+        final = rows.agg(F.sum(F.col("__n") - 1).alias("__dup"))
+        branches.append(inlined(final, [_dup_row_result(r, F.col("__dup")) for r in prints]))
+    by_keys: dict[frozenset, list[Rule]] = {}
+    for r in dup_keys:
+        by_keys.setdefault(frozenset(r.key_columns), []).append(r)
+    for same in by_keys.values():
+        # the scan reads the key columns only; a hot key is one row per task
+        keys = list(dict.fromkeys(same[0].key_columns))
+        groups = df.select(*keys).filter(_keys_not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        final = groups.agg(F.sum(F.when(F.col("__n") > 1, F.col("__n"))).alias("__dup"))
+        branches.append(inlined(final, [_dup_key_result(r, F.col("__dup")) for r in same]))
 
     out = branches[0]
     for b in branches[1:] + ref_branches:

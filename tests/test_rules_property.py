@@ -4,6 +4,7 @@ of each rule on the driver (small random tables with NULLs and NaN)."""
 import datetime as dt
 import math
 from collections import Counter
+from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -94,3 +95,30 @@ def test_fingerprint_mode_matches_exact(spark, rows):
                 for r in RULES]
     got = {r.rule_name: r.failed_records for r in quality_report(df, fp_rules).collect()}
     assert got == brute(rows)
+
+
+WIDE_DDL = ("t timestamp, n timestamp_ntz, m map<string,double>, a array<double>, "
+            "s struct<x:double, y:string>, b binary, d decimal(20,6)")
+_float = st.one_of(st.none(), st.sampled_from([0.0, -0.0, 1.5, float("nan")]))
+_micros = st.one_of(st.none(), st.integers(0, 2).map(
+    lambda k: dt.datetime(2024, 10, 27, 1, 30, 0, 999_998) + dt.timedelta(microseconds=k)))
+wide_st = st.lists(st.tuples(
+    _micros, _micros,
+    st.one_of(st.none(), st.permutations(["p", "q"]).flatmap(
+        lambda ks: st.tuples(_float, _float).map(lambda vs: dict(zip(ks, vs))))),
+    st.one_of(st.none(), st.lists(_float, max_size=2)),
+    st.one_of(st.none(), st.tuples(_float, st.sampled_from(["", "null", None]))),
+    st.one_of(st.none(), st.sampled_from([b"", b"\x00", b"0"])),
+    st.one_of(st.none(), st.integers(0, 1).map(lambda k: Decimal(k) / 1_000_000)),
+), min_size=4, max_size=30).map(lambda rows: rows + rows[::3])
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=wide_st)
+def test_fingerprint_tells_apart_what_grouping_does(spark, rows):
+    df = spark.createDataFrame(rows, WIDE_DDL)
+    for columns in (df.columns, ["t"], ["m"], ["s", "a"]):
+        part = df.select(*columns)
+        exact, prints = (quality_report(part, [Rule("DUPLICATE_ROW", value=v)]).first().failed_records
+                         for v in (None, "fingerprint"))
+        assert exact == prints, columns
