@@ -14,10 +14,9 @@ from pyspark.sql import SparkSession
 from stratum.functions.columns import (
     DURATION_MINUTES,
     DURATION_SECONDS,
-    SNAKE_BOUNDARY,
-    SNAKE_SEPARATORS,
     STRIP_EDGES,
     TRUNCATE_SUFFIX,
+    WORD_BREAK,
 )
 
 
@@ -26,14 +25,14 @@ def _lit(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-_MINUTES = "floor(floor(s) / 60)"
-_SECONDS = f"floor(s) - {_MINUTES} * 60"
+_WHOLE = "cast(CASE WHEN s < 0 THEN ceil(s) ELSE floor(s) END AS BIGINT)"
+_SECONDS = f"pmod({_WHOLE}, 60)"
+_MINUTES = f"(({_WHOLE} - {_SECONDS}) DIV 60)"
 
 SQL_FUNCTIONS = {
     "snake_case": (
         "x STRING", "STRING",
-        f"lower(regexp_replace(regexp_replace(x, {_lit(SNAKE_BOUNDARY)}, '$1_$2'), "
-        f"{_lit(SNAKE_SEPARATORS)}, '_'))",
+        f"lower(regexp_replace(x, {_lit(WORD_BREAK)}, '_'))",
     ),
     "safe_strip": (
         "x STRING", "STRING",
@@ -50,7 +49,7 @@ SQL_FUNCTIONS = {
     ),
     "format_duration": (
         "s DOUBLE", "STRING",
-        f"CASE WHEN {_MINUTES} != 0 THEN format_string({_lit(DURATION_MINUTES)}, {_MINUTES}, {_SECONDS}) "
+        f"CASE WHEN s IS NULL OR isnan(s) THEN NULL WHEN {_MINUTES} != 0 THEN format_string({_lit(DURATION_MINUTES)}, {_MINUTES}, {_SECONDS}) "
         f"ELSE format_string({_lit(DURATION_SECONDS)}, {_SECONDS}) END",
     ),
     "safe_year": (

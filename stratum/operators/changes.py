@@ -45,12 +45,22 @@ def upsert(current: DataFrame, changes: DataFrame, keys: str | Sequence[str],
     """MERGE ``changes`` into ``current`` on ``keys``.
 
     ``order_by`` picks the latest version when a key occurs several times in
-    ``changes``; rows whose ``delete_flag`` column is true remove the key.
+    ``changes``; without it such a key is ambiguous and the query fails, as a
+    MERGE does.  Rows whose ``delete_flag`` column is true remove the key.
     Columns are aligned by name; the result has ``current``'s columns.
     """
     keys = _as_list(keys)
     if order_by is not None:
         changes = latest_per_key(changes, keys, order_by)
+    else:
+        others = [c for c in changes.columns if c not in keys]
+        row = F.any_value(F.struct(*[F.col(c) for c in others], F.lit(1).alias("__one")))
+        single = changes.groupBy(*keys).agg(row.alias("__row"), F.count(F.lit(1)).alias("__n"))
+        message = F.concat(F.lit("several changes for the key "), F.to_json(F.struct(*keys)))
+        single = single.withColumn("__row", F.when(F.col("__n") == 1, F.col("__row")).otherwise(
+            F.raise_error(message)))
+        changes = single.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others], "__row")
+        changes = changes.filter("__row.__one = 1").drop("__row")
     kept = current.join(changes.select(*keys), keys, "left_anti")
     incoming = changes
     if delete_flag is not None:

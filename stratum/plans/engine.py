@@ -1,7 +1,7 @@
 """One object bundling a lakehouse root with its configuration and rule
 tables, so a pipeline step is a one-line call::
 
-    eng = Engine.seeded(spark, root="s3://lake/main", landing="s3://raw/landing")
+    eng = Engine.seeded(spark, root="<lake root>", landing="s3://raw/landing")
     eng.ingest("results")          # raw -> bronze, checks, state commit
     eng.refine("results")          # bronze -> refined, output checks
     eng.runs().show()              # run records
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratum.plans import control as ctl
 from stratum.plans.ingest import IngestResult, bronze_current, ingest
 from stratum.plans.jobs import run_bronze_layer, run_refine_layer
-from stratum.plans.refine import refine
+from stratum.plans.refine import refine, refined_current
 
 
 @dataclass
@@ -45,7 +45,7 @@ class Engine:
         return self._config_cache
 
     def ingest(self, entity: str, **options) -> IngestResult:
-        """``options``: ``trust_metadata``, ``max_hash_bytes``, ``hash_content``,
+        """``options``: ``trust_metadata``, ``hash_content``,
         ``references`` (tables of REFERENTIAL rules)."""
         return ingest(self.spark, self.lake, entity, self._configs(), self.validation_rules,
                       self.dq_rules, **options)
@@ -55,6 +55,10 @@ class Engine:
             raise ValueError("no refine configuration")
         return refine(self.spark, self.lake, entity, self.refine_entities, self.entities)
 
+    def refined(self, entity: str) -> DataFrame | None:
+        """Committed rows of a refined entity, None before its first run."""
+        return refined_current(self.spark, self.lake, ctl.config_for(self.refine_entities, entity))
+
     def ingest_all(self, parallelism: int = 1, **options) -> DataFrame:
         return run_bronze_layer(self.spark, self.lake, self.entities, self.validation_rules,
                                 self.dq_rules, parallelism=parallelism, **options)

@@ -5,9 +5,9 @@ Steps (each a Spark job unless noted):
 1. run event RUNNING;
 2. config + named schema lookup (driver, metadata);
 3. file tracking: target missing -> RESET event; inventory (binaryFile, md5 on
-   executors) LEFT JOIN current state -> changed files, staged as a small
-   parquet table in the shared folder (no file list is built on the driver
-   from data); none changed -> SKIPPED;
+   executors) LEFT JOIN current state -> changed files, staged as a parquet
+   table in the shared folder (removed when the run ends); none changed ->
+   SKIPPED;
 4. one parse of only the changed files (lineage column taken at the scan),
    written to ``<target>/_pipeline_run_id=<run>/`` (overwrite: a retried write
    inside one run replaces itself), partitioned as configured;
@@ -16,8 +16,8 @@ Steps (each a Spark job unless noted):
    their log; a failing ERROR rule -> FAILED, the run folder is removed,
    nothing is committed;
 6. zero rows -> SKIPPED, the run folder is removed, state untouched;
-7. commit: state rows of the loaded files (one file, written last — the single
-   commit point), then the run event SUCCESS.  Audit rows and the high-water
+7. commit: state rows of the loaded files (written last; the batch appears by
+   one rename, the single commit point), then the run event SUCCESS.  Audit rows and the high-water
    mark are views over these two logs (``Lakehouse.audit`` / ``.watermarks``).
 
 Until step 7 the run's rows are invisible to :func:`bronze_current`, so a crash
@@ -44,7 +44,7 @@ from stratum.operators.changes import (
     latest_run_rows,
     loaded_events,
 )
-from stratum.operators.lineage import add_year_partition, drop_lineage, with_source_file
+from stratum.operators.lineage import add_year_partition, drop_lineage
 from stratum.operators.rules import RESULT_COLUMNS, load_rules, quality_report
 from stratum.plans.control import Lakehouse, config_for
 from stratum.plans.locks import entity_lock
@@ -141,16 +141,15 @@ def bronze_current(spark: SparkSession, lake: Lakehouse, cfg: dict) -> DataFrame
 def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: DataFrame | dict,
            validation_rules: DataFrame | None = None, dq_rules: DataFrame | None = None,
            pipeline_name: str = "bronze_ingestion", hash_content: bool = True,
-           trust_metadata: bool = False, max_hash_bytes: int | None = None,
-           lock: bool = True, references: dict | None = None) -> IngestResult:
+           trust_metadata: bool = False, lock: bool = True,
+           references: dict | None = None) -> IngestResult:
     """Ingest one entity (see the module docstring for the steps).
 
     Change detection is exact by default: every file is hashed each run, so a
     rewrite that keeps size and mtime is still found.  ``trust_metadata``
     hashes only files whose mtime or size changed (or that are new) — hashing
     cost proportional to the changed bytes, at the price of missing such
-    rewrites.  ``max_hash_bytes`` leaves larger files unhashed.  With
-    ``lock`` a second run of the same entity fails fast instead of
+    rewrites.  With ``lock`` a second run of the same entity fails fast instead of
     overlapping (see :mod:`stratum.plans.locks`).  ``references`` maps table
     names of REFERENTIAL rules to DataFrames (else the catalog is used).
     """
@@ -169,10 +168,9 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
             with entity_lock(spark, lake.log_path(f"_locks/{entity_name}"), run_id):
                 return _ingest_steps(spark, lake, entity_name, config_df, validation_rules,
                                      dq_rules, run_id, t0, finish, hash_content,
-                                     trust_metadata, max_hash_bytes, references)
+                                     trust_metadata, references)
         return _ingest_steps(spark, lake, entity_name, config_df, validation_rules, dq_rules,
-                             run_id, t0, finish, hash_content, trust_metadata, max_hash_bytes,
-                             references)
+                             run_id, t0, finish, hash_content, trust_metadata, references)
     except Exception as exc:
         lake.append(run_event(spark, run_id, pipeline_name, entity_name, "FAILED",
                               error=str(exc)), "pipeline_runs", one_file=True)
@@ -180,9 +178,17 @@ def ingest(spark: SparkSession, lake: Lakehouse, entity_name: str, config_df: Da
 
 
 def _ingest_steps(spark, lake, entity_name, config_df, validation_rules, dq_rules, run_id, t0,
-                  finish, hash_content, trust_metadata, max_hash_bytes,
-                  references=None) -> IngestResult:
+                  finish, hash_content, trust_metadata, references=None) -> IngestResult:
     """The steps of :func:`ingest` (see the module docstring)."""
+    try:
+        return _staged_steps(spark, lake, entity_name, config_df, validation_rules, dq_rules,
+                             run_id, t0, finish, hash_content, trust_metadata, references)
+    finally:
+        remove_path(spark, lake.log_path(f"_staging/{run_id}"))
+
+
+def _staged_steps(spark, lake, entity_name, config_df, validation_rules, dq_rules, run_id, t0,
+                  finish, hash_content, trust_metadata, references) -> IngestResult:
     cfg = config_for(config_df, entity_name)
     if cfg.get("active") is False:
         return finish("SKIPPED")
@@ -194,7 +200,7 @@ def _ingest_steps(spark, lake, entity_name, config_df, validation_rules, dq_rule
     tracking = cfg.get("incremental_strategy") == "file_tracking"
 
     changed = None
-    changed_paths: list[str] = []
+    files = 0
     if tracking:
         if not path_exists(spark, target):
             reset_state(spark, lake, entity_name)
@@ -203,27 +209,20 @@ def _ingest_steps(spark, lake, entity_name, config_df, validation_rules, dq_rule
         staging = lake.log_path(f"_staging/{run_id}/changed_files")
         if trust_metadata and hash_content:
             listing = file_inventory(spark, cfg["source_path"], hash_content=False)
-            candidates = [r[0] for r in changed_files(listing, state, compare_hash=False)
-                          .select("source_file").collect()]  # changed files only
-            inv = file_inventory(spark, cfg["source_path"], max_hash_bytes=max_hash_bytes,
-                                 only_files=candidates)
+            candidates = changed_files(listing, state, compare_hash=False)
+            inv = file_inventory(spark, cfg["source_path"], files=candidates)
             changed_files(inv, state, compare_hash=False).write.parquet(staging)
         else:
-            inv = file_inventory(spark, cfg["source_path"], hash_content=hash_content,
-                                 max_hash_bytes=max_hash_bytes)
+            inv = file_inventory(spark, cfg["source_path"], hash_content=hash_content)
             changed_files(inv, state).write.parquet(staging)
-        changed = spark.read.parquet(staging)
-        # one row per changed file: the paths double as emptiness test,
-        # file count and the scan's file-pruning predicate
-        changed_paths = [r[0] for r in changed.select("source_file").collect()]
-        if not changed_paths:
+        changed = spark.read.parquet(staging)  # one row per changed file
+        files = changed.count()
+        if not files:
             return finish("SKIPPED")
 
     df = read_source(spark, cfg["source_path"], cfg["source_format"], schema,
-                     files_to_include=changed_paths if tracking else None,
-                     multiline=bool(cfg.get("multiline")),
-                     options={"recursiveFileLookup": "true"})
-    df = with_source_file(df)
+                     files_to_include=changed, multiline=bool(cfg.get("multiline")),
+                     options={"recursiveFileLookup": "true"}, source_file_column="_source_file")
     part = cfg.get("partition_column")
     if part:
         df = add_year_partition(df, part, cfg.get("partition_source") or "date")
@@ -277,8 +276,7 @@ def _ingest_steps(spark, lake, entity_name, config_df, validation_rules, dq_rule
         F.current_timestamp().alias("processed_at"),
         F.lit(elapsed_ms).cast("bigint").alias("processing_duration_ms"),
         F.lit("LOADED").alias("event"))
-    lake.append(state_rows, "ingestion_state", one_file=True, sub=entity_name)  # commit point
-    files = len(changed_paths) if tracking else 0
+    lake.append(state_rows, "ingestion_state", sub=entity_name)  # commit point
     return finish("SUCCESS", records, files, target)
 
 

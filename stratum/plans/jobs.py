@@ -34,7 +34,7 @@ def _run_all(spark: SparkSession, names: list[str], fn, parallelism: int) -> Dat
         try:
             return fn(name)
         except Exception as exc:  # noqa: BLE001 - reported per entity
-            return (name, "FAILED", None, 0, 0, str(exc)[:500])
+            return (name, "FAILED", None, 0, 0, str(exc))
 
     if parallelism > 1:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
@@ -50,7 +50,7 @@ def run_bronze_layer(spark: SparkSession, lake: Lakehouse, config_df: DataFrame,
                      entities: list[str] | None = None, parallelism: int = 1,
                      **ingest_options) -> DataFrame:
     """Ingest each entity; ``ingest_options`` go to :func:`ingest`
-    (``trust_metadata``, ``max_hash_bytes``, ``references``, ...)."""
+    (``trust_metadata``, ``references``, ...)."""
     names = entities or active_entities(config_df)
 
     def fn(name):

@@ -182,7 +182,7 @@ def scan_ndjson(spark, data_dir):
 
 def scan_json_array(spark, data_dir):
     path = scratch_path(spark, "nation_array")
-    sinks.write_json_arrays(table(spark, data_dir, "nation"), path, rows_per_file=10)
+    sinks.write_json_arrays(table(spark, data_dir, "nation"), path, files=3)
     return readers.read_source(spark, path, "json", NATION_DDL, multiline=True,
                                options={"recursiveFileLookup": "true"})
 
@@ -219,10 +219,11 @@ def discover_schema(spark, data_dir):
 
 def file_inventory_query(spark, data_dir):
     path = scratch_path(spark, "pages_raw")
-    sinks.write_file_per_key(table(spark, data_dir, "pages"), path, "page_id", "html")
+    pages = table(spark, data_dir, "pages").withColumn("batch", F.expr("page_id DIV 100"))
+    sinks.write_text_files(pages, path, "batch", "page_id", "html")
     inv = file_inventory(spark, path)
     return inv.select(
-        F.regexp_extract("source_file", r"page_id=([0-9]+)/", 1).cast("bigint").alias("page_id"),
+        F.regexp_extract("source_file", r"batch=([0-9]+)/", 1).cast("bigint").alias("batch"),
         "file_size", "content_hash")
 
 
@@ -582,11 +583,12 @@ def _raw_orders(spark, data_dir):
 
 
 def land_orders(spark, data_dir, landing, years=None):
-    """Raw orders as NDJSON, one file per order year under ``landing``."""
+    """Raw orders as NDJSON, a folder per order year under ``landing``, its rows in
+    files of the advisory partition size (a hot year is split)."""
     raw = _raw_orders(spark, data_dir)
     if years is not None:
         raw = raw.filter(years)
-    raw.repartition("landing_year").write.mode("append").partitionBy("landing_year").json(landing)
+    raw.hint("rebalance", "landing_year").write.mode("append").partitionBy("landing_year").json(landing)
 
 
 def replace_file(spark, file_uri: str, new_content: DataFrame) -> None:
@@ -702,10 +704,10 @@ def check_referential(spark, data_dir):
     customer = table(spark, data_dir, "customer")
     li = table(spark, data_dir, "lineitem")
     labels = table(spark, data_dir, "labels")
-    docs = table(spark, data_dir, "documents").filter(F.col("lang") == "en")
+    docs = table(spark, data_dir, "documents")
     return (referential_report(orders, "o_custkey", customer, "c_custkey")
             .unionByName(referential_report(li, "l_orderkey", orders, "o_orderkey"))
-            .unionByName(referential_report(labels, "doc_id", docs, "doc_id", severity="WARNING")))
+            .unionByName(referential_report(docs, "doc_id", labels, "doc_id", severity="WARNING")))
 
 
 def check_duplicate_row_fingerprint(spark, data_dir):
@@ -771,7 +773,7 @@ def land_seeded_entities(spark, data_dir, landing: str) -> None:
         F.month("o_orderdate").cast("bigint").alias("round"),
         F.year("o_orderdate").cast("bigint").alias("season"),
         F.col("o_orderstatus").alias("status"), url("o", "o_orderkey").alias("url"))
-    sinks.write_json_arrays(results, f"{landing}/results", rows_per_file=5000)
+    sinks.write_json_arrays(results, f"{landing}/results", files=8)
     sprints = li.select(
         F.col("l_partkey").cast("string").alias("constructorId"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
@@ -783,7 +785,7 @@ def land_seeded_entities(spark, data_dir, landing: str) -> None:
         F.month("l_shipdate").cast("bigint").alias("round"),
         F.year("l_shipdate").cast("bigint").alias("season"),
         F.col("l_linestatus").alias("status"), url("l", "l_orderkey").alias("url"))
-    sinks.write_json_arrays(sprints, f"{landing}/sprints", rows_per_file=20000)
+    sinks.write_json_arrays(sprints, f"{landing}/sprints", files=8)
 
 
 def seeded_layers(spark, data_dir):
@@ -796,8 +798,7 @@ def seeded_layers(spark, data_dir):
     refined = {r.entity_name: r.status for r in eng.refine_all(parallelism=3).collect()}
     rows = []
     for entity in sorted(bronze):
-        target = eng.lake.table_path("silver", entity)
-        n = spark.read.parquet(target).count() if refined.get(entity) == "SUCCESS" else 0
+        n = eng.refined(entity).count() if refined.get(entity) == "SUCCESS" else 0
         rows.append((entity, bronze[entity].status, bronze[entity].records, n))
     return sinks.literal_rows(spark, rows, "entity_name string, bronze_status string, "
                                            "bronze_records bigint, refined_rows bigint")

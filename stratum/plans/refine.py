@@ -6,7 +6,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stratum.errors import ConfigurationError
 from stratum.operators.lineage import add_refined_stamp
 from stratum.operators.projection import (
     ENTITY_SPECS,
@@ -16,11 +18,11 @@ from stratum.operators.projection import (
     output_columns,
 )
 from stratum.operators.rules import TITLES, Rule, quality_report, raise_on_failure
-from stratum.plans.control import Lakehouse, config_for
+from stratum.plans.control import Lakehouse, config_for, configs_by_entity
 from stratum.plans.ingest import bronze_current
 from stratum.plans.locks import entity_lock
 from stratum.plans.runlog import new_run_id, run_event
-from stratum.sources.sinks import write_table
+from stratum.sources.sinks import write_managed, write_table
 
 _EXTRA_CHECKS: dict[str, tuple[tuple[str, ...], list[str], list[str]]] = {}
 
@@ -55,32 +57,72 @@ def check_output(entity: str, df: DataFrame) -> None:
                          f"Silver validation failed for entity '{entity}'")
 
 
+def source_config(bronze_config_df: DataFrame | dict, schema: str, table: str) -> dict:
+    """Configuration of the entity that is loaded into ``schema.table``."""
+    configs = bronze_config_df if isinstance(bronze_config_df, dict) else configs_by_entity(bronze_config_df)
+    for cfg in configs.values():
+        if (cfg["target_schema"], cfg["target_table"]) == (schema, table):
+            return cfg
+    raise ConfigurationError(f"No entity is configured to load '{schema}.{table}'")
+
+
+def refined_current(spark: SparkSession, lake: Lakehouse, cfg: dict,
+                    pipeline_name: str = "silver_refine") -> DataFrame | None:
+    """The committed rows of a refined table: those of the latest successful run,
+    or of all successful runs where the entity appends.  None before the first.
+
+    A run writes its own folder and is committed by its SUCCESS event, so a run
+    that dies while writing leaves the table as it was."""
+    done = lake.read_log(spark, "pipeline_runs").filter(
+        (F.col("pipeline_name") == pipeline_name) & (F.col("entity_name") == cfg["entity_name"])
+        & (F.col("status") == "SUCCESS"))
+    if (cfg.get("write_mode") or "overwrite").lower() == "append":
+        runs = [r[0] for r in done.select("run_id").distinct().collect()]
+    else:
+        last = done.agg(F.max_by("run_id", F.struct("event_time", "run_id"))).first()[0]
+        runs = [last] if last else []
+    target = lake.table_path(cfg["target_schema"], cfg["target_table"])
+    if not runs:
+        return None
+    return (spark.read.option("basePath", target)
+            .parquet(*[f"{target}/_pipeline_run_id={r}" for r in runs]))
+
+
 def refine(spark: SparkSession, lake: Lakehouse, entity_name: str, refine_config_df: DataFrame,
            bronze_config_df: DataFrame, run_id: str | None = None,
-           pipeline_name: str = "silver_refine") -> DataFrame | None:
+           pipeline_name: str = "silver_refine", catalog: bool = False) -> DataFrame | None:
     """Run the refine step of one entity; returns the refined table (lazy
-    read of what was written) or None when the entity is inactive."""
+    read of what was written) or None when the entity is inactive.
+
+    The source is the entity whose bronze table has the configured source schema
+    and name.  With ``catalog`` the result is also written to the catalog table
+    ``target_schema.target_table``, in the configured write mode."""
     run_id = run_id or new_run_id()
-    lake.append(run_event(spark, run_id, pipeline_name, entity_name, "RUNNING"), "pipeline_runs",
-                one_file=True)
+
+    def event(status: str, error: str | None = None) -> None:
+        lake.append(run_event(spark, run_id, pipeline_name, entity_name, status, error=error),
+                    "pipeline_runs", one_file=True)
+
+    event("RUNNING")
     try:
         cfg = config_for(refine_config_df, entity_name)
         if cfg.get("active") is False:
-            lake.append(run_event(spark, run_id, pipeline_name, entity_name, "SKIPPED"),
-                        "pipeline_runs", one_file=True)
+            event("SKIPPED")
             return None
-        bronze_cfg = config_for(bronze_config_df, cfg["source_table"])
+        mode = (cfg.get("write_mode") or "overwrite").lower()
+        bronze_cfg = source_config(bronze_config_df, cfg["source_schema"], cfg["source_table"])
         with entity_lock(spark, lake.log_path(f"_locks/refine-{entity_name}"), run_id):
             source = bronze_current(spark, lake, bronze_cfg)
             out = get_transform(cfg["transformation_name"])(source)
             check_output(entity_name, out)
             target = lake.table_path(cfg["target_schema"], cfg["target_table"])
-            write_table(add_refined_stamp(out, run_id), target,
-                        cfg.get("write_mode") or "overwrite")
-        lake.append(run_event(spark, run_id, pipeline_name, entity_name, "SUCCESS"),
-                    "pipeline_runs", one_file=True)
-        return spark.read.parquet(target)
+            stamped = add_refined_stamp(out, run_id)
+            write_table(stamped.drop("_pipeline_run_id"), f"{target}/_pipeline_run_id={run_id}")
+            if catalog:
+                written = spark.read.option("basePath", target).parquet(f"{target}/_pipeline_run_id={run_id}")
+                write_managed(written.select(*stamped.columns), f"{cfg['target_schema']}.{cfg['target_table']}", mode)
+            event("SUCCESS")  # commit point
+        return refined_current(spark, lake, cfg, pipeline_name)
     except Exception as exc:
-        lake.append(run_event(spark, run_id, pipeline_name, entity_name, "FAILED",
-                              error=str(exc)), "pipeline_runs", one_file=True)
+        event("FAILED", str(exc))
         raise

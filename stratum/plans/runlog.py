@@ -13,8 +13,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.functions.columns import truncate_text
-
 RUN_EVENT_DDL = (
     "run_id string, pipeline_name string, entity_name string, status string, "
     "event_time timestamp, records_processed bigint, files_processed bigint, "
@@ -42,7 +40,7 @@ def run_event(spark: SparkSession, run_id: str, pipeline_name: str, entity_name:
     return row.select(
         "run_id", "pipeline_name", "entity_name", "status",
         F.current_timestamp().alias("event_time"), "records_processed", "files_processed",
-        truncate_text("error_message", 500).alias("error_message"), "created_by",
+        "error_message", "created_by",
     )
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stratum.errors import ConfigurationError
+from stratum.errors import ConfigurationError, StateError
 
 WRITE_MODES = ("overwrite", "append", "ignore", "error", "errorifexists")
 
@@ -37,21 +40,20 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> str:
-    """Register an external table over ``path`` if it is not registered yet.
+    """Register an external table over ``path``, or bring a registered one up to
+    date.
 
-    Partitions of a Hive-style layout are discovered from the folder names.
+    The partitions of a Hive-style layout are taken from the folder names on
+    every call, so partitions appended after an earlier registration are seen.
     Returns the table name.
     """
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
     if not spark.catalog.tableExists(name):
         spark.catalog.createTable(name, path=path, source=fmt)
-        try:
-            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        except Exception:  # noqa: BLE001 - unpartitioned tables have nothing to recover
-            pass
-    else:
-        spark.catalog.refreshTable(name)
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
     return name
 
 
@@ -65,55 +67,99 @@ def write_managed(df: DataFrame, name: str, mode: str = "overwrite") -> str:
     return name
 
 
-def append_log(df: DataFrame, path: str, one_file: bool = False) -> str:
+BATCH_NAME = re.compile(r"^\d{13}-[0-9a-f]{32}$")
+MANIFEST = "_replaces"
+
+
+def append_log(df: DataFrame, path: str, one_file: bool = False,
+               replaces: Sequence[str] = ()) -> str:
     """Append rows to an append-only log folder; returns the batch folder.
 
     Every call writes its own sub-folder ``<epoch-ms>-<uuid>``: concurrent
     writers (parallel entity runs, a stream and a batch job) never share a
-    commit directory, and a batch becomes visible all at once when its job
-    commits.  Read the log with ``recursiveFileLookup`` (see :func:`read_log`).
-    ``one_file`` writes the rows from one task (small batches only).
+    commit directory.  The batch is written under a hidden name and renamed when
+    it is complete, so it becomes visible all at once.  Read the log with
+    :func:`read_log`.  ``one_file`` writes the rows from one task (a few literal
+    rows only).  ``replaces`` names batches of the same folder that this one
+    stands for; readers leave them out from the moment this one is visible.
     """
-    import time
-    import uuid
-
-    batch = f"{path.rstrip('/')}/{int(time.time() * 1000):013d}-{uuid.uuid4().hex}"
-    (df.coalesce(1) if one_file else df).write.mode("errorifexists").parquet(batch)
+    spark = df.sparkSession
+    name = f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex}"
+    root = path.rstrip("/")
+    hidden, batch = f"{root}/_new-{name}", f"{root}/{name}"
+    (df.coalesce(1) if one_file else df).write.mode("errorifexists").parquet(hidden)
+    fs, source = _fs(spark, hidden)
+    if replaces:
+        out = fs.create(_fs(spark, f"{hidden}/{MANIFEST}")[1], False)
+        out.write(bytearray("\n".join(replaces).encode()))
+        out.close()
+    if not fs.rename(source, _fs(spark, batch)[1]):
+        raise StateError(f"Failed to publish the log batch '{batch}'")
     return batch
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def log_batches(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the visible batches of a log and of its sub-folders, without
+    those that a compacted batch replaces (metadata calls only)."""
+    fs, root = _fs(spark, path)
+    if not fs.exists(root):
+        return []
+    found: dict[str, str] = {}
+    replaced: set[str] = set()
+    below: list[str] = []
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if not status.isDirectory() or name.startswith(("_", ".")):
+            continue
+        folder = f"{path.rstrip('/')}/{name}"
+        if not BATCH_NAME.match(name):
+            below += log_batches(spark, folder)
+            continue
+        found[name] = folder
+        manifest = _fs(spark, f"{folder}/{MANIFEST}")[1]
+        if fs.exists(manifest):
+            stream = fs.open(manifest)
+            replaced.update(bytes(stream.readAllBytes()).decode().split("\n"))
+            stream.close()
+    return [f for n, f in sorted(found.items()) if n not in replaced] + below
+
+
 def read_log(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """All batches of an append-only log (empty frame when nothing was written)."""
-    if not path_exists(spark, path):
+    batches = log_batches(spark, path)
+    if not batches:
         return spark.createDataFrame([], ddl)
-    return spark.read.schema(ddl).option("recursiveFileLookup", True).parquet(path)
+    return spark.read.schema(ddl).parquet(*batches)
 
 
-def compact_log(spark: SparkSession, path: str, ddl: str, files: int = 1) -> int:
-    """Rewrite the batches present now into one batch, then drop them.
+def compact_log(spark: SparkSession, path: str, ddl: str) -> int:
+    """Rewrite the batches of a log folder present now into one, then drop them.
 
-    Readers during the swap may see a row twice; the latest-per-key and
-    maximum views over the logs are unaffected by duplicates.  Returns the
+    The new batch lists those it replaces and readers leave them out, so no row
+    is seen twice, neither during the swap nor after a crash before the old
+    batches are gone; a later compaction removes what a crash left.  Returns the
     number of batches compacted.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
+    fs, root = _fs(spark, path)
     if not fs.exists(root):
         return 0
-    import re
-
-    batch_name = re.compile(r"^\d{13}-[0-9a-f]{32}$")  # folders written by append_log
-    batches = [st.getPath().toString() for st in fs.listStatus(root)
-               if st.isDirectory() and batch_name.match(st.getPath().getName())]
-    if len(batches) < 2:
+    here = [s.getPath().getName() for s in fs.listStatus(root)
+            if s.isDirectory() and BATCH_NAME.match(s.getPath().getName())]
+    live = [b for b in log_batches(spark, path) if b.rsplit("/", 1)[1] in here]
+    if len(live) >= 2:
+        append_log(spark.read.schema(ddl).parquet(*live).hint("rebalance"), path, replaces=here)
+    elif len(here) == len(live):
         return 0
-    data = spark.read.schema(ddl).option("recursiveFileLookup", True).parquet(*batches)
-    append_log(data.coalesce(files), path)
-    for b in batches:
-        remove_path(spark, b)
-    return len(batches)
+    for name in here:
+        if len(live) >= 2 or f"{path.rstrip('/')}/{name}" not in live:
+            remove_path(spark, f"{path.rstrip('/')}/{name}")
+    return len(live) if len(live) >= 2 else 0
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -139,34 +185,36 @@ def table_exists(spark: SparkSession, name_or_path: str) -> bool:
     return spark.catalog.tableExists(name_or_path)
 
 
-def write_json_arrays(df: DataFrame, path: str, rows_per_file: int = 100_000) -> str:
-    """Write ``df`` as JSON-array files (one array document per file).
-
-    Rows are spread round-robin over ``ceil(count / rows_per_file)`` groups, so
-    no group (and no string built from it) exceeds ``rows_per_file`` rows.  One
-    folder per group holds one file; read back with ``multiLine`` and
-    ``recursiveFileLookup``.
-    """
+def write_json_arrays(df: DataFrame, path: str, files: int) -> str:
+    """Write ``df`` as at most ``files`` JSON-array files (one array document per
+    file, one record a line).  Rows are streamed: the brackets and commas are put
+    around them as they pass, and no array is ever built in memory."""
     from pyspark.sql import functions as F
 
-    n = df.count()
-    groups = max(1, -(-n // rows_per_file))
-    arrays = (
-        df.repartition(groups)
-        .select(F.spark_partition_id().alias("__file"), F.to_json(F.struct(*df.columns)).alias("j"))
-        .groupBy("__file")
-        .agg(F.concat(F.lit("["), F.array_join(F.collect_list("j"), ","), F.lit("]")).alias("value"))
-    )
-    arrays.write.mode("overwrite").partitionBy("__file").text(path)
+    def array_lines(batches):
+        import pyarrow as pa
+
+        held = None
+        for batch in batches:
+            lines = []
+            for value in batch.column(0).to_pylist():
+                if held is not None:
+                    lines.append(held + ",")
+                held = value if held is not None else "[" + value
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([held + "]"])], names=["value"])
+
+    rows = df.repartition(files).select(F.to_json(F.struct(*df.columns)).alias("value"))
+    rows.mapInArrow(array_lines, "value string").write.mode("overwrite").text(path)
     return path
 
 
-def write_file_per_key(df: DataFrame, path: str, key: str, value: str) -> str:
-    """One text file per distinct ``key`` holding ``value`` (e.g. raw pages).
-
-    The folder ``<key>=<k>`` holds the file; a key must be unique per row.
-    """
-    df.select(key, value).repartition(key).write.mode("overwrite").partitionBy(key).text(path)
+def write_text_files(df: DataFrame, path: str, file_key: str, order: str, value: str) -> str:
+    """Text files of whole values, one file per distinct ``file_key`` (folder
+    ``<file_key>=<k>``), its values in the order of ``order``."""
+    rows = df.select(file_key, order, value).repartition(file_key).sortWithinPartitions(file_key, order)
+    rows.drop(order).write.mode("overwrite").partitionBy(file_key).text(path)
     return path
 
 

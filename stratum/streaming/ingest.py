@@ -3,10 +3,16 @@
 The file source tracks which files it has seen in its checkpoint (in the
 shared folder), so each trigger reads only new arrivals; with
 ``trigger(availableNow=True)`` a run processes everything pending in bounded
-micro-batches and stops.  Each micro-batch goes through the same steps as the
-batch pipeline (checks in one pass, run-folder write, state commit), keyed by
-a run id derived from the batch id, so a re-executed batch overwrites its own
-folder and re-commits the same state: replays are idempotent.
+micro-batches and stops.  A micro-batch only stages its rows, under its batch id
+(a re-executed batch overwrites its own folder).  When the stream has stopped, all
+staged rows are one run: the checks see them together, in one pass, they are
+written to one run folder, and the state is committed once.  How the files were cut into
+micro-batches cannot change a result.
+
+Rows that fail the checks stay staged and are checked again, with what has
+arrived by then, in the next run.  Run ids are made of the stream's query id and its
+last batch id: a run that is repeated after a crash writes the same folder and the
+same state, and a stream whose checkpoint was lost gets ids of its own.
 
 The file source does not pick up a file rewritten under the same name; for
 sources that modify files in place use :func:`stratum.plans.ingest.ingest`,
@@ -28,55 +34,61 @@ from stratum.plans.ingest import persist_results
 from stratum.plans.locks import entity_lock
 from stratum.plans.runlog import run_event
 from stratum.sources.schemas import get_schema
-from stratum.sources.sinks import write_table
+from stratum.sources.sinks import remove_path, write_table
 
 
-def _process_batch(spark: SparkSession, lake: Lakehouse, cfg: dict, rules, stream_name: str):
-    entity = cfg["entity_name"]
-    target = lake.table_path(cfg["target_schema"], cfg["target_table"])
-    part = cfg.get("partition_column")
+def _stage_batches(staged: str):
+    """A ``foreachBatch`` function that writes each micro-batch to its own folder."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        run_id = f"run-{stream_name}-{batch_id:08d}"
-        batch = batch.persist()
-        try:
-            report = quality_report(batch.drop("_source_file", "_file_mtime", "_file_size"),
-                                    rules, count_rows=True, with_label=True).collect()
-            records = next(r["failed_records"] for r in report if r["rule_type"] == "ROW_COUNT")
-            persist_results(spark, lake, report, run_id, entity)
-            failed = [r["details"] for r in report
-                      if r["rule_type"] != "ROW_COUNT" and not r["passed"] and r["severity"] == "ERROR"]
-            if failed:
-                lake.append(run_event(spark, run_id, "bronze_stream", entity, "FAILED",
-                                      error="; ".join(failed)), "pipeline_runs", one_file=True)
-                raise ValidationError(f"Validation failed for entity '{entity}': {'; '.join(failed)}")
-            if records == 0:
-                return
-            out = batch.drop("_file_mtime", "_file_size")
-            if part:
-                out = add_year_partition(out, part, cfg.get("partition_source") or "date")
-            out = out.withColumn("_ingestion_ts", F.current_timestamp())
-            write_table(out, f"{target}/_pipeline_run_id={run_id}", "overwrite", part,
-                        rebalance=bool(part))
-            files = batch.groupBy(F.col("_source_file").alias("source_file")).agg(
-                F.max("_file_size").alias("file_size"),
-                F.max("_file_mtime").alias("last_modified_time"))
-            state = files.select(
-                F.lit(entity).alias("entity_name"), "source_file", "file_size",
-                "last_modified_time", F.lit(None).cast("string").alias("content_hash"),
-                F.lit("SUCCESS").alias("status"), F.lit(run_id).alias("run_id"),
-                F.current_timestamp().alias("processed_at"),
-                F.lit(None).cast("bigint").alias("processing_duration_ms"),
-                F.lit("LOADED").alias("event"))
-            lake.append(state, "ingestion_state", one_file=True, sub=entity)  # commit point
-            lake.append(run_event(spark, run_id, "bronze_stream", entity, "SUCCESS", records),
-                        "pipeline_runs", one_file=True)
-        finally:
-            batch.unpersist()
+        batch.write.mode("overwrite").parquet(f"{staged}/batch_id={batch_id}")
 
     return run
 
 
+def _staged_ids(spark: SparkSession, staged: str) -> list[int]:
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(staged)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(root)] if fs.exists(root) else []
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch_id="))
+
+
+def _commit_staged(spark: SparkSession, lake: Lakehouse, cfg: dict, rules, staged: str,
+                   ids: list[int], schema, run_id: str) -> int:
+    """Check all staged rows in one pass, write them as one run, commit its state."""
+    entity = cfg["entity_name"]
+    part = cfg.get("partition_column")
+    rows = spark.read.schema(schema).parquet(*[f"{staged}/batch_id={i}" for i in ids])
+    report = quality_report(rows.drop("_source_file", "_file_mtime", "_file_size"),
+                            rules, count_rows=True, with_label=True).collect()
+    records = next(r["failed_records"] for r in report if r["rule_type"] == "ROW_COUNT")
+    persist_results(spark, lake, report, run_id, entity)
+    failed = [r["details"] for r in report
+              if r["rule_type"] != "ROW_COUNT" and not r["passed"] and r["severity"] == "ERROR"]
+    if failed:
+        raise ValidationError(f"Validation failed for entity '{entity}': {'; '.join(failed)}")
+    if records == 0:
+        return 0
+    out = rows.drop("_file_mtime", "_file_size")
+    if part:
+        out = add_year_partition(out, part, cfg.get("partition_source") or "date")
+    out = out.withColumn("_ingestion_ts", F.current_timestamp())
+    target = lake.table_path(cfg["target_schema"], cfg["target_table"])
+    write_table(out, f"{target}/_pipeline_run_id={run_id}", "overwrite", part, rebalance=bool(part))
+    files = rows.groupBy(F.col("_source_file").alias("source_file")).agg(
+        F.max("_file_size").alias("file_size"), F.max("_file_mtime").alias("last_modified_time"))
+    state = files.select(
+        F.lit(entity).alias("entity_name"), "source_file", "file_size",
+        "last_modified_time", F.lit(None).cast("string").alias("content_hash"),
+        F.lit("SUCCESS").alias("status"), F.lit(run_id).alias("run_id"),
+        F.current_timestamp().alias("processed_at"),
+        F.lit(None).cast("bigint").alias("processing_duration_ms"),
+        F.lit("LOADED").alias("event"))
+    lake.append(state, "ingestion_state", sub=entity)  # commit point
+    return records
+
+
 def stream_ingest(spark: SparkSession, lake: Lakehouse, cfg: dict,
                   validation_rules: DataFrame | None = None, stream_name: str | None = None,
                   max_files_per_trigger: int | None = 1000,
@@ -84,8 +96,7 @@ def stream_ingest(spark: SparkSession, lake: Lakehouse, cfg: dict,
     """Process every pending file of ``cfg['source_path']`` and stop.
 
     A backlog is drained in micro-batches of at most ``max_files_per_trigger``
-    files, so the persisted batch (checks, write and state read it) stays
-    bounded however much has arrived.
+    files; together they are one run (see the module docstring).
     """
     entity = cfg["entity_name"]
     name = stream_name or entity
@@ -102,20 +113,46 @@ def stream_ingest(spark: SparkSession, lake: Lakehouse, cfg: dict,
         "*", F.col("_metadata.file_path").alias("_source_file"),
         F.col("_metadata.file_modification_time").alias("_file_mtime"),
         F.col("_metadata.file_size").alias("_file_size"))
-    # validation and data-quality rules share one pass over each micro-batch
+    # validation and data-quality rules share one pass over the run
     rules = []
     for table, stage in ((validation_rules, "V"), (dq_rules, "D")):
         if table is not None:
             rules += [replace(r, label=f"{stage}|{r.label or ''}")
                       for r in load_rules(table, entity, expected_columns=schema.fieldNames())]
+    staged, checkpoint = lake.log_path(f"_staged/{name}"), lake.log_path(f"_streams/{name}")
     # the same lock as batch ingest: a stream and a batch run of one entity
     # never write its state at the same time
     with entity_lock(spark, lake.log_path(f"_locks/{entity}"), f"stream-{name}"):
         query = (stream.writeStream
-                 .foreachBatch(_process_batch(spark, lake, cfg, rules, name))
-                 .option("checkpointLocation", lake.log_path(f"_streams/{name}"))
+                 .foreachBatch(_stage_batches(staged))
+                 .option("checkpointLocation", checkpoint)
                  .trigger(availableNow=True)
                  .start())
+        prefix = f"run-{name}-{str(query.id)[:8]}"
+
+        def event(run_id, status, records=None, error=None):
+            lake.append(run_event(spark, run_id, "bronze_stream", entity, status, records, error=error),
+                        "pipeline_runs", one_file=True)
+
         query.awaitTermination()
         if query.exception() is not None:
             raise query.exception()
+        done = lake.read_log(spark, "ingestion_state", sub=entity).filter(
+            F.col("run_id").startswith(prefix)).agg(F.max("run_id")).first()[0]
+        last = int(done.rsplit("-", 1)[1]) if done else -1
+        ids = _staged_ids(spark, staged)
+        for i in [i for i in ids if i <= last]:  # committed, but a crash left them staged
+            remove_path(spark, f"{staged}/batch_id={i}")
+        ids = [i for i in ids if i > last]
+        if not ids:
+            return
+        run_id = f"{prefix}-{ids[-1]:08d}"
+        event(run_id, "RUNNING")
+        try:
+            records = _commit_staged(spark, lake, cfg, rules, staged, ids, stream.schema, run_id)
+        except Exception as exc:
+            event(run_id, "FAILED", error=str(exc))
+            raise
+        for i in ids:
+            remove_path(spark, f"{staged}/batch_id={i}")
+        event(run_id, "SUCCESS" if records else "SKIPPED", records)

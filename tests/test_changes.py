@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from stratum.operators.changes import (
@@ -42,6 +44,14 @@ def test_upsert_update_insert_delete(spark):
     assert out.columns == ["id", "v"]
 
 
+def test_upsert_without_order_needs_single_changes(spark):
+    cur = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    ch = spark.createDataFrame([(2, "x"), (3, None)], "id int, v string")
+    assert sorted(upsert(cur, ch, "id").collect()) == [(1, "a"), (2, "x"), (3, None)]
+    with pytest.raises(Exception, match="several changes"):
+        upsert(cur, ch.union(ch), "id").collect()
+
+
 def _state_log(spark, rows):
     return spark.createDataFrame(rows, "entity_name string, source_file string, run_id string, "
                                        "event string, processed_at timestamp")

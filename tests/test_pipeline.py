@@ -201,6 +201,18 @@ def test_log_compaction(spark, setup):
     assert n >= 4
     assert {r.run_id: r.status for r in lake.runs(spark).collect()} == before
     assert lake.read_log(spark, "pipeline_runs").count() == 4
+    # a crash between publishing the merged batch and dropping the old ones
+    from stratum.sources import sinks
+
+    path = lake.log_path("pipeline_runs")
+    merged = os.path.basename(sinks.log_batches(spark, path)[0])
+    sinks.append_log(spark.read.parquet(f"{path}/{merged}"), path, replaces=[merged])
+    assert len([d for d in os.listdir(path) if not d.startswith(("_", "."))]) == 2
+    assert lake.read_log(spark, "pipeline_runs").count() == 4
+    assert lake.audit(spark).count() == 1
+    assert lake.compact(spark, "pipeline_runs") == 0  # removes what the crash left
+    assert len([d for d in os.listdir(path) if not d.startswith(("_", "."))]) == 1
+    assert lake.read_log(spark, "pipeline_runs").count() == 4
     # the state log keeps one folder per entity: only batches inside are merged
     state_before = lake.read_log(spark, "ingestion_state").count()
     assert lake.compact(spark, "ingestion_state") == 0
@@ -298,20 +310,8 @@ def test_vacuum_keeps_committed_runs(spark, setup):
     assert bronze_current(spark, lake, c).count() == before
 
 
-def test_quick_check_and_hash_limit(spark, setup):
-    import hashlib
-
-    from stratum.sources.inventory import file_inventory
-
+def test_quick_check(spark, setup):
     lake, cfg, landing = setup
-    sizes = sorted(os.path.getsize(landing / f) for f in os.listdir(landing))
-    assert sizes[0] < sizes[1]
-    inv = {r.source_file.rsplit("/", 1)[1]: r
-           for r in file_inventory(spark, str(landing), max_hash_bytes=sizes[0]).collect()}
-    small, big = sorted(inv.values(), key=lambda r: r.file_size)
-    assert small.content_hash is not None and big.content_hash is None
-    assert all(r.content_hash is None or r.content_hash == hashlib.md5(
-        (landing / n).read_bytes()).hexdigest() for n, r in inv.items())
     # quick check: only new / touched files are hashed and loaded
     assert ingest(spark, lake, "results", cfg, trust_metadata=True).files == 2
     assert ingest(spark, lake, "results", cfg, trust_metadata=True).status == "SKIPPED"
@@ -333,11 +333,36 @@ def test_stream_backlog_in_bounded_batches(spark, tmp_path):
     lake = ctl.Lakehouse(str(tmp_path / "lake"))
     cfg = ctl.config_for(ctl.seed_entity_config(spark, str(tmp_path / "landing")), "results")
     stream_ingest(spark, lake, cfg, max_files_per_trigger=2)
-    runs = lake.runs(spark).collect()
-    assert len(runs) == 3 and all(r.status == "SUCCESS" for r in runs)
+    runs = lake.runs(spark).collect()  # three micro-batches, one run
+    assert [r.status for r in runs] == ["SUCCESS"] and runs[0].n_events == 2 and runs[0].duration_ms > 0
     assert bronze_current(spark, lake, cfg).count() == 10
 
 
+@pytest.mark.parametrize("files", [1, 10])
+def test_stream_rules_see_the_whole_run(spark, tmp_path, files):
+    """A key repeated across files fails its rule however the stream is cut; the
+    staged rows are kept, checked again and committed once the rule allows them."""
+    from stratum.streaming.ingest import stream_ingest
+
+    landing = tmp_path / "landing" / "results"
+    landing.mkdir(parents=True)
+    for i in range(3):
+        write_array(landing / f"same{i}.json", result_rows(2020, 1, 2))
+    lake = ctl.Lakehouse(str(tmp_path / "lake"))
+    cfg = ctl.config_for(ctl.seed_entity_config(spark, str(tmp_path / "landing")), "results")
+    strict, soft = (ctl.rules_table(spark, [("results", "Known once", "DUPLICATE_KEY", "url, driverId, season, round",
+                                             None, None, severity, True)]) for severity in ("ERROR", "WARNING"))
+    with pytest.raises(Exception, match="6 record"):
+        stream_ingest(spark, lake, cfg, dq_rules=strict, max_files_per_trigger=files)
+    assert bronze_current(spark, lake, cfg).count() == 0
+    stream_ingest(spark, lake, cfg, dq_rules=soft, max_files_per_trigger=files)
+    assert bronze_current(spark, lake, cfg).count() == 6
+    counts = [r.failed_records for r in lake.results(spark, "dq").orderBy("execution_time").collect()]
+    assert counts == [6, 6]
+    stream_ingest(spark, lake, cfg, dq_rules=soft, max_files_per_trigger=files)
+    assert bronze_current(spark, lake, cfg).count() == 6
+
+
 def test_incremental_without_tracking_appends(spark, setup):
     lake, cfg, landing = setup
     plain = cfg.withColumn("incremental_strategy", F.lit(None).cast("string"))
@@ -368,6 +393,65 @@ def test_entity_lock(spark, setup):
     assert not os.path.exists(lock)  # released after the run
 
 
+def test_lock_is_renewed_and_kept_by_its_owner(spark, tmp_path):
+    from stratum.plans.locks import EntityLockedError, entity_lock
+
+    path = str(tmp_path / "lock")
+    with entity_lock(spark, path, "first", ttl_seconds=2, beat_seconds=0.3):
+        time.sleep(3)  # longer than the time to live
+        with pytest.raises(EntityLockedError):
+            with entity_lock(spark, path, "second", ttl_seconds=2):
+                pass
+        with open(path, "w") as f:  # somebody took it over
+            f.write("third")
+        time.sleep(0.7)
+    assert open(path).read() == "third"  # neither renewed nor removed
+
+
+def test_refine_resolves_its_source_and_publishes_atomically(spark, tmp_path):
+    from stratum.operators.projection import register_transform
+    from stratum.plans.refine import refined_current
+
+    landing = tmp_path / "landing" / "races"
+    landing.mkdir(parents=True)
+    (landing / "r.csv").write_text("season,round,url,raceName,date,circuitId\n1999,4,u,Rain Race,1999-05-05,c9\n")
+    lake = ctl.Lakehouse(str(tmp_path / "lake"))
+    cfg = ctl.seed_entity_config(spark, str(tmp_path / "landing")).where("entity_name = 'races'")
+    cfg = cfg.withColumn("target_table", F.lit("races_raw"))  # not the entity's name
+    assert ingest(spark, lake, "races", cfg).status == "SUCCESS"
+    rows = [("races", "bronze", "races_raw", "silver_refine_test", f"races_{time.time_ns()}", "transform_races", "overwrite", True)]
+    rc = ctl.refine_config(spark, rows)
+    first = refine(spark, lake, "races", rc, cfg, catalog=True)
+    assert first.count() == 1
+    name = f"{rows[0][3]}.{rows[0][4]}"
+    assert spark.table(name).count() == 1 and "_pipeline_run_id" in spark.table(name).columns
+    # a run that dies while writing changes nothing
+    one = ctl.config_for(rc, "races")
+    target = lake.table_path(one["target_schema"], one["target_table"])
+    first.drop("_pipeline_run_id").union(first.drop("_pipeline_run_id")).write.parquet(f"{target}/_pipeline_run_id=run-ghost")
+    assert refined_current(spark, lake, one).count() == 1
+    register_transform("broken_races", lambda df: df.select("season"))
+    with pytest.raises(Exception, match="Silver validation failed"):
+        refine(spark, lake, "races", ctl.refine_config(spark, [(*rows[0][:5], "broken_races", "overwrite", True)]), cfg)
+    assert refined_current(spark, lake, one).count() == 1
+    appended = ctl.refine_config(spark, [(*rows[0][:6], "append", True)])
+    assert refine(spark, lake, "races", appended, cfg, catalog=True).count() == 2
+    assert spark.table(name).count() == 2
+    with pytest.raises(Exception, match="races_lost"):
+        refine(spark, lake, "races", ctl.refine_config(spark, [("races", "bronze", "races_lost", *rows[0][3:])]), cfg)
+
+
+def test_long_error_messages_are_kept(spark, setup):
+    lake, cfg, landing = setup
+    long = "x" * 3000
+    rules = ctl.rules_table(spark, [("results", "Odd", "ALLOWED_VALUES", "driverId", long, None, "ERROR", True),
+                                    ("results", "Pattern", "NOT_NULL", "no_" + long, None, None, "ERROR", True)])
+    with pytest.raises(Exception, match="x{3000}"):
+        ingest(spark, lake, "results", cfg, rules)
+    assert long in lake.runs(spark).first().error_message
+    assert not os.path.exists(lake.log_path("_staging")) or not os.listdir(lake.log_path("_staging"))
+
+
 def test_current_view_prunes_run_folders(spark, setup):
     lake, cfg, landing = setup
     assert ingest(spark, lake, "results", cfg).status == "SUCCESS"

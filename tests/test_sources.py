@@ -97,6 +97,65 @@ def test_write_and_register(spark, tmp_path):
     assert table_exists(spark, name) and table_exists(spark, path)
     assert spark.table(name).count() == 3
     assert sorted(r.yr for r in spark.table(name).select("yr").distinct().collect()) == [2020, 2021]
+    # partitions appended after the registration are seen by the next one
+    write_table(spark.createDataFrame([(3, 2022)], "id int, yr int"), path, "append", "yr")
+    register_table(spark, name, path)
+    assert spark.table(name).count() == 4
+    plain = str(tmp_path / "plain")
+    write_table(df, plain)
+    register_table(spark, "bronze_test_reg.t2", plain)
+    register_table(spark, "bronze_test_reg.t2", plain)
+    assert spark.table("bronze_test_reg.t2").count() == 2
+
+
+def test_names_with_glob_characters(spark, tmp_path):
+    """Files and folders whose names look like patterns, among more than 40 others."""
+    from stratum.sources.inventory import file_inventory
+
+    odd = ["a1", "a[1]", "b{1,2}", "c*", "d?", "e]f", "g h", "i%20j", "_k"[1:]]
+    for k, name in enumerate([*odd, *[f"n{i}" for i in range(40)]]):
+        (tmp_path / "landing" / name).mkdir(parents=True)
+        (tmp_path / "landing" / name / f"{name}.json").write_text(f'{{"id": {k}}}\n')
+        (tmp_path / "landing" / f"{name}.json").write_text(f'{{"id": {1000 + k}}}\n')
+    root = str(tmp_path / "landing")
+    n = len(odd) + 40
+    inv = file_inventory(spark, root)
+    assert inv.count() == 2 * n and inv.select("source_file", "content_hash").distinct().count() == 2 * n
+    df = read_source(spark, root, "json", "id long", options={"recursiveFileLookup": "true"})
+    assert sorted(r.id for r in df.collect()) == [*range(n), *range(1000, 1000 + n)]
+    some = inv.where("source_file like '%a[1]%' or source_file like '%5B1%' or source_file like '%c*%'")
+    got = read_source(spark, root, "json", "id long", files_to_include=some,
+                      options={"recursiveFileLookup": "true"}, source_file_column="f")
+    assert {r.id % 1000 for r in got.collect()} == {1, 3}
+    assert got.select("f").distinct().count() == some.count()
+
+
+def test_long_file_lists_are_joined(spark, tmp_path, monkeypatch):
+    from stratum.sources import inventory
+
+    path = str(tmp_path / "many")
+    spark.range(60).repartition(12).write.json(path)
+    files = inventory.file_inventory(spark, path, hash_content=False).select("source_file")
+    some = files.orderBy("source_file").limit(7)
+    short = sorted(r.id for r in read_source(spark, path, "json", "id long", files_to_include=some).collect())
+    monkeypatch.setattr(inventory, "LISTED_FILES", 3)
+    for given in (some, [r[0] for r in some.collect()]):
+        df = read_source(spark, path, "json", "id long", files_to_include=given)
+        assert sorted(r.id for r in df.collect()) == short and df.columns == ["id"]
+    hashed = inventory.file_inventory(spark, path, files=some)
+    assert hashed.count() == 7 and hashed.where("content_hash is null").count() == 0
+
+
+def test_json_array_files(spark, tmp_path):
+    import json
+
+    from stratum.sources.sinks import write_json_arrays
+
+    df = spark.range(23).selectExpr("id", "concat('a\"b\n', id) as s")
+    path = tmp_path / "arrays"
+    write_json_arrays(df, str(path), files=4)
+    docs = [json.loads(f.read_text()) for f in path.glob("part-*") if f.read_text()]
+    assert 1 < len(docs) <= 4 and sorted(r["id"] for d in docs for r in d) == list(range(23))
 
 
 def test_subset_read_prunes_files_at_listing(spark, tmp_path):
@@ -127,7 +186,7 @@ def test_subset_read_prunes_files_at_listing(spark, tmp_path):
 
 
 def test_managed_write_listing_and_lineage_cut(spark, tmp_path):
-    from stratum.session import cut_lineage
+    from stratum.session import scratch_table
     from stratum.sources.inventory import list_files
     from stratum.sources.sinks import write_managed
 
@@ -144,6 +203,6 @@ def test_managed_write_listing_and_lineage_cut(spark, tmp_path):
     rows = list_files(spark, str(d)).collect()
     assert [r.source_file.rsplit("/", 1)[1] for r in rows] == ["x.txt"]
     assert rows[0].file_size == 3 and "content_hash" not in rows[0].asDict()
-    cut = cut_lineage(df.withColumn("w", df.id * 2))
+    cut = scratch_table(df.withColumn("w", df.id * 2))
     assert sorted(r.w for r in cut.collect()) == [2, 4]
-    assert "ExistingRDD" in cut._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in cut._jdf.queryExecution().executedPlan().toString()
