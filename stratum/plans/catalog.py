@@ -34,6 +34,7 @@ QUERIES = {
     "refine_flatten": q.refine_flatten,
     "refine_dates": q.refine_dates,
     "refine_results": q.refine_results,
+    "refine_sprints": q.refine_sprints,
     "fn_snake_case": q.fn_snake_case,
     "fn_safe_strip": q.fn_safe_strip,
     "fn_null_marker": q.fn_null_marker,
@@ -51,6 +52,10 @@ QUERIES = {
     "gold_constructor_standings": q.gold_constructor_standings,
     "ingest_incremental": q.ingest_incremental,
     "refine_orders": q.refine_orders,
+    "refine_managed": q.refine_managed,
+    "ingest_recovery": q.ingest_recovery,
+    "rule_toggle": q.rule_toggle,
+    "check_duplicate_event": q.check_duplicate_event,
     "stream_ingest": q.stream_ingest_query,
     "seeded_layers": q.seeded_layers,
 }

@@ -184,7 +184,7 @@ ORACLE.update({
         "WHEN data_type = 'VARCHAR' THEN 'string' ELSE lower(data_type) END AS type_family "
         "FROM information_schema.columns WHERE table_name = 'supplier'"),
     "file_inventory": (
-        "SELECT CAST(page_id // 100 AS BIGINT) AS batch, CAST(sum(strlen(html) + 1) AS BIGINT) AS file_size, "
+        "SELECT CAST(page_id // 20 AS BIGINT) AS batch, CAST(sum(strlen(html) + 1) AS BIGINT) AS file_size, "
         "md5(string_agg(html || chr(10), '' ORDER BY page_id)) AS content_hash FROM pages GROUP BY 1"),
     "write_partitioned": (
         "SELECT CAST(year(o_orderdate) AS INTEGER) AS order_year, "
@@ -401,3 +401,40 @@ def _gold(member_sql: str, member: str) -> str:
 
 ORACLE["gold_driver_standings"] = _gold("CAST(l_suppkey AS VARCHAR)", "driver_id")
 ORACLE["gold_constructor_standings"] = _gold("CAST(l_partkey AS VARCHAR)", "constructor_id")
+
+
+ORACLE["refine_sprints"] = ORACLE["refine_results"]
+ORACLE["refine_managed"] = (
+    "SELECT o_orderstatus AS status, o_orderpriority AS priority, CAST(2 * count(*) AS BIGINT) AS n_rows, "
+    "CAST(count(DISTINCT o_orderkey) AS BIGINT) AS n_orders, CAST(2 AS BIGINT) AS n_runs "
+    "FROM orders GROUP BY 1, 2")
+ORACLE["ingest_recovery"] = " UNION ALL ".join(
+    f"SELECT {_q(step)} AS step, {_q(status)} AS status, {records} AS records, {error} AS error, "
+    f"CAST(count(*) AS BIGINT) AS visible FROM orders"
+    for step, status, records, error in [
+        ("first load", "SUCCESS", "CAST(count(*) AS BIGINT)", "CAST(NULL AS VARCHAR)"),
+        ("target dropped", "SUCCESS", "CAST(count(*) AS BIGINT)", "NULL"),
+        ("state reset", "SUCCESS", "CAST(count(*) AS BIGINT)", "NULL"),
+        ("empty file", "SKIPPED", "CAST(0 AS BIGINT)", "NULL"),
+        ("bad file", "FAILED", "CAST(NULL AS BIGINT)",
+         "'Validation failed for entity ''orders'': ' || CAST(count(*) FILTER (WHERE o_orderstatus = 'P') AS VARCHAR) "
+         "|| ' NULL values found in ''o_orderkey''.'")])
+_RETURNS = result_row("l_returnflag Allowed Values Validation", "ALLOWED_VALUES", "ERROR",
+                      "count(*) FILTER (WHERE l_returnflag NOT IN ('A', 'N'))",
+                      " record(s) contain invalid values for 'l_returnflag'.", "lineitem")
+_DISCOUNT = result_row("l_discount Numeric Range Validation", "NUMERIC_RANGE", "WARNING",
+                       "count(*) FILTER (WHERE l_discount < 0 OR l_discount > 0.05)",
+                       " record(s) are outside [0.0, 0.05].", "lineitem")
+ORACLE["rule_toggle"] = " UNION ALL ".join(
+    f"SELECT *, {_q(state)} AS state FROM ({sql}) x"
+    for state, sql in [("on", _RETURNS), ("on", _DISCOUNT), ("off", _DISCOUNT),
+                       ("on again", _RETURNS), ("on again", _DISCOUNT)])
+_EVENTS_TWICE = (
+    "(SELECT * FROM events UNION ALL SELECT * REPLACE (ts + INTERVAL 1 MICROSECOND AS ts) FROM events "
+    "WHERE event_type = 'purchase' UNION ALL SELECT * FROM events WHERE event_type = 'purchase')")
+ORACLE["check_duplicate_event"] = " UNION ALL ".join(
+    f"SELECT 'Duplicate Row Validation' AS rule_name, 'DUPLICATE_ROW' AS rule_type, {_q(severity)} AS severity, "
+    "(n = 0) AS passed, n AS failed_records, CASE WHEN n = 0 THEN '' ELSE 'Found ' || CAST(n AS VARCHAR) "
+    "|| ' duplicate row(s).' END AS details FROM (SELECT CAST(count(*) - (SELECT count(*) FROM "
+    f"(SELECT DISTINCT * FROM {_EVENTS_TWICE} a) b) AS BIGINT) AS n FROM {_EVENTS_TWICE} c) d"
+    for severity in ("WARNING", "ERROR"))

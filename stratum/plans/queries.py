@@ -18,6 +18,7 @@ from stratum.operators.rules import (
     RULES_DDL,
     Rule,
     gate,
+    load_rules,
     load_rules_by_entity,
     quality_report,
     referential_report,
@@ -26,7 +27,7 @@ from stratum.operators.standings import constructor_standings, driver_standings,
 from stratum.plans import control as ctl
 from stratum.plans import runlog
 from stratum.plans.engine import Engine
-from stratum.plans.ingest import bronze_current, ingest
+from stratum.plans.ingest import bronze_current, ingest, reset_state
 from stratum.plans.refine import refine, register_output_checks
 from stratum.session import scratch_path
 from stratum.sources import readers, sinks
@@ -219,7 +220,7 @@ def discover_schema(spark, data_dir):
 
 def file_inventory_query(spark, data_dir):
     path = scratch_path(spark, "pages_raw")
-    pages = table(spark, data_dir, "pages").withColumn("batch", F.expr("page_id DIV 100"))
+    pages = table(spark, data_dir, "pages").withColumn("batch", F.expr("page_id DIV 20"))
     sinks.write_text_files(pages, path, "batch", "page_id", "html")
     inv = file_inventory(spark, path)
     return inv.select(
@@ -228,16 +229,17 @@ def file_inventory_query(spark, data_dir):
 
 
 def write_partitioned(spark, data_dir):
-    """Full load of the older orders, incremental append of the rest, read
-    back through the registered table; partitions by derived order year."""
+    """Full load of the older orders, registered; incremental append of the rest,
+    registered again; read back through the table's name; partitions by derived order year."""
     import uuid
 
     path = scratch_path(spark, "orders_bronze")
     orders = lin.add_year_partition(table(spark, data_dir, "orders"), "order_year", "o_orderdate")
-    sinks.write_table(orders.filter(F.col("order_year") < 1998), path, "overwrite", "order_year")
-    sinks.write_table(orders.filter(~(F.col("order_year") < 1998)), path, "append", "order_year")
     name = f"bronze_orders_{uuid.uuid4().hex[:8]}"
+    sinks.write_table(orders.filter(F.col("order_year") < 1998), path, "overwrite", "order_year")
     sinks.register_table(spark, name, path)
+    sinks.write_table(orders.filter(~(F.col("order_year") < 1998)), path, "append", "order_year")
+    sinks.register_table(spark, name, path)  # the appended partitions become visible
     return (spark.table(name).groupBy("order_year")
             .agg(F.count(F.lit(1)).alias("n_orders"),
                  F.max("o_totalprice").alias("max_price"),
@@ -345,6 +347,11 @@ def refine_results(spark, data_dir):
     return out.withColumn("race_date", F.col("race_date").cast("string"))
 
 
+def refine_sprints(spark, data_dir):
+    out = get_transform("transform_sprints")(raw_results(spark, data_dir))
+    return out.withColumn("race_date", F.col("race_date").cast("string"))
+
+
 def refine_constructors(spark, data_dir):
     s = table(spark, data_dir, "supplier")
     raw = s.select(
@@ -636,7 +643,7 @@ def _expect(result, status):
 
 
 def ingest_incremental(spark, data_dir):
-    """Load, rewrite one landing file, load again (only that file), load a
+    """Load, rewrite the files of one year, load again (only those), load a
     third time (nothing changed); the committed rows are the table with the
     rewrite applied."""
     lake = ctl.Lakehouse(scratch_path(spark, "lake"))
@@ -646,13 +653,15 @@ def ingest_incremental(spark, data_dir):
     v, dq = _orders_rules(spark)
     _expect(ingest(spark, lake, "orders", cfg_df, v, dq), "SUCCESS")
     inv = file_inventory(spark, landing, hash_content=False)
-    target = inv.filter(F.col("source_file").rlike("landing_year=1997/")).first()["source_file"]
-    old = readers.read_source(spark, landing, "json", ORDERS_RAW_DDL, files_to_include=[target],
-                              options={"recursiveFileLookup": "true"})
-    replace_file(spark, target, old.withColumn("o_totalprice", F.col("o_totalprice") + 1))
+    targets = [r[0] for r in inv.filter(F.col("source_file").rlike("landing_year=1997/"))
+               .select("source_file").collect()]
+    for target in targets:  # one file each, as it was written
+        old = readers.read_source(spark, landing, "json", ORDERS_RAW_DDL, files_to_include=[target],
+                                  options={"recursiveFileLookup": "true"})
+        replace_file(spark, target, old.withColumn("o_totalprice", F.col("o_totalprice") + 1))
     r2 = _expect(ingest(spark, lake, "orders", cfg_df, v, dq), "SUCCESS")
-    if r2.files != 1:
-        raise RuntimeError(f"expected one changed file, got {r2.files}")
+    if r2.files != len(targets):
+        raise RuntimeError(f"expected {len(targets)} changed files, got {r2.files}")
     _expect(ingest(spark, lake, "orders", cfg_df, v, dq), "SKIPPED")
     cur = bronze_current(spark, lake, ctl.config_for(cfg_df, "orders"))
     return cur.select(*ORDER_COLS, "order_year")
@@ -674,6 +683,89 @@ def refine_orders(spark, data_dir):
         "order_date", F.col("order_date").cast("string"))
 
 
+def refine_managed(spark, data_dir):
+    """An entity whose bronze table has another name, refined twice into a catalog
+    table in append mode; read back through the table's name."""
+    import uuid
+
+    lake = ctl.Lakehouse(scratch_path(spark, "lake"))
+    landing = scratch_path(spark, "landing_orders")
+    land_orders(spark, data_dir, landing)
+    cfg_df = _orders_entity(spark, landing).withColumn("target_table", F.lit("orders_raw"))
+    _expect(ingest(spark, lake, "orders", cfg_df), "SUCCESS")
+    name = f"orders_{uuid.uuid4().hex[:8]}"
+    refine_cfg = ctl.refine_config(spark, [
+        ("orders", "bronze", "orders_raw", "silver", name, "transform_orders", "append", True)])
+    for _ in range(2):
+        refine(spark, lake, "orders", refine_cfg, cfg_df, catalog=True)
+    return (spark.table(f"silver.{name}").groupBy("status", "priority")
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("order_id").alias("n_orders"),
+                 F.countDistinct("_pipeline_run_id").alias("n_runs")))
+
+
+def ingest_recovery(spark, data_dir):
+    """What each run of a troubled entity recorded: first load, reload after the
+    target was dropped, reload after a state reset, an empty new file, a file that
+    fails a rule; and the rows that are visible after it."""
+    lake = ctl.Lakehouse(scratch_path(spark, "lake"))
+    landing = scratch_path(spark, "landing_orders")
+    land_orders(spark, data_dir, landing)
+    cfg_df = _orders_entity(spark, landing)
+    cfg = ctl.config_for(cfg_df, "orders")
+    v, _ = _orders_rules(spark)
+
+    def seen():
+        return bronze_current(spark, lake, cfg).count()
+
+    rows = []
+
+    def run(step):
+        try:
+            ingest(spark, lake, "orders", cfg_df, v)
+        except Exception:  # noqa: BLE001 - recorded by the run itself
+            pass
+        last = lake.runs(spark).orderBy(F.desc("start_time")).first()
+        rows.append((step, last["status"], last["records_processed"], last["error_message"], seen()))
+
+    run("first load")
+    sinks.remove_path(spark, lake.table_path(cfg["target_schema"], cfg["target_table"]))
+    run("target dropped")
+    reset_state(spark, lake, "orders")
+    run("state reset")
+    sinks.write_table(spark.range(1).selectExpr("'' AS value").repartition(1), f"{landing}/landing_year=1", fmt="text")
+    run("empty file")
+    bad = _raw_orders(spark, data_dir).filter("o_orderstatus = 'P'").withColumn("o_orderkey", F.lit(None).cast("bigint"))
+    bad.drop("landing_year").write.json(f"{landing}/landing_year=2")
+    run("bad file")
+    return sinks.literal_rows(spark, rows, "step string, status string, records bigint, error string, visible bigint")
+
+
+def rule_toggle(spark, data_dir):
+    """The enabled rules' results before and after one rule is switched off."""
+    li = table(spark, data_dir, "lineitem")
+    rules = ctl.rules_table(spark, [
+        ("li", "Returns", "ALLOWED_VALUES", "l_returnflag", "A,N", None, "ERROR", True),
+        ("li", "Discount", "NUMERIC_RANGE", "l_discount", "0,0.05", None, "WARNING", True)])
+    off = ctl.set_rule_enabled(rules, "li", "Returns", False)
+    on = ctl.set_rule_enabled(off, "li", "Returns", True)
+    states = [(name, load_rules(table_, "li")) for name, table_ in (("on", rules), ("off", off), ("on again", on))]
+    out = None
+    for name, enabled in states:
+        part = quality_report(li, enabled).withColumn("state", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def check_duplicate_event(spark, data_dir):
+    """Events and a copy of those of one type a microsecond later: fingerprints tell them apart."""
+    events = table(spark, data_dir, "events")
+    purchases = events.filter("event_type = 'purchase'")
+    later = purchases.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MICROSECOND"))
+    rows = events.unionByName(later).unionByName(purchases)
+    return quality_report(rows, [Rule("DUPLICATE_ROW", value="fingerprint")]).unionByName(
+        quality_report(rows, [Rule("DUPLICATE_ROW", severity="ERROR")]))
+
+
 def stream_ingest_query(spark, data_dir):
     """Two arrival waves through the streaming ingest; the second run reads
     only the files that arrived after the first."""
