@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm.common import map_rows, read_table
-from stratum.llm.tokens import VOCABULARY, count_pieces, load_tokenizer
+from stratum.llm.tokens import VOCABULARY, PieceCounter
 
 START, END = "<|im_start|>", "<|im_end|>"
 ESCAPE = re.compile(r"<(\\*)\|")
@@ -66,18 +66,18 @@ def format_windows(conversations: DataFrame, budget: int = 2048, history: int =
     system turn of later windows included), repeated ones first."""
 
     def make():
-        tokenizer = load_tokenizer(vocabulary)
+        counter = PieceCounter(vocabulary)
 
         def count(rows):
             texts = [f"{START}{escape_role(role)}\n{escape(text)}{END}\n" for role, text in rows]
-            return list(zip(texts, count_pieces(tokenizer, texts)))
+            return list(zip(texts, counter.counts(texts)))
 
         return count
 
     turns = conversations.select(
         "conv_id", "turn", F.coalesce("role", F.lit("null")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
-    sized = map_rows(turns, make, ["role", "text"], "formatted string, tokens bigint", ["conv_id", "turn", "role", "text"])
+    sized = map_rows(turns, make, ["role", "text"], "formatted string, tokens bigint", ["conv_id", "turn", "role", "text"], chunk_bytes=1 << 20)
     ordered = sized.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
     def cut(rows: Iterator[tuple]) -> Iterator[tuple]:

@@ -42,7 +42,9 @@ VOCABULARY = "byte_bpe_50k.json"
 #: Separators and everything beyond Latin letters: left to the library's own pattern.
 UNUSUAL = re.compile("[\x1c-\x1f\x85\xa0ɐ-\U0010ffff]")
 NEAR_BLANK = re.compile(r" (?=[\s])|(?<=\s) |^ | $")
-CACHE_ENTRIES = 400_000
+#: Chunks whose parse a task remembers; longer ones are never remembered.
+CACHE_ENTRIES = 150_000
+CACHED_LENGTH = 64
 
 
 def load_tokenizer(vocabulary: str):
@@ -56,8 +58,12 @@ def special_strings(tokenizer) -> list[str]:
     return sorted((t.content for t in tokenizer.get_added_tokens_decoder().values()), key=len, reverse=True)
 
 
-def count_pieces(tokenizer, pretokens: list[str]) -> list[int]:
-    return [len(e.ids) for e in tokenizer.encode_batch_fast(pretokens, add_special_tokens=False)]
+def count_pieces(tokenizer, texts: list[str], step: int = 10_000) -> list[int]:
+    """Numbers of pieces; the library's encodings of ``step`` texts live at once."""
+    return [
+        len(e.ids) for at in range(0, len(texts), step)
+        for e in tokenizer.encode_batch_fast(texts[at : at + step], add_special_tokens=False)
+    ]
 
 
 class PreTokenizer:
@@ -68,15 +74,6 @@ class PreTokenizer:
         self.findall = regex.compile(public_tokenizers.PATTERN).findall
         special = special_strings(self.tokenizer)
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self.cache: dict[str, list[str]] = {}
-
-    def pieces(self, chunk: str) -> list[str]:
-        found = self.cache.get(chunk)
-        if found is None:
-            if len(self.cache) >= CACHE_ENTRIES:
-                self.cache.clear()
-            found = self.cache[chunk] = self.findall(chunk)
-        return found
 
     def chunks(self, text: str) -> Counter:
         """Frequencies of strings that the pattern splits independently of what is around them."""
@@ -103,7 +100,28 @@ class PreTokenizer:
     def pretokens(self, chunk: str) -> list[str]:
         if UNUSUAL.search(chunk):
             return [chunk[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(chunk)]
-        return self.pieces(chunk) if len(chunk) < 200 else self.findall(chunk)
+        return self.findall(chunk)
+
+
+class PieceCounter:
+    """Token counts of texts, from remembered counts of the chunks they consist of."""
+
+    def __init__(self, vocabulary: str):
+        self.splitter = PreTokenizer(vocabulary)
+        self.known: dict[str, int] = {}
+
+    def counts(self, texts: list[str]) -> list[int]:
+        parsed = [self.splitter.split(t) for t in texts]
+        new = list({c for _, chunks in parsed for c in chunks if c not in self.known})
+        found = dict(zip(new, count_pieces(self.splitter.tokenizer, new)))
+        totals = []
+        for special, chunks in parsed:
+            totals.append(special + sum(n * (self.known[c] if c in self.known else found[c]) for c, n in chunks.items()))
+        if len(self.known) + len(found) > CACHE_ENTRIES:
+            self.known.clear()
+        else:
+            self.known.update((c, n) for c, n in found.items() if len(c) <= CACHED_LENGTH)
+        return totals
 
 
 def common_pieces(docs: DataFrame, n_docs: int, vocabulary: str, sample_rows: int, common_limit: int) -> dict[str, int]:
@@ -147,7 +165,7 @@ def frequencies(docs: DataFrame, keep: list[str], names: dict[str, str], common,
                 if found is None:
                     tokens = splitter.pretokens(chunk)
                     found = sum(known.get(t, 0) for t in tokens), [t for t in tokens if t not in known]
-                    if len(chunk) < 200:
+                    if len(chunk) <= CACHED_LENGTH:
                         if len(parsed) >= CACHE_ENTRIES:
                             parsed.clear()
                         parsed[chunk] = found
