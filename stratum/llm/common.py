@@ -11,7 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.session import scratch_path
+from stratum.session import scratch_table as spool
 
 #: A table is broadcast only if it was counted and holds at most this many rows.
 BROADCAST_ROWS = 20_000
@@ -23,19 +23,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spool(df: DataFrame) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends there,
-    so a lost executor costs no recomputation of what came before.  The folder
-    is removed when the driver's JVM ends."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "t")
-    df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path.rsplit("/", 1)[0])
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small_side(df: DataFrame, rows: int | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if its counted rows are within ``limit``;
     beyond it, plain (a shuffle join whose skewed partitions AQE splits).

@@ -7,6 +7,7 @@ from stratum.llm.decontaminate import op5_decontaminate
 from stratum.llm.lines import op8_fuzzy_lines
 from stratum.llm.mixing import op7_mixing_rates
 from stratum.llm.neardup import op2_near_duplicates
+from stratum.llm.oracle import ORACLE
 from stratum.llm.pii import op6_pii_spans
 from stratum.llm.quality import op10_quality_rules
 from stratum.llm.sharding import op1_shard_balance
@@ -26,4 +27,4 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
