@@ -16,9 +16,11 @@ dropped.  The others are verified on their full shingle sets.
 Lists are not expanded into all pairs.  First every class of a list is compared
 with one hub of it, the member whose values are the most frequent, and with one
 other, chosen by hash; verified links are merged into components by distributed
-union-find.  Lists whose members are all in one component are then done.  In the
-others, members outside the list's largest component are compared with all members
-of other components, so that no link between components is lost.
+union-find.  Classes with the same most central hub are a family.  Families and
+lists whose members are all in one component are then done.  In an open family
+the members outside the largest component are compared with all others in blocks of
+bounded size, which return spanning links only; across families, pairs that share a list are
+compared as before.  So no link between components is lost.
 
 Defined results: null texts and texts without words have an empty set and are
 linked with nothing; a text with fewer words than a shingle is one shingle;
@@ -33,6 +35,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +47,8 @@ SEED = 20_011
 CHUNK = 4096
 #: Keys (two 64-bit numbers) are broadcast up to this count, about 10 MB; more are joined by a shuffle.
 KEYS_LIMIT = 200_000
+#: Shingles whose texts meet in one verification group, from each of two blocks.
+BLOCK_SHINGLES = 200_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -125,41 +130,58 @@ def agreeing(a: str, b: str) -> F.Column:
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
 
 
-def verify(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full shingle sets are similar enough."""
-
-    def make():
-        held: dict[int, set] = {}
-
-        def of(key, text):
-            if key not in held:
-                if len(held) >= 64:
-                    held.clear()
-                held[key] = shingle_set(text, size)
-            return held[key]
-
-        def one(a, b, x, y):
-            s, t = of(a, x), of(b, y)
-            both = len(s & t)
-            return (100 * both >= percent * (len(s) + len(t) - both),)
-
-        return lambda rows: [one(*r) for r in rows]
-
-    left = pairs.join(texts.withColumnsRenamed({"id": "a", "text": "x", "n": "nx"}), "a")
-    both = left.join(texts.withColumnsRenamed({"id": "b", "text": "y", "n": "ny"}), "b")
-    able = both.where(100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))  # length bound
-    return map_rows(able, make, ["a", "b", "x", "y"], "linked boolean", ["a", "b"]).where("linked").select("a", "b")
-
-
-def star_pairs(candidates: DataFrame, matches: int) -> DataFrame:
-    """Each class with the hubs of its lists, where their signatures agree."""
+def list_hubs(candidates: DataFrame) -> DataFrame:
+    """(key, central, other) of the lists with several members: the member whose
+    values are the most frequent, and one chosen by hash."""
     lists = candidates.select("id", "weight", F.explode("prefix").alias("key"))
     hubs = lists.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"),
         F.max(F.struct("weight", "id")).alias("central"),
         F.max(F.struct(F.xxhash64("id", "key").alias("h"), "id")).alias("other"),
     )
-    hubs = hubs.where("size > 1").select("key", F.explode(F.array_distinct(F.array("central.id", "other.id"))).alias("hub"))
+    return hubs.where("size > 1").select("key", "central", F.col("other.id").alias("other"))
+
+
+def verify_blocks(candidates: DataFrame, hubs: DataFrame) -> DataFrame:
+    """(id, n, family, blocks, block): classes with the same most central hub are a
+    family, and are verified together in blocks of about ``BLOCK_SHINGLES`` shingles."""
+    posted = candidates.select("id", F.col("n_shingles").alias("n"), F.explode("prefix").alias("key")).join(hubs, "key")
+    family = posted.groupBy("id", "n").agg(F.max("central")["id"].alias("family"))
+    sizes = family.groupBy("family").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    placed = family.join(sizes, "family")
+    return placed.select("id", "n", "family", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
+
+
+def verify(pairs: DataFrame, blocks: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes whose full shingle sets are similar enough.
+    Pairs are grouped by their two blocks, and each text is sent to a group once."""
+    where = F.xxhash64("family", "block")
+    placed = (
+        pairs.join(blocks.select(F.col("id").alias("a"), F.col("n").alias("na"), where.alias("x")), "a")
+        .join(blocks.select(F.col("id").alias("b"), F.col("n").alias("nb"), where.alias("y")), "b")
+        .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))  # length bound
+        .select("a", "b", F.least("x", "y").alias("g1"), F.greatest("x", "y").alias("g2"))
+    )
+    placed = spool(placed)
+    members = placed.select(F.col("g1").alias("h1"), F.col("g2").alias("h2"), F.explode(F.array("a", "b")).alias("id")).distinct()
+    sent = members.join(texts.select("id", "text"), "id").select("h1", "h2", "id", "text")
+
+    def confirm(pairs: pa.Table, sent: pa.Table) -> pa.Table:
+        sets = {k: shingle_set(t, size) for k, t in zip(sent.column("id").to_pylist(), sent.column("text").to_pylist())}
+        linked = []
+        for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
+            s, t = sets[a], sets[b]
+            both = len(s & t)
+            linked.append(100 * both >= percent * (len(s) + len(t) - both))
+        return pairs.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
+
+    return placed.groupBy("g1", "g2").cogroup(sent.groupBy("h1", "h2")).applyInArrow(confirm, "a bigint, b bigint")
+
+
+def star_pairs(candidates: DataFrame, hubs: DataFrame, matches: int) -> DataFrame:
+    """Each class with the hubs of its lists, where their signatures agree."""
+    lists = candidates.select("id", F.explode("prefix").alias("key"))
+    hubs = hubs.select("key", F.explode(F.array_distinct(F.array("central.id", "other"))).alias("hub"))
     pairs = lists.join(hubs, "key").where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
     signed = candidates.select("id", "signature")
     return (
@@ -170,43 +192,96 @@ def star_pairs(candidates: DataFrame, matches: int) -> DataFrame:
     )
 
 
-def crossing_pairs(candidates: DataFrame, parts: DataFrame, matches: int) -> DataFrame:
-    """The pairs of classes of different components that have a posting in common
-    and whose signatures agree, each from its first common list only."""
-    member = spool(
-        candidates.join(parts, candidates["id"] == parts["node"], "left")
-        .select("id", "signature", "prefix", F.coalesce("component", "id").alias("component"))
-    )
-    posted = member.select("component", F.explode("prefix").alias("key"))
-    sizes = posted.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-    lists = sizes.groupBy("key").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("most"))
-    lists = lists.where("parts > 1").select("key", F.col("most.component").alias("largest"))
-    both = spool(member.withColumn("key", F.explode("prefix")).join(lists, "key"))
-    a = both.where("component <> largest").select(*[F.col(c).alias(f"a_{c}") for c in ("key", "id", "signature", "prefix", "component")])
+def family_links(member: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between components of one family.  The members outside a family's
+    largest component are compared with all its members, block by block: each
+    group counts common shingles by an inverted index and returns no more links
+    than it takes to join what is linked."""
+    sizes = member.groupBy("family", "component").agg(F.count(F.lit(1)).alias("m"))
+    families = sizes.groupBy("family").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("m", "component")).alias("most"))
+    families = families.where("parts > 1").select("family", F.col("most.component").alias("largest"))
+    here = spool(member.join(families, "family").select("id", "family", "component", "block", "blocks", "largest"))
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    left = here.where("component <> largest").select("family", F.col("block").alias("i"), each.alias("j"), "id", "component", F.lit(True).alias("left"))
+    right = here.select("family", each.alias("i"), F.col("block").alias("j"), "id", "component", F.lit(False).alias("left"))
+    right = right.join(left.select("family", "i", "j").distinct(), ["family", "i", "j"], "left_semi")
+    sent = left.union(right.select(left.columns)).join(texts.select("id", "text"), "id")
+
+    def link(group: pa.Table) -> pa.Table:
+        rows = list(zip(*(group.column(c).to_pylist() for c in ("id", "component", "left", "text"))))
+        ours, theirs = [r for r in rows if r[2]], [r for r in rows if not r[2]]
+        postings: dict = {}
+        n_ours = []
+        for k, r in enumerate(ours):
+            shingles = shingle_set(r[3], size)
+            n_ours.append(len(shingles))
+            for x in shingles:
+                postings.setdefault(x, []).append(k)
+        postings = {x: np.array(v) for x, v in postings.items()}
+        head: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while head.setdefault(x, x) != x:
+                x = head[x]
+            return x
+
+        n_ours_, links = np.array(n_ours, np.int64), []
+        for r in theirs:
+            shingles = shingle_set(r[3], size)
+            lists = [postings[x] for x in shingles if x in postings]
+            if not lists:
+                continue
+            both = np.bincount(np.concatenate(lists), minlength=len(ours))
+            for k in np.flatnonzero(100 * both >= percent * (n_ours_ + len(shingles) - both)).tolist():
+                x, y = find(ours[k][1]), find(r[1])
+                if x != y:
+                    head[max(x, y)] = min(x, y)
+                    links.append((ours[k][0], r[0]))
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return sent.select("family", "i", "j", "id", "component", "left", "text").groupBy("family", "i", "j").applyInArrow(link, "a bigint, b bigint")
+
+
+def crossing_pairs(member: DataFrame, matches: int) -> DataFrame:
+    """The pairs of classes of different families and components that have a posting
+    in common and whose signatures agree, each from its first common list only."""
+    posted = member.select("id", "component", "family", F.explode("prefix").alias("key"))
+    lists = posted.groupBy("key").agg(
+        F.min("family").alias("f1"), F.max("family").alias("f2"), F.min("component").alias("c1"), F.max("component").alias("c2"),
+    ).where("f1 <> f2 and c1 <> c2").select("key")
+    b = spool(member.select("id", "component", "family", "signature", "prefix", F.explode("prefix").alias("key")).join(lists, "key"))
+    a = b.select(*[F.col(c).alias(f"a_{c}") for c in ("key", "id", "signature", "prefix", "component", "family")])
     first = F.array_min(F.array_intersect("a_prefix", "prefix")) == F.col("a_key")
-    once = (F.col("component") == F.col("largest")) | (F.col("a_id") < F.col("id"))
     found = a.join(
-        both, (F.col("a_key") == F.col("key")) & (F.col("a_component") != F.col("component")) & once & first
-        & (agreeing("a_signature", "signature") >= matches),
+        b, (F.col("a_key") == F.col("key")) & (F.col("a_id") < F.col("id")) & (F.col("a_family") != F.col("family"))
+        & (F.col("a_component") != F.col("component")) & first & (agreeing("a_signature", "signature") >= matches),
     )
-    return found.select(F.least("a_id", "id").alias("a"), F.greatest("a_id", "id").alias("b"))
+    return found.select(F.col("a_id").alias("a"), F.col("id").alias("b"))
 
 
 def similar_classes(classes: DataFrame, texts: DataFrame, size: int, percent: int, matches: int) -> DataFrame | None:
     """(node, component) for the classes that are linked to another one, or None.
     ``classes`` has id, n_shingles, signature and the doc_id and text hash of a
-    member, by which ``texts`` has its text."""
+    member, by which ``texts`` has its text, and the number of rows with these."""
     candidates = spool(prefix_postings(classes, matches).join(classes, "id"))
     n = candidates.count()
     if not n:
         return None
-    wanted = candidates.select("id", F.col("n_shingles").alias("n"), F.col("doc_id").alias("d"), F.col("text_hash").alias("h"))
-    wanted = small_side(wanted, n, KEYS_LIMIT)
-    texts = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
-    texts = spool(texts.select("id", "n", "text").dropDuplicates(["id"]))
-    links = spool(verify(star_pairs(candidates, matches), texts, size, percent))
+    wanted = candidates.select("id", F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "rows")
+    repeated = not wanted.where("rows > 1").isEmpty()
+    texts = texts.join(small_side(wanted, n, KEYS_LIMIT), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
+    texts = texts.select("id", "text")
+    texts = spool(texts.dropDuplicates(["id"]) if repeated else texts)
+    hubs = spool(list_hubs(candidates))
+    blocks = spool(verify_blocks(candidates, hubs))
+    links = spool(verify(star_pairs(candidates, hubs, matches), blocks, texts, size, percent))
     parts = spool(connected_components(links))
-    more = spool(verify(crossing_pairs(candidates, parts, matches), texts, size, percent))
+    component = F.coalesce("component", "id").alias("component")
+    member = candidates.join(blocks.drop("n"), "id").join(parts, F.col("id") == F.col("node"), "left")
+    member = spool(member.select("id", "signature", "prefix", "family", "block", "blocks", component))
+    inside = family_links(member, texts, size, percent)
+    across = verify(crossing_pairs(member, matches), blocks, texts, size, percent)
+    more = spool(inside.union(across))
     if more.isEmpty():
         return parts
     return spool(connected_components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)))
@@ -217,11 +292,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, coordinat
     and component_id, one row a document."""
     named = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     signed = spool(sign_documents(named, size, coordinates, ["doc_id", "text_hash"]))
-    member = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    member = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "rows")
     classes = spool(
-        signed.where("digest is not null").groupBy("digest")
-        .agg(member.alias("m"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature"))
-        .select(F.monotonically_increasing_id().alias("id"), "digest", "n_shingles", "signature", "m.doc_id", "m.text_hash")
+        signed.where("digest is not null").groupBy("digest", "doc_id", "text_hash")
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature"))
+        .groupBy("digest").agg(F.min(member).alias("m"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature"))
+        .select(F.monotonically_increasing_id().alias("id"), "digest", "n_shingles", "signature", "m.doc_id", "m.text_hash", "m.rows")
     )
     found = similar_classes(classes.drop("digest"), named, size, percent, matches)
     parts = classes.select("id", "digest", "doc_id")
@@ -250,12 +326,12 @@ def drop_near_duplicates(docs: DataFrame, **params) -> DataFrame:
         (F.col("doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("text_hash") == F.col("m.text_hash"))).alias("kept"),
     )
     judged = spool(judged.where("not kept or n > 1"))
-    hashed = fresh_name("hash", docs.columns)
+    hashed, d, h = (fresh_name(x, docs.columns) for x in ("hash", "kept_id", "kept_hash"))
     docs_hashed = docs.withColumn(hashed, F.xxhash64("text"))
 
     def among(keys: DataFrame, how: str, rows: DataFrame) -> DataFrame:
-        keys = small_side(keys.select("d", "h"), keys.count(), KEYS_LIMIT)
-        return rows.join(keys, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col(hashed) == F.col("h")), how)
+        keys = small_side(keys.select(F.col("d").alias(d), F.col("h").alias(h)), keys.count(), KEYS_LIMIT)
+        return rows.join(keys, F.col("doc_id").eqNullSafe(F.col(d)) & (F.col(hashed) == F.col(h)), how)
 
     left = among(judged.where("not kept"), "left_anti", docs_hashed)
     repeated = judged.where("kept")
