@@ -47,7 +47,7 @@ class MixingParams:
     cues: int = 64
     grid: int = 200
     max_steps: int = 80
-    tolerance: float = 1e-4
+    tolerance: float = 1e-3  # of a domain's tokens
 
 
 def stems(text: str) -> Column:
@@ -189,7 +189,7 @@ def fit_rates(cells: DataFrame, params: MixingParams) -> tuple[list[tuple[list[f
         before, gradient = gradient, [(s - w) / c for s, w, c in zip(seen, target, scale)]
         if max(abs(g) for g in gradient) < params.tolerance:
             break
-        if before and max(abs(a - b) for a, b in zip(before, gradient)) < params.tolerance / 20:
+        if before and max(abs(a - b) for a, b in zip(before, gradient)) < params.tolerance / 10:
             break  # the bounds on rates hold it
         after = (1 + math.sqrt(1 + 4 * t * t)) / 2
         steps.append((gradient, (t - 1) / after))
@@ -206,7 +206,8 @@ def mixing_rates(docs: DataFrame, labels: DataFrame, keep: list[str], params: Mi
     features = describe(slim, "text", list(model.cues) if model else [], names)
     features = features.withColumn(names["cell"], posterior_cell(model, names["x"], params.grid)).drop(names["x"])
     features = spool(features)
-    cells = spool(features.groupBy(F.col(names["cell"]).alias("cell")).agg(F.sum(F.col(names["n"])).alias("tokens")))
+    cells = features.groupBy(F.col(names["cell"]).alias("cell")).agg(F.sum(F.col(names["n"])).alias("tokens"))
+    cells = spool(cells.coalesce(8))  # a bounded number of cells
     steps, _ = fit_rates(cells, params)
     rated = spool(cells.select(
         F.col("cell").alias(names["cell"]), rate_of("cell", steps, params.grid, params.max_rate)["r"].alias(names["rate"]),
