@@ -157,14 +157,13 @@ def learn_lexicon(sample: DataFrame, params: ToxicityParams) -> dict[str, float]
             .orderBy(F.desc("z"), "term").limit(params.max_terms).collect()
         )
         found = {r["term"]: r for r in rows}
-        for term, r in found.items():
-            shorter = next((term[:k] for k in range(params.shortest, len(term)) if term[:k] in found), None)
-            longer = any(x.startswith(term) and len(x) > len(term) and found[x]["toxic"] >= 0.9 * r["toxic"] for x in found)
-            if longer:
-                continue  # a longer beginning says as much
-            covered = any(term[:k] in found and found[term[:k]]["toxic"] > r["toxic"] / 0.9 for k in range(params.shortest, len(term))) if shorter else False
-            if not covered:
-                weights[term] = min(8.0, r["odds"])
+
+        def said_longer(term: str) -> bool:
+            """Whether a longer beginning is in nearly as many toxic documents."""
+            return any(x != term and x.startswith(term) and found[x]["toxic"] >= 0.9 * found[term]["toxic"] for x in found)
+
+        kept = [t for t in found if not said_longer(t)]
+        weights = {t: min(8.0, found[t]["odds"]) for t in kept if not any(t != k and t.startswith(k) for k in kept)}
     usual = sorted(weights.values())[len(weights) // 2] if weights else 4.0
     for seed in params.seeds:
         folded = fold(seed).strip()
