@@ -86,10 +86,15 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
 
 def scratch_table(df):
     """``df`` written to the shared folder and read back: lineage ends there (it
-    survives executor loss), and the folder goes when the driver's JVM ends."""
+    survives executor loss), and the folder goes when the driver's JVM ends.
+
+    The shuffle files of the query that made it are of no more use.  Spark deletes
+    them when the driver's garbage collector finds the query gone, by itself only
+    every half hour; the collection asked for here lets it do so now."""
     spark = df.sparkSession
     path = scratch_path(spark)
     df.write.parquet(path)
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
