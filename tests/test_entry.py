@@ -48,19 +48,20 @@ def _final_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-def test_flagship_scans_each_table_once(spark):
+def test_flagship_scans(spark):
     plan = _final_plan(entry.entry(spark))
-    assert plan.count("FileScan parquet") == 2  # orders once, customer once
+    # orders: whole rows once, and the columns of each key; customer once
+    assert plan.count("FileScan parquet") == 4
+    assert plan.count("ReadSchema: struct<o_orderkey:bigint>") == 1
 
 
-def test_no_python_in_tasks_outside_the_rank(spark):
-    """Every registered query stays JVM-side except the distributed rank
-    (one Arrow-batched mapInPandas step)."""
+def test_no_python_in_tasks(spark):
+    """The library's queries stay in the JVM."""
     python_nodes = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas")
     for name in ("check_not_null", "check_duplicate_key", "check_duplicate_row_fingerprint",
                  "quality_report", "refine_results", "fn_snake_case", "fn_safe_strip",
                  "changed_files", "upsert_state", "run_latest", "current_rows",
-                 "check_referential"):
+                 "check_referential", "standings_nation", "gold_driver_standings"):
         plan = _final_plan(entry.queries()[name](spark, entry.SMOKE_DIR))
         assert not any(n in plan for n in python_nodes), name
-        assert "MapInPandas" not in plan, name
+        assert "MapInPandas" not in plan and "MapInArrow" not in plan, name
