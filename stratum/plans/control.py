@@ -209,13 +209,18 @@ SEED_VALIDATION_RULES = [
 # Seeded data-quality rules, one key rule (ERROR) and one
 # duplicate-row rule (WARNING) per entity; keys are columns that exist in the
 # raw schemas.
-SEED_DQ_KEYS = {
-    "drivers": ("Duplicate Driver ID", "driverId", "Duplicate Driver Records"),
-    "constructors": ("Duplicate Constructor ID", "constructorId", "Duplicate Constructor Records"),
-    "circuits": ("Duplicate Circuit ID", "circuitId", "Duplicate Circuit Records"),
-    "races": ("Duplicate Race ID", "season, round", "Duplicate Race Records"),
-    "results": ("Duplicate Result ID", "season, round, driverId", "Duplicate Result Records"),
-}
+SEED_DQ_RULES = [
+    ("drivers", "Duplicate Driver ID", "DUPLICATE_KEY", "driverId", "ERROR"),
+    ("drivers", "Duplicate Driver Records", "DUPLICATE_ROW", None, "WARNING"),
+    ("constructors", "Duplicate Constructor ID", "DUPLICATE_KEY", "constructorId", "ERROR"),
+    ("constructors", "Duplicate Constructor Records", "DUPLICATE_ROW", None, "WARNING"),
+    ("circuits", "Duplicate Circuit ID", "DUPLICATE_KEY", "circuitId", "ERROR"),
+    ("circuits", "Duplicate Circuit Records", "DUPLICATE_ROW", None, "WARNING"),
+    ("races", "Duplicate Race ID", "DUPLICATE_KEY", "season, round", "ERROR"),
+    ("races", "Duplicate Race Records", "DUPLICATE_ROW", None, "WARNING"),
+    ("results", "Duplicate Result ID", "DUPLICATE_KEY", "season, round, driverId", "ERROR"),
+    ("results", "Duplicate Result Records", "DUPLICATE_ROW", None, "WARNING"),
+]
 
 # Seeded refine configuration (bronze -> silver, overwrite).
 SEED_REFINE = [(e, "bronze", e, "silver", e, f"transform_{e}", "overwrite", True)
@@ -237,11 +242,8 @@ def seed_validation_rules(spark: SparkSession) -> DataFrame:
 
 
 def seed_dq_rules(spark: SparkSession) -> DataFrame:
-    rows = []
-    for e, (key_name, keys, row_name) in SEED_DQ_KEYS.items():
-        rows.append((e, key_name, "DUPLICATE_KEY", keys, None, 0.0, "ERROR", True))
-        rows.append((e, row_name, "DUPLICATE_ROW", None, None, 0.0, "WARNING", True))
-    return rules_table(spark, rows)
+    return rules_table(spark, [(e, n, t, c, None, 0.0, severity, True)
+                               for e, n, t, c, severity in SEED_DQ_RULES])
 
 
 def seed_refine_config(spark: SparkSession) -> DataFrame:

@@ -131,7 +131,7 @@ ORACLE = {
     + "\nUNION ALL\n" + dup_key_row(["l_orderkey"], "lineitem"),
     "check_duplicate_key_null": dup_key_row(["lang", "quality"], DOCS_LABELS)
     + "\nUNION ALL\n" + dup_key_row(["toxic"], DOCS_LABELS),
-    "check_duplicate_row": dup_row_row(["text"], "documents"),
+    "check_duplicate_row": dup_row_row(["text", "lang", "source", "n_chars"], "documents"),
     "check_schema": (
         "SELECT 'Schema Validation' AS rule_name, 'SCHEMA' AS rule_type, 'ERROR' AS severity, "
         "false AS passed, CAST(1 AS BIGINT) AS failed_records, "

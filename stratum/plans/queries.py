@@ -101,7 +101,7 @@ def check_duplicate_key_null(spark, data_dir):
 
 
 def check_duplicate_row(spark, data_dir):
-    docs = table(spark, data_dir, "documents").select("text")
+    docs = table(spark, data_dir, "documents").drop("doc_id")  # all that is not the key
     return quality_report(docs, [Rule("DUPLICATE_ROW")])
 
 
