@@ -9,7 +9,8 @@ result).  The quartiles of the sketch give each group its own outer fences,
 the same below; a document outside a fence is rejected.  Groups with fewer than
 ``min_group`` documents use the merged sketch of their language, then of all
 documents.  The ``floor`` keeps a group in which nearly all documents agree from
-rejecting ordinary variation.
+rejecting ordinary variation; it decides where three quarters of a group have the
+same ratio (0 symbols, say), and the spread of the quartiles elsewhere.
 
 Defined results: a null text has no words; a document without words has ratio 0
 everywhere; null languages or sources are groups of their own; repeated rows are
@@ -47,10 +48,10 @@ class Metric:
 @dataclass(frozen=True)
 class QualityParams:
     metrics: tuple[Metric, ...] = (
-        Metric("symbol_ratio", 0.1),
-        Metric("dup_line_ratio", 0.5),
-        Metric("repeat_ratio", 0.5),
-        Metric("mean_word_len", 4.0, two_sided=True),
+        Metric("symbol_ratio", 0.05),
+        Metric("dup_line_ratio", 0.35),
+        Metric("repeat_ratio", 0.45),
+        Metric("mean_word_len", 1.0, two_sided=True),
     )
     reach: float = 3.0
     gamma: float = 1.02

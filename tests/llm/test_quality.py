@@ -47,3 +47,26 @@ def test_quartiles_are_close_to_exact(spark):
     f = quality.thresholds(quality.sketch(m, params), params).first().fences
     exact = sorted(values)
     assert abs(f.mean_word_len_low / exact[252] - 1) < 0.02 and abs(f.mean_word_len_high / exact[757] - 1) < 0.02
+
+
+def test_each_metric_rejects_an_outlier(spark):
+    """All documents pass the base rule; the planted ratios are below 0.5, or 2 characters a word."""
+    usual = [("en", "a", 100, 500 + k % 5, 0, 20, 0, 0) for k in range(60)]
+    wide = [("en", "w", 100, 300 + 10 * (k % 60), 0, 20, 0, 0) for k in range(60)]  # words of 3 to 8.9
+    planted = [
+        ("en", "a", 100, 500, 8, 20, 0, 0), ("en", "a", 100, 500, 0, 20, 9, 0), ("en", "a", 100, 500, 0, 20, 0, 48),
+        ("en", "a", 100, 700, 0, 20, 0, 0), ("en", "a", 100, 300, 0, 20, 0, 0),
+    ]
+    m = spark.createDataFrame(usual + wide + planted, "lang string, source string, " + quality.COUNTS)
+    params = quality.QualityParams()
+    rows = quality.verdict(m, quality.thresholds(quality.sketch(m, params), params), params).collect()
+    assert not any(r.base_failed for r in rows)
+    odd = {(r.source, *(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"))) for r in rows if not r.kept}
+    assert odd == {p[1:] for p in planted}
+
+
+def test_labelled_good_documents_stay(spark):
+    sf = "/root/testdata/sf0.1"
+    good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.quality and not r.toxic}
+    rows = [r for r in quality.op10_quality_rules(spark, sf).collect() if r.doc_id in good and not r.base_failed]
+    assert len(rows) > 2000 and all(r.kept for r in rows)
