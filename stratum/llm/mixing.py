@@ -3,7 +3,11 @@
 Domains are cells of the ``labels`` table: ``toxic`` (toxic = 1), ``junk`` (not toxic,
 quality = 0) and ``good`` (the rest).  A Gaussian naive Bayes classifier, fitted on
 at most ``sample_rows`` labelled documents from aggregates, predicts each document's
-domain posterior; posteriors are rounded to multiples of 1/``grid`` that sum to 1.
+domain posterior; posteriors are rounded to multiples of 1/``grid`` that sum to 1.  One of
+its features is how many words in a hundred begin with a cue, a word beginning that
+tells toxic documents from others.  Cues are chosen on one half of the labelled
+documents (at least 1 % of the toxic ones, log-odds and their z above floors), and
+kept if their log-odds are above the floor in the other half too.
 
 Document rates r >= 0 (at most ``max_rate``) are fitted so that the expected domain
 token totals ``sum(r * tokens * posterior)`` match ``weight * budget``: projected
@@ -45,6 +49,8 @@ class MixingParams:
     max_rate: float = 4.0
     sample_rows: int = 12_000
     cues: int = 64
+    least_ratio: float = 4.5  # log-odds of a cue
+    least_z: float = 4.0
     grid: int = 200
     max_steps: int = 80
     tolerance: float = 1e-3  # of a domain's tokens
@@ -63,13 +69,13 @@ def describe(docs: DataFrame, text: str, cues: list[str], names: dict[str, str])
     chars = F.length(F.coalesce(F.col(text), F.lit(""))).cast("double")
     with_words = docs.withColumn(names["n"], count_of(text, r"\S+"))
     n = F.greatest(F.col(names["n"]), F.lit(1.0))
-    shared = F.size(F.array_intersect(stems(text), F.array(*map(F.lit, cues)).cast("array<string>"))) if cues else F.lit(0)
+    hits = F.size(F.filter(stems(text), lambda s: s.isin(*cues))) if cues else F.lit(0)
     x = F.array(
         F.log1p(100 * count_of(text, r"[#*$%&|<>]") / n),
         F.log1p(100 * count_of(text, r"[A-Z]") / n),
         chars / n,
         F.log1p(n),
-        F.log1p(shared.cast("double")),
+        F.log1p(100 * hits.cast("double") / n),
     )
     return with_words.withColumn(names["x"], x).drop(text)
 
@@ -87,18 +93,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return spool(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
 
 
-def learn_cues(sample: DataFrame, many: int) -> list[str]:
-    """Word beginnings that tell toxic documents from others."""
-    count = sample.groupBy().agg(F.count_if(F.col("domain") == 2).alias("t"), F.count_if(F.col("domain") < 2).alias("c")).first()
-    if not count["t"] or not count["c"]:
+def learn_cues(sample: DataFrame, params: MixingParams) -> list[str]:
+    """Word beginnings that tell toxic documents from others, chosen on one half of
+    the documents and judged on the other."""
+    toxic, second = F.col("domain") == 2, F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(2)) == 1
+    parts = {"t1": toxic & ~second, "c1": ~toxic & ~second, "t2": toxic & second, "c2": ~toxic & second}
+    counts = [F.count_if(part).alias(name) for name, part in parts.items()]
+    count = sample.groupBy().agg(*counts).first()
+    if not all(count):
         return []
-    seen = sample.select("domain", F.explode(F.array_distinct(stems("text"))).alias("stem")).groupBy("stem").agg(
-        F.count_if(F.col("domain") == 2).alias("t"), F.count_if(F.col("domain") < 2).alias("c")
-    )
-    a, b = (F.col("t") + 0.5) / (count["t"] + 1), (F.col("c") + 0.5) / (count["c"] + 1)
-    z = F.log(a / b) / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))
-    rows = seen.where(F.col("t") >= 3).where(F.log(a / b) > 2).orderBy(F.desc(z), "stem").limit(many).collect()
-    return [r["stem"] for r in rows]
+    seen = sample.select("doc_id", "domain", F.explode(F.array_distinct(stems("text"))).alias("stem")).groupBy("stem").agg(*counts)
+    odds = {k: F.log((F.col(f"t{k}") + 0.5) / (count[f"t{k}"] + 1) / (F.col(f"c{k}") + 0.5) * (count[f"c{k}"] + 1)) for k in (1, 2)}
+    z = odds[1] / F.sqrt(1 / (F.col("t1") + 0.5) + 1 / (F.col("c1") + 0.5))
+    strong = (F.col("t1") >= max(3, count["t1"] // 100)) & (z >= params.least_z)
+    chosen = seen.where(strong & (odds[1] > params.least_ratio) & (odds[2] > params.least_ratio))
+    return [r["stem"] for r in chosen.orderBy(F.desc(z), "stem").limit(params.cues).collect()]
 
 
 @dataclass(frozen=True)
@@ -111,7 +120,7 @@ class DomainModel:
 
 def learn_domains(docs: DataFrame, labels: DataFrame, params: MixingParams) -> DomainModel | None:
     sample = labelled_sample(docs, labels, params.sample_rows)
-    cues = learn_cues(sample, params.cues)
+    cues = learn_cues(sample, params)
     names = {"n": "n", "x": "x"}
     described = describe(sample, "text", cues, names)
     stats = [F.count(F.lit(1)).alias("rows")]

@@ -92,3 +92,19 @@ def test_odd_documents(spark, odd, odd_rows, none, labels):
         assert mixed.columns == odd.columns
     same_rows(mixing.mix(odd, labels.limit(0), mixing.MixingParams(weights={"good": 1.0}, max_rate=1.0)), odd_rows)
     assert rates(spark, none, labels, mixing.MixingParams()).count() == 0 and mixing.mix(none, labels).count() == 0
+
+
+def test_labelled_good_documents_keep_rate_1(spark):
+    """Long clean documents hold chance stems; those are not toxic."""
+    import corpus_pipeline as pipeline
+    from pyspark.sql import functions as F
+
+    from stratum.llm import quality
+
+    sf = "/root/testdata/sf0.1"
+    docs = quality.quality_filter(spark.read.parquet(f"{sf}/documents.parquet")).dropDuplicates(["text"])
+    table = spark.read.parquet(f"{sf}/labels.parquet")
+    labelled = rates(spark, docs.select("doc_id", "text"), table, pipeline.MIX).join(table, "doc_id")
+    by = {(r.quality > 0, r.toxic > 0): r for r in labelled.groupBy("quality", "toxic").agg(F.count("rate").alias("n"), F.min("rate").alias("least"), F.avg("rate").alias("mean")).collect()}
+    assert by[True, False].n > 2000 and by[True, False].least > 0.999
+    assert by[True, True].mean < 0.6  # toxic ones with insults are thinned
