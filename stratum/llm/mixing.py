@@ -53,7 +53,7 @@ class MixingParams:
     least_z: float = 4.0
     grid: int = 200
     max_steps: int = 80
-    tolerance: float = 1e-3  # of a domain's tokens
+    tolerance: float = 1e-4  # of a domain's tokens
 
 
 def stems(text: str) -> Column:
@@ -198,7 +198,7 @@ def fit_rates(cells: DataFrame, params: MixingParams) -> tuple[list[tuple[list[f
         before, gradient = gradient, [(s - w) / c for s, w, c in zip(seen, target, scale)]
         if max(abs(g) for g in gradient) < params.tolerance:
             break
-        if before and max(abs(a - b) for a, b in zip(before, gradient)) < params.tolerance / 10:
+        if before and max(abs(a - b) for a, b in zip(before, gradient)) < params.tolerance / 20:
             break  # the bounds on rates hold it
         after = (1 + math.sqrt(1 + 4 * t * t)) / 2
         steps.append((gradient, (t - 1) / after))

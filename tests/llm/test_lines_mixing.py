@@ -108,3 +108,23 @@ def test_labelled_good_documents_keep_rate_1(spark):
     by = {(r.quality > 0, r.toxic > 0): r for r in labelled.groupBy("quality", "toxic").agg(F.count("rate").alias("n"), F.min("rate").alias("least"), F.avg("rate").alias("mean")).collect()}
     assert by[True, False].n > 2000 and by[True, False].least > 0.999
     assert by[True, True].mean < 0.6  # toxic ones with insults are thinned
+
+
+def test_default_stop_is_close_to_the_converged_rates(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    p = rng.multinomial(200, [0.7, 0.2, 0.1], size=40)
+    p[:20] = rng.multinomial(200, [0.05, 0.05, 0.9], size=20)
+    tokens = rng.integers(10, 1000, 40).astype(float)
+    cells = spark.createDataFrame([(x.tolist(), float(n)) for x, n in zip(p, tokens)], "cell array<int>, tokens double")
+    params = mixing.MixingParams(weights={"good": 0.95, "junk": 0.04, "toxic": 0.01}, max_rate=1.5)
+    steps, report = mixing.fit_rates(cells, params)
+    target, share = np.array(report["target"]), p / 200
+    scale, r = np.maximum(np.array(report["own"]), target), np.ones(40)
+    for _ in range(20_000):
+        r = np.clip(r - share @ (((r * tokens) @ share - target) / scale), 0, 1.5)
+    assert (np.abs(np.array(report["reached"]) - (r * tokens) @ share) < 1e-3 * scale).all()
+    rated = cells.select("cell", mixing.rate_of("cell", steps, params.grid, params.max_rate)["r"].alias("r")).collect()
+    best = {tuple(x): v for x, v in zip(p.tolist(), r)}
+    assert all(abs(x.r - best[tuple(x.cell)]) < 0.01 for x in rated)
