@@ -128,3 +128,18 @@ def test_default_stop_is_close_to_the_converged_rates(spark):
     rated = cells.select("cell", mixing.rate_of("cell", steps, params.grid, params.max_rate)["r"].alias("r")).collect()
     best = {tuple(x): v for x, v in zip(p.tolist(), r)}
     assert all(abs(x.r - best[tuple(x.cell)]) < 0.01 for x in rated)
+
+
+def test_repeated_short_lines_are_dropped(spark, small):
+    """Lines under nine units are dropped if they are equal to an earlier one; blank lines stay."""
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{small}/documents.parquet").collect()]
+    docs += [(10_000 + d, "Menu\n\n\u4e3b\u9875\nMenu\n \nMenus\n" + prose(20, d)) for d in range(20)]
+    seen, short = set(), set()
+    for d, text in sorted(docs):
+        for at, line in enumerate(text.split("\n")):
+            if len(line) < 9 and plain.plain_words(line):
+                if line in seen:
+                    short.add((d, at))
+                seen.add(line)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert dropped(lines.dropped_lines(df)) == plain.fuzzy_lines(docs) | short and len(short) > 80
