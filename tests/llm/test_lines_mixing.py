@@ -143,3 +143,17 @@ def test_repeated_short_lines_are_dropped(spark, small):
                 seen.add(line)
     df = spark.createDataFrame(docs, "doc_id bigint, text string")
     assert dropped(lines.dropped_lines(df)) == plain.fuzzy_lines(docs) | short and len(short) > 80
+
+
+def test_lists_compare_all_their_components(spark, monkeypatch):
+    """Similar lines that share one band only, in a list whose smallest member is like neither."""
+    from pyspark.sql import functions as F
+
+    def one_band(df, size, coordinates):
+        values = [F.lit(k) if k in lines.BAND else F.hash("line", F.lit(k)) for k in range(coordinates)]
+        return df.select(*lines.line_key("line"), "line").distinct().coalesce(1).sort("line").select("k1", "k2", F.array(*values).alias("signature"))
+
+    monkeypatch.setattr(lines, "signatures", one_band)
+    base = prose(30, 60)
+    df = spark.createDataFrame([(1, " " + prose(30, 61)), (2, base), (3, base + "!")], "doc_id bigint, text string")
+    assert dropped(lines.dropped_lines(df)) == {(3, 0)}
