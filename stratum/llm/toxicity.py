@@ -11,7 +11,7 @@ score.
 Terms and weights are learned from labelled rows: word beginnings that are far
 more frequent in toxic documents than in others, weighted by the log-odds, next to
 a few given seeds.  At most ``sample_rows`` labelled rows are used (those with
-the smallest hash of their doc_id); part of them learn the lexicon and the rest
+the smallest hash of their doc_id), each with one text, the least; part of them learn the lexicon and the rest
 the score, which is fitted on the driver from five numbers a row.
 
 Defined results: a null or empty text folds to nothing and gets the score of a
@@ -201,7 +201,8 @@ def learn(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
         .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(params.sample_rows)
     )
-    sample = spool(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").withColumn("rest", rest))
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = spool(found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).withColumn("rest", rest))
     weights = learn_lexicon(sample.where("rest < 4"), params)
     model = Model(weights, params.exceptions, ())
     rows = map_rows(sample, lambda: _scorer(model), ["text"], "x array<double>", ["toxic", "rest"]).drop("rest").collect()  # at most sample_rows

@@ -43,3 +43,13 @@ def test_odd_rows(spark, odd, odd_rows, none, labels):
         rows = tox.score(odd, model, ["doc_id", "x"]).collect()
         assert len(rows) == len(odd_rows) and all(0 <= r.score <= 1 for r in rows)
     assert tox.score(none, model, ["doc_id"]).count() == 0
+
+
+def test_a_repeated_doc_id_is_sampled_once(spark):
+    rows = [(k, "idiot scum" if k % 2 else "a fine day") for k in range(60)]
+    schema = "doc_id bigint, text string"
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id bigint, toxic int")
+    hot = next(k for k, _ in rows if k % 2 == 0 and zlib.crc32(str(k).encode()) % 5 == 4)
+    many = rows + [(hot, f"a fine day {k} idiot") for k in range(3000)]
+    once, often = (tox.learn(spark.createDataFrame(x, schema), labels) for x in (rows, many))
+    assert once.weights == often.weights and once.coefficients == often.coefficients
