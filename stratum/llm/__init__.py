@@ -1,4 +1,4 @@
-"""Training-data operators: ten independent operators over a ``documents``-like
+"""Training-data operators: thirteen independent operators over a ``documents``-like
 table (doc_id, text, lang, source, ...) and the queries that apply them.
 
 Python helpers used inside tasks are pickled by value, so executors need the
