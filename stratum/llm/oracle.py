@@ -107,4 +107,28 @@ FROM m JOIN odd o ON m.doc_id = o.doc_id
 """
 
 
-ORACLE = {"op5_decontaminate": DECONTAMINATE, "op10_quality_rules": quality_sql()}
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), {_UPPER}, lower({_UPPER})), '{_TERM}')"
+
+
+RANKED_SEARCH = f"""
+WITH d AS (SELECT doc_id, {_terms('text')} AS w FROM documents),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS terms FROM d),
+q AS (SELECT DISTINCT item_id, unnest({_terms('text')}) AS t FROM benchmark),
+tf AS (
+  SELECT doc_id, size, t, count(*) AS tf FROM (SELECT doc_id, len(w) AS size, unnest(w) AS t FROM d) a
+  WHERE t IN (SELECT t FROM q) GROUP BY ALL),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS weight
+  FROM (SELECT t, count(*) AS df FROM tf GROUP BY t) x, s),
+scored AS (
+  SELECT item_id, doc_id, CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * size * docs) // terms)))) AS BIGINT) AS score
+  FROM q JOIN weights ON q.t = weights.t JOIN tf ON q.t = tf.t, s GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+ORACLE = {"op5_decontaminate": DECONTAMINATE, "op10_quality_rules": quality_sql(), "op11_ranked_search": RANKED_SEARCH}

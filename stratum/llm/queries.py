@@ -10,6 +10,7 @@ from stratum.llm.neardup import op2_near_duplicates
 from stratum.llm.oracle import ORACLE
 from stratum.llm.pii import op6_pii_spans
 from stratum.llm.quality import op10_quality_rules
+from stratum.llm.search import op11_ranked_search
 from stratum.llm.secrets import op13_secret_scan
 from stratum.llm.sharding import op1_shard_balance
 from stratum.llm.tokens import op4_token_counts
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_fuzzy_lines": op8_fuzzy_lines,
     "op9_chat_windows": op9_chat_windows,
     "op10_quality_rules": op10_quality_rules,
+    "op11_ranked_search": op11_ranked_search,
     "op13_secret_scan": op13_secret_scan,
 }
 
