@@ -131,4 +131,44 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM scored WHERE score > 0 QUALIFY rank <= 10
 """
 
-ORACLE = {"op5_decontaminate": DECONTAMINATE, "op10_quality_rules": quality_sql(), "op11_ranked_search": RANKED_SEARCH}
+#: CRC-32 of the decimal form of ``c``: a byte, then seven zeros, are shifted in bit by bit.
+_CRC32 = (
+    "xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(CAST(c AS VARCHAR), ''), "
+    "lambda x: [CAST(ascii(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))), "
+    "lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295)"
+)
+
+PREFIX_TRIE = f"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS nth
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, max(nth) AS own FROM t GROUP BY c),
+hashed AS (SELECT c, own, c - c % 100 AS base, {_CRC32} % 6 AS h FROM own),
+convs AS (
+  SELECT x.c, x.own, x.base, x.h, least(x.h, coalesce(b.own, 0)) AS taken
+  FROM hashed x LEFT JOIN own b ON x.base = b.c),
+turns AS (
+  SELECT t.c, nth - h + taken AS place, role, text FROM t JOIN convs ON t.c = convs.c WHERE nth > h
+  UNION ALL SELECT convs.c, nth, role, text FROM convs JOIN t ON t.c = base AND nth <= h),
+paths AS (
+  SELECT c, 0 AS d, '' AS k, 0 AS chars FROM convs
+  UNION ALL SELECT c, place, md5(string_agg(md5(role) || md5(text), '') OVER (
+    PARTITION BY c ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), length(text) FROM turns),
+stepped AS (
+  SELECT *, lag(k) OVER (PARTITION BY c ORDER BY d) AS up, d = max(d) OVER (PARTITION BY c) AS is_end FROM paths),
+nodes AS (
+  SELECT d, k, min(up) AS up, min(c) AS c, count(*) AS n, min(chars) AS chars,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (is_end), '')) AS ends FROM stepped GROUP BY d, k),
+families AS (SELECT d - 1 AS d, up AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+every AS (SELECT x.*, coalesce(f.n, 0) AS n_children FROM nodes x LEFT JOIN families f ON x.d = f.d AND x.k = f.k),
+below AS (
+  SELECT p.d, p.k, count(*) FILTER (y.n_children = 0) AS n_leaves, sum((y.n - 1) * y.chars) AS saved
+  FROM every y JOIN paths p ON p.c = y.c AND p.d <= y.d GROUP BY p.d, p.k)
+SELECT e.c AS conv_id, CAST(e.d AS BIGINT) AS depth, u.c AS parent_conv_id, CAST(e.n AS BIGINT) AS n_convs,
+  CAST(e.n_children AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+  e.ends AS ends_sha256
+FROM every e JOIN below b ON e.d = b.d AND e.k = b.k LEFT JOIN nodes u ON u.d = e.d - 1 AND u.k = e.up
+"""
+
+ORACLE = {"op5_decontaminate": DECONTAMINATE, "op10_quality_rules": quality_sql(), "op11_ranked_search": RANKED_SEARCH, "op12_prefix_trie": PREFIX_TRIE}

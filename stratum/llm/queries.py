@@ -15,6 +15,7 @@ from stratum.llm.secrets import op13_secret_scan
 from stratum.llm.sharding import op1_shard_balance
 from stratum.llm.tokens import op4_token_counts
 from stratum.llm.toxicity import op3_toxicity
+from stratum.llm.trie import op12_prefix_trie
 
 QUERIES = {
     "op1_shard_balance": op1_shard_balance,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_chat_windows": op9_chat_windows,
     "op10_quality_rules": op10_quality_rules,
     "op11_ranked_search": op11_ranked_search,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_secret_scan": op13_secret_scan,
 }
 
