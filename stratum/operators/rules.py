@@ -345,6 +345,20 @@ def _compile_row_rule(rule: Rule, comp: _Compiled, df: DataFrame) -> None:
         raise ConfigurationError(f"not a row rule: {kind}")
 
 
+def row_failures(df: DataFrame, rules: Sequence[Rule]) -> Column:
+    """The names of the row rules that a row fails, as an array.  A column that is
+    missing raises; NULL_PERCENTAGE is no property of a row and not allowed."""
+    failed = []
+    for rule in rules:
+        comp = _Compiled()
+        if rule.kind not in ROW_RULES or rule.kind == "NULL_PERCENTAGE" or not _resolves(df, rule.column):
+            raise ConfigurationError(f"Not a rule of single rows: {rule}")
+        _compile_row_rule(rule, comp, df)
+        name = rule.name or f"{rule.column} {TITLES[rule.kind]}"
+        failed += [F.when(predicate, F.lit(name)) for _, predicate in comp.predicates]
+    return F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+
+
 def _dup_key_result(rule: Rule, failed: Column) -> Column:
     label = rule.display or ", ".join(rule.key_columns)
     return _result(rule, f"{label} {TITLES['DUPLICATE_KEY']}", failed,

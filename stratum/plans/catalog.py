@@ -57,5 +57,6 @@ QUERIES = {
     "rule_toggle": q.rule_toggle,
     "check_duplicate_event": q.check_duplicate_event,
     "stream_ingest": q.stream_ingest_query,
+    "stream_keys": q.stream_keys,
     "seeded_layers": q.seeded_layers,
 }

@@ -438,3 +438,21 @@ ORACLE["check_duplicate_event"] = " UNION ALL ".join(
     "|| ' duplicate row(s).' END AS details FROM (SELECT CAST(count(*) - (SELECT count(*) FROM "
     f"(SELECT DISTINCT * FROM {_EVENTS_TWICE} a) b) AS BIGINT) AS n FROM {_EVENTS_TWICE} c) d"
     for severity in ("WARNING", "ERROR"))
+
+
+ORACLE["stream_keys"] = """
+WITH e AS (
+  SELECT event_id, user_id, event_type, value, epoch_ms(ts) AS ms, CASE WHEN event_id % 10 = 9 THEN 2
+    WHEN event_id % 10 = 8 OR day(ts) > 10 THEN CASE WHEN day(ts) > 20 THEN 2 ELSE 1 END ELSE 0 END AS run
+  FROM events),
+w AS (
+  SELECT r.run, (SELECT max(ms) FROM e WHERE e.run < r.run) - 12 * 86400000 AS watermark FROM (SELECT DISTINCT run FROM e) r),
+j AS (
+  SELECT e.*, CASE WHEN value < 1 OR value > 1000 THEN 'bad' WHEN ms < coalesce(watermark, 0) THEN 'late' END AS out
+  FROM e JOIN w ON e.run = w.run),
+s AS (
+  SELECT event_id, ms, max(ms) OVER (PARTITION BY user_id, event_type ORDER BY run, ms, event_id
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS last FROM j WHERE out IS NULL)
+SELECT event_id, out AS verdict FROM j WHERE out IS NOT NULL
+UNION ALL SELECT event_id, CASE WHEN ms <= last + 6 * 3600000 THEN 'duplicate' ELSE 'ok' END FROM s
+"""

@@ -34,7 +34,8 @@ from stratum.sources import readers, sinks
 from stratum.sources.inventory import file_inventory
 from stratum.sources.schemas import register_schema
 from stratum.sources.tables import table
-from stratum.streaming.ingest import stream_ingest
+from stratum.streaming.ingest import quarantined_rows, stream_ingest
+from stratum.streaming.keyed import KeyedStream
 
 # ----------------------------------------------------------------- inputs
 
@@ -782,6 +783,29 @@ def stream_ingest_query(spark, data_dir):
     return cur.select(*ORDER_COLS, "order_year")
 
 
+register_schema("events_raw_schema", "event_id bigint, ts timestamp, user_id bigint, event_type string, value double")
+
+
+def stream_keys(spark, data_dir):
+    """Events arriving in three runs, some of them late, through a stream that
+    remembers (user, type) for six hours of event time: what became of each event."""
+    lake = ctl.Lakehouse(scratch_path(spark, "lake"))
+    landing = scratch_path(spark, "landing_events")
+    events = table(spark, data_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    held, day = F.col("event_id") % 10, F.dayofmonth("ts")
+    run = (F.when(held == 9, 2).when((held == 8) | (day > 10), F.when(day > 20, 2).otherwise(1)).otherwise(0))
+    cfg = ctl.config_for(ctl.entity_config(spark, [(
+        "events", "json", landing, "bronze", "events", "incremental", None,
+        "events_raw_schema", True, False, "file_tracking", None)]), "events")
+    keyed = KeyedStream(("user_id", "event_type"), "ts", "12 days", 6 * 3_600_000, ("event_id",),
+                        (Rule("NUMERIC_RANGE", "value", "1,1000"),))
+    for r in range(3):
+        events.filter(run == r).write.json(f"{landing}/run={r}")
+        stream_ingest(spark, lake, cfg, stream_name="events", keyed=keyed)
+    loaded = bronze_current(spark, lake, cfg).select("event_id", F.lit("ok").alias("verdict"))
+    return loaded.unionByName(quarantined_rows(spark, lake, cfg).select("event_id", F.col("_verdict").alias("verdict")))
+
+
 def check_required_columns(spark, data_dir):
     li = table(spark, data_dir, "lineitem").drop("l_tax")
     return quality_report(li, [

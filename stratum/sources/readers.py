@@ -55,6 +55,7 @@ def read_source(
     options: dict | None = None,
     strict_header: bool = False,
     source_file_column: str | None = None,
+    file_details: bool = False,
 ) -> DataFrame:
     """Scan ``source_path`` with a fixed schema, optionally only some files.
 
@@ -62,7 +63,8 @@ def read_source(
     :func:`stratum.sources.inventory.file_inventory`), either as an iterable or
     as a DataFrame with a ``source_file`` column; see
     :func:`stratum.sources.inventory.only_files`.  ``source_file_column`` names
-    a column to add that holds each row's file path.
+    a column to add that holds each row's file path; ``file_details`` adds
+    ``_file_mtime`` and ``_file_size``.
     CSV columns bind by position; ``strict_header`` makes a header that does
     not match the schema an error instead.
     """
@@ -74,7 +76,9 @@ def read_source(
     if files_to_include is None and source_file_column is None:
         return df
     file_col = source_file_column or "__file"
-    tagged = df.withColumn(file_col, F.col("_metadata.file_path"))
+    details = [F.col("_metadata.file_modification_time").alias("_file_mtime"),
+               F.col("_metadata.file_size").alias("_file_size")] if file_details else []
+    tagged = df.select("*", F.col("_metadata.file_path").alias(file_col), *details)
     if files_to_include is not None:
         tagged = only_files(tagged, files_to_include, file_col)
     return tagged if source_file_column else tagged.drop(file_col)

@@ -162,6 +162,38 @@ def compact_log(spark: SparkSession, path: str, ddl: str) -> int:
     return len(live) if len(live) >= 2 else 0
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if it doesn't exist."""
+    fs, root = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(root)] if fs.exists(root) else []
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file or folder within its file system."""
+    fs, new = _fs(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(_fs(spark, source)[1], new):
+        raise StateError(f"Failed to move '{source}' to '{target}'")
+
+
+def write_small_text(spark: SparkSession, path: str, text: str) -> None:
+    """A marker file, written under a hidden name and renamed, so that it is whole."""
+    hidden = f"{path}.{uuid.uuid4().hex}"
+    out = _fs(spark, path)[0].create(_fs(spark, hidden)[1], False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    rename_path(spark, hidden, path)
+
+
+def read_small_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists on its file system (any Hadoop FS)."""
     jvm = spark.sparkContext._jvm

@@ -341,8 +341,8 @@ def test_stream_backlog_in_bounded_batches(spark, tmp_path):
 @pytest.mark.parametrize("files", [1, 10])
 def test_stream_rules_see_the_whole_run(spark, tmp_path, files):
     """A key repeated across files fails its rule however the stream is cut; the
-    staged rows are kept, checked again and committed once the rule allows them."""
-    from stratum.streaming.ingest import stream_ingest
+    staged rows are set aside, and committed on demand once the rule allows them."""
+    from stratum.streaming.ingest import quarantined_runs, readmit, stream_ingest
 
     landing = tmp_path / "landing" / "results"
     landing.mkdir(parents=True)
@@ -356,7 +356,10 @@ def test_stream_rules_see_the_whole_run(spark, tmp_path, files):
         stream_ingest(spark, lake, cfg, dq_rules=strict, max_files_per_trigger=files)
     assert bronze_current(spark, lake, cfg).count() == 0
     stream_ingest(spark, lake, cfg, dq_rules=soft, max_files_per_trigger=files)
-    assert bronze_current(spark, lake, cfg).count() == 6
+    assert bronze_current(spark, lake, cfg).count() == 0
+    (failed,) = quarantined_runs(spark, lake, "results")
+    assert readmit(spark, lake, cfg, failed, dq_rules=soft, reread=False) == 6
+    assert bronze_current(spark, lake, cfg).count() == 6 and quarantined_runs(spark, lake, "results") == []
     counts = [r.failed_records for r in lake.results(spark, "dq").orderBy("execution_time").collect()]
     assert counts == [6, 6]
     stream_ingest(spark, lake, cfg, dq_rules=soft, max_files_per_trigger=files)
