@@ -61,6 +61,7 @@ DEFAULT_SEVERITY = {
     "DATE_RANGE": "ERROR",
     "NULL_PERCENTAGE": "WARNING",
     "REFERENTIAL": "ERROR",
+    "DUPLICATE_KEY_RUNS": "WARNING",
 }
 
 # Result texts.  ``{c}`` is the column (or key list), ``{n}``
@@ -86,6 +87,7 @@ DETAILS = {
     "NOT_NULL": "{n} NULL values found in '{c}'.",
     "NON_NEGATIVE": "{n} record(s) have a negative value in '{c}'.",
     "DUPLICATE_KEY": "{n} record(s) belong to duplicate business keys in '{c}'.",
+    "DUPLICATE_KEY_RUNS": "{n} record(s) have business keys of earlier loads in '{c}'.",
     "DUPLICATE_ROW": "Found {n} duplicate row(s).",
     "ALLOWED_VALUES": "{n} record(s) contain invalid values for '{c}'.",
     "REGEX": "{n} record(s) failed regex validation.",

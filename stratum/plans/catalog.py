@@ -59,4 +59,7 @@ QUERIES = {
     "stream_ingest": q.stream_ingest_query,
     "stream_keys": q.stream_keys,
     "seeded_layers": q.seeded_layers,
+    "check_keys_across_runs": q.check_keys_across_runs,
+    "history_intervals": q.history_intervals,
+    "history_columns": q.history_columns,
 }

@@ -65,12 +65,12 @@ class Lakehouse:
 
     def read_log(self, spark: SparkSession, name: str, sub: str | None = None) -> DataFrame:
         """A log, or only its ``sub`` folder (e.g. one entity's state)."""
-        path = self.log_path(name) if sub is None else f"{self.log_path(name)}/{_safe(sub)}"
+        path = self.log_path(name) if sub is None else f"{self.log_path(name)}/{safe_name(sub)}"
         return read_log(spark, path, LOG_SCHEMAS[name])
 
     def compact(self, spark: SparkSession, name: str, sub: str | None = None) -> int:
         """Merge the small batches of one log (or of one sub folder)."""
-        path = self.log_path(name) if sub is None else f"{self.log_path(name)}/{_safe(sub)}"
+        path = self.log_path(name) if sub is None else f"{self.log_path(name)}/{safe_name(sub)}"
         return compact_log(spark, path, LOG_SCHEMAS[name])
 
     def results(self, spark: SparkSession, stage: str | None = None) -> DataFrame:
@@ -116,12 +116,12 @@ class Lakehouse:
         """Append a batch to a log; ``sub`` files it under a sub folder (the
         state log keeps one per entity, so a run reads only its entity's
         history, while readers of the whole log still see every batch)."""
-        path = self.log_path(name) if sub is None else f"{self.log_path(name)}/{_safe(sub)}"
+        path = self.log_path(name) if sub is None else f"{self.log_path(name)}/{safe_name(sub)}"
         append_log(df.select(*[f.name for f in spark_schema(df.sparkSession, name).fields]),
                    path, one_file=one_file)
 
 
-def _safe(name: str) -> str:
+def safe_name(name: str) -> str:
     """A folder name for an entity (no separators, no hidden prefix)."""
     import re
 

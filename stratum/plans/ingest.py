@@ -13,8 +13,9 @@ Steps (each a Spark job unless noted):
    inside one run replaces itself), partitioned as configured;
 5. validation **and** data-quality rules **and** the row count in one
    aggregate pass over the written, column-pruned parquet; results appended to
-   their log; a failing ERROR rule -> FAILED, the run folder is removed,
-   nothing is committed;
+   their log; keys are compared with those of earlier runs if a rule asks for it
+   (:mod:`stratum.plans.runkeys`); a failing ERROR rule -> FAILED, the run folder
+   is removed, nothing is committed;
 6. zero rows -> SKIPPED, the run folder is removed, state untouched;
 7. commit: state rows of the loaded files (written last; the batch appears by
    one rename, the single commit point), then the run event SUCCESS.  Audit rows and the high-water
@@ -48,6 +49,7 @@ from stratum.operators.lineage import add_year_partition, drop_lineage
 from stratum.operators.rules import RESULT_COLUMNS, load_rules, quality_report
 from stratum.plans.control import Lakehouse, config_for
 from stratum.plans.locks import entity_lock
+from stratum.plans.runkeys import check_across_runs, drop_run_filters
 from stratum.plans.runlog import new_run_id, run_event
 from stratum.sources.inventory import file_inventory
 from stratum.sources.readers import read_source
@@ -245,9 +247,18 @@ def _staged_steps(spark, lake, entity_name, config_df, validation_rules, dq_rule
     drules = [replace(r, label=f"D|{r.label or ''}") for r in
               (load_rules(dq_rules, entity_name, expected_columns=schema.fieldNames())
                if dq_rules is not None else [])]
+    across = [r for r in drules if r.kind == "DUPLICATE_KEY_RUNS"]
+    drules = [r for r in drules if r.kind != "DUPLICATE_KEY_RUNS"]
     report = quality_report(checked, vrules + drules, count_rows=True, with_label=True,
                             references=references).collect()
     records = next(r["failed_records"] for r in report if r["rule_type"] == "ROW_COUNT")
+    if across and records:
+        earlier = bronze_current(spark, lake, cfg)
+        if changed is not None:  # rows of files that this run replaces are none of the others'
+            earlier = earlier.join(changed.select(F.col("source_file").alias("_source_file")),
+                                   "_source_file", "left_anti")
+        report += check_across_runs(spark, lake, entity_name, across, run_id, checked, earlier, records,
+                                    lake.log_path(f"_staging/{run_id}"))
     v_rows = [r for r in report if (r["rule_label"] or "").startswith("V|")]
     d_rows = [r for r in report if (r["rule_label"] or "").startswith("D|")]
     persist_results(spark, lake, report, run_id, entity_name)
@@ -255,6 +266,7 @@ def _staged_steps(spark, lake, entity_name, config_df, validation_rules, dq_rule
         failed = _failed_errors(rows)
         if failed:
             remove_path(spark, run_dir)
+            drop_run_filters(spark, lake, entity_name, run_id)
             raise ValidationError(f"{what} failed for entity '{entity_name}': {'; '.join(failed)}")
     if records == 0:
         remove_path(spark, run_dir)

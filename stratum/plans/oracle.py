@@ -456,3 +456,39 @@ s AS (
 SELECT event_id, out AS verdict FROM j WHERE out IS NOT NULL
 UNION ALL SELECT event_id, CASE WHEN ms <= last + 6 * 3600000 THEN 'duplicate' ELSE 'ok' END FROM s
 """
+
+ORACLE["check_keys_across_runs"] = """
+WITH k AS (SELECT l_orderkey, 'year-' || year(l_shipdate) AS run, count(*) AS n FROM lineitem GROUP BY ALL),
+r AS (
+  SELECT run, n, min(run) OVER (PARTITION BY l_orderkey) AS first_run, sum(n) OVER (
+    PARTITION BY l_orderkey ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS earlier FROM k)
+SELECT run AS run_id, count(*) AS n_keys, CAST(sum(n) AS BIGINT) AS n_records, CAST(sum(earlier) AS BIGINT) AS n_earlier,
+  min(first_run) AS first_run FROM r WHERE earlier > 0 GROUP BY run
+"""
+
+_CHANGES = """
+WITH e AS (
+  SELECT o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS t, o_orderkey AS seq, o_orderstatus AS a, o_orderpriority AS b,
+    o_orderkey % 3 AS part, o_orderpriority = '5-LOW' AND o_orderkey % 4 = 0 AS gone FROM orders),
+l AS (
+  SELECT *, lead(t) OVER (PARTITION BY o_custkey ORDER BY t, seq) AS upto, coalesce(sum(CAST(gone AS INTEGER)) OVER (
+    PARTITION BY o_custkey ORDER BY t, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS life FROM e)
+"""
+
+ORACLE["history_intervals"] = _CHANGES + """,
+s AS (SELECT * FROM l WHERE NOT gone AND (upto IS NULL OR t < upto)),
+m AS (
+  SELECT *, CASE WHEN lag(upto) OVER w IS NOT DISTINCT FROM t AND lag(a) OVER w = a AND lag(b) OVER w = b THEN 0 ELSE 1 END AS fresh
+  FROM s WINDOW w AS (PARTITION BY o_custkey ORDER BY t)),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY o_custkey ORDER BY t ROWS UNBOUNDED PRECEDING) AS grp FROM m)
+SELECT o_custkey, min(a) AS o_orderstatus, min(b) AS o_orderpriority, min(t) AS valid_from, arg_max(ifnull(upto, ''), t) AS valid_to
+FROM g GROUP BY o_custkey, grp
+"""
+ORACLE["history_intervals"] = "SELECT * REPLACE (nullif(valid_to, '') AS valid_to) FROM (" + ORACLE["history_intervals"] + ") x"
+
+ORACLE["history_columns"] = _CHANGES + """
+SELECT o_custkey, CASE WHEN NOT gone THEN last_value(CASE WHEN NOT gone AND part IN (0, 2) THEN a END IGNORE NULLS) OVER w END AS o_orderstatus,
+  CASE WHEN NOT gone THEN last_value(CASE WHEN NOT gone AND part IN (1, 2) THEN b END IGNORE NULLS) OVER w END AS o_orderpriority,
+  t AS valid_from, seq, upto AS valid_to, gone AS deleted
+FROM l WINDOW w AS (PARTITION BY o_custkey, life ORDER BY t, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+"""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from stratum.functions import columns as fn
 from stratum.functions.columns import NULL_MARKER
 from stratum.operators import changes as chg
+from stratum.operators import history, keyfilter
 from stratum.operators import lineage as lin
 from stratum.operators.projection import Field, get_transform, register_transform
 from stratum.operators.ranking import rank_desc
@@ -29,7 +30,7 @@ from stratum.plans import runlog
 from stratum.plans.engine import Engine
 from stratum.plans.ingest import bronze_current, ingest, reset_state
 from stratum.plans.refine import refine, register_output_checks
-from stratum.session import scratch_path
+from stratum.session import scratch_path, scratch_table
 from stratum.sources import readers, sinks
 from stratum.sources.inventory import file_inventory
 from stratum.sources.schemas import register_schema
@@ -936,3 +937,61 @@ def gold_constructor_standings(spark, data_dir):
     refined = get_transform("transform_results")(
         raw.withColumn("points", F.col("laps").cast("double")))
     return constructor_standings(refined)
+
+
+# ------------------------------------------------------------ keys across runs, histories
+
+
+def check_keys_across_runs(spark, data_dir):
+    """Lineitems loaded year by year: per load, the order keys that earlier loads hold
+    already, found through the loads' key filters and looked up in these loads only."""
+    rows = table(spark, data_dir, "lineitem").select("l_orderkey", F.concat(F.lit("year-"), F.year("l_shipdate")).alias("_pipeline_run_id"))
+    keys = ["l_orderkey"]
+    sizes = {r[0]: keyfilter.filter_blocks(r[1]) for r in rows.groupBy("_pipeline_run_id").count().collect()}  # one a load
+    filters, found = None, None
+    for run in sorted(sizes):
+        load = rows.filter(F.col("_pipeline_run_id") == run)
+        if filters is not None:
+            earlier = rows.filter(F.col("_pipeline_run_id") < run)
+            candidates = keyfilter.possible_keys(load, keys, filters, [b for r, b in sizes.items() if r < run])
+            repeated = keyfilter.repeated_keys(candidates, earlier, keys)
+            mine = load.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            part = mine.join(repeated, keys).agg(
+                F.count(F.lit(1)).alias("n_keys"), F.sum("n").alias("n_records"), F.sum("n_earlier").alias("n_earlier"),
+                F.min("first_run").alias("first_run")).filter("n_keys > 0").withColumn("run_id", F.lit(run))
+            found = part if found is None else found.unionByName(part)
+        made = scratch_table(keyfilter.key_filter(load, keys, sizes[run]).withColumn("run_id", F.lit(run)))
+        filters = made if filters is None else filters.unionByName(made)
+    if found is None:
+        return spark.createDataFrame([], "run_id string, n_keys bigint, n_records bigint, n_earlier bigint, first_run string")
+    return found.select("run_id", "n_keys", "n_records", "n_earlier", "first_run")
+
+
+def _order_changes(spark, data_dir):
+    """Orders as changes of their customer: status and priority, some of them deletions."""
+    sets = {0: ["o_orderstatus"], 1: ["o_orderpriority"], 2: ["o_orderstatus", "o_orderpriority"]}
+    chosen = F.coalesce(*[F.when(F.col("o_orderkey") % 3 == k, F.array(*map(F.lit, v))) for k, v in sets.items()])
+    return table(spark, data_dir, "orders").select(
+        "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_orderkey", "o_orderstatus", "o_orderpriority",
+        chosen.alias("sets"), ((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderkey") % 4 == 0)).alias("gone"))
+
+
+def _order_history(spark, data_dir, set_column):
+    """Three batches that overlap in time and come out of order."""
+    changes, found = _order_changes(spark, data_dir), None
+    for batch in (2, 0, 1):
+        part = changes.filter(F.floor(F.col("o_orderkey") / 7) % 3 == batch)
+        found = scratch_table(history.apply_changes(
+            found, part, ["o_custkey"], ["o_orderstatus", "o_orderpriority"], "day", "o_orderkey", set_column, "gone"))
+    return found
+
+
+def history_intervals(spark, data_dir):
+    """What held of each customer, and when (whole-row changes)."""
+    return history.intervals(_order_history(spark, data_dir, None), ["o_custkey"], ["o_orderstatus", "o_orderpriority"])
+
+
+def history_columns(spark, data_dir):
+    """Each change of a customer with the values that hold after it (column-wise changes)."""
+    return _order_history(spark, data_dir, "sets").select(
+        "o_custkey", "o_orderstatus", "o_orderpriority", "valid_from", "seq", "valid_to", "deleted")
