@@ -266,6 +266,31 @@ def _lossless(c: Column, dtype) -> Column:
     return c.cast("string")
 
 
+def _float_in_map(dtype, inside: bool = False) -> bool:
+    kind = dtype.typeName()
+    if kind in ("double", "float"):
+        return inside
+    if kind == "array":
+        return _float_in_map(dtype.elementType, inside)
+    if kind == "map":
+        return _float_in_map(dtype.keyType, True) or _float_in_map(dtype.valueType, True)
+    return kind == "struct" and any(_float_in_map(f.dataType, inside) for f in dtype.fields)
+
+
+def _grouped(df: DataFrame, columns: Sequence[str], *aggregates: Column) -> DataFrame:
+    """``df`` grouped by columns, which keep their names and values.  Spark's grouping
+    takes a NULL float in a map for zero and rewrites the key so; columns with floats in
+    maps are therefore grouped by their lossless form."""
+    fields = {f.name: f.dataType for f in df.schema.fields}
+    lossless = {c: f"__g{i}" for i, c in enumerate(columns) if _float_in_map(fields[c])}
+    if not lossless:
+        return df.groupBy(*columns).agg(*aggregates)
+    df = df.withColumns({g: _lossless(F.col(f"`{c}`"), fields[c]) for c, g in lossless.items()})
+    originals = [F.any_value(F.col(f"`{c}`")).alias(c) for c in lossless]
+    grouped = df.groupBy(*[lossless.get(c, c) for c in columns]).agg(*originals, *aggregates)
+    return grouped.drop(*lossless.values())
+
+
 def row_fingerprint(df: DataFrame, columns: Sequence[str]) -> Column:
     """128-bit digest of a row (16-byte binary).  JSON keeps field names, so NULLs
     in different columns never look alike (plain column hashes skip NULLs)."""
@@ -451,7 +476,7 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
     if exact:
         # all columns are grouping keys: the row rules are evaluated once per
         # distinct row, after the grouping, and weighted by its count
-        rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+        rows = _grouped(df, columns, F.count(F.lit(1)).alias("__n"))
         final = rows.agg(*comp.per_group(), F.sum(F.col("__n") - 1).alias("__dup"))
         structs = [b(F.col) for b in comp.row_results] + [_dup_row_result(r, F.col("__dup")) for r in exact]
         branches.append(inlined(final, structs + comp.const_results))
@@ -470,7 +495,7 @@ def quality_report(df: DataFrame, rules: Sequence[Rule], count_rows: bool = Fals
     for same in by_keys.values():
         # the scan reads the key columns only; a hot key is one row per task
         keys = list(dict.fromkeys(same[0].key_columns))
-        groups = df.select(*keys).filter(_keys_not_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+        groups = _grouped(df.select(*keys).filter(_keys_not_null(keys)), keys, F.count(F.lit(1)).alias("__n"))
         final = groups.agg(F.sum(F.when(F.col("__n") > 1, F.col("__n"))).alias("__dup"))
         branches.append(inlined(final, [_dup_key_result(r, F.col("__dup")) for r in same]))
 

@@ -15,6 +15,7 @@ QUERIES = {
     "check_duplicate_key": q.check_duplicate_key,
     "check_duplicate_key_null": q.check_duplicate_key_null,
     "check_duplicate_row": q.check_duplicate_row,
+    "check_duplicate_nested": q.check_duplicate_nested,
     "check_duplicate_row_fingerprint": q.check_duplicate_row_fingerprint,
     "check_schema": q.check_schema,
     "check_required_columns": q.check_required_columns,

@@ -301,8 +301,6 @@ def vacuum_bronze(spark: SparkSession, lake: Lakehouse, cfg: dict,
     Referenced runs come from the current state (one row per file, a small
     distinct set); the folder listing is one metadata call.
     """
-    import time as _time
-
     target = lake.table_path(cfg["target_schema"], cfg["target_table"])
     if not path_exists(spark, target):
         return []
@@ -316,10 +314,20 @@ def vacuum_bronze(spark: SparkSession, lake: Lakehouse, cfg: dict,
     else:
         last = state.agg(F.max_by("run_id", F.struct("processed_at", "run_id"))).first()[0]
         keep = {last} if last else set()
+    return remove_old_runs(spark, target, keep, retain_hours)
+
+
+def remove_old_runs(spark: SparkSession, target: str, keep: set[str], retain_hours: float) -> list[str]:
+    """Delete the run folders under ``target`` that are not in ``keep`` and are older than
+    ``retain_hours`` (one listing)."""
+    import time as _time
+
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(target)
     fs = root.getFileSystem(conf)
+    if not fs.exists(root):
+        return []
     cutoff_ms = (_time.time() - retain_hours * 3600) * 1000
     removed = []
     for st in fs.listStatus(root):

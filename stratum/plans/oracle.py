@@ -492,3 +492,15 @@ SELECT o_custkey, CASE WHEN NOT gone THEN last_value(CASE WHEN NOT gone AND part
   t AS valid_from, seq, upto AS valid_to, gone AS deleted
 FROM l WINDOW w AS (PARTITION BY o_custkey, life ORDER BY t, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """
+
+_NESTED = "(SELECT l_returnflag, nullif(l_discount, 0) AS discount, l_tax AS tax FROM lineitem)"
+ORACLE["check_duplicate_nested"] = "\nUNION ALL\n".join([
+    dup_row_row(["l_returnflag", "discount", "tax"], f"{_NESTED} x"),
+    result_row("m.discount Not Null Validation", "NOT_NULL", "ERROR", "count(*) FILTER (WHERE discount IS NULL)",
+               " NULL values found in 'm.discount'.", f"{_NESTED} x"),
+    result_row("m.tax Numeric Range Validation", "NUMERIC_RANGE", "ERROR", "count(*) FILTER (WHERE tax < 0.01 OR tax > 1)",
+               " record(s) are outside [0.01, 1.0].", f"{_NESTED} x"),
+    result_row("l_returnflag, m Duplicate Key Validation", "DUPLICATE_KEY", "ERROR", "sum(c)",
+               " record(s) belong to duplicate business keys in 'l_returnflag, m'.",
+               f"(SELECT count(*) AS c FROM {_NESTED} x GROUP BY ALL HAVING count(*) > 1) d"),
+])

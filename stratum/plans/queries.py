@@ -107,6 +107,15 @@ def check_duplicate_row(spark, data_dir):
     return quality_report(docs, [Rule("DUPLICATE_ROW")])
 
 
+def check_duplicate_nested(spark, data_dir):
+    """Rows and keys with NULL and zero floats inside a map, beside row rules on it."""
+    rows = table(spark, data_dir, "lineitem").select(
+        "l_returnflag", F.create_map(F.lit("discount"), F.nullif("l_discount", F.lit(0.0)), F.lit("tax"), F.col("l_tax")).alias("m"))
+    return quality_report(rows, [
+        Rule("DUPLICATE_ROW"), Rule("NOT_NULL", "m.discount"), Rule("NUMERIC_RANGE", "m.tax", "0.01,1"),
+        Rule("DUPLICATE_KEY", "l_returnflag, m")])
+
+
 def check_schema(spark, data_dir):
     nation = table(spark, data_dir, "nation").withColumnRenamed("n_name", "name")
     expected = ("n_nationkey", "n_name", "n_regionkey")

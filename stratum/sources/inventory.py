@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stratum.errors import StateError
 
-#: At most so many paths become a predicate of a scan.
+#: At most so many paths become one predicate of a scan.
 LISTED_FILES = 4096
 
 INVENTORY_DDL = (
@@ -26,22 +26,21 @@ def only_files(df: DataFrame, files: DataFrame | Iterable[str], file_col: str) -
     """Rows of ``df``, a file scan whose ``file_col`` is ``_metadata.file_path``,
     that come from the given files.
 
-    ``files`` is a DataFrame with a ``source_file`` column, or an iterable.  A
-    list of at most ``LISTED_FILES`` becomes an ``IN`` predicate, which Spark
-    applies at listing, so that other files are never opened.  A longer one
-    stays distributed and is semi-joined: no more than that many paths reach the
-    driver or the plan, and the rows are the same either way.
+    ``files`` is a DataFrame with a ``source_file`` column, or an iterable.  Paths become
+    ``IN`` predicates, which Spark applies at listing, so that other files are never
+    opened: up to ``LISTED_FILES`` of them in one scan, more in a union of scans of as
+    many each.  The paths are held by the driver, as the listing they are taken from
+    is, in the scan of the same folder.
     """
-    if not isinstance(files, DataFrame):
-        files = list(dict.fromkeys(files))
-        if len(files) <= LISTED_FILES:
-            return df.filter(F.col(file_col).isin(files))
-        files = df.sparkSession.createDataFrame([(f,) for f in files], "source_file string")
-    wanted = files.select(F.col("source_file").alias(file_col)).distinct()
-    few = [r[0] for r in wanted.limit(LISTED_FILES + 1).collect()]
-    if len(few) <= LISTED_FILES:
-        return df.filter(F.col(file_col).isin(few))
-    return df.join(wanted, file_col, "left_semi").select(*df.columns)
+    if isinstance(files, DataFrame):
+        files = (r[0] for r in files.select("source_file").distinct().toLocalIterator())
+    wanted = sorted({f for f in files if f is not None})
+    scans = [df.filter(F.col(file_col).isin(wanted[at:at + LISTED_FILES]))
+             for at in range(0, max(1, len(wanted)), LISTED_FILES)]
+    found = scans[0]
+    for scan in scans[1:]:
+        found = found.unionAll(scan)
+    return found
 
 
 def file_inventory(spark: SparkSession, source_path: str, hash_content: bool = True,

@@ -57,13 +57,15 @@ def register_table(spark: SparkSession, name: str, path: str, fmt: str = "parque
     return name
 
 
-def write_managed(df: DataFrame, name: str, mode: str = "overwrite") -> str:
+def write_managed(df: DataFrame, name: str, mode: str = "overwrite",
+                  partition_by: str | None = None) -> str:
     """Managed catalog table with a metadata-chosen write mode."""
     if mode not in WRITE_MODES:
         raise ConfigurationError(f"Unsupported write mode: {mode}")
     if "." in name:
         df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-    df.write.mode(mode).saveAsTable(name)
+    w = df.write.mode(mode)
+    (w.partitionBy(partition_by) if partition_by else w).saveAsTable(name)
     return name
 
 

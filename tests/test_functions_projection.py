@@ -18,6 +18,7 @@ NAMES = {
     "unitPrice2Go": "unit_price2_go", "Lap Time-ms": "lap_time_ms", "ABCdef": "abcdef", "x": "x", "": "",
     "a  - b": "a_b", " lead": "_lead", "tail\u00a0": "tail_", "thin\u2009space": "thin_space", "naïveÉtat": "naïveétat",
     "kept_asIs": "kept_as_is", "tab\tNew\nline": "tab_new_line", "sep\x1funit": "sep_unit", "9Lives": "9_lives",
+    "ΑΣ": "ας", "ΟΔΟΣ Name": "οδος_name",
 }
 
 
@@ -101,10 +102,8 @@ def test_sql_functions_agree_with_column_functions(spark):
     from stratum.functions.sql import register_sql_functions
 
     register_sql_functions(spark)
-    nbsp = "\u00a0"
     marker = "\\N"  # the two characters backslash, N
-    texts = ["CircuitId", "driverId", "Race Name", "HTTPResponse", "  pad " + nbsp, "   ", None,
-             marker, "a" * 600, "1999-12-31", "bad-date"]
+    texts = [*NAMES, None, marker, " \u2009 ", "y" * 501, "2031-02-29", "1987-06-05"]
     df = spark.createDataFrame([(t, float(i) * 37.3) for i, t in enumerate(texts)], "x string, s double")
     df.createOrReplaceTempView("fn_input")
     got = spark.sql(
@@ -115,4 +114,6 @@ def test_sql_functions_agree_with_column_functions(spark):
                     fn.replace_null_marker("x").alias("c"), fn.truncate_text("x", 500).alias("d"),
                     fn.format_duration("s").alias("e"), fn.safe_year("x").alias("f")).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in exp]
-    assert exp[7]["c"] is None and exp[4]["b"] == "pad"
+    by_text = dict(zip(texts, exp))
+    assert by_text[marker]["c"] is None and by_text["tail\u00a0"]["b"] == "tail" and by_text[" \u2009 "]["b"] is None
+    assert by_text["1987-06-05"]["f"] == 1987 and by_text["2031-02-29"]["f"] is None

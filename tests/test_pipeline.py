@@ -411,8 +411,9 @@ def test_lock_is_renewed_and_kept_by_its_owner(spark, tmp_path):
     assert open(path).read() == "third"  # neither renewed nor removed
 
 
-def test_refine_resolves_its_source_and_publishes_atomically(spark, tmp_path):
+def test_refine_resolves_its_source_and_publishes_atomically(spark, tmp_path, monkeypatch):
     from stratum.operators.projection import register_transform
+    from stratum.plans import refine as refining
     from stratum.plans.refine import refined_current
 
     landing = tmp_path / "landing" / "races"
@@ -440,6 +441,20 @@ def test_refine_resolves_its_source_and_publishes_atomically(spark, tmp_path):
     appended = ctl.refine_config(spark, [(*rows[0][:6], "append", True)])
     assert refine(spark, lake, "races", appended, cfg, catalog=True).count() == 2
     assert spark.table(name).count() == 2
+    # a crash after the commit: the next run publishes both, publishing again nothing new
+    with monkeypatch.context() as m:
+        m.setattr(refining, "publish", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError, match="crash"):
+            refine(spark, lake, "races", appended, cfg, catalog=True)
+    assert spark.table(name).count() == 2
+    assert refine(spark, lake, "races", appended, cfg, catalog=True).count() == 4
+    assert spark.table(name).count() == 4 and refining.publish(spark, lake, ctl.config_for(appended, "races")) == name
+    assert spark.table(name).count() == 4 and spark.table(name).select("_pipeline_run_id").distinct().count() == 4
+    # the vacuum keeps what is current: all four runs of an appending entity, the last of an overwriting one
+    assert refining.vacuum_refined(spark, lake, ctl.config_for(appended, "races"), retain_hours=1.0) == []
+    assert refining.vacuum_refined(spark, lake, ctl.config_for(appended, "races"), retain_hours=0.0) == ["run-ghost"]
+    assert len(refining.vacuum_refined(spark, lake, one, retain_hours=0.0)) == 3
+    assert refined_current(spark, lake, one).count() == 1
     with pytest.raises(Exception, match="races_lost"):
         refine(spark, lake, "races", ctl.refine_config(spark, [("races", "bronze", "races_lost", *rows[0][3:])]), cfg)
 

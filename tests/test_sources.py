@@ -142,10 +142,20 @@ def test_long_file_lists_are_joined(spark, tmp_path, monkeypatch):
     for given in (some, [r[0] for r in some.collect()]):
         df = read_source(spark, path, "json", "id long", files_to_include=given)
         assert sorted(r.id for r in df.collect()) == short and df.columns == ["id"]
+        assert files_read(df) == 7  # the others are not opened
     hashed = inventory.file_inventory(spark, path, files=some)
     assert hashed.count() == 7 and hashed.where("content_hash is null").count() == 0
 
 
+def files_read(df):
+    """Files that the scans of an executed plan opened."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        plan = plan.finalPhysicalPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numFiles").value() for i in range(leaves.size()))
+
+
 def test_json_array_files(spark, tmp_path):
     import json
 
