@@ -18,9 +18,11 @@ with one hub of it, the member whose values are the most frequent, and with one
 other, chosen by hash; verified links are merged into components by distributed
 union-find.  Classes with the same most central hub are a family.  Families and
 lists whose members are all in one component are then done.  In an open family
-the members outside the largest component are compared with all others in blocks of
-bounded size, which return spanning links only; across families, pairs that share a list are
-compared as before.  So no link between components is lost.
+signatures alone, one byte a coordinate, are compared in blocks of rows: members that
+agree in ``matches`` coordinates with one of another component are joined into clusters,
+and only the texts of a cluster meet, in blocks of bounded size that return spanning links.
+Components are merged again, and pairs of classes of different families that share a list are
+compared last.  Sets of too different sizes are never compared.  So no link between components is lost.
 
 Defined results: null texts and texts without words have an empty set and are
 linked with nothing; a text with fewer words than a shingle is one shingle;
@@ -47,8 +49,11 @@ SEED = 20_011
 CHUNK = 4096
 #: Keys (two 64-bit numbers) are broadcast up to this count, about 10 MB; more are joined by a shuffle.
 KEYS_LIMIT = 200_000
-#: Shingles whose texts meet in one verification group, from each of two blocks.
+#: Shingles, and rows, whose texts meet in one verification group, from each of two blocks.
 BLOCK_SHINGLES = 200_000
+BLOCK_ROWS = 1_000
+#: Rows whose signatures meet in one group, from each of two blocks.
+SIGNATURE_ROWS = 4_096
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -125,6 +130,21 @@ def prefix_postings(classes: DataFrame, matches: int) -> DataFrame:
     return shared.where(F.size("keys") >= matches).select("id", prefix.alias("prefix"), weight.alias("weight"))
 
 
+def low_bytes(signature: str) -> F.Column:
+    """Seven bits of each coordinate: agreement in them is necessary, and cheap to move."""
+    return F.transform(signature, lambda x: x.bitwiseAND(127).cast("tinyint"))
+
+
+def comparable(n: str, m: str, percent: int) -> F.Column:
+    """Whether sets of these sizes can be similar enough (the length bound)."""
+    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+
+
+def block_count(n: str) -> F.Column:
+    """The number of verification blocks of a group with ``n`` shingles a row."""
+    return F.greatest(F.ceil(F.sum(n) / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS)).cast("int")
+
+
 def agreeing(a: str, b: str) -> F.Column:
     """Number of equal coordinates of two signatures."""
     return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
@@ -132,22 +152,23 @@ def agreeing(a: str, b: str) -> F.Column:
 
 def list_hubs(candidates: DataFrame) -> DataFrame:
     """(key, central, other) of the lists with several members: the member whose
-    values are the most frequent, and one chosen by hash."""
-    lists = candidates.select("id", "weight", F.explode("prefix").alias("key"))
+    values are the most frequent, and one chosen by hash, with their set sizes ``n``."""
+    lists = candidates.select("id", "weight", F.col("n_shingles").alias("n"), F.explode("prefix").alias("key"))
     hubs = lists.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"),
-        F.max(F.struct("weight", "id")).alias("central"),
-        F.max(F.struct(F.xxhash64("id", "key").alias("h"), "id")).alias("other"),
+        F.max(F.struct("weight", "id", "n")).alias("central"),
+        F.max(F.struct(F.xxhash64("id", "key").alias("h"), "id", "n")).alias("other"),
     )
-    return hubs.where("size > 1").select("key", "central", F.col("other.id").alias("other"))
+    return hubs.where("size > 1").select("key", "central", "other")
 
 
 def verify_blocks(candidates: DataFrame, hubs: DataFrame) -> DataFrame:
     """(id, n, family, blocks, block): classes with the same most central hub are a
-    family, and are verified together in blocks of about ``BLOCK_SHINGLES`` shingles."""
+    family, and are verified together in blocks of about ``BLOCK_SHINGLES`` shingles, or
+    ``BLOCK_ROWS`` rows."""
     posted = candidates.select("id", F.col("n_shingles").alias("n"), F.explode("prefix").alias("key")).join(hubs, "key")
     family = posted.groupBy("id", "n").agg(F.max("central")["id"].alias("family"))
-    sizes = family.groupBy("family").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    sizes = family.groupBy("family").agg(block_count("n").alias("blocks"))
     placed = family.join(sizes, "family")
     return placed.select("id", "n", "family", "blocks", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"))
 
@@ -159,7 +180,7 @@ def verify(pairs: DataFrame, blocks: DataFrame, texts: DataFrame, size: int, per
     placed = (
         pairs.join(blocks.select(F.col("id").alias("a"), F.col("n").alias("na"), where.alias("x")), "a")
         .join(blocks.select(F.col("id").alias("b"), F.col("n").alias("nb"), where.alias("y")), "b")
-        .where(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))  # length bound
+        .where(comparable("na", "nb", percent))
         .select("a", "b", F.least("x", "y").alias("g1"), F.greatest("x", "y").alias("g2"))
     )
     placed = spool(placed)
@@ -178,12 +199,14 @@ def verify(pairs: DataFrame, blocks: DataFrame, texts: DataFrame, size: int, per
     return placed.groupBy("g1", "g2").cogroup(sent.groupBy("h1", "h2")).applyInArrow(confirm, "a bigint, b bigint")
 
 
-def star_pairs(candidates: DataFrame, hubs: DataFrame, matches: int) -> DataFrame:
-    """Each class with the hubs of its lists, where their signatures agree."""
-    lists = candidates.select("id", F.explode("prefix").alias("key"))
-    hubs = hubs.select("key", F.explode(F.array_distinct(F.array("central.id", "other"))).alias("hub"))
-    pairs = lists.join(hubs, "key").where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-    signed = candidates.select("id", "signature")
+def star_pairs(candidates: DataFrame, hubs: DataFrame, matches: int, percent: int) -> DataFrame:
+    """Each class with the hubs of its lists, where sizes and signatures agree."""
+    lists = candidates.select("id", "n_shingles", F.explode("prefix").alias("key"))
+    each = F.array_distinct(F.array(*[F.struct(F.col(f"{c}.id").alias("id"), F.col(f"{c}.n").alias("n")) for c in ("central", "other")]))
+    hubs = hubs.select("key", F.explode(each).alias("hub"))
+    pairs = lists.join(hubs, "key").where((F.col("id") != F.col("hub.id")) & comparable("n_shingles", "hub.n", percent))
+    pairs = pairs.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
+    signed = candidates.select("id", low_bytes("signature").alias("signature"))
     return (
         pairs.distinct()
         .join(signed.withColumnsRenamed({"id": "a", "signature": "sa"}), "a")
@@ -192,20 +215,86 @@ def star_pairs(candidates: DataFrame, hubs: DataFrame, matches: int) -> DataFram
     )
 
 
-def family_links(member: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links between components of one family.  The members outside a family's
-    largest component are compared with all its members, block by block: each
-    group counts common shingles by an inverted index and returns no more links
-    than it takes to join what is linked."""
-    sizes = member.groupBy("family", "component").agg(F.count(F.lit(1)).alias("m"))
-    families = sizes.groupBy("family").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("m", "component")).alias("most"))
-    families = families.where("parts > 1").select("family", F.col("most.component").alias("largest"))
-    here = spool(member.join(families, "family").select("id", "family", "component", "block", "blocks", "largest"))
+def open_groups(member: DataFrame, group: str) -> DataFrame:
+    """(``group``, largest, m, n): the groups with several components, their largest
+    component, and their numbers of rows and shingles."""
+    sizes = member.groupBy(group, "component").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("n"))
+    groups = sizes.groupBy(group).agg(
+        F.count(F.lit(1)).alias("parts"), F.max(F.struct("m", "component")).alias("most"), F.sum("m").alias("m"), F.sum("n").alias("n"))
+    return groups.where("parts > 1").select(group, F.col("most.component").alias("largest"), "m", "n")
+
+
+def block_pairs(here: DataFrame, group: str, columns: list[str]) -> DataFrame:
+    """The members outside a group's largest component (``left``), and all its members,
+    for each pair (i, j) of blocks in which they meet."""
     each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    left = here.where("component <> largest").select("family", F.col("block").alias("i"), each.alias("j"), "id", "component", F.lit(True).alias("left"))
-    right = here.select("family", each.alias("i"), F.col("block").alias("j"), "id", "component", F.lit(False).alias("left"))
-    right = right.join(left.select("family", "i", "j").distinct(), ["family", "i", "j"], "left_semi")
-    sent = left.union(right.select(left.columns)).join(texts.select("id", "text"), "id")
+    left = here.where("component <> largest").select(group, F.col("block").alias("i"), each.alias("j"), F.lit(True).alias("left"), *columns)
+    right = here.select(group, each.alias("i"), F.col("block").alias("j"), F.lit(False).alias("left"), *columns)
+    right = right.join(left.select(group, "i", "j").distinct(), [group, "i", "j"], "left_semi")
+    return left.union(right.select(left.columns))
+
+
+def in_blocks(member: DataFrame, groups: DataFrame, group: str, blocks: F.Column) -> DataFrame:
+    here = member.join(groups.select(group, "largest", blocks.cast("int").alias("blocks")), group)
+    return here.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+
+
+class Forest:
+    """Union-find over any hashable nodes."""
+
+    def __init__(self):
+        self.head: dict = {}
+
+    def find(self, x):
+        while self.head.setdefault(x, x) != x:
+            self.head[x] = self.head[self.head[x]]
+            x = self.head[x]
+        return x
+
+    def join(self, x, y) -> bool:
+        """Whether they were apart."""
+        x, y = self.find(x), self.find(y)
+        self.head[max(x, y)] = min(x, y)
+        return x != y
+
+
+def cluster_edges(member: DataFrame, percent: int, matches: int) -> DataFrame:
+    """Edges (a, b) that join the members of a family which may be linked to one of another
+    component: set sizes are comparable and signatures agree.  Texts are not read, and a
+    group returns no more edges than it takes to join its members."""
+    groups = spool(open_groups(member, "family"))
+    here = in_blocks(member, groups, "family", F.ceil(F.col("m") / SIGNATURE_ROWS))
+    here = spool(here.select("family", "id", "component", "n", "largest", "blocks", "block", low_bytes("signature").alias("signature")))
+    sent = block_pairs(here, "family", ["id", "component", "n", "signature"])
+
+    def near(group: pa.Table) -> pa.Table:
+        ids, component, n = (group.column(c).to_numpy() for c in ("id", "component", "n"))
+        signature = group.column("signature").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        ours = group.column("left").to_numpy()
+        theirs = np.flatnonzero(~ours)
+        forest, edges = Forest(), []
+        for k in np.flatnonzero(ours):
+            some = theirs[(component[theirs] != component[k]) & (100 * np.minimum(n[theirs], n[k]) >= percent * np.maximum(n[theirs], n[k]))]
+            for j in some[(signature[some] == signature[k]).sum(1) >= matches].tolist():
+                if forest.join(int(ids[k]), int(ids[j])):
+                    edges.append((int(ids[k]), int(ids[j])))
+        return pa.table({"a": pa.array([x for x, _ in edges], pa.int64()), "b": pa.array([y for _, y in edges], pa.int64())})
+
+    return sent.groupBy("family", "i", "j").applyInArrow(near, "a bigint, b bigint")
+
+
+def family_links(member: DataFrame, texts: DataFrame, size: int, percent: int, matches: int) -> DataFrame:
+    """Links between components of one family.  Within the clusters of ``cluster_edges``,
+    the members outside the largest component are compared with all others, block by
+    block: each group counts common shingles by an inverted index and returns no more
+    links than it takes to join what is linked."""
+    clusters = connected_components(spool(cluster_edges(member, percent, matches)))
+    clustered = spool(member.join(clusters.select(F.col("node").alias("id"), F.col("component").alias("cluster")), "id")
+                      .select("id", "component", "n", "cluster"))
+    groups = spool(open_groups(clustered, "cluster"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_SHINGLES), F.ceil(F.col("m") / BLOCK_ROWS))
+    here = spool(in_blocks(clustered, groups, "cluster", blocks))
+    sent = block_pairs(here, "cluster", ["id", "component"]).join(texts.select("id", "text"), "id")
 
     def link(group: pa.Table) -> pa.Table:
         rows = list(zip(*(group.column(c).to_pylist() for c in ("id", "component", "left", "text"))))
@@ -218,14 +307,7 @@ def family_links(member: DataFrame, texts: DataFrame, size: int, percent: int) -
             for x in shingles:
                 postings.setdefault(x, []).append(k)
         postings = {x: np.array(v) for x, v in postings.items()}
-        head: dict[int, int] = {}
-
-        def find(x: int) -> int:
-            while head.setdefault(x, x) != x:
-                x = head[x]
-            return x
-
-        n_ours_, links = np.array(n_ours, np.int64), []
+        forest, n_ours_, links = Forest(), np.array(n_ours, np.int64), []
         for r in theirs:
             shingles = shingle_set(r[3], size)
             lists = [postings[x] for x in shingles if x in postings]
@@ -233,28 +315,27 @@ def family_links(member: DataFrame, texts: DataFrame, size: int, percent: int) -
                 continue
             both = np.bincount(np.concatenate(lists), minlength=len(ours))
             for k in np.flatnonzero(100 * both >= percent * (n_ours_ + len(shingles) - both)).tolist():
-                x, y = find(ours[k][1]), find(r[1])
-                if x != y:
-                    head[max(x, y)] = min(x, y)
+                if forest.join(ours[k][1], r[1]):
                     links.append((ours[k][0], r[0]))
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
-    return sent.select("family", "i", "j", "id", "component", "left", "text").groupBy("family", "i", "j").applyInArrow(link, "a bigint, b bigint")
+    return sent.select("cluster", "i", "j", "id", "component", "left", "text").groupBy("cluster", "i", "j").applyInArrow(link, "a bigint, b bigint")
 
 
-def crossing_pairs(member: DataFrame, matches: int) -> DataFrame:
+def crossing_pairs(member: DataFrame, matches: int, percent: int) -> DataFrame:
     """The pairs of classes of different families and components that have a posting
-    in common and whose signatures agree, each from its first common list only."""
+    in common and whose sizes and signatures agree, each from its first common list only."""
     posted = member.select("id", "component", "family", F.explode("prefix").alias("key"))
     lists = posted.groupBy("key").agg(
         F.min("family").alias("f1"), F.max("family").alias("f2"), F.min("component").alias("c1"), F.max("component").alias("c2"),
     ).where("f1 <> f2 and c1 <> c2").select("key")
-    b = spool(member.select("id", "component", "family", "signature", "prefix", F.explode("prefix").alias("key")).join(lists, "key"))
-    a = b.select(*[F.col(c).alias(f"a_{c}") for c in ("key", "id", "signature", "prefix", "component", "family")])
+    b = member.select("id", "component", "family", "n", low_bytes("signature").alias("signature"), "prefix", F.explode("prefix").alias("key"))
+    b = spool(b.join(lists, "key"))
+    a = b.select(*[F.col(c).alias(f"a_{c}") for c in ("key", "id", "signature", "prefix", "component", "family", "n")])
     first = F.array_min(F.array_intersect("a_prefix", "prefix")) == F.col("a_key")
     found = a.join(
         b, (F.col("a_key") == F.col("key")) & (F.col("a_id") < F.col("id")) & (F.col("a_family") != F.col("family"))
-        & (F.col("a_component") != F.col("component")) & first & (agreeing("a_signature", "signature") >= matches),
+        & (F.col("a_component") != F.col("component")) & comparable("a_n", "n", percent) & first & (agreeing("a_signature", "signature") >= matches),
     )
     return found.select(F.col("a_id").alias("a"), F.col("id").alias("b"))
 
@@ -274,17 +355,21 @@ def similar_classes(classes: DataFrame, texts: DataFrame, size: int, percent: in
     texts = spool(texts.dropDuplicates(["id"]) if repeated else texts)
     hubs = spool(list_hubs(candidates))
     blocks = spool(verify_blocks(candidates, hubs))
-    links = spool(verify(star_pairs(candidates, hubs, matches), blocks, texts, size, percent))
+    links = spool(verify(star_pairs(candidates, hubs, matches, percent), blocks, texts, size, percent))
+    placed = spool(candidates.select("id", "signature", "prefix").join(blocks.select("id", "n", "family"), "id"))
+
+    def members(parts: DataFrame) -> DataFrame:
+        return spool(placed.join(parts, F.col("id") == F.col("node"), "left").select(*placed.columns, F.coalesce("component", "id").alias("component")))
+
+    def merged(parts: DataFrame, more: DataFrame) -> DataFrame:
+        if more.isEmpty():
+            return parts
+        return spool(connected_components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)))
+
     parts = spool(connected_components(links))
-    component = F.coalesce("component", "id").alias("component")
-    member = candidates.join(blocks.drop("n"), "id").join(parts, F.col("id") == F.col("node"), "left")
-    member = spool(member.select("id", "signature", "prefix", "family", "block", "blocks", component))
-    inside = family_links(member, texts, size, percent)
-    across = verify(crossing_pairs(member, matches), blocks, texts, size, percent)
-    more = spool(inside.union(across))
-    if more.isEmpty():
-        return parts
-    return spool(connected_components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)))
+    parts = merged(parts, spool(family_links(members(parts), texts, size, percent, matches)))
+    across = verify(crossing_pairs(members(parts), matches, percent), blocks, texts, size, percent)
+    return merged(parts, spool(across))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, coordinates: int = 64, matches: int = 34) -> DataFrame:
