@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 
-from stratum.llm.quality import QualityParams
+from stratum.llm.quality import RUNGS, QualityParams, sketched_names
 
 _SPACES = r"[\x20\x09-\x0D]"
 _NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -51,23 +51,51 @@ def quality_sql(params: QualityParams = QualityParams()) -> str:
     ratios = {
         "symbol_ratio": ("n_symbols", "n_words"), "dup_line_ratio": ("n_dup_lines", "n_lines"),
         "repeat_ratio": ("n_repeat_words", "n_words"), "mean_word_len": ("word_chars", "n_words"),
+        "n_words": ("n_words", "1"), "n_lines": ("n_lines", "1"),
     }
-    names = ", ".join(f"'{m.name}'" for m in params.metrics)
-    values = ", ".join(
-        "CASE WHEN {1} > 0 THEN CAST({0} AS DOUBLE) / CAST({1} AS DOUBLE) ELSE 0.0 END".format(*ratios[m.name]) for m in params.metrics
-    )
+    sketched = sketched_names(params)
+    names = ", ".join(f"'{x}'" for x in sketched)
+    values = ", ".join("CASE WHEN {1} > 0 THEN CAST({0} AS DOUBLE) / CAST({1} AS DOUBLE) ELSE 0.0 END".format(*ratios[x]) for x in sketched)
     value = f"CASE WHEN {{0}} = -1073741824 THEN 0.0 ELSE 2 * pow({params.gamma!r}, {{0}}) / ({params.gamma!r} + 1) END"
+    ladders = {"up": RUNGS, "down": [round(1 - p, 6) for p in RUNGS]}
+    columns = [(f"{way}{k}", p) for way, ps in ladders.items() for k, p in enumerate(ps)]
 
     def level(name: str, keys: str) -> str:
         by = f"{keys}, metric" if keys else "metric"
+        quantiles = ", ".join(f"{value.format(f'min(b) FILTER (upto >= ceil(total * {p!r}))')} AS {c}" for c, p in columns)
         return (
-            f"{name} AS (SELECT {by}, max(total) AS total, {value.format('min(b) FILTER (upto >= ceil(total * 0.25))')} AS q1, "
-            f"{value.format('min(b) FILTER (upto >= ceil(total * 0.75))')} AS q3 FROM ("
+            f"{name} AS (SELECT {by}, max(total) AS total, {quantiles} FROM ("
             f"SELECT {by}, b, sum(n) OVER (PARTITION BY {by} ORDER BY b) AS upto, sum(n) OVER (PARTITION BY {by}) AS total "
             f"FROM (SELECT {by}, b, sum(n) AS n FROM sketch GROUP BY ALL) x) y GROUP BY {by})"
         )
 
-    floors = ", ".join(f"('{m.name}', {m.floor!r}, {str(m.two_sided).lower()})" for m in params.metrics)
+    def pick(c: str) -> str:
+        return f"CASE WHEN s.total >= {params.min_group} THEN s.{c} WHEN g.total >= {params.min_group} THEN g.{c} ELSE o.{c} END AS {c}"
+
+    def climbed(source: str, way: str, sign: str) -> str:
+        """Columns fence_<way> and open_<way>, a nested query a rung."""
+
+        def step(k: int) -> str:
+            here, before = f"{way}{k}", f"{way}{k - 1}"
+            noise = (
+                f"CASE WHEN unit IS NULL THEN {here} * ({params.gamma!r} - 1) ELSE {params.reach!r} * unit "
+                f"* sqrt(greatest({here} * size / unit, 1.0)) / greatest(size, 1.0) END"
+            )
+            return f"{here} {sign} greatest({params.reach!r} * abs({here} - {before}), {noise})"
+
+        source = f"(SELECT *, {step(1)} AS fence_{way}, true AS open_{way} FROM {source} l1{way})"
+        for k in range(2, len(RUNGS)):
+            reached = f"open_{way} AND {way}{k} {'<=' if sign == '+' else '>='} fence_{way}"
+            source = (
+                f"(SELECT * REPLACE (CASE WHEN {reached} THEN {step(k)} ELSE fence_{way} END AS fence_{way}, "
+                f"{reached} AS open_{way}) FROM {source} l{k}{way})"
+            )
+        return source
+
+    metrics = ", ".join(
+        f"('{m.name}', '{m.of}', {'CAST(NULL AS DOUBLE)' if m.unit is None else float(m.unit)!r}, {str(m.two_sided).lower()})" for m in params.metrics
+    )
+    fences = climbed(climbed("chosen", "up", "+"), "down", "-")
     return f"""
 WITH base AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_NOT_SPACE}+') AS w,
@@ -82,28 +110,29 @@ m AS (
   SELECT b.doc_id, lang, source, len(w) AS n_words, length(regexp_replace(text, '{_SPACES}', '', 'g')) AS word_chars,
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
     coalesce(r.n, 0) AS n_repeat_words FROM base b LEFT JOIN repeated r ON b.doc_id = r.doc_id),
-long AS (SELECT doc_id, lang, source, unnest([{names}]) AS metric, unnest([{values}]) AS v FROM m),
+judged AS (
+  SELECT *, n_words < {params.min_words} OR 100 * n_repeat_words > {params.max_repeat_percent} * n_words AS base_failed FROM m),
+long AS (SELECT doc_id, lang, source, base_failed, unnest([{names}]) AS metric, unnest([{values}]) AS v FROM judged),
 sketch AS (
   SELECT lang, source, metric, CASE WHEN v = 0 THEN -1073741824 ELSE CAST(ceil(ln(v) / {math.log(params.gamma)!r}) AS INTEGER) END AS b,
-    count(*) AS n FROM long GROUP BY ALL),
+    count(*) AS n FROM long WHERE NOT base_failed GROUP BY ALL),
 {level('by_source', 'lang, source')}, {level('by_lang', 'lang')}, {level('overall', '')},
-floors AS (SELECT * FROM (VALUES {floors}) f(metric, floor, two_sided)),
-quartiles AS (
-  SELECT s.lang, s.source, s.metric, floor, two_sided,
-    CASE WHEN s.total >= {params.min_group} THEN s.q1 WHEN g.total >= {params.min_group} THEN g.q1 ELSE o.q1 END AS q1,
-    CASE WHEN s.total >= {params.min_group} THEN s.q3 WHEN g.total >= {params.min_group} THEN g.q3 ELSE o.q3 END AS q3
-  FROM by_source s JOIN by_lang g ON s.metric = g.metric AND s.lang IS NOT DISTINCT FROM g.lang
-  JOIN overall o ON s.metric = o.metric JOIN floors f ON s.metric = f.metric),
+quantiles AS (
+  SELECT s.lang, s.source, s.metric, {', '.join(pick(c) for c, _ in columns)}
+  FROM by_source s JOIN by_lang g ON s.metric = g.metric AND s.lang IS NOT DISTINCT FROM g.lang JOIN overall o ON s.metric = o.metric),
+metrics AS (SELECT * FROM (VALUES {metrics}) f(metric, size_of, unit, two_sided)),
+chosen AS (
+  SELECT q.*, unit, two_sided, z.up0 AS size FROM quantiles q JOIN metrics f ON q.metric = f.metric
+  JOIN quantiles z ON z.metric = f.size_of AND z.lang IS NOT DISTINCT FROM q.lang AND z.source IS NOT DISTINCT FROM q.source),
+fences AS (SELECT * FROM {fences} x),
 odd AS (
-  SELECT x.doc_id, bool_or(v > q3 + greatest({params.reach!r} * (q3 - q1), floor)
-    OR (two_sided AND v < q1 - greatest({params.reach!r} * (q3 - q1), floor))) AS odd
-  FROM long x JOIN quartiles q ON x.metric = q.metric AND x.lang IS NOT DISTINCT FROM q.lang AND x.source IS NOT DISTINCT FROM q.source
+  SELECT x.doc_id, bool_or(v > fence_up OR (two_sided AND v < fence_down)) AS odd
+  FROM long x JOIN fences q ON x.metric = q.metric AND x.lang IS NOT DISTINCT FROM q.lang AND x.source IS NOT DISTINCT FROM q.source
   GROUP BY x.doc_id)
 SELECT m.doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
   CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
-  n_words < {params.min_words} OR 100 * n_repeat_words > {params.max_repeat_percent} * n_words AS base_failed,
-  NOT (n_words < {params.min_words} OR 100 * n_repeat_words > {params.max_repeat_percent} * n_words) AND NOT odd AS kept
-FROM m JOIN odd o ON m.doc_id = o.doc_id
+  base_failed, NOT base_failed AND NOT coalesce(odd, false) AS kept
+FROM judged m LEFT JOIN odd o ON m.doc_id = o.doc_id
 """
 
 

@@ -4,13 +4,19 @@ Each document gets counts (words, symbols, repeated lines and phrases).  Ratios
 of these counts are gathered, per language and source, into log-bucketed
 quantile sketches (DDSketch: a table of bucket counts, so sketches of partitions,
 of sources or of days merge by adding counts, in any order and with the same
-result).  The quartiles of the sketch give each group its own outer fences,
-``q75 + max(reach * (q75 - q25), floor)`` above and, for the mean word length,
-the same below; a document outside a fence is rejected.  Groups with fewer than
-``min_group`` documents use the merged sketch of their language, then of all
-documents.  The ``floor`` keeps a group in which nearly all documents agree from
-rejecting ordinary variation; it decides where three quarters of a group have the
-same ratio (0 symbols, say), and the spread of the quartiles elsewhere.
+result).  Documents that fail the base rule are left out of them.
+
+A fence is found by climbing the sketch's quantiles, from the median outwards (``RUNGS``).
+The bulk of a group reaches as far as each quantile lies within ``reach`` times the
+distance of the two before it; the fence is where the next one would have to lie.  Where
+a few documents in a hundred are of another kind, there is a step in the quantiles, the
+climb ends below it and the fence falls into the gap; where the tail is long but
+steady, as of repeated phrases, the fence follows it.  No distance is taken for
+smaller than the noise of a count: ``reach`` standard deviations of a Poisson count, in
+units of the least change a count can make, at the group's median document size; or
+the sketch's own accuracy.  There are no fixed cutoffs, and fences follow the data
+without a change of parameters.  Groups with fewer than ``min_group`` documents use the
+merged sketch of their language, then of all documents.
 
 Defined results: a null text has no words; a document without words has ratio 0
 everywhere; null languages or sources are groups of their own; repeated rows are
@@ -37,23 +43,28 @@ ASCII_SPACE = "\t\n\x0b\x0c\r "
 
 @dataclass(frozen=True)
 class Metric:
-    """A ratio, the least distance of a fence from its quartile, and whether
-    small values are odd too."""
+    """A ratio, the column whose size it is a share of, the least change of the count
+    above it (None: not a count), and whether small values are odd too."""
 
     name: str
-    floor: float
+    of: str = "n_words"
+    unit: float | None = None
     two_sided: bool = False
 
 
+#: Quantiles climbed from the median; their complements on the way down.
+RUNGS = (0.5, 0.75, 0.9, 0.95, 0.98, 0.99, 0.995)
+
+
 @dataclass(frozen=True)
 class QualityParams:
     metrics: tuple[Metric, ...] = (
-        Metric("symbol_ratio", 0.05),
-        Metric("dup_line_ratio", 0.35),
-        Metric("repeat_ratio", 0.45),
-        Metric("mean_word_len", 1.0, two_sided=True),
+        Metric("symbol_ratio", unit=1),
+        Metric("dup_line_ratio", "n_lines", unit=1),
+        Metric("repeat_ratio", unit=6),  # two windows of three words
+        Metric("mean_word_len", unit=1, two_sided=True),  # characters, counted
     )
-    reach: float = 3.0
+    reach: float = 4.0
     gamma: float = 1.02
     min_group: int = 50
     min_words: int = 50
@@ -96,28 +107,65 @@ def ratios(prefix: str = "") -> dict[str, F.Column]:
         "dup_line_ratio": part("n_dup_lines", "n_lines"),
         "repeat_ratio": part("n_repeat_words", "n_words"),
         "mean_word_len": part("word_chars", "n_words"),
+        "n_words": n("n_words"),
+        "n_lines": n("n_lines"),
     }
 
 
+def base_failed(params: QualityParams, prefix: str = "") -> F.Column:
+    n, repeat = F.col(f"{prefix}n_words"), F.col(f"{prefix}n_repeat_words")
+    return (n < params.min_words) | (100 * repeat > params.max_repeat_percent * n)
+
+
+def sketched_names(params: QualityParams) -> list[str]:
+    """The metrics, and the sizes that their counts are shares of."""
+    return list(dict.fromkeys([m.name for m in params.metrics] + [m.of for m in params.metrics]))
+
+
 def sketch(measured: DataFrame, params: QualityParams, prefix: str = "", lang: str = "lang", source: str = "source") -> DataFrame:
-    """(lang, source, metric, bucket, n): the sketch of every group.  Bucket b
-    holds ratios in (gamma^(b-1), gamma^b], the null bucket holds zero."""
+    """(lang, source, metric, bucket, n): the sketch of every group, over the documents that
+    pass the base rule.  Bucket b holds ratios in (gamma^(b-1), gamma^b], the null bucket
+    holds zero."""
     value = ratios(prefix)
     pairs = F.array(*[
-        F.struct(F.lit(m.name).alias("metric"), F.ceil(F.log(F.nullif(value[m.name], F.lit(0.0))) / math.log(params.gamma)).cast("int").alias("bucket"))
-        for m in params.metrics
+        F.struct(F.lit(name).alias("metric"), F.ceil(F.log(F.nullif(value[name], F.lit(0.0))) / math.log(params.gamma)).cast("int").alias("bucket"))
+        for name in sketched_names(params)
     ])
     return (
-        measured.select(F.col(lang).alias("lang"), F.col(source).alias("source"), F.explode(pairs).alias("p"))
+        measured.where(~base_failed(params, prefix))
+        .select(F.col(lang).alias("lang"), F.col(source).alias("source"), F.explode(pairs).alias("p"))
         .groupBy("lang", "source", "p.metric", "p.bucket").agg(F.count(F.lit(1)).alias("n"))
     )
 
 
+def climb(q: list[F.Column], size: F.Column, metric: Metric, params: QualityParams, sign: int) -> F.Column:
+    """The fence above (``sign`` 1) or below (-1) quantiles that run outwards from the median."""
+
+    def step(here: F.Column, before: F.Column) -> F.Column:
+        if metric.unit is None:
+            noise = here * (params.gamma - 1)
+        else:
+            counted = F.greatest(here * size / metric.unit, F.lit(1.0))
+            noise = F.lit(params.reach * metric.unit) * F.sqrt(counted) / F.greatest(size, F.lit(1.0))
+        return here + sign * F.greatest(params.reach * F.abs(here - before), noise)
+
+    pairs = F.array(*[F.struct(a.alias("here"), b.alias("before")) for a, b in zip(q[2:], q[1:])])
+    start = F.struct(step(q[1], q[0]).alias("fence"), F.lit(True).alias("open"))
+
+    def further(so_far: F.Column, pair: F.Column) -> F.Column:
+        within = so_far["open"] & (sign * (so_far["fence"] - pair["here"]) >= 0)
+        return F.struct(
+            F.when(within, step(pair["here"], pair["before"])).otherwise(so_far["fence"]).alias("fence"), within.alias("open"))
+
+    return F.aggregate(pairs, start, further, lambda x: x["fence"])
+
+
 def thresholds(sketched: DataFrame, params: QualityParams) -> DataFrame:
     """(lang, source, fences): lower and upper fence by metric for each group in
     the sketch; the sketches of languages and of everything are merged from it."""
     from pyspark.sql import Window
 
+    probabilities = sorted({*RUNGS, *(round(1 - p, 6) for p in RUNGS)})
     levels = [["lang", "source"], ["lang"], []]
     found = []
     for k, keys in enumerate(levels):
@@ -130,49 +178,45 @@ def thresholds(sketched: DataFrame, params: QualityParams) -> DataFrame:
             F.sum("n").over(Window.partitionBy(*by)).alias("total"),
         )
         at = lambda q: F.min(F.when(F.col("upto") >= F.ceil(F.col("total") * q), F.coalesce(F.col("bucket"), F.lit(-(1 << 30)))))
-        value = lambda c: F.when(c == -(1 << 30), 0.0).otherwise(2 * F.pow(F.lit(params.gamma), c) / (params.gamma + 1))
-        quartiles = ranked.groupBy(*by).agg(F.max("total").alias("total"), at(0.25).alias("b1"), at(0.75).alias("b3"))
-        quartiles = quartiles.select(*by, "total", value(F.col("b1")).alias("q1"), value(F.col("b3")).alias("q3"))
-        found.append(quartiles.groupBy(*keys).agg(
-            F.max("total").alias(f"total{k}"),
-            F.map_from_entries(F.collect_list(F.struct("metric", F.struct("q1", "q3")))).alias(f"quartiles{k}"),
+        quantiles = ranked.groupBy(*by).agg(F.max("total").alias("total"), F.array(*[at(p) for p in probabilities]).alias("b"))
+        value = F.transform("b", lambda c: F.when(c == -(1 << 30), 0.0).otherwise(2 * F.pow(F.lit(params.gamma), c) / (params.gamma + 1)))
+        quantiles = quantiles.select(*by, "total", value.alias("q"))
+        found.append(quantiles.groupBy(*keys).agg(
+            F.max("total").alias(f"total{k}"), F.map_from_entries(F.collect_list(F.struct("metric", "q"))).alias(f"quantiles{k}"),
         ))
     group, lang, every = found
-    total = every.first()  # one row
-    rest = F.create_map(*[
-        x for name, q in sorted((total["quartiles2"] if total else {}).items())
-        for x in (F.lit(name), F.struct(F.lit(q["q1"]).alias("q1"), F.lit(q["q3"]).alias("q3")))
-    ])
     joined = group.join(lang.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l")))
+    total = every.first()["quantiles2"] or {}  # one row
+    rest = F.create_map(*[x for name, q in sorted(total.items()) for x in (F.lit(name), F.array(*map(F.lit, q)))])
     chosen = (
-        F.when(F.col("total0") >= params.min_group, F.col("quartiles0"))
-        .when(F.col("total1") >= params.min_group, F.col("quartiles1")).otherwise(rest if total else F.col("quartiles1"))
+        F.when(F.col("total0") >= params.min_group, F.col("quantiles0"))
+        .when(F.col("total1") >= params.min_group, F.col("quantiles1")).otherwise(rest if total else F.col("quantiles1"))
     )
     fences = []
     for m in params.metrics:
-        q = F.col("chosen")[m.name]
-        spread = F.greatest(params.reach * (q["q3"] - q["q1"]), F.lit(m.floor))
-        low = q["q1"] - spread if m.two_sided else F.lit(float("-inf"))
-        fences += [low.alias(f"{m.name}_low"), (q["q3"] + spread).alias(f"{m.name}_high")]
+        q = {p: F.col("chosen")[m.name][k] for k, p in enumerate(probabilities)}
+        size = F.col("chosen")[m.of][probabilities.index(0.5)]
+        low = climb([q[round(1 - p, 6)] for p in RUNGS], size, m, params, -1) if m.two_sided else F.lit(float("-inf"))
+        fences += [low.alias(f"{m.name}_low"), climb([q[p] for p in RUNGS], size, m, params, 1).alias(f"{m.name}_high")]
     return joined.withColumn("chosen", chosen).select("lang", "source", F.struct(*fences).alias("fences"))
 
 
 def verdict(measured: DataFrame, fences: DataFrame, params: QualityParams, prefix: str = "", lang: str = "lang", source: str = "source") -> DataFrame:
     """``measured`` with ``<prefix>base_failed`` and ``<prefix>kept``.  The fences
     are one row a group: broadcast if their count is small, else a join that AQE
-    splits where one group holds most rows."""
+    splits where one group holds most rows.  A group without a fence has no document
+    that passes the base rule."""
     limits = small_side(fences.select(F.col("lang").alias(f"{prefix}g1"), F.col("source").alias(f"{prefix}g2"), F.col("fences").alias(f"{prefix}fences")))
     joined = measured.join(
         limits, F.col(f"`{lang}`").eqNullSafe(F.col(f"{prefix}g1")) & F.col(f"`{source}`").eqNullSafe(F.col(f"{prefix}g2")), "left",
     )
-    n, repeat = F.col(f"{prefix}n_words"), F.col(f"{prefix}n_repeat_words")
-    failed = (n < params.min_words) | (100 * repeat > params.max_repeat_percent * n)
+    failed = base_failed(params, prefix)
     inside = F.lit(True)
     value = ratios(prefix)
     for m in params.metrics:
         f = F.col(f"{prefix}fences")
         inside = inside & (value[m.name] <= f[f"{m.name}_high"]) & (value[m.name] >= f[f"{m.name}_low"])
-    return joined.withColumns({f"{prefix}base_failed": failed, f"{prefix}kept": ~failed & inside})
+    return joined.withColumns({f"{prefix}base_failed": failed, f"{prefix}kept": ~failed & F.coalesce(inside, F.lit(True))})
 
 
 def quality_report(docs: DataFrame, params: QualityParams = QualityParams()) -> DataFrame:

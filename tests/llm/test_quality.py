@@ -43,10 +43,36 @@ def test_thresholds_adapt_and_merge(spark):
 def test_quartiles_are_close_to_exact(spark):
     values = [(7 * k % 101 + 1) * 3 for k in range(1010)]
     m = spark.createDataFrame([("x", "y", 100, v * 100, 0, 1, 0, 0) for v in values], "lang string, source string, " + quality.COUNTS)
-    params = quality.QualityParams(metrics=(quality.Metric("mean_word_len", 0.0, True),), reach=0.0)
+    params = quality.QualityParams(metrics=(quality.Metric("mean_word_len", two_sided=True),), reach=0.0)
     f = quality.thresholds(quality.sketch(m, params), params).first().fences
-    exact = sorted(values)
-    assert abs(f.mean_word_len_low / exact[252] - 1) < 0.02 and abs(f.mean_word_len_high / exact[757] - 1) < 0.02
+    exact = sorted(values)  # without reach the fences are the quartiles, less and more the sketch's accuracy
+    assert abs(f.mean_word_len_low / (exact[252] * 0.98) - 1) < 0.02 and abs(f.mean_word_len_high / (exact[757] * 1.02) - 1) < 0.02
+
+
+def test_fences_follow_the_data(spark):
+    """Another level of symbols, or another spread, moves the fences of its group alone."""
+    def fences(level, spread):
+        rows = [("en", "a", 200, 1000, level + (k * k) % spread, 10, 0, 0) for k in range(200)]
+        rows += [("en", "b", 200, 1000, (k * k) % 7, 10, 0, 0) for k in range(200)]
+        m = spark.createDataFrame(rows, "lang string, source string, " + quality.COUNTS)
+        params = quality.QualityParams()
+        found = quality.thresholds(quality.sketch(m, params), params)
+        assert quality.verdict(m, found, params).where("not kept").count() == 0
+        return {r.source: r.fences.symbol_ratio_high for r in found.collect()}
+
+    plain, shifted, wide = fences(0, 7), fences(60, 7), fences(0, 31)
+    assert plain["a"] == plain["b"] == shifted["b"] == wide["b"]
+    assert 0.3 < shifted["a"] < 0.6 and plain["a"] < wide["a"]
+
+
+def test_sketches_set_the_fences(spark):
+    """On the test tables: fences differ between groups, and most lie beyond what the noise
+    of a single count at rate zero would give."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    params = quality.QualityParams()
+    rows = [r.fences for r in quality.thresholds(quality.sketch(quality.measure(docs, ["lang", "source"]), params), params).collect()]
+    for name in ("mean_word_len_high", "mean_word_len_low", "repeat_ratio_high"):
+        assert len({round(r[name], 6) for r in rows}) > len(rows) // 3, name
 
 
 def test_each_metric_rejects_an_outlier(spark):
@@ -69,4 +95,7 @@ def test_labelled_good_documents_stay(spark):
     sf = "/root/testdata/sf0.1"
     good = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.quality and not r.toxic}
     rows = [r for r in quality.op10_quality_rules(spark, sf).collect() if r.doc_id in good and not r.base_failed]
-    assert len(rows) > 2000 and all(r.kept for r in rows)
+    assert len(rows) > 2000 and sum(not r.kept for r in rows) <= len(rows) // 1000
+    junk = {r.doc_id for r in spark.read.parquet(f"{sf}/labels.parquet").where("quality = 0").collect()}
+    rows = [r for r in quality.op10_quality_rules(spark, sf).collect() if r.doc_id in junk]
+    assert sum(not r.kept for r in rows) >= 0.99 * len(rows)
