@@ -11,9 +11,9 @@ must lie inside the document (positional and length bounds), and there the
 window's words are compared one by one.
 
 The benchmark is the query set.  It is read in blocks of at most
-``block_words`` words; a block's index is broadcast, and each block is one pass
-over the documents, so a benchmark of any size is handled and documents are never
-shuffled.
+``block_words`` words, and one item is held whole.  A block's index is broadcast; each
+block counts its shingles in one pass over the documents, and all blocks are matched
+in one more, so b blocks take b + 1 passes, and documents are never shuffled.
 
 Defined results: null texts have no words and are clean; an item without words
 has no window; rows that repeat an item_id count as one item; a null item_id
@@ -163,10 +163,11 @@ def contamination_report(
     blocks = -(-n_words // block_words) or 1
     state = fresh_name("hits", docs.columns)
     state_of = f"{state} array<bigint>, {state}_items array<string>"
+    source = docs.select("text")  # the frequencies don't wait for earlier blocks' matches
     for b in range(blocks):
         block = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b)
         index = WindowIndex([tuple(r) for r in block.collect()], window)
-        index.order(shingle_frequencies(docs, share(spark, index)) if len(index.size) else {})
+        index.order(shingle_frequencies(source, share(spark, index)) if len(index.size) else {})
         shared = share(spark, index)
         last, first = b == blocks - 1, b == 0
 

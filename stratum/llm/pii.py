@@ -129,33 +129,45 @@ def parse_url(text: str, at: int, mark: str) -> tuple[int, int] | None:
     return (start, end) if end > first else None
 
 
-ACCOUNT = re.compile(r"[ \t]*(?:(?:no|nr|number)\b\.?)?[ \t]*[:#=]?[ \t]*([A-Za-z0-9](?:[ ./-]?[A-Za-z0-9])*)", re.ASCII | re.IGNORECASE)
+BEFORE_ACCOUNT = re.compile(r"[ \t]*(?:(?:no|nr|number)\b\.?)?[ \t]*[:#=]?[ \t]*", re.ASCII | re.IGNORECASE)
+ACCOUNT_WORD = re.compile(r"[A-Za-z0-9](?:[./-]?[A-Za-z0-9])*", re.ASCII)
+IBAN_LENGTH = 34  # the longest there is
+
+
+def parse_iban(text: str, at: int) -> tuple[int, int] | None:
+    """The longest valid number from ``at`` on, with single separators in it."""
+    best, body, k = None, "", at
+    while k < len(text) and len(body) < IBAN_LENGTH:
+        c = text[k]
+        if c.isascii() and c.isalnum():
+            body += c.upper()
+            if iban_valid(body):
+                best = (at, k + 1)
+        elif not (c in " ./-" and k > at and text[k - 1].isalnum()):
+            break
+        k += 1
+    return best
 
 
 def parse_account(text: str, end: int, cue: str) -> tuple[int, int] | None:
-    """The identifier after the cue word that ends at ``end``."""
+    """The identifier after the cue word that ends at ``end``: words with a digit in
+    them, joined by single blanks, as many as there are."""
     start = end - len(cue)
     if (start and text[start - 1].isalnum()) or (end < len(text) and text[end].isalnum()):
         return None
-    found = ACCOUNT.match(text, end, min(len(text), end + 80))
-    if not found:
-        return None
-    a = found.start(1)
+    a = BEFORE_ACCOUNT.match(text, end).end()
     if cue == "iban":
-        best = None
-        body = ""
-        for k in range(a, found.end(1)):
-            if text[k].isalnum():
-                body += text[k].upper()
-                if iban_valid(body):
-                    best = (a, k + 1)
-        return best
-    b = a
-    for word in re.finditer(r"[^ ]+", found.group(1)):  # up to the first word without a digit
-        if not any(c in DIGITS for c in word.group()):
+        return parse_iban(text, a)
+    b, at, digits = None, a, 0
+    while word := ACCOUNT_WORD.match(text, at):
+        here = sum(c in DIGITS for c in word.group())
+        if not here:
+            break
+        b, digits = word.end(), digits + here
+        if text[b : b + 1] != " ":
             break
-        b = a + word.end()
-    return (a, b) if sum(c in DIGITS for c in text[a:b]) >= 4 else None
+        at = b + 1
+    return (a, b) if digits >= 4 else None
 
 
 def make_anchors() -> ahocorasick.Automaton:
@@ -202,7 +214,7 @@ def find_spans(text: str | None, anchors: ahocorasick.Automaton) -> dict[str, li
             add(kind, parse_phone(text, last))
         elif kind == "url":
             add(kind, parse_url(text, last + 1 - len(mark), mark))
-        else:
+        elif last >= taken[kind]:  # a cue inside an identifier begins no other
             add(kind, parse_account(text, last + 1, mark))
     return spans
 
@@ -212,8 +224,9 @@ def joined(spans: dict[str, list[tuple[int, int]]], kinds: tuple[str, ...]) -> s
 
 
 def pii_spans(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns, the number of spans of each base kind, a digest of the
-    base spans and all spans as ``kind:start:end``, comma-joined; one pass, no shuffle."""
+    """``keep`` columns, the number of spans of each base kind, a digest of the base
+    spans, all spans as ``kind:start:end``, comma-joined, the numbers of the other kinds and of
+    all; one pass, no shuffle."""
 
     def make():
         anchors = make_anchors()
@@ -221,11 +234,15 @@ def pii_spans(docs: DataFrame, keep: list[str]) -> DataFrame:
         def one(text):
             spans = find_spans(text, anchors)
             base = joined(spans, BASE_KINDS)
-            return *(len(spans[k]) for k in BASE_KINDS), hashlib.sha256(base.encode()).hexdigest(), joined(spans, KINDS)
+            return *(len(spans[k]) for k in BASE_KINDS), hashlib.sha256(base.encode()).hexdigest(), joined(spans, KINDS), \
+                *(len(spans[k]) for k in EXTRA_KINDS), sum(map(len, spans.values()))
 
         return lambda rows: [one(x) for (x,) in rows]
 
-    schema = "n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string"
+    schema = (
+        "n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, "
+        "n_url bigint, n_account bigint, n_spans bigint"
+    )
     return map_rows(docs, make, ["text"], schema, keep)
 
 

@@ -235,7 +235,8 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row without a doc_id is not held out (it has no label to learn from either)."""
     docs = read_table(spark, sf_dir, "documents")
     model = learn(docs, read_table(spark, sf_dir, "labels"))
-    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    held_out = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
     return score(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

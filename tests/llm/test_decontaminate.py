@@ -39,3 +39,15 @@ def test_odd_rows(spark, odd, odd_rows, none):
     same_rows(kept, [r for r in odd_rows if not plain.contamination(r[1], ITEMS)[4]])
     assert dec.decontaminate(none, bench).count() == 0
     same_rows(dec.decontaminate(odd, bench.limit(0)), odd_rows)
+
+
+def test_blocks_take_one_pass_each(spark, monkeypatch):
+    """The frequencies of a block read the texts, not the matches of earlier blocks."""
+    docs = spark.createDataFrame([(k, f"w{k} w{k + 1} w{k + 2} w{k + 3}") for k in range(30)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(k, f"w{k} w{k + 1} w{k + 2}") for k in range(0, 30, 3)], "item_id bigint, text string")
+    plans, count = [], dec.shingle_frequencies
+    monkeypatch.setattr(dec, "shingle_frequencies", lambda d, i: (plans.append(d._jdf.queryExecution().toString()), count(d, i))[1])
+    got = dec.contamination_report(docs, bench, ["doc_id"], block_words=8).select("doc_id", "n_hit").collect()
+    assert len(plans) >= 3 and not any("MapInArrow" in p for p in plans)
+    assert {r.doc_id: r.n_hit for r in got} == {k: 0 if k % 3 == 1 else 3 for k in range(30)} | {k: 0 for k in range(30) if k % 3 == 1} | {
+        k: 3 for k in range(2, 27, 3)} | {29: 0}

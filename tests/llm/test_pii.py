@@ -44,6 +44,20 @@ def test_extra_kinds():
     assert [text[a:b] for a, b in spans["account"]] == ["GB82 WEST 1234 5698 7654 32", "12-3456"]
 
 
+def test_long_accounts_are_whole():
+    long = "9" * 500
+    for text, span in ((f"account {long} end", (8, 508)), ("acct " + "12-4 " * 300 + "stop", (5, 5 + 1499)), (f"a account no. {long}", (14, 514))):
+        assert pii.find_spans(text, ANCHORS)["account"] == [span]
+    many = "iban 1/" * 60_000 + "account " * 60_000 + "swift 1/" * 60_000 + "IBAN GB82WEST12345698765432" + "9" * 50_000
+    assert len(pii.find_spans(many, ANCHORS)["account"]) >= 1
+
+
+def test_kind_counts(spark, odd):
+    for r in pii.pii_spans(odd, ["doc_id"]).collect():
+        kinds = [x.split(":")[0] for x in r.spans.split(",") if x]
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [kinds.count(k) for k in pii.KINDS] and r.n_spans == len(kinds)
+
+
 def test_odd_rows(spark, odd, odd_rows, none):
     got = sorted((r.base_sha256 for r in pii.pii_spans(odd, ["doc_id", "score"]).collect()))
     assert got == sorted(plain.pii(r[1])[4] for r in odd_rows)
