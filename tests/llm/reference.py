@@ -129,10 +129,10 @@ def fuzzy_lines(rows, size=9, percent=80):
     places = {}
     for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
         for at, line in enumerate((text or "").split("\n")) if text is not None else ():
-            if len(line) >= size and plain_words(line):
+            if plain_words(line):
                 places.setdefault(line, []).append((doc, at))
     every = list(places)
-    sets = [{x[i : i + size] for i in range(len(x) - size + 1)} for x in every]
+    sets = [{x[i : i + size] for i in range(max(1, len(x) - size + 1))} for x in every]  # a short line is its own shingle
     head = list(range(len(every)))
 
     def find(x):
