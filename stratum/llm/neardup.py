@@ -272,12 +272,17 @@ def cluster_edges(member: DataFrame, percent: int, matches: int) -> DataFrame:
         signature = group.column("signature").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
         ours = group.column("left").to_numpy()
         theirs = np.flatnonzero(~ours)
-        forest, edges = Forest(), []
+        known, at = np.unique(ids, return_inverse=True)
+        tree = np.arange(len(known))  # which members are joined so far
+        edges = []
         for k in np.flatnonzero(ours):
             some = theirs[(component[theirs] != component[k]) & (100 * np.minimum(n[theirs], n[k]) >= percent * np.maximum(n[theirs], n[k]))]
-            for j in some[(signature[some] == signature[k]).sum(1) >= matches].tolist():
-                if forest.join(int(ids[k]), int(ids[j])):
-                    edges.append((int(ids[k]), int(ids[j])))
+            found = at[some[(signature[some] == signature[k]).sum(1) >= matches]]
+            others, first = np.unique(tree[found], return_index=True)
+            for other, j in zip(others.tolist(), first.tolist()):
+                if other != tree[at[k]]:
+                    edges.append((int(ids[k]), int(known[found[j]])))
+                    tree[tree == other] = tree[at[k]]
         return pa.table({"a": pa.array([x for x, _ in edges], pa.int64()), "b": pa.array([y for _, y in edges], pa.int64())})
 
     return sent.groupBy("family", "i", "j").applyInArrow(near, "a bigint, b bigint")
