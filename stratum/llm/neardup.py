@@ -261,7 +261,7 @@ class Forest:
 def cluster_edges(member: DataFrame, percent: int, matches: int) -> DataFrame:
     """Edges (a, b) that join the members of a family which may be linked to one of another
     component: set sizes are comparable and signatures agree.  Texts are not read, and a
-    group returns no more edges than it takes to join its members."""
+    group returns a star for each set of members that it joins."""
     groups = spool(open_groups(member, "family"))
     here = in_blocks(member, groups, "family", F.ceil(F.col("m") / SIGNATURE_ROWS))
     here = spool(here.select("family", "id", "component", "n", "largest", "blocks", "block", low_bytes("signature").alias("signature")))
@@ -274,16 +274,16 @@ def cluster_edges(member: DataFrame, percent: int, matches: int) -> DataFrame:
         theirs = np.flatnonzero(~ours)
         known, at = np.unique(ids, return_inverse=True)
         tree = np.arange(len(known))  # which members are joined so far
-        edges = []
         for k in np.flatnonzero(ours):
             some = theirs[(component[theirs] != component[k]) & (100 * np.minimum(n[theirs], n[k]) >= percent * np.maximum(n[theirs], n[k]))]
             found = at[some[(signature[some] == signature[k]).sum(1) >= matches]]
-            others, first = np.unique(tree[found], return_index=True)
-            for other, j in zip(others.tolist(), first.tolist()):
+            for other in np.unique(tree[found]).tolist():
                 if other != tree[at[k]]:
-                    edges.append((int(ids[k]), int(known[found[j]])))
                     tree[tree == other] = tree[at[k]]
-        return pa.table({"a": pa.array([x for x, _ in edges], pa.int64()), "b": pa.array([y for _, y in edges], pa.int64())})
+        _, root, tree = np.unique(tree, return_index=True, return_inverse=True)
+        root = known[root][tree]  # the smallest member: as a star, a tree needs no further rounds
+        joined = root != known
+        return pa.table({"a": pa.array(root[joined], pa.int64()), "b": pa.array(known[joined], pa.int64())})
 
     return sent.groupBy("family", "i", "j").applyInArrow(near, "a bigint, b bigint")
 
