@@ -21,6 +21,8 @@ and large runs of tied values across tasks, with DataFrame operations only:
 
 Values are only compared, never converted, so every type keeps its precision.
 ``method="window"`` is the plain window (best when groups are small).
+``method="auto"`` writes the rows, counts the largest group, and takes the window
+if it has at most ``WINDOW_ROWS`` rows, the ranges otherwise; ranks are the same.
 """
 
 from __future__ import annotations
@@ -32,6 +34,9 @@ from pyspark.sql import functions as F
 
 from stratum.session import scratch_table
 
+#: Groups up to this size are sorted by one task each (a sort that can spill).
+WINDOW_ROWS = 1_000_000
+
 
 def rank_desc(df: DataFrame, group_cols: str | Sequence[str], value_col: str,
               rank_col: str = "rank", method: str = "range",
@@ -40,6 +45,10 @@ def rank_desc(df: DataFrame, group_cols: str | Sequence[str], value_col: str,
     a rank, gaps follow).  NULL values rank last, NaN first (Spark ordering)."""
     groups = [group_cols] if isinstance(group_cols, str) else list(group_cols)
     best_first = F.col(value_col).desc()
+    if method == "auto":
+        df = scratch_table(df)
+        largest = df.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
+        method = "window" if largest <= WINDOW_ROWS else "range"
     if method == "window":
         w = Window.partitionBy(*groups).orderBy(best_first)
         return df.withColumn(rank_col, F.rank().over(w).cast("long"))

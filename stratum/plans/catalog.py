@@ -49,6 +49,8 @@ QUERIES = {
     "standings_supplier": q.standings_supplier,
     "standings_customer": q.standings_customer,
     "standings_nation": q.standings_nation,
+    "standings_rounds": q.standings_rounds,
+    "standings_rounds_late": q.standings_rounds_late,
     "gold_driver_standings": q.gold_driver_standings,
     "gold_constructor_standings": q.gold_constructor_standings,
     "ingest_incremental": q.ingest_incremental,

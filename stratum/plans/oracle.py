@@ -504,3 +504,21 @@ ORACLE["check_duplicate_nested"] = "\nUNION ALL\n".join([
                " record(s) belong to duplicate business keys in 'l_returnflag, m'.",
                f"(SELECT count(*) AS c FROM {_NESTED} x GROUP BY ALL HAVING count(*) > 1) d"),
 ])
+
+_PLACES = range(1, 8)
+ORACLE["standings_rounds"] = (
+    "WITH won AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS season, CAST(month(l_shipdate) AS INTEGER) AS round, "
+    "l_suppkey AS supplier_key, sum(CAST(trunc(l_quantity) AS BIGINT)) AS points, "
+    + ", ".join(f"count(*) FILTER (WHERE l_linenumber = {k}) AS p{k}" for k in _PLACES)
+    + " FROM lineitem GROUP BY 1, 2, 3), "
+    "grid AS (SELECT m.season, r.round, m.supplier_key FROM "
+    "(SELECT season, supplier_key, min(round) AS since FROM won GROUP BY 1, 2) m "
+    "JOIN (SELECT DISTINCT season, round FROM won) r ON m.season = r.season AND r.round >= m.since), "
+    "states AS (SELECT season, round, supplier_key, CAST(sum(coalesce(points, 0)) OVER w AS BIGINT) AS points, "
+    + ", ".join(f"CAST(sum(coalesce(p{k}, 0)) OVER w AS BIGINT) AS p{k}" for k in _PLACES)
+    + " FROM grid LEFT JOIN won USING (season, round, supplier_key) "
+    "WINDOW w AS (PARTITION BY season, supplier_key ORDER BY round)) "
+    "SELECT *, CAST(rank() OVER (PARTITION BY season, round ORDER BY points DESC, "
+    + ", ".join(f"p{k} DESC" for k in _PLACES)
+    + ") AS BIGINT) AS position FROM states")
+ORACLE["standings_rounds_late"] = ORACLE["standings_rounds"]

@@ -24,6 +24,7 @@ from stratum.operators.rules import (
     quality_report,
     referential_report,
 )
+from stratum.operators.rounds import first_changes, round_results, round_standings, update_round_standings
 from stratum.operators.standings import constructor_standings, driver_standings, standings
 from stratum.plans import control as ctl
 from stratum.plans import runlog
@@ -568,10 +569,41 @@ def standings_nation(spark, data_dir):
     joined = per_supp.join(supp, "l_suppkey")
     s = (joined.groupBy("season", F.col("s_nationkey").alias("member"))
          .agg((F.sum("net") / 10000.0).alias("points"), F.sum("w").alias("wins")))
-    s = rank_desc(s, "season", "points", rank_col="position")
+    s = rank_desc(s, "season", "points", rank_col="position", method="auto")
     return s.select("season", F.col("member").alias("nation_key"), "points", "wins", "position")
 
 
+#: Lines of an order are numbered from 1 to 7.
+LINE_PLACES = 7
+
+
+def _supplier_rounds(lines):
+    """Suppliers' results: ship years are seasons, months rounds, line numbers positions."""
+    return round_results(lines, F.year("l_shipdate"), F.month("l_shipdate"), F.col("l_suppkey"),
+                         F.col("l_quantity").cast("bigint"), F.col("l_linenumber"), LINE_PLACES)
+
+
+def _round_rows(s):
+    return s.select("season", "round", F.col("member").alias("supplier_key"), "points",
+                    *[F.col("places")[k].alias(f"p{k + 1}") for k in range(LINE_PLACES)], "position")
+
+
+def standings_rounds(spark, data_dir):
+    """Suppliers after every month of a ship year; ties are told apart by the number of
+    first lines, then second ones, and so on."""
+    return _round_rows(round_standings(_supplier_rounds(table(spark, data_dir, "lineitem")), LINE_PLACES))
+
+
+def standings_rounds_late(spark, data_dir):
+    """The same standings when returned lines of each year's second half come in late:
+    made without them first, then computed anew from the first round that they change."""
+    lines = table(spark, data_dir, "lineitem")
+    late = F.coalesce((F.month("l_shipdate") >= 7) & (F.col("l_returnflag") == "R"), F.lit(False))
+    before = scratch_table(round_standings(_supplier_rounds(lines.where(~late)), LINE_PLACES))
+    changed = lines.where(late).select(F.year("l_shipdate").alias("season"), F.month("l_shipdate").alias("round"))
+    return _round_rows(update_round_standings(before, _supplier_rounds(lines), scratch_table(first_changes(changed)), LINE_PLACES))
+
+
 # ------------------------------------------------------------ pipelines
 
 
