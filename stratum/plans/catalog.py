@@ -25,6 +25,7 @@ QUERIES = {
     "scan_csv": q.scan_csv,
     "scan_ndjson": q.scan_ndjson,
     "scan_json_array": q.scan_json_array,
+    "scan_json_array_split": q.scan_json_array_split,
     "scan_file_subset": q.scan_file_subset,
     "discover_schema": q.discover_schema,
     "file_inventory": q.file_inventory_query,

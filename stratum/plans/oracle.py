@@ -522,3 +522,7 @@ ORACLE["standings_rounds"] = (
     + ", ".join(f"p{k} DESC" for k in _PLACES)
     + ") AS BIGINT) AS position FROM states")
 ORACLE["standings_rounds_late"] = ORACLE["standings_rounds"]
+
+ORACLE["scan_json_array_split"] = (
+    "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
+    "CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders")

@@ -34,6 +34,7 @@ from stratum.plans.refine import refine, register_output_checks
 from stratum.session import scratch_path, scratch_table
 from stratum.sources import readers, sinks
 from stratum.sources.inventory import file_inventory
+from stratum.sources.jsonarrays import read_json_arrays
 from stratum.sources.schemas import register_schema
 from stratum.sources.tables import table
 from stratum.streaming.ingest import quarantined_rows, stream_ingest
@@ -200,6 +201,15 @@ def scan_json_array(spark, data_dir):
                                options={"recursiveFileLookup": "true"})
 
 
+def scan_json_array_split(spark, data_dir):
+    """Orders landed as two arrays, each read in byte ranges by many tasks."""
+    path = sinks.write_json_arrays(table(spark, data_dir, "orders"), scratch_path(spark, "orders_array"), files=2)
+    df = read_json_arrays(spark, path, ORDERS_DDL)
+    return df.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                     F.col("o_orderdate").cast("date").cast("string").alias("o_orderdate"),
+                     "o_orderpriority")
+
+
 def _orders_by_year_json(spark, data_dir) -> str:
     path = scratch_path(spark, "orders_by_year")
     orders = lin.add_year_partition(table(spark, data_dir, "orders"), "order_year", "o_orderdate")
