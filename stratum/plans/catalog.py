@@ -29,6 +29,7 @@ QUERIES = {
     "scan_file_subset": q.scan_file_subset,
     "discover_schema": q.discover_schema,
     "file_inventory": q.file_inventory_query,
+    "file_ranges_changed": q.file_ranges_changed,
     "write_partitioned": q.write_partitioned,
     "stamp_lineage": q.stamp_lineage,
     "refine_rename_cast": q.refine_rename_cast,

@@ -526,3 +526,17 @@ ORACLE["standings_rounds_late"] = ORACLE["standings_rounds"]
 ORACLE["scan_json_array_split"] = (
     "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, "
     "CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders")
+
+
+def _leaves(rows: str) -> str:
+    return (f"SELECT batch, r AS range, sha256(content[r * 512 + 1 : r * 512 + 512]) AS digest FROM (SELECT batch, content, "
+            "unnest(range(CAST(0 AS BIGINT), CAST((octet_length(content) + 511) // 512 AS BIGINT))) AS r FROM (SELECT batch, "
+            f"encode(string_agg(html || chr(10), '' ORDER BY page_id)) AS content FROM ({rows}) p GROUP BY 1) c) x")
+
+
+_PAGES = "SELECT page_id, CAST(page_id // 20 AS BIGINT) AS batch, html FROM pages"
+_NEW_PAGES = ("SELECT page_id, CAST(page_id // 20 AS BIGINT) AS batch, CASE WHEN page_id % 50 = 0 THEN upper(html) "
+              "WHEN page_id % 70 = 3 THEN html || '<!-- -->' ELSE html END AS html FROM pages WHERE page_id // 20 <> 1")
+ORACLE["file_ranges_changed"] = (
+    "SELECT batch, range, CASE WHEN o.digest IS NULL THEN 'added' WHEN n.digest IS NULL THEN 'removed' ELSE 'changed' END AS change "
+    f"FROM ({_leaves(_PAGES)}) o FULL JOIN ({_leaves(_NEW_PAGES)}) n USING (batch, range) WHERE o.digest IS DISTINCT FROM n.digest")

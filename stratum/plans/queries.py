@@ -33,8 +33,9 @@ from stratum.plans.ingest import bronze_current, ingest, reset_state
 from stratum.plans.refine import refine, register_output_checks
 from stratum.session import scratch_path, scratch_table
 from stratum.sources import readers, sinks
-from stratum.sources.inventory import file_inventory
+from stratum.sources.inventory import file_inventory, list_files
 from stratum.sources.jsonarrays import read_json_arrays
+from stratum.sources.ranges import changed_ranges, range_digests
 from stratum.sources.schemas import register_schema
 from stratum.sources.tables import table
 from stratum.streaming.ingest import quarantined_rows, stream_ingest
@@ -250,6 +251,24 @@ def file_inventory_query(spark, data_dir):
         "file_size", "content_hash")
 
 
+#: Small, so that the files of the test tables have several ranges.
+COMPARED_BYTES = 512
+
+
+def file_ranges_changed(spark, data_dir):
+    """The byte ranges in which two landings of the pages differ: some texts in capitals,
+    some longer, one batch of files gone."""
+    pages = table(spark, data_dir, "pages").withColumn("batch", F.expr("page_id DIV 20"))
+    html = F.when(F.col("page_id") % 50 == 0, F.upper("html")).when(
+        F.col("page_id") % 70 == 3, F.concat("html", F.lit("<!-- -->"))).otherwise(F.col("html"))
+    leaves = []
+    for name, rows in (("old", pages), ("new", pages.where("batch <> 1").withColumn("html", html))):
+        path = sinks.write_text_files(rows, scratch_path(spark, f"pages_{name}"), "batch", "page_id", "html")
+        batch = F.regexp_extract("source_file", r"batch=([0-9]+)/", 1).cast("bigint").alias("batch")
+        leaves.append(range_digests(list_files(spark, path), COMPARED_BYTES).select(batch, "range", "digest"))
+    return changed_ranges(*leaves, key="batch")
+
+
 def write_partitioned(spark, data_dir):
     """Full load of the older orders, registered; incremental append of the rest,
     registered again; read back through the table's name; partitions by derived order year."""

@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.errors import StateError
+from stratum.sources.ranges import range_digests, root_digests
 
+#: Files above this size are hashed by ranges (``ranges.py``): Spark's binary files end at 2 GB.
+WHOLE_BYTES = 1 << 30
 #: At most so many paths become one predicate of a scan.
 LISTED_FILES = 4096
 
@@ -51,8 +54,9 @@ def file_inventory(spark: SparkSession, source_path: str, hash_content: bool = T
     With ``hash_content`` every byte is read (in parallel, one task per file
     split group) and hashed with md5 on the executors; without it the
     ``content`` column is pruned, so only the listing is done and
-    ``content_hash`` is NULL.  A hashed file is held in memory by its task and
-    must fit Spark's binary-file limit (2 GB); a larger one raises.
+    ``content_hash`` is NULL.  A hashed file is held in memory by its task; the hash of
+    one above ``WHOLE_BYTES`` is the root digest of its byte ranges instead, which are
+    read by many tasks.
     ``files`` restricts the inventory to the given ``source_file`` values.
     Names of files and folders below ``source_path`` are taken as they are, so
     glob characters in them are harmless.
@@ -67,12 +71,21 @@ def file_inventory(spark: SparkSession, source_path: str, hash_content: bool = T
     df = df.select("*", F.col("_metadata.file_path").alias("source_file"))
     if files is not None:
         df = only_files(df, files, "source_file")
-    return df.select(
+    large = None
+    if hash_content and (df.agg(F.max("length")).first()[0] or 0) > WHOLE_BYTES:
+        large = df.filter(F.col("length") > WHOLE_BYTES).select(
+            "source_file", F.col("modificationTime").alias("last_modified_time"), F.col("length").alias("file_size"))
+        df = df.filter(F.col("length") <= WHOLE_BYTES)
+    found = df.select(
         "source_file",
         F.col("modificationTime").alias("last_modified_time"),
         F.col("length").alias("file_size"),
         (F.md5(F.col("content")) if hash_content else F.lit(None).cast("string")).alias("content_hash"),
     )
+    if large is None:
+        return found
+    roots = root_digests(range_digests(large)).withColumnRenamed("root", "content_hash")
+    return found.unionByName(large.join(roots, "source_file").select(*found.columns))
 
 
 def list_files(spark: SparkSession, source_path: str) -> DataFrame:
