@@ -14,7 +14,8 @@ all changes at once.  Only keys that occur in a batch are rewritten.
   are ambiguous and fail, as in a merge.
 
 The changes of one key are a sorted stream in one task, which spills; keys are spread
-by hash, and unaffected keys pass through by an anti join.
+by hash over a number of tasks that grows with the counted rows, and all steps of a key
+are done where it lies.  Unaffected keys pass through by an anti join.
 """
 
 from __future__ import annotations
@@ -25,6 +26,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MARKS = ["valid_from", "seq", "valid_to", "deleted", "set", "change"]
+#: Rows that one task sorts, about.
+TASK_ROWS = 100_000
+
+
+def _spread(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """``df`` by keys in as many tasks as ``rows`` need (no fewer than the session's shuffle partitions)."""
+    if rows <= TASK_ROWS:
+        return df
+    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS)), *keys)
 
 
 def _events(changes: DataFrame, keys: Sequence[str], values: Sequence[str], at: str, seq: str,
@@ -65,26 +75,31 @@ def apply_changes(history: DataFrame | None, changes: DataFrame, keys: Sequence[
                   at: str, seq: str, set_column: str | None = None, delete_flag: str | None = None) -> DataFrame:
     """The history with a batch of changes spliced in (see the module docstring).
 
-    ``history`` is an earlier result, or None for a new one.  Rows with a NULL key or a NULL
+    ``history`` is an earlier result, or None for a new one; both tables are counted here.  Rows with a NULL key or a NULL
     time are no changes and are left out."""
     complete = F.col(at).isNotNull()
     for k in keys:
         complete = complete & F.col(k).isNotNull()
-    incoming = _events(changes.filter(complete), keys, values, at, seq, set_column, delete_flag)
+    changes = changes.filter(complete)
+    rows = changes.count() + (0 if history is None else history.count())
+    incoming = _events(_spread(changes, keys, rows), keys, values, at, seq, set_column, delete_flag)
     if history is None:
         return _resolve(incoming, keys, values)
     touched = incoming.select(*keys).distinct()
+    history = _spread(history, keys, rows)
     old = history.select(*keys, "valid_from", "seq", "deleted", "set", "change").join(touched, list(keys), "left_semi")
-    old = old.join(incoming.select(*keys, "valid_from", F.col("seq").alias("__s")), [
-        *[old[k].eqNullSafe(incoming[k]) for k in keys], old["valid_from"] == incoming["valid_from"],
-        old["seq"].eqNullSafe(F.col("__s"))], "left_anti")
-    spliced = _resolve(incoming.unionByName(old), keys, values)
+    both = incoming.withColumn("__new", F.lit(True)).unionByName(old.withColumn("__new", F.lit(False)))
+    # by keys again: a union does not keep where its sides lie
+    both = _spread(both, keys, rows).groupBy(*keys, "valid_from", "seq").agg(
+        F.max_by(F.struct("deleted", "set", "change"), "__new").alias("row"))
+    spliced = _resolve(both.select(*keys, "valid_from", "seq", "row.deleted", "row.set", "row.change"), keys, values)
     return history.join(touched, list(keys), "left_anti").select(*spliced.columns).unionByName(spliced)
 
 
 def intervals(history: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """The rows that held for some time: ``keys``, ``values``, valid_from, valid_to (NULL: until
     now).  Neighbours with equal values are one; there are none where a key was deleted."""
+    history = _spread(history, keys, history.count())
     shown = history.filter(~F.col("deleted") & (F.col("valid_to").isNull() | (F.col("valid_from") < F.col("valid_to"))))
     ordered = Window.partitionBy(*keys).orderBy("valid_from")
     before = F.lag(F.struct("valid_to", *values)).over(ordered)

@@ -148,3 +148,20 @@ def test_ambiguous_changes_fail(spark):
     with pytest.raises(Exception, match="several changes"):
         apply_changes(None, spark.createDataFrame(rows, DDL), *ARGS).collect()
     assert apply_changes(None, spark.createDataFrame([rows[0]] * 2, DDL), *ARGS).count() == 1
+
+
+def rows_of_fullest_task(df):
+    return df.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+
+def many_changes(spark, keys):
+    return keys.select(
+        F.col("id").cast("string").alias("k"), F.lit(1).alias("t"), F.lit(1).alias("n"), F.col("id").cast("int").alias("a"), F.lit("p").alias("b"),
+        F.lit(None).cast("array<string>").alias("s"), F.lit(False).alias("d"))
+
+
+def test_interval_tasks_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr("stratum.operators.history.TASK_ROWS", 50, raising=False)
+    made = apply_changes(None, many_changes(spark, spark.range(4_000)), *ARGS)
+    found = intervals(made, ["k"], ["a", "b"])
+    assert rows_of_fullest_task(found) <= 100 and found.count() == 4_000
