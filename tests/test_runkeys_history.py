@@ -165,3 +165,14 @@ def test_interval_tasks_grow_with_the_rows(spark, monkeypatch):
     made = apply_changes(None, many_changes(spark, spark.range(4_000)), *ARGS)
     found = intervals(made, ["k"], ["a", "b"])
     assert rows_of_fullest_task(found) <= 100 and found.count() == 4_000
+
+
+def test_history_tasks_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr("stratum.operators.history.TASK_ROWS", 50, raising=False)
+    first = apply_changes(None, many_changes(spark, spark.range(3_000)), *ARGS).cache()
+    assert rows_of_fullest_task(first) <= 100
+    later = many_changes(spark, spark.range(2_000, 4_000)).withColumn("a", F.lit(7))  # a third are redelivered
+    found = apply_changes(first, later, *ARGS)
+    assert rows_of_fullest_task(found) <= 100
+    assert rows_of(found.filter("a = 7"), "k") == sorted([(str(k),) for k in {7, *range(2_000, 4_000)}], key=str)
+    assert found.count() == 4_000
