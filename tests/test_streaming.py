@@ -136,3 +136,55 @@ def test_keyed_rules_are_row_rules(spark, setup):
     land("a.json", [(1, "a", None, 1.0)])
     with pytest.raises(Exception, match="single rows"):
         stream_ingest(spark, lake, cfg, keyed=KeyedStream(("k",), "ts", "1 second", 1, rules=(Rule("DUPLICATE_ROW"),)))
+
+
+def test_a_block_of_keys_is_one_read_and_one_write():
+    import pandas as pd
+
+    from stratum.streaming.keyed import LastSightings
+
+    class Store:
+        value, calls, timers = None, 0, []
+
+        def getValueState(self, *_):
+            return self
+
+        def get(self):
+            self.calls += 1
+            return self.value
+
+        def update(self, value):
+            self.calls += 1
+            self.value = value
+
+        def clear(self):
+            self.calls += 1
+            self.value = None
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+    class Times:
+        now = 0
+
+        def getCurrentWatermarkInMs(self):
+            return self.now
+
+    store, times, rng, last = Store(), Times(), random.Random(5), {}
+    work = LastSightings(100)
+    work.init(store)
+    for times.now in (0, 0, 500, 650, 2_000):
+        rows = [(f"{rng.randrange(700):032X}", rng.randrange(times.now - 200, times.now + 400)) for _ in range(1_000)]
+        expected = {k: last.get(k) for k, _ in rows}
+        for k, ms in rows:
+            if ms >= times.now:
+                last[k] = max(ms, last.get(k, ms))
+        last = {k: ms for k, ms in last.items() if ms + 101 > times.now}
+        store.calls = 0
+        frames = [pd.DataFrame(part, columns=["k", "ms"]) for part in (rows[:400], rows[400:])]
+        (found,) = work.handleInputRows((0,), iter(frames), times)
+        assert {r[0]: r[2] if r[1] else None for r in found.itertuples(index=False)} == expected
+        assert store.calls == 2
+    assert len(store.timers) == 1
+    times.now = 10_000
+    assert list(work.handleExpiredTimer((0,), times, None)) == [] and store.value is None
