@@ -1,17 +1,16 @@
-"""MinHash near-duplicates by a signature-coordinate inverted join.
+"""MinHash near-duplicates by an inverted join on bands of the signature.
 
 Documents with equal shingle sets form a class; one member stands for it.  A
-signature holds ``coordinates`` MinHash values, and a class is posted under each
-(coordinate, value) pair it has.  Two sets with similarity ``percent`` agree in at
-least ``matches`` coordinates but for a chance of about 3e-7 at the defaults and
-the very threshold (binomial tail), less above it.
-
-Prefix and skip merging: pairs that only one class has cannot match and are left
-out; of its ``m`` shared pairs in order of rarity a class is posted under the
-first ``m - matches + 1``, and two classes that agree in ``matches`` coordinates
-have a posting in common.  Longer lists are skipped: whether their coordinates
-match is read off the two signatures, and pairs of classes below ``matches`` are
-dropped.  The others are verified on their full shingle sets.
+signature holds ``coordinates`` MinHash values.  Two sets with similarity ``percent``
+agree in at least ``matches`` coordinates but for a chance of about 3e-7 at the
+defaults and the very threshold (binomial tail), less above it.
+
+Three coordinates make a band, ``coordinates / 2`` of them overlap, and a class is
+posted under each band value that another class has too.  Two sets at the threshold
+have no band in common with a chance of 3e-8 at the defaults, less above it.  Unlike
+single values, three at once are seldom shared by chance, so lists grow with the
+number of similar classes, not with the table.  Pairs of classes that agree in fewer
+than ``matches`` coordinates are dropped; the others are verified on their full shingle sets.
 
 Lists are not expanded into all pairs.  First every class of a list is compared
 with one hub of it, the member whose values are the most frequent, and with one
@@ -35,11 +34,12 @@ smallest (doc_id, text hash), nulls last; of rows that repeat both, one stays.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.llm.common import ASCII_LOWER, connected_components, fresh_name, map_rows, read_table, small_side, spool
@@ -47,6 +47,8 @@ from stratum.llm.common import ASCII_LOWER, connected_components, fresh_name, ma
 #: Multipliers are drawn from this seed; any other gives other signatures of equal quality.
 SEED = 20_011
 CHUNK = 4096
+#: Coordinates in one number of a packed signature.
+PACK = 7
 #: Keys (two 64-bit numbers) are broadcast up to this count, about 10 MB; more are joined by a shuffle.
 KEYS_LIMIT = 200_000
 #: Shingles, and rows, whose texts meet in one verification group, from each of two blocks.
@@ -61,11 +63,21 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode().translate(ASCII_LOWER).split() if text else []
 
 
-def shingle_set(text: str | None, size: int) -> set[tuple[bytes, ...]]:
-    words = words_of(text)
-    if len(words) < size:
-        return {tuple(words)} if words else set()
-    return set(zip(*(words[k:] for k in range(size))))
+def shingle_numbers(texts: list[str], size: int) -> list[np.ndarray]:
+    """The distinct shingles of each text, which has words, as sorted numbers; within
+    a call they are equal just if the shingles are."""
+    known: dict[bytes, int] = {}
+    words = []
+    for text in texts:
+        numbers = [known.setdefault(w, len(known) + 1) for w in words_of(text)]
+        words.append(np.array(numbers + [0] * (size - len(numbers)), np.int64))  # 0 is no word
+    counts = [len(x) - size + 1 for x in words]
+    code = np.concatenate([x[:n] for x, n in zip(words, counts)])
+    for k in range(1, size):
+        if k > 1:
+            code = np.unique(code, return_inverse=True)[1]
+        code = code * (len(known) + 1) + np.concatenate([x[k : k + n] for x, n in zip(words, counts)])
+    return [np.unique(x) for x in np.split(code, np.cumsum(counts)[:-1])]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -117,17 +129,18 @@ def sign_documents(docs: DataFrame, size: int, coordinates: int, keep: list[str]
     return map_rows(docs, make, ["text"], "n_shingles bigint, digest binary, signature array<int>", keep)
 
 
-def prefix_postings(classes: DataFrame, matches: int) -> DataFrame:
-    """(id, prefix, weight): classes that can match another one, their prefix as
-    keys ``coordinate << 31 | value`` from rare to frequent, and the frequencies
-    of their values, summed."""
-    key = F.shiftleft(F.col("at").cast("bigint"), 31) + F.col("value")
-    posted = classes.select("id", F.posexplode("signature").alias("at", "value")).select("id", key.alias("key"))
+def band_keys(signature: str, coordinates: int) -> F.Column:
+    """The values of the bands.  Two bands have one coordinate in common at most."""
+    at = F.col(signature)
+    return F.array(*[F.xxhash64(F.lit(k), at[k], at[k + 1], at[(k + 9) % coordinates]) for k in range(0, coordinates - 1, 2)])
+
+
+def shared_postings(classes: DataFrame, coordinates: int) -> DataFrame:
+    """(id, keys, weight): classes that share a band with another one, the keys of
+    these bands, and the numbers of classes that have them, summed."""
+    posted = classes.select("id", F.explode(band_keys("signature", coordinates)).alias("key"))
     often = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = posted.join(often, "key").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("n", "key"))).alias("keys"))
-    prefix = F.slice("keys.key", F.lit(1), F.size("keys") - F.lit(matches - 1))
-    weight = F.aggregate("keys.n", F.lit(0).cast("bigint"), lambda a, b: a + b)
-    return shared.where(F.size("keys") >= matches).select("id", prefix.alias("prefix"), weight.alias("weight"))
+    return posted.join(often, "key").groupBy("id").agg(F.collect_list("key").alias("keys"), F.sum("n").alias("weight"))
 
 
 def low_bytes(signature: str) -> F.Column:
@@ -135,6 +148,13 @@ def low_bytes(signature: str) -> F.Column:
     return F.transform(signature, lambda x: x.bitwiseAND(127).cast("tinyint"))
 
 
+def packed(signature: str, coordinates: int) -> F.Column:
+    """The same seven bits, a byte each, seven bytes to a number."""
+    bits = [F.col(signature)[k].bitwiseAND(127).cast("bigint") for k in range(coordinates)]
+    groups = [bits[at : at + PACK] for at in range(0, coordinates, PACK)]
+    return F.array(*[reduce(Column.bitwiseOR, [F.shiftleft(x, 8 * k) for k, x in enumerate(group)]) for group in groups])
+
+
 def comparable(n: str, m: str, percent: int) -> F.Column:
     """Whether sets of these sizes can be similar enough (the length bound)."""
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
@@ -145,15 +165,21 @@ def block_count(n: str) -> F.Column:
     return F.greatest(F.ceil(F.sum(n) / BLOCK_SHINGLES), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS)).cast("int")
 
 
-def agreeing(a: str, b: str) -> F.Column:
-    """Number of equal coordinates of two signatures."""
-    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda same: same))
+def agreeing(a: str, b: str, coordinates: int) -> F.Column:
+    """Number of equal coordinates of two packed signatures: adding 127 to a byte of
+    seven bits sets its eighth just if it is not 0."""
+    ones = sum(1 << 8 * k for k in range(PACK))
+    unlike = [
+        F.bit_count((F.col(a)[k].bitwiseXOR(F.col(b)[k]) + F.lit(127 * ones)).bitwiseAND(F.lit(128 * ones)))
+        for k in range(-(-coordinates // PACK))
+    ]
+    return F.lit(coordinates) - reduce(Column.__add__, unlike)
 
 
 def list_hubs(candidates: DataFrame) -> DataFrame:
     """(key, central, other) of the lists with several members: the member whose
     values are the most frequent, and one chosen by hash, with their set sizes ``n``."""
-    lists = candidates.select("id", "weight", F.col("n_shingles").alias("n"), F.explode("prefix").alias("key"))
+    lists = candidates.select("id", "weight", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
     hubs = lists.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"),
         F.max(F.struct("weight", "id", "n")).alias("central"),
@@ -166,7 +192,7 @@ def verify_blocks(candidates: DataFrame, hubs: DataFrame) -> DataFrame:
     """(id, n, family, blocks, block): classes with the same most central hub are a
     family, and are verified together in blocks of about ``BLOCK_SHINGLES`` shingles, or
     ``BLOCK_ROWS`` rows."""
-    posted = candidates.select("id", F.col("n_shingles").alias("n"), F.explode("prefix").alias("key")).join(hubs, "key")
+    posted = candidates.select("id", F.col("n_shingles").alias("n"), F.explode("keys").alias("key")).join(hubs, "key")
     family = posted.groupBy("id", "n").agg(F.max("central")["id"].alias("family"))
     sizes = family.groupBy("family").agg(block_count("n").alias("blocks"))
     placed = family.join(sizes, "family")
@@ -188,30 +214,32 @@ def verify(pairs: DataFrame, blocks: DataFrame, texts: DataFrame, size: int, per
     sent = members.join(texts.select("id", "text"), "id").select("h1", "h2", "id", "text")
 
     def confirm(pairs: pa.Table, sent: pa.Table) -> pa.Table:
-        sets = {k: shingle_set(t, size) for k, t in zip(sent.column("id").to_pylist(), sent.column("text").to_pylist())}
+        if not sent.num_rows:
+            return pairs.select(["a", "b"]).slice(0, 0)
+        sets = dict(zip(sent.column("id").to_pylist(), shingle_numbers(sent.column("text").to_pylist(), size)))
         linked = []
         for a, b in zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist()):
             s, t = sets[a], sets[b]
-            both = len(s & t)
+            both = len(np.intersect1d(s, t, assume_unique=True))
             linked.append(100 * both >= percent * (len(s) + len(t) - both))
         return pairs.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return placed.groupBy("g1", "g2").cogroup(sent.groupBy("h1", "h2")).applyInArrow(confirm, "a bigint, b bigint")
 
 
-def star_pairs(candidates: DataFrame, hubs: DataFrame, matches: int, percent: int) -> DataFrame:
+def star_pairs(candidates: DataFrame, hubs: DataFrame, coordinates: int, matches: int, percent: int) -> DataFrame:
     """Each class with the hubs of its lists, where sizes and signatures agree."""
-    lists = candidates.select("id", "n_shingles", F.explode("prefix").alias("key"))
+    lists = candidates.select("id", "n_shingles", F.explode("keys").alias("key"))
     each = F.array_distinct(F.array(*[F.struct(F.col(f"{c}.id").alias("id"), F.col(f"{c}.n").alias("n")) for c in ("central", "other")]))
     hubs = hubs.select("key", F.explode(each).alias("hub"))
     pairs = lists.join(hubs, "key").where((F.col("id") != F.col("hub.id")) & comparable("n_shingles", "hub.n", percent))
     pairs = pairs.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
-    signed = candidates.select("id", low_bytes("signature").alias("signature"))
+    signed = candidates.select("id", packed("signature", coordinates).alias("signature"))
     return (
         pairs.distinct()
         .join(signed.withColumnsRenamed({"id": "a", "signature": "sa"}), "a")
         .join(signed.withColumnsRenamed({"id": "b", "signature": "sb"}), "b")
-        .where(agreeing("sa", "sb") >= matches).select("a", "b")
+        .where(agreeing("sa", "sb", coordinates) >= matches).select("a", "b")
     )
 
 
@@ -302,54 +330,52 @@ def family_links(member: DataFrame, texts: DataFrame, size: int, percent: int, m
     sent = block_pairs(here, "cluster", ["id", "component"]).join(texts.select("id", "text"), "id")
 
     def link(group: pa.Table) -> pa.Table:
-        rows = list(zip(*(group.column(c).to_pylist() for c in ("id", "component", "left", "text"))))
-        ours, theirs = [r for r in rows if r[2]], [r for r in rows if not r[2]]
-        postings: dict = {}
-        n_ours = []
-        for k, r in enumerate(ours):
-            shingles = shingle_set(r[3], size)
-            n_ours.append(len(shingles))
-            for x in shingles:
-                postings.setdefault(x, []).append(k)
-        postings = {x: np.array(v) for x, v in postings.items()}
-        forest, n_ours_, links = Forest(), np.array(n_ours, np.int64), []
-        for r in theirs:
-            shingles = shingle_set(r[3], size)
-            lists = [postings[x] for x in shingles if x in postings]
+        ids, component, left = (group.column(c).to_numpy() for c in ("id", "component", "left"))
+        sets = shingle_numbers(group.column("text").to_pylist(), size)
+        ours, theirs = np.flatnonzero(left), np.flatnonzero(~left)
+        if not len(ours) or not len(theirs):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        n_ours = np.array([len(sets[k]) for k in ours])
+        shingles, owner = np.concatenate([sets[k] for k in ours]), np.repeat(np.arange(len(ours)), n_ours)
+        order = np.argsort(shingles, kind="stable")
+        shingles, owner = shingles[order], owner[order]
+        forest, links = Forest(), []
+        for r in theirs.tolist():
+            first, last = np.searchsorted(shingles, sets[r], "left"), np.searchsorted(shingles, sets[r], "right")
+            lists = [owner[x:y] for x, y in zip(first.tolist(), last.tolist()) if x < y]
             if not lists:
                 continue
             both = np.bincount(np.concatenate(lists), minlength=len(ours))
-            for k in np.flatnonzero(100 * both >= percent * (n_ours_ + len(shingles) - both)).tolist():
-                if forest.join(ours[k][1], r[1]):
-                    links.append((ours[k][0], r[0]))
+            for k in ours[100 * both >= percent * (n_ours + len(sets[r]) - both)].tolist():
+                if forest.join(int(component[k]), int(component[r])):
+                    links.append((int(ids[k]), int(ids[r])))
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return sent.select("cluster", "i", "j", "id", "component", "left", "text").groupBy("cluster", "i", "j").applyInArrow(link, "a bigint, b bigint")
 
 
-def crossing_pairs(member: DataFrame, matches: int, percent: int) -> DataFrame:
+def crossing_pairs(member: DataFrame, coordinates: int, matches: int, percent: int) -> DataFrame:
     """The pairs of classes of different families and components that have a posting
-    in common and whose sizes and signatures agree, each from its first common list only."""
-    posted = member.select("id", "component", "family", F.explode("prefix").alias("key"))
+    in common and whose sizes and signatures agree."""
+    posted = member.select("id", "component", "family", F.explode("keys").alias("key"))
     lists = posted.groupBy("key").agg(
         F.min("family").alias("f1"), F.max("family").alias("f2"), F.min("component").alias("c1"), F.max("component").alias("c2"),
     ).where("f1 <> f2 and c1 <> c2").select("key")
-    b = member.select("id", "component", "family", "n", low_bytes("signature").alias("signature"), "prefix", F.explode("prefix").alias("key"))
+    b = member.select("id", "component", "family", "n", packed("signature", coordinates).alias("signature"), F.explode("keys").alias("key"))
     b = spool(b.join(lists, "key"))
-    a = b.select(*[F.col(c).alias(f"a_{c}") for c in ("key", "id", "signature", "prefix", "component", "family", "n")])
-    first = F.array_min(F.array_intersect("a_prefix", "prefix")) == F.col("a_key")
+    a = b.select(*[F.col(c).alias(f"a_{c}") for c in ("key", "id", "signature", "component", "family", "n")])
     found = a.join(
         b, (F.col("a_key") == F.col("key")) & (F.col("a_id") < F.col("id")) & (F.col("a_family") != F.col("family"))
-        & (F.col("a_component") != F.col("component")) & comparable("a_n", "n", percent) & first & (agreeing("a_signature", "signature") >= matches),
+        & (F.col("a_component") != F.col("component")) & comparable("a_n", "n", percent) & (agreeing("a_signature", "signature", coordinates) >= matches),
     )
-    return found.select(F.col("a_id").alias("a"), F.col("id").alias("b"))
+    return found.select(F.col("a_id").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def similar_classes(classes: DataFrame, texts: DataFrame, size: int, percent: int, matches: int) -> DataFrame | None:
+def similar_classes(classes: DataFrame, texts: DataFrame, size: int, percent: int, coordinates: int, matches: int) -> DataFrame | None:
     """(node, component) for the classes that are linked to another one, or None.
     ``classes`` has id, n_shingles, signature and the doc_id and text hash of a
     member, by which ``texts`` has its text, and the number of rows with these."""
-    candidates = spool(prefix_postings(classes, matches).join(classes, "id"))
+    candidates = spool(shared_postings(classes, coordinates).join(classes, "id"))
     n = candidates.count()
     if not n:
         return None
@@ -360,8 +386,8 @@ def similar_classes(classes: DataFrame, texts: DataFrame, size: int, percent: in
     texts = spool(texts.dropDuplicates(["id"]) if repeated else texts)
     hubs = spool(list_hubs(candidates))
     blocks = spool(verify_blocks(candidates, hubs))
-    links = spool(verify(star_pairs(candidates, hubs, matches, percent), blocks, texts, size, percent))
-    placed = spool(candidates.select("id", "signature", "prefix").join(blocks.select("id", "n", "family"), "id"))
+    links = spool(verify(star_pairs(candidates, hubs, coordinates, matches, percent), blocks, texts, size, percent))
+    placed = spool(candidates.select("id", "signature", "keys").join(blocks.select("id", "n", "family"), "id"))
 
     def members(parts: DataFrame) -> DataFrame:
         return spool(placed.join(parts, F.col("id") == F.col("node"), "left").select(*placed.columns, F.coalesce("component", "id").alias("component")))
@@ -373,7 +399,7 @@ def similar_classes(classes: DataFrame, texts: DataFrame, size: int, percent: in
 
     parts = spool(connected_components(links))
     parts = merged(parts, spool(family_links(members(parts), texts, size, percent, matches)))
-    across = verify(crossing_pairs(members(parts), matches, percent), blocks, texts, size, percent)
+    across = verify(crossing_pairs(members(parts), coordinates, matches, percent), blocks, texts, size, percent)
     return merged(parts, spool(across))
 
 
@@ -389,7 +415,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, coordinat
         .groupBy("digest").agg(F.min(member).alias("m"), F.min("n_shingles").alias("n_shingles"), F.min("signature").alias("signature"))
         .select(F.monotonically_increasing_id().alias("id"), "digest", "n_shingles", "signature", "m.doc_id", "m.text_hash", "m.rows")
     )
-    found = similar_classes(classes.drop("digest"), named, size, percent, matches)
+    found = similar_classes(classes.drop("digest"), named, size, percent, coordinates, matches)
     parts = classes.select("id", "digest", "doc_id")
     if found is None:
         parts = parts.select("digest", F.col("id").alias("component"), F.col("doc_id").alias("component_id"))

@@ -80,3 +80,33 @@ def test_components(spark):
     got = common.connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
     want = {x: find(x) for a, b in edges if a != b for x in (a, b)}
     assert {r.node: r.component for r in got} == want and len(got) == len(want)
+
+
+def test_values_shared_by_chance_make_no_candidates(spark, monkeypatch):
+    """Unlike texts of few words: single signature values agree now and then, whole bands hardly."""
+    rng, seen = random.Random(9), []
+    docs = [(d, " ".join(f"w{rng.randrange(80)}" for _ in range(150))) for d in range(200)]
+    docs.append((200, docs[0][1] + " more"))
+    hubs = neardup.list_hubs
+    monkeypatch.setattr(neardup, "list_hubs", lambda candidates: seen.append(candidates.count()) or hubs(candidates))
+    found = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"), size=2).collect()
+    assert {r.doc_id: r.component_id for r in found} == {**{d: d for d in range(200)}, 200: 0}
+    assert 2 <= seen[0] < 20
+
+
+def test_shingle_numbers():
+    texts = ["a b c A b", "b c a b c", "a", "A b", "a b c d", "a b c"]
+    for size in (1, 2, 3, 5):
+        words = [t.lower().split() for t in texts]
+        sets = [set(zip(*(w[k:] for k in range(size)))) or {tuple(w)} for w in words]
+        numbers = [set(x.tolist()) for x in neardup.shingle_numbers(texts, size)]
+        assert [len(x) for x in numbers] == [len(x) for x in sets]
+        assert all(len(numbers[i] & numbers[j]) == len(sets[i] & sets[j]) for i in range(6) for j in range(6))
+
+
+def test_agreeing_coordinates(spark):
+    rng = random.Random(4)
+    rows = [([rng.randrange(2) * 64 + rng.randrange(3) for _ in range(64)], [rng.randrange(2) * 64 + rng.randrange(3) for _ in range(64)]) for _ in range(50)]
+    df = spark.createDataFrame(rows, "a array<int>, b array<int>")
+    got = df.select("a", "b", neardup.packed("a", 64).alias("x"), neardup.packed("b", 64).alias("y")).select("a", "b", neardup.agreeing("x", "y", 64).alias("n"))
+    assert all(r.n == sum(x == y for x, y in zip(r.a, r.b)) for r in got.collect())
