@@ -157,3 +157,51 @@ def test_lists_compare_all_their_components(spark, monkeypatch):
     base = prose(30, 60)
     df = spark.createDataFrame([(1, " " + prose(30, 61)), (2, base), (3, base + "!")], "doc_id bigint, text string")
     assert dropped(lines.dropped_lines(df)) == {(3, 0)}
+
+
+def test_unlike_pairs_of_a_list_are_ruled_out_before_sets_are_compared(spark, monkeypatch):
+    """A list of lines that have their start in common: pairs that are far below the threshold
+    are not verified, all links are found, and the bound holds for each pair."""
+    from pyspark.sql import functions as F
+
+    rng, seen, verify = random.Random(3), [], lines.verify
+    docs = [(d, prose(12, 70) + " " + prose(40, 700 + d)) for d in range(40)]
+    for d in range(10):
+        text = list(docs[d][1])
+        for at in rng.sample(range(len(text)), 2):
+            text[at] = "#"
+        docs.append((40 + d, "".join(text)))
+
+    def one_list(df, size, coordinates):
+        keyed = df.select(*lines.line_key("line")).distinct()
+        return keyed.select("k1", "k2", F.array(*[F.lit(k) for k in range(coordinates)]).alias("signature"))
+
+    def counted(pairs, *rest):
+        seen.append(pairs.count())
+        return verify(pairs, *rest)
+
+    monkeypatch.setattr(lines, "signatures", one_list)
+    monkeypatch.setattr(lines, "verify", counted)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert dropped(lines.dropped_lines(df)) == plain.fuzzy_lines(docs) == {(40 + d, 0) for d in range(10)}
+    assert sum(seen) < 100  # of 1,225 pairs
+
+
+def test_bitmaps_never_rule_out_a_similar_pair(spark):
+    from pyspark.sql import functions as F
+
+    rng, texts = random.Random(5), []
+    for size in (12, 80, 900, 6000):
+        base = prose(size, size)[:size] * (2 if size == 900 else 1)
+        for k in range(12):
+            text = list(base)
+            for at in rng.sample(range(len(text)), min(len(text) // 2, k * len(text) // 90)):
+                text[at] = rng.choice("xyz主")
+            texts.append("".join(text))
+    coded = spark.createDataFrame(list(enumerate(texts)), "id bigint, line string").select("id", lines.units("line").alias("units"))
+    maps = lines.bitmaps(coded, 9)
+    a, b = (maps.select(*[F.col(c).alias(f"{x}_{c}") for c in maps.columns]) for x in "ab")
+    got = {(r.a_id, r.b_id) for r in a.join(b, F.col("a_id") < F.col("b_id")).where(lines.may_be_similar("a_", "b_", 80)).collect()}
+    sets = [{t[k : k + 9] for k in range(len(t) - 8)} for t in texts]
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])}
+    assert want and want <= got and len(got) < len(texts) * (len(texts) - 1) // 2
