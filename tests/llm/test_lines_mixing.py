@@ -205,3 +205,46 @@ def test_bitmaps_never_rule_out_a_similar_pair(spark):
     sets = [{t[k : k + 9] for k in range(len(t) - 8)} for t in texts]
     want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])}
     assert want and want <= got and len(got) < len(texts) * (len(texts) - 1) // 2
+
+
+def test_no_table_of_a_comparison_outgrows_its_lines(spark, monkeypatch):
+    """Sets take eight bytes a shingle; only lines are written out, and the links are all found."""
+    rng, written, spool = random.Random(9), [], lines.spool
+    base = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(3000))
+    docs = []
+    for d in range(60):
+        text = list(base if d % 2 else base[::-1])
+        for at in rng.sample(range(len(text)), 8):
+            text[at] = "#"
+        docs.append((d, "".join(text)))
+
+    def weighed(df):
+        found = spool(df)
+        paths = [spark._jvm.org.apache.hadoop.fs.Path(x) for x in found.inputFiles()]
+        written.append(sum(x.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(x).getLen() for x in paths))
+        return found
+
+    monkeypatch.setattr(lines, "spool", weighed)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert dropped(lines.dropped_lines(df)) == {(d, 0) for d in range(2, 60)}
+    assert written and max(written) < 3 * sum(len(text) for _, text in docs)
+
+
+def test_wider_bitmaps_rule_out_more_pairs_and_no_similar_one(spark):
+    from pyspark.sql import functions as F
+
+    rng, texts = random.Random(6), []
+    for size in (9, 300, 1500):
+        base = prose(size, size)[:size]
+        for k in range(14):
+            text = list(base)
+            for at in rng.sample(range(len(text)), k * len(text) // 300):
+                text[at] = rng.choice("xyz\u4e3b")
+            texts.append("".join(text))
+    coded = spark.createDataFrame(list(enumerate(texts)), "id bigint, line string").select("id", lines.units("line").alias("units"))
+    every = coded.select(F.col("id").alias("a")).crossJoin(coded.select(F.col("id").alias("b"))).where("a < b")
+    got = [{(r.a, r.b) for r in lines.likely_pairs(every, lines.bitmaps(coded, 9, n), 80, n).collect()} for n in (1, lines.FINER)]
+    sets = [{t[k : k + 9] for k in range(len(t) - 8)} for t in texts]
+    want = {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])}
+    exact = {(r.a, r.b) for r in lines.verify(every, coded, 9, 80).collect()}
+    assert want == exact and want <= got[1] < got[0]
