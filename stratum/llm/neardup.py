@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.llm.common import ASCII_LOWER, connected_components, fresh_name, map_rows, read_table, small_side, spool
+from stratum.llm.common import ASCII_LOWER, by_shuffle, connected_components, fresh_name, map_rows, read_table, small_side, spool
 
 #: Multipliers are drawn from this seed; any other gives other signatures of equal quality.
 SEED = 20_011
@@ -140,7 +140,7 @@ def shared_postings(classes: DataFrame, coordinates: int) -> DataFrame:
     these bands, and the numbers of classes that have them, summed."""
     posted = classes.select("id", F.explode(band_keys("signature", coordinates)).alias("key"))
     often = posted.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return posted.join(often, "key").groupBy("id").agg(F.collect_list("key").alias("keys"), F.sum("n").alias("weight"))
+    return posted.join(by_shuffle(often), "key").groupBy("id").agg(F.collect_list("key").alias("keys"), F.sum("n").alias("weight"))
 
 
 def low_bytes(signature: str) -> F.Column:
@@ -192,7 +192,7 @@ def verify_blocks(candidates: DataFrame, hubs: DataFrame) -> DataFrame:
     """(id, n, family, blocks, block): classes with the same most central hub are a
     family, and are verified together in blocks of about ``BLOCK_SHINGLES`` shingles, or
     ``BLOCK_ROWS`` rows."""
-    posted = candidates.select("id", F.col("n_shingles").alias("n"), F.explode("keys").alias("key")).join(hubs, "key")
+    posted = candidates.select("id", F.col("n_shingles").alias("n"), F.explode("keys").alias("key")).join(by_shuffle(hubs), "key")
     family = posted.groupBy("id", "n").agg(F.max("central")["id"].alias("family"))
     sizes = family.groupBy("family").agg(block_count("n").alias("blocks"))
     placed = family.join(sizes, "family")
@@ -204,14 +204,14 @@ def verify(pairs: DataFrame, blocks: DataFrame, texts: DataFrame, size: int, per
     Pairs are grouped by their two blocks, and each text is sent to a group once."""
     where = F.xxhash64("family", "block")
     placed = (
-        pairs.join(blocks.select(F.col("id").alias("a"), F.col("n").alias("na"), where.alias("x")), "a")
-        .join(blocks.select(F.col("id").alias("b"), F.col("n").alias("nb"), where.alias("y")), "b")
+        pairs.join(by_shuffle(blocks.select(F.col("id").alias("a"), F.col("n").alias("na"), where.alias("x"))), "a")
+        .join(by_shuffle(blocks.select(F.col("id").alias("b"), F.col("n").alias("nb"), where.alias("y"))), "b")
         .where(comparable("na", "nb", percent))
         .select("a", "b", F.least("x", "y").alias("g1"), F.greatest("x", "y").alias("g2"))
     )
     placed = spool(placed)
     members = placed.select(F.col("g1").alias("h1"), F.col("g2").alias("h2"), F.explode(F.array("a", "b")).alias("id")).distinct()
-    sent = members.join(texts.select("id", "text"), "id").select("h1", "h2", "id", "text")
+    sent = members.join(by_shuffle(texts.select("id", "text")), "id").select("h1", "h2", "id", "text")
 
     def confirm(pairs: pa.Table, sent: pa.Table) -> pa.Table:
         if not sent.num_rows:
@@ -232,9 +232,9 @@ def star_pairs(candidates: DataFrame, hubs: DataFrame, coordinates: int, matches
     lists = candidates.select("id", "n_shingles", F.explode("keys").alias("key"))
     each = F.array_distinct(F.array(*[F.struct(F.col(f"{c}.id").alias("id"), F.col(f"{c}.n").alias("n")) for c in ("central", "other")]))
     hubs = hubs.select("key", F.explode(each).alias("hub"))
-    pairs = lists.join(hubs, "key").where((F.col("id") != F.col("hub.id")) & comparable("n_shingles", "hub.n", percent))
+    pairs = lists.join(by_shuffle(hubs), "key").where((F.col("id") != F.col("hub.id")) & comparable("n_shingles", "hub.n", percent))
     pairs = pairs.select(F.least("id", "hub.id").alias("a"), F.greatest("id", "hub.id").alias("b"))
-    signed = candidates.select("id", packed("signature", coordinates).alias("signature"))
+    signed = by_shuffle(candidates.select("id", packed("signature", coordinates).alias("signature")))
     return (
         pairs.distinct()
         .join(signed.withColumnsRenamed({"id": "a", "signature": "sa"}), "a")
@@ -258,7 +258,7 @@ def block_pairs(here: DataFrame, group: str, columns: list[str]) -> DataFrame:
     each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     left = here.where("component <> largest").select(group, F.col("block").alias("i"), each.alias("j"), F.lit(True).alias("left"), *columns)
     right = here.select(group, each.alias("i"), F.col("block").alias("j"), F.lit(False).alias("left"), *columns)
-    right = right.join(left.select(group, "i", "j").distinct(), [group, "i", "j"], "left_semi")
+    right = right.join(by_shuffle(left.select(group, "i", "j").distinct()), [group, "i", "j"], "left_semi")
     return left.union(right.select(left.columns))
 
 
@@ -327,7 +327,7 @@ def family_links(member: DataFrame, texts: DataFrame, size: int, percent: int, m
     groups = spool(open_groups(clustered, "cluster"))
     blocks = F.greatest(F.ceil(F.col("n") / BLOCK_SHINGLES), F.ceil(F.col("m") / BLOCK_ROWS))
     here = spool(in_blocks(clustered, groups, "cluster", blocks))
-    sent = block_pairs(here, "cluster", ["id", "component"]).join(texts.select("id", "text"), "id")
+    sent = block_pairs(here, "cluster", ["id", "component"]).join(by_shuffle(texts.select("id", "text")), "id")
 
     def link(group: pa.Table) -> pa.Table:
         ids, component, left = (group.column(c).to_numpy() for c in ("id", "component", "left"))
@@ -362,10 +362,10 @@ def crossing_pairs(member: DataFrame, coordinates: int, matches: int, percent: i
         F.min("family").alias("f1"), F.max("family").alias("f2"), F.min("component").alias("c1"), F.max("component").alias("c2"),
     ).where("f1 <> f2 and c1 <> c2").select("key")
     b = member.select("id", "component", "family", "n", packed("signature", coordinates).alias("signature"), F.explode("keys").alias("key"))
-    b = spool(b.join(lists, "key"))
+    b = spool(b.join(by_shuffle(lists), "key"))
     a = b.select(*[F.col(c).alias(f"a_{c}") for c in ("key", "id", "signature", "component", "family", "n")])
     found = a.join(
-        b, (F.col("a_key") == F.col("key")) & (F.col("a_id") < F.col("id")) & (F.col("a_family") != F.col("family"))
+        by_shuffle(b), (F.col("a_key") == F.col("key")) & (F.col("a_id") < F.col("id")) & (F.col("a_family") != F.col("family"))
         & (F.col("a_component") != F.col("component")) & comparable("a_n", "n", percent) & (agreeing("a_signature", "signature", coordinates) >= matches),
     )
     return found.select(F.col("a_id").alias("a"), F.col("id").alias("b")).distinct()
@@ -375,7 +375,7 @@ def similar_classes(classes: DataFrame, texts: DataFrame, size: int, percent: in
     """(node, component) for the classes that are linked to another one, or None.
     ``classes`` has id, n_shingles, signature and the doc_id and text hash of a
     member, by which ``texts`` has its text, and the number of rows with these."""
-    candidates = spool(shared_postings(classes, coordinates).join(classes, "id"))
+    candidates = spool(shared_postings(classes, coordinates).join(by_shuffle(classes), "id"))
     n = candidates.count()
     if not n:
         return None

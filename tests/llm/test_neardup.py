@@ -1,6 +1,7 @@
 import random
 
 import reference as plain
+from pyspark.sql import functions as F
 from reference import prose, same_rows
 
 from stratum.llm import common, neardup
@@ -94,6 +95,26 @@ def test_values_shared_by_chance_make_no_candidates(spark, monkeypatch):
     assert 2 <= seen[0] < 20
 
 
+def test_exploded_lists_are_not_broadcast(spark):
+    """Spark takes their rows for few, here and in tables of any size below its threshold."""
+    texts = [" ".join([*prose(60, d // 4).split(), f"w{d}"]) for d in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").withColumn("text_hash", F.xxhash64("text"))
+    signed = neardup.sign_documents(docs, 5, 64, ["doc_id", "text_hash"])
+    classes = common.spool(signed.select(F.col("doc_id").alias("id"), "n_shingles", "signature", "doc_id", "text_hash", F.lit(1).alias("rows")))
+    shared = neardup.shared_postings(classes, 64)
+    candidates = common.spool(shared.join(classes, "id"))
+    assert candidates.count() == 40
+    hubs = common.spool(neardup.list_hubs(candidates))
+    blocks = common.spool(neardup.verify_blocks(candidates, hubs))
+    member = common.spool(candidates.join(blocks.select("id", "n", "family"), "id").withColumn("component", F.col("id")))
+    for made in (
+        shared, neardup.star_pairs(candidates, hubs, 64, 34, 80), neardup.crossing_pairs(member, 64, 34, 80),
+        neardup.block_pairs(blocks.withColumns({"component": F.col("id"), "largest": F.lit(0)}), "family", ["id"]),
+    ):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_shingle_numbers():
     texts = ["a b c A b", "b c a b c", "a", "A b", "a b c d", "a b c"]
     for size in (1, 2, 3, 5):
