@@ -9,8 +9,9 @@ Steps (each a Spark job unless noted):
    table in the shared folder (removed when the run ends); none changed ->
    SKIPPED;
 4. one parse of only the changed files (lineage column taken at the scan),
-   written to ``<target>/_pipeline_run_id=<run>/`` (overwrite: a retried write
-   inside one run replaces itself), partitioned as configured;
+   written to ``<target>/_pipeline_run_id=<run>/``, partitioned as configured; tracked
+   files are taken in rounds of about ``ROUND_BYTES`` a core, so the shuffle files on
+   disk are those of a round, however much is loaded;
 5. validation **and** data-quality rules **and** the row count in one
    aggregate pass over the written, column-pruned parquet; results appended to
    their log; keys are compared with those of earlier runs if a rule asks for it
@@ -29,6 +30,7 @@ Readers use :func:`bronze_current`, which only shows rows of committed loads.
 
 from __future__ import annotations
 
+import re
 import time
 from dataclasses import dataclass, replace
 
@@ -51,12 +53,18 @@ from stratum.plans.control import Lakehouse, config_for
 from stratum.plans.locks import entity_lock
 from stratum.plans.runkeys import check_across_runs, drop_run_filters
 from stratum.plans.runlog import new_run_id, run_event
+from stratum.session import drop_shuffles
 from stratum.sources.inventory import file_inventory
 from stratum.sources.readers import read_source
 from stratum.sources.schemas import get_schema
 from stratum.sources.sinks import literal_rows, path_exists, remove_path, write_table
 
 LOAD_TYPES = ("full", "incremental")
+#: Bytes of text for each core that are loaded at once.
+ROUND_BYTES = 256 << 20
+#: Compressed files count as so many times their size.
+PACKED = re.compile(r"\.(gz|bz2|zst|lz4|snappy|deflate)$")
+PACKED_RATIO = 10
 
 
 @dataclass
@@ -105,6 +113,21 @@ def reset_state(spark: SparkSession, lake: Lakehouse, entity: str) -> None:
     lake.append(ev, "ingestion_state", one_file=True, sub=entity)
 
 
+def load_rounds(spark: SparkSession, changed: DataFrame) -> list[list[str]]:
+    """The changed files in rounds of about ``ROUND_BYTES`` of text a core, or of one
+    larger file.  Their paths reach the driver, as for the scan that reads them."""
+    most = ROUND_BYTES * spark.sparkContext.defaultParallelism
+    rounds, held = [[]], 0
+    for file, size in changed.select("source_file", "file_size").orderBy("source_file").toLocalIterator():
+        size = (size or 0) * (PACKED_RATIO if PACKED.search(file) else 1)
+        if rounds[-1] and held + size > most:
+            rounds.append([])
+            held = 0
+        rounds[-1].append(file)
+        held += size
+    return rounds
+
+
 def bronze_schema(cfg: dict) -> StructType:
     """Raw schema + ``_source_file`` [+ partition column] + ``_ingestion_ts`` +
     ``_pipeline_run_id`` (the run folder), as written by :func:`ingest`."""
@@ -222,19 +245,24 @@ def _staged_steps(spark, lake, entity_name, config_df, validation_rules, dq_rule
         if not files:
             return finish("SKIPPED")
 
-    df = read_source(spark, cfg["source_path"], cfg["source_format"], schema,
-                     files_to_include=changed, multiline=bool(cfg.get("multiline")),
-                     options={"recursiveFileLookup": "true"}, source_file_column="_source_file")
-    part = cfg.get("partition_column")
-    if part:
-        df = add_year_partition(df, part, cfg.get("partition_source") or "date")
-    df = df.withColumn("_ingestion_ts", F.current_timestamp())
-
     # The raw files are parsed once: straight into this run's own folder,
     # which stays invisible until the state commit below.
+    part = cfg.get("partition_column")
     run_dir = f"{target}/_pipeline_run_id={run_id}"
+    now = F.timestamp_micros(F.lit(int(time.time() * 1e6)))  # one for all rounds
+    for k, some in enumerate(load_rounds(spark, changed) if tracking else [None]):
+        if k:
+            drop_shuffles(spark)
+        df = read_source(spark, cfg["source_path"], cfg["source_format"], schema,
+                         files_to_include=some, multiline=bool(cfg.get("multiline")),
+                         options={"recursiveFileLookup": "true"}, source_file_column="_source_file")
+        if part:
+            df = add_year_partition(df, part, cfg.get("partition_source") or "date")
+        df = df.withColumn("_ingestion_ts", now)
+        write_table(df, run_dir, "append" if k else "overwrite", part, rebalance=bool(part))
     write_schema = df.schema
-    write_table(df, run_dir, "overwrite", part, rebalance=bool(part))
+    del df
+    drop_shuffles(spark)
 
     # Validation and data-quality rules, and the row count, in ONE pass
     # over the written, column-pruned parquet of this run.  The count is

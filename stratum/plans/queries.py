@@ -912,6 +912,11 @@ def check_duplicate_row_fingerprint(spark, data_dir):
 # ------------------------------------------------------------ the seeded layers end to end
 
 
+#: Text is many times as large as the tables it is made of.  A compressed file, and a JSON
+#: array, is read by one task; so files hold a bounded number of rows.
+LANDED = {"compression": "gzip", "maxRecordsPerFile": 250_000}
+
+
 def land_seeded_entities(spark, data_dir, landing: str) -> None:
     """The six raw entities, in their configured formats, derived from the
     test tables (keys unique where the seeded key rules demand it)."""
@@ -929,19 +934,19 @@ def land_seeded_entities(spark, data_dir, landing: str) -> None:
         F.col("c_name").alias("circuitName"), F.col("c_acctbal").cast("string").alias("lat"),
         F.col("c_nationkey").cast("string").alias("long"), F.col("c_mktsegment").alias("locality"),
         F.concat(F.lit("nation-"), F.col("c_nationkey")).alias("country"),
-    ).write.option("header", True).csv(f"{landing}/circuits")
+    ).write.options(header=True, **LANDED).csv(f"{landing}/circuits")
     supp.select(
         F.col("s_suppkey").cast("string").alias("constructorId"), F.col("s_name").alias("name"),
         F.concat(F.lit("nation-"), F.col("s_nationkey")).alias("nationality"),
         url("s", "s_suppkey").alias("url"),
-    ).write.json(f"{landing}/constructors")
+    ).write.options(**LANDED).json(f"{landing}/constructors")
     part.select(
         F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.col("p_size") * 200),
                       "yyyy-MM-dd").alias("dateOfBirth"),
         F.col("p_partkey").cast("string").alias("driverId"),
         F.struct(F.col("p_brand").alias("familyName"), F.col("p_name").alias("givenName")).alias("name"),
         F.col("p_type").alias("nationality"), url("p", "p_partkey").alias("url"),
-    ).write.json(f"{landing}/drivers")
+    ).write.options(**LANDED).json(f"{landing}/drivers")
     (orders.groupBy(F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"))
      .agg(F.min("o_orderdate").alias("d"), F.min("o_custkey").alias("c"))
      .select(F.col("y").cast("string").alias("season"), F.col("m").cast("string").alias("round"),
@@ -960,7 +965,8 @@ def land_seeded_entities(spark, data_dir, landing: str) -> None:
         F.month("o_orderdate").cast("bigint").alias("round"),
         F.year("o_orderdate").cast("bigint").alias("season"),
         F.col("o_orderstatus").alias("status"), url("o", "o_orderkey").alias("url"))
-    sinks.write_json_arrays(results, f"{landing}/results", files=8)
+    arrays = {"file_rows": LANDED["maxRecordsPerFile"], "compression": LANDED["compression"]}
+    sinks.write_json_arrays(results, f"{landing}/results", **arrays)
     sprints = li.select(
         F.col("l_partkey").cast("string").alias("constructorId"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
@@ -972,7 +978,7 @@ def land_seeded_entities(spark, data_dir, landing: str) -> None:
         F.month("l_shipdate").cast("bigint").alias("round"),
         F.year("l_shipdate").cast("bigint").alias("season"),
         F.col("l_linestatus").alias("status"), url("l", "l_orderkey").alias("url"))
-    sinks.write_json_arrays(sprints, f"{landing}/sprints", files=8)
+    sinks.write_json_arrays(sprints, f"{landing}/sprints", **arrays)
 
 
 def seeded_layers(spark, data_dir):
@@ -982,6 +988,7 @@ def seeded_layers(spark, data_dir):
     land_seeded_entities(spark, data_dir, landing)
     eng = Engine.seeded(spark, scratch_path(spark, "lake_seeded"), landing)
     bronze = {r.entity_name: r for r in eng.ingest_all(parallelism=3).collect()}
+    sinks.remove_path(spark, landing)  # a scratch copy; the refined layer is made from bronze
     refined = {r.entity_name: r.status for r in eng.refine_all(parallelism=3).collect()}
     rows = []
     for entity in sorted(bronze):

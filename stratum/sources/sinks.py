@@ -219,28 +219,33 @@ def table_exists(spark: SparkSession, name_or_path: str) -> bool:
     return spark.catalog.tableExists(name_or_path)
 
 
-def write_json_arrays(df: DataFrame, path: str, files: int) -> str:
-    """Write ``df`` as at most ``files`` JSON-array files (one array document per
-    file, one record a line).  Rows are streamed: the brackets and commas are put
-    around them as they pass, and no array is ever built in memory."""
+def write_json_arrays(df: DataFrame, path: str, files: int | None = None, file_rows: int = 0,
+                      compression: str = "none") -> str:
+    """Write ``df`` as JSON-array files (one array document per file, one record a
+    line): at most ``files`` of them, or as many as it takes with at most ``file_rows``
+    rows in each, for which rows are not shuffled.  Rows are streamed: the brackets and
+    commas are put around them as they pass, and no array is ever built in memory."""
     from pyspark.sql import functions as F
 
     def array_lines(batches):
         import pyarrow as pa
 
-        held = None
+        held, at = None, 0
         for batch in batches:
             lines = []
             for value in batch.column(0).to_pylist():
+                first = at == 0 or file_rows and at % file_rows == 0
                 if held is not None:
-                    lines.append(held + ",")
-                held = value if held is not None else "[" + value
+                    lines.append(held + ("]" if first else ","))
+                held, at = "[" + value if first else value, at + 1
             yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
         if held is not None:
             yield pa.RecordBatch.from_arrays([pa.array([held + "]"])], names=["value"])
 
-    rows = df.repartition(files).select(F.to_json(F.struct(*df.columns)).alias("value"))
-    rows.mapInArrow(array_lines, "value string").write.mode("overwrite").text(path)
+    dealt = df if files is None else df.repartition(files)
+    rows = dealt.select(F.to_json(F.struct(*df.columns)).alias("value")).mapInArrow(array_lines, "value string")
+    # a task's files have file_rows lines each: one array in each
+    rows.write.mode("overwrite").option("maxRecordsPerFile", file_rows).option("compression", compression).text(path)
     return path
 
 

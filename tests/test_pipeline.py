@@ -71,6 +71,53 @@ def test_incremental_lifecycle(spark, setup):
     assert sorted(r.record_count for r in audit) == [4, 9]
 
 
+def test_load_in_rounds(spark, setup, monkeypatch):
+    """Files are loaded a few at a time; what is committed is the same."""
+    import gzip
+
+    from stratum.plans import ingest as steps
+
+    lake, cfg, landing = setup
+    for k in range(3):
+        (landing / f"z{k}.json.gz").write_bytes(gzip.compress(json.dumps(result_rows(2020 + k, 2, 3 + k)).encode()))
+    written, write = [], steps.write_table
+    monkeypatch.setattr(steps, "ROUND_BYTES", 1)
+    monkeypatch.setattr(steps, "write_table", lambda df, path, mode, *a, **b: written.append(mode) or write(df, path, mode, *a, **b))
+    r = ingest(spark, lake, "results", cfg, ctl.seed_validation_rules(spark), ctl.seed_dq_rules(spark))
+    assert (r.status, r.records, r.files) == ("SUCCESS", 21, 5)
+    assert written == ["overwrite"] + ["append"] * 4
+    cur = bronze_current(spark, lake, ctl.config_for(cfg, "results"))
+    got = {(x.race_year, x.n) for x in cur.groupBy("race_year").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {(2020, 3), (2021, 4), (2022, 5), (2023, 5), (2024, 4)}
+    assert cur.select("_ingestion_ts", "_pipeline_run_id").distinct().count() == 1
+    assert ingest(spark, lake, "results", cfg).status == "SKIPPED"
+
+
+def test_seeded_landing_is_small(spark, tmp_path):
+    """The landed text is many times as large as its tables, unless it is compressed."""
+    from stratum.plans.queries import land_seeded_entities
+
+    data, n = tmp_path / "data", 4000
+    day = "timestamp'1995-01-01' + make_interval(0, 0, 0, id % 900)"
+    made = {
+        "customer": "id as c_custkey, concat('c', id) as c_name, 1.5 as c_acctbal, id % 5 as c_nationkey, 'X' as c_mktsegment",
+        "supplier": "id as s_suppkey, concat('s', id) as s_name, id % 5 as s_nationkey",
+        "part": "id as p_partkey, 'B' as p_brand, 'N' as p_name, 'T' as p_type, cast(id % 50 as int) as p_size",
+        "orders": f"id as o_orderkey, id % 99 as o_custkey, {day} as o_orderdate, id / 7 as o_totalprice, 'O' as o_orderstatus, '1-URGENT' as o_orderpriority",
+        "lineitem": f"id as l_orderkey, id % 77 as l_partkey, id % 55 as l_suppkey, cast(id % 7 as int) as l_linenumber, {day} as l_shipdate, "
+                    "cast(id % 50 as double) as l_quantity, id / 3 as l_extendedprice, 'N' as l_returnflag, 'O' as l_linestatus",
+    }
+    for name, columns in made.items():
+        spark.sql(f"select {columns} from range({n})").write.parquet(str(data / f"{name}.parquet"))
+    landing = tmp_path / "landing"
+    land_seeded_entities(spark, str(data), str(landing))
+    files = [f for f in landing.rglob("part-*") if "races" not in str(f)]
+    assert {f.suffix for f in files} == {".gz"}
+    assert sum(f.stat().st_size for f in (landing / "sprints").glob("part-*")) < 60 * n  # 230 bytes a row of text
+    text = spark.read.schema("number bigint").json(str(landing / "sprints"), multiLine=True)
+    assert text.select("number").distinct().count() == n
+
+
 def test_new_file_only(spark, setup):
     lake, cfg, landing = setup
     assert ingest(spark, lake, "results", cfg).status == "SUCCESS"

@@ -168,6 +168,24 @@ def test_json_array_files(spark, tmp_path):
     assert 1 < len(docs) <= 4 and sorted(r["id"] for d in docs for r in d) == list(range(23))
 
 
+def test_json_array_files_of_bounded_size(spark, tmp_path):
+    import gzip
+    import json
+
+    from stratum.sources.sinks import write_json_arrays
+
+    df = spark.range(0, 43, 1, 2).selectExpr("id", "concat('a\"b\n', id) as s")
+    path = tmp_path / "arrays"
+    write_json_arrays(df, str(path), file_rows=5, compression="gzip")
+    texts = [gzip.decompress(f.read_bytes()) for f in path.glob("part-*.gz")]
+    docs = [json.loads(t) for t in texts if t]
+    assert sorted(map(len, docs)) == [1, 2, 5, 5, 5, 5, 5, 5, 5, 5]
+    back = read_source(spark, str(path), "json", "id long, s string", multiline=True)
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    write_json_arrays(df.where("id < 0"), str(path), file_rows=5)
+    assert read_source(spark, str(path), "json", "id long, s string", multiline=True).count() == 0
+
+
 def test_subset_read_prunes_files_at_listing(spark, tmp_path):
     from pyspark.sql import functions as F
 
